@@ -464,23 +464,38 @@ def jn5(spark, sf):
                     R(F.col("o_totalprice") - F.col("p")).alias("residual"))
 
 
-@query("jn6_pending_keys", """
-SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+def _customer_years(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey")
+    return c.select("c_custkey", F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year"))
+
+
+def _cached_customer_years(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"))
+
+
+_GRID_SQL = "(SELECT c_custkey, CAST(y AS INTEGER) AS year FROM customer, range(1995, 2002) t(y))"
+
+
+@query("jn6_pending_keys", f"""
+SELECT g.c_custkey, g.year FROM {_GRID_SQL} g
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = g.c_custkey AND year(o.o_orderdate) = g.year)
 """)
 def jn6a(spark, sf):
-    """Requested keys without a cached result (anti join)."""
-    c = table(spark, sf, "customer").select("c_custkey")
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return c.join(o, "c_custkey", "left_anti")
+    """Requested (customer, year) keys that have no cached result yet: an
+    anti join of the request grid against what already exists."""
+    return _customer_years(spark, sf).join(_cached_customer_years(spark, sf),
+                                           ["c_custkey", "year"], "left_anti")
 
 
-@query("jn6_cached_keys", """
-SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+@query("jn6_cached_keys", f"""
+SELECT g.c_custkey, g.year FROM {_GRID_SQL} g
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = g.c_custkey AND year(o.o_orderdate) = g.year)
 """)
 def jn6b(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey")
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return c.join(o, "c_custkey", "left_semi")
+    """Requested keys served from the cache (semi join)."""
+    return _customer_years(spark, sf).join(_cached_customer_years(spark, sf),
+                                           ["c_custkey", "year"], "left_semi")
 
 
 @query("jn7_keys_by_years", """

@@ -32,4 +32,5 @@ def load_all() -> None:
     """Import every plan module so its queries register."""
     from orrery.plans import (  # noqa: F401
         q_relational,
+        q_vectors,
     )
