@@ -33,4 +33,5 @@ def load_all() -> None:
     from orrery.plans import (  # noqa: F401
         q_relational,
         q_vectors,
+        q_text,
     )
