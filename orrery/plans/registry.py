@@ -34,4 +34,5 @@ def load_all() -> None:
         q_relational,
         q_vectors,
         q_text,
+        q_html,
     )
