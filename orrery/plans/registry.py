@@ -35,4 +35,5 @@ def load_all() -> None:
         q_vectors,
         q_text,
         q_html,
+        q_json,
     )
