@@ -36,4 +36,5 @@ def load_all() -> None:
         q_text,
         q_html,
         q_json,
+        q_features,
     )
