@@ -58,8 +58,10 @@ def classification_report(df: DataFrame, label: str, pred: str, zero_division: f
     summary = tot.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
                  acc.alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n")),
-        F.struct(F.lit("weighted avg"), F.col("wp"), F.col("wr"), F.col("wf"), F.col("n")))).alias("s"))
+        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
+                 F.col("mf").alias("f1"), F.col("n").alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
+                 F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("n").alias("support")))).alias("s"))
     summary = summary.select("s.*")
     return per.select("class", "precision", "recall", "f1", "support").unionByName(summary)
 

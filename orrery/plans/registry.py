@@ -37,4 +37,5 @@ def load_all() -> None:
         q_html,
         q_json,
         q_features,
+        q_metrics,
     )
