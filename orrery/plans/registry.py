@@ -38,4 +38,5 @@ def load_all() -> None:
         q_json,
         q_features,
         q_metrics,
+        q_models,
     )
