@@ -56,8 +56,8 @@ def _local_topk(k: int, metric: str, exclude_self: bool):
     def fn(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         cols = {"q_id": [], "r_id": [], "dist": []}
         if len(qpdf) == 0 or len(rpdf) == 0:
-            return pd.DataFrame({"q_id": pd.Series([], "int64"), "r_id": pd.Series([], "int64"),
-                                 "dist": pd.Series([], "float64")})
+            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "r_id": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
         rpdf = rpdf.sort_values("r_id", kind="stable")
         rids = rpdf["r_id"].to_numpy(np.int64)
         rm = np.vstack(rpdf["r_vec"].to_numpy()).astype(np.float64)

@@ -39,4 +39,5 @@ def load_all() -> None:
         q_features,
         q_metrics,
         q_models,
+        q_cluster,
     )

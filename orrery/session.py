@@ -7,6 +7,7 @@ location and broadcast thresholds are read from the session when present.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,9 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back.
+
+    Like a reliable checkpoint this survives lost executors and truncates
+    lineage, but the re-read table carries file-size statistics.  A
+    ``checkpoint()`` keeps the estimate of the plan it replaced, and in
+    iterative joins (connected components) that estimate multiplies every
+    round until planning itself runs out of memory.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/orrery-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
