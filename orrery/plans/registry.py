@@ -40,4 +40,5 @@ def load_all() -> None:
         q_metrics,
         q_models,
         q_cluster,
+        q_sources,
     )
