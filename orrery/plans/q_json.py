@@ -127,8 +127,8 @@ SELECT user_id, event_type AS category, 'events' AS display_name, CAST(n AS VARC
        NULL::VARCHAR AS description
 FROM g
 UNION ALL
-SELECT user_id, event_type, 'value', printf('%.2f', total),
-       CASE WHEN event_type = 'purchase' THEN printf('%.2f', total / n) END, NULL, NULL
+SELECT user_id, event_type, 'value', printf('%.2f', floor(total * 100 + 0.5) / 100),
+       CASE WHEN event_type = 'purchase' THEN printf('%.2f', floor(total / n * 100 + 0.5) / 100) END, NULL, NULL
 FROM g
 """)
 def jsn7(spark, sf):

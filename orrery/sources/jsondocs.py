@@ -97,6 +97,12 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     return docs.select(F.col("o_custkey").alias("customer"), "season", F.to_json(doc).alias("json"))
 
 
+def _cents(x):
+    """Round half up to 2 decimals before formatting; ``%.2f`` itself
+    rounds ties differently from one formatter to the next."""
+    return F.floor(x * 100 + 0.5) / 100
+
+
 def stats_documents(events: DataFrame) -> DataFrame:
     """(user_id, payload) per-user statistics documents, double-encoded.
     Optional keys are left out where they have no value (``to_json`` drops
@@ -110,9 +116,9 @@ def stats_documents(events: DataFrame) -> DataFrame:
                  F.when(F.col("n") >= 15, F.format_string("#%d", (F.col("n") / 5).cast("int")))
                   .alias("rankDisplayValue")),
         F.struct(F.lit("value").alias("displayName"),
-                 F.format_string("%.2f", "total").alias("displayValue"),
+                 F.format_string("%.2f", _cents(F.col("total"))).alias("displayValue"),
                  F.when(F.col("event_type") == "purchase",
-                        F.format_string("%.2f", F.col("total") / F.col("n"))).alias("perGameDisplayValue"),
+                        F.format_string("%.2f", _cents(F.col("total") / F.col("n")))).alias("perGameDisplayValue"),
                  F.lit(None).cast("string").alias("rankDisplayValue")))
     cat = F.struct(F.col("event_type").alias("name"), stat.alias("stats"))
     per_user = g.groupBy("user_id").agg(

@@ -1,0 +1,117 @@
+"""Golden values (FIXTURES.md part A) computed from the reference's data
+files; the files are only read."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import ref_file
+from orrery.operators import models as ML
+from orrery.operators import relational as rel
+from orrery.sources import files as FS
+
+AUTO_COLS = ["symboling int", "normalized_losses int", "make string", "fuel_type string",
+             "aspiration string", "num_of_doors string", "body_style string", "drive_wheels string",
+             "engine_location string", "wheel_base double", "length double", "width double",
+             "height double", "curb_weight int", "engine_type string", "num_of_cylinders string",
+             "engine_size int", "fuel_system string", "bore double", "stroke double",
+             "compression_ratio double", "horsepower int", "peak_rpm int", "city_mpg int",
+             "highway_mpg int", "price int"]
+
+
+def _xy(spark, name):
+    return FS.read_csv(spark, ref_file(f"regression/{name}"), "x double, y double", header=True)
+
+
+def _auto(spark):
+    return FS.read_csv(spark, ref_file("feature_engineering/usa_auto_imports_1985.csv"),
+                       ", ".join(AUTO_COLS), header=False, null_value="?")
+
+
+def _titanic(spark):
+    return spark.read.option("header", True).option("quote", '"').schema(
+        "PassengerId int, Pclass int, Name string, Sex string, Age double, SibSp int, Parch int, "
+        "Ticket string, Fare double, Cabin string, Embarked string").csv(ref_file("clustering/titanic_predict.csv"))
+
+
+def test_ml1_ols_line(spark):
+    r = ML.line_fit(_xy(spark, "linear_regression.csv"), "x", "y").first()
+    assert r["slope"] == pytest.approx(-0.699515, abs=1e-6)
+    assert r["intercept"] == pytest.approx(14.973695, abs=1e-6)
+    assert r["r2"] == pytest.approx(0.940037, abs=1e-6)
+    r1 = ML.line_fit(_xy(spark, "regression1.csv"), "x", "y").first()
+    assert (r1["slope"], r1["intercept"]) == pytest.approx((2.490158, 5.080073), abs=1e-6)
+
+
+def test_ml2_gradient_descent(spark):
+    r = ML.gradient_descent_line(_xy(spark, "linear_regression.csv"), "x", "y", alpha=0.02,
+                                 iterations=1000).first()
+    assert r["slope"] == pytest.approx(-0.683207, abs=1e-6)
+    assert r["intercept"] == pytest.approx(14.865666, abs=1e-6)
+
+
+@pytest.mark.parametrize("name,degree,coef,r2", [
+    ("regression2.csv", 1, [21.971358, -50.011760], 0.730403),
+    ("regression2.csv", 2, [4.620545, -24.234090, 26.842983], 0.946614),
+    ("regression3.csv", 3, [0.292024, -0.416164, 2.674680, 2.308780], 0.976972),
+    ("regression4.csv", 4, [0.003854, -0.106651, 1.107074, -5.215279, 9.789874], 0.957481),
+    ("regression5.csv", 3, [-0.001041, 0.000703, 0.137298, 0.455439], 0.903561),
+])
+def test_ml3_polynomial(spark, name, degree, coef, r2):
+    got, got_r2 = ML.polynomial_fit(_xy(spark, name), "x", "y", degree)
+    for g, e in zip(got, coef):
+        assert g == pytest.approx(e, rel=1e-4, abs=1e-5)
+    assert got_r2 == pytest.approx(r2, abs=1e-5)
+
+
+def test_ag1_null_counts_auto(spark):
+    nc = {r["column_name"]: r["null_count"] for r in rel.null_counts(_auto(spark)).collect()}
+    assert nc["normalized_losses"] == 41 and nc["num_of_doors"] == 2
+    assert nc["bore"] == 4 and nc["stroke"] == 4 and nc["horsepower"] == 2
+    assert nc["peak_rpm"] == 2 and nc["price"] == 4
+    assert sum(nc.values()) == 41 + 2 + 4 + 4 + 2 + 2 + 4
+
+
+def test_flt2_rows_with_null_auto(spark):
+    a = rel.drop_columns(_auto(spark), ["symboling", "normalized_losses"])
+    assert rel.rows_with_any_null(a).count() == 12
+    bore = a.filter(F.col("bore").isNull())
+    assert [(r["make"], r["cnt"]) for r in rel.value_counts(bore, "make").collect()] == [("mazda", 4)]
+
+
+def test_ag2_make_counts(spark):
+    vc = [(r["make"], r["cnt"]) for r in rel.value_counts(_auto(spark), "make").collect()]
+    assert vc[:4] == [("toyota", 32), ("nissan", 18), ("mazda", 17), ("honda", 13)]
+    assert len(vc) == 22 and vc[-1] == ("mercury", 1)
+
+
+def test_prj8_lump(spark):
+    a = _auto(spark)
+    cyl = a.select(rel.lump_levels("num_of_cylinders", ["four", "six", "five"]).alias("c"))
+    got = {r["c"]: r["cnt"] for r in rel.value_counts(cyl, "c").collect()}
+    assert got == {"four": 159, "six": 24, "five": 11, "other": 11}
+    body = a.select(rel.lump_levels("body_style", ["wagon", "hatchback", "sedan"]).alias("b"))
+    got = {r["b"]: r["cnt"] for r in rel.value_counts(body, "b").collect()}
+    assert got == {"sedan": 96, "hatchback": 70, "wagon": 25, "other": 14}
+
+
+def test_titanic_nulls_counts_and_fill(spark):
+    t = _titanic(spark)
+    nc = {r["column_name"]: r["null_count"] for r in rel.null_counts(t, ["Age", "Fare", "Cabin"]).collect()}
+    assert nc == {"Age": 86, "Fare": 1, "Cabin": 327}
+    sex = {r["Sex"]: r["cnt"] for r in rel.value_counts(t, "Sex").collect()}
+    assert sex == {"male": 266, "female": 152}
+    filled = rel.fill_group_mean(t, ["Pclass"], "Fare")
+    missing_id = t.filter(F.col("Fare").isNull()).first()["PassengerId"]
+    v = filled.filter(F.col("PassengerId") == missing_id).first()["Fare"]
+    assert math.isclose(v, 12.459677880184334, rel_tol=1e-12)
+
+
+def test_geyser_min_max(spark):
+    g = spark.read.option("header", True).schema("id int, eruption double, waiting int").csv(
+        ref_file("clustering/old_faithful_geyser_eruption_time.csv"))
+    r = g.agg(F.min("eruption"), F.max("eruption"), F.avg("eruption"), F.min("waiting"),
+              F.max("waiting"), F.avg("waiting")).first()
+    assert (r[0], r[1], r[3], r[4]) == (1.6, 5.1, 43, 96)
+    assert r[2] == pytest.approx(3.487783, abs=1e-6) and r[5] == pytest.approx(70.897059, abs=1e-6)
