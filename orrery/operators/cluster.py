@@ -146,23 +146,29 @@ def _cluster_sums(n_sets: int):
     return fn
 
 
-def silhouette(df: DataFrame, key: str, vec: str, labels: str, block_rows: int = 2048) -> DataFrame:
+def silhouette(df: DataFrame, key: str, vec: str, labels: str, block_rows: int = 1024,
+               ref_block_rows: int = 16384) -> DataFrame:
     """AG-15 exact: per labelling set s (``labels`` is an array column, one
     cluster id per set) the mean over points of (b - a) / max(a, b), a =
     mean distance to the other members of its cluster, b = smallest mean
     distance to another cluster; points alone in their cluster score 0.
-    Returns (s, silhouette)."""
+    Returns (s, silhouette).
+
+    Query blocks are small (parallelism), reference blocks large: every
+    tile emits one partial row per query point and cluster, so fewer
+    reference blocks means fewer partial rows to shuffle."""
     p = df.select(F.col(key).cast("long").alias("id"), V.as_double(vec).alias("v"),
                   F.col(labels).cast("array<long>").alias("lab"))
     n_sets = len(p.first()["lab"])
     n = p.count()
-    nb = max(1, math.ceil(n / block_rows))
+    nq = max(1, math.ceil(n / block_rows))
+    nr = max(1, math.ceil(n / ref_block_rows))
     q = (p.select(F.col("id").alias("q_id"), F.col("v").alias("q_vec"))
-          .withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(nb)).cast("int"))
-          .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))))
+          .withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(nq)).cast("int"))
+          .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1)))))
     r = (p.select(F.col("id").alias("r_id"), F.col("v").alias("r_vec"), F.col("lab").alias("r_lab"))
-          .withColumn("rb", F.pmod(F.xxhash64("r_id"), F.lit(nb)).cast("int"))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))))
+          .withColumn("rb", F.pmod(F.xxhash64("r_id"), F.lit(nr)).cast("int"))
+          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))))
     sums = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
               .applyInPandas(_cluster_sums(n_sets),
                              "q_id long, s int, r_cluster long, dsum double, cnt long"))

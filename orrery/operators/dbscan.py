@@ -16,6 +16,7 @@ the current round.
 from __future__ import annotations
 
 import itertools
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -54,31 +55,50 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
     return j.select("id_a", "id_b", "dist")
 
 
+def _shortcut(par: DataFrame, k: list) -> DataFrame:
+    """Pointer jumping until every node points at a root (each pass halves
+    the tree depth)."""
+    while True:
+        up = par.select(*k, F.col("id").alias("p"), F.col("p").alias("pp"))
+        nxt = (par.join(up, [*k, "p"], "left")
+                  .select(*k, "id", F.coalesce("pp", "p").alias("p"),
+                          (F.coalesce("pp", "p") != F.col("p")).alias("_moved")))
+        nxt = cut_lineage(nxt)
+        if nxt.filter("_moved").limit(1).count() == 0:
+            return nxt.drop("_moved")
+        par = nxt.drop("_moved")
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
-                         max_rounds: int = 100) -> DataFrame:
+                         max_rounds: int = 200) -> DataFrame:
     """Smallest node id of each node's component.
 
     ``nodes``: (keys..., id); ``edges``: (keys..., src, dst), both
-    directions.  Each round takes the minimum label over the neighbours,
-    then jumps every label to its label's label."""
+    directions.  Parent pointers only ever point at smaller ids.  Each round
+    flattens every tree by pointer jumping, then hooks every root onto the
+    smallest root adjacent to its tree; a root that is not a local minimum
+    always hooks, so the number of trees per component at least halves and
+    the rounds grow with log(n), not with the graph's diameter.  Every
+    intermediate table is written to the shared checkpoint folder."""
     k = list(keys)
-    lab = nodes.select(*k, "id", F.col("id").alias("label"))
-    lab = cut_lineage(lab)
+    first = edges.groupBy(*k, "src").agg(F.min("dst").alias("_m"))
+    par = (nodes.select(*k, "id").join(first.withColumnRenamed("src", "id"), [*k, "id"], "left")
+                .select(*k, "id", F.least("id", F.coalesce("_m", "id")).alias("p")))
+    par = cut_lineage(par)
     for _ in range(max_rounds):
-        nb = (edges.join(lab.select(*k, F.col("id").alias("dst"), F.col("label").alias("nl")), [*k, "dst"])
-                   .groupBy(*k, "src").agg(F.min("nl").alias("nl")))
-        step = (lab.join(nb.withColumnRenamed("src", "id"), [*k, "id"], "left")
-                   .select(*k, "id", F.least("label", F.coalesce("nl", "label")).alias("label")))
-        par = step.select(*k, F.col("id").alias("label"), F.col("label").alias("pl"))
-        jumped = (step.join(par, [*k, "label"], "left")
-                      .select(*k, "id", F.least("label", F.coalesce("pl", "label")).alias("label")))
-        jumped = cut_lineage(jumped)
-        changed = (jumped.join(lab.select(*k, "id", F.col("label").alias("old")), [*k, "id"])
-                         .filter(F.col("label") != F.col("old")).limit(1).count())
-        lab = jumped
-        if changed == 0:
-            break
-    return lab
+        par = _shortcut(par, k)
+        ru = par.select(*k, F.col("id").alias("src"), F.col("p").alias("ru"))
+        rv = par.select(*k, F.col("id").alias("dst"), F.col("p").alias("rv"))
+        hooks = (edges.join(ru, [*k, "src"]).join(rv, [*k, "dst"])
+                      .filter(F.col("rv") < F.col("ru"))
+                      .groupBy(*k, "ru").agg(F.min("rv").alias("_h")))
+        hooks = cut_lineage(hooks)
+        if hooks.limit(1).count() == 0:
+            return par.select(*k, "id", F.col("p").alias("label"))
+        par = (par.join(hooks.withColumnRenamed("ru", "id"), [*k, "id"], "left")
+                  .select(*k, "id", F.least("p", F.coalesce("_h", "p")).alias("p")))
+        par = cut_lineage(par)
+    raise RuntimeError("connected components did not converge")
 
 
 def dbscan(df: DataFrame, key: str, xcols: Sequence[str], eps_list: Sequence[float],
@@ -99,11 +119,25 @@ def dbscan(df: DataFrame, key: str, xcols: Sequence[str], eps_list: Sequence[flo
     core = (pe.groupBy("e", "id_a").agg(F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") >= min_samples).select("e", F.col("id_a").alias("id")))
     core = cut_lineage(core)
+    # Core points sharing a cell of side eps / sqrt(d) are within eps of
+    # each other, so each such cell is one node (named by its smallest
+    # core id) and only pairs across cells become edges.
+    # (shrunk by 1e-12 so rounding can never stretch a cell beyond eps)
+    side = F.element_at(eps_arr, F.col("e") + 1) * F.lit((1 - 1e-12) / math.sqrt(len(xcols)))
+    pts = df.select(F.col(key).alias("id"), *[F.col(x).alias(f"_x{i}") for i, x in enumerate(xcols)])
+    cell = F.array(*[F.floor(F.col(f"_x{i}") / side) for i in range(len(xcols))])
+    core_cell = core.join(pts, "id").select("e", "id", cell.alias("cell"))
+    node_of = (core_cell.groupBy("e", "cell").agg(F.min("id").alias("cid"))
+                        .join(core_cell, ["e", "cell"]).select("e", "id", "cid"))
+    node_of = cut_lineage(node_of)
     ce = (pe.filter(F.col("id_a") != F.col("id_b"))
-            .join(core.withColumnRenamed("id", "id_a"), ["e", "id_a"], "left_semi")
-            .join(core.withColumnRenamed("id", "id_b"), ["e", "id_b"], "left_semi")
-            .select("e", F.col("id_a").alias("src"), F.col("id_b").alias("dst")))
-    comp = connected_components(core, ce, ["e"])
+            .join(node_of.select("e", F.col("id").alias("id_a"), F.col("cid").alias("src")), ["e", "id_a"])
+            .join(node_of.select("e", F.col("id").alias("id_b"), F.col("cid").alias("dst")), ["e", "id_b"])
+            .filter(F.col("src") != F.col("dst"))
+            .select("e", "src", "dst").distinct())
+    nodes = node_of.select("e", F.col("cid").alias("id")).distinct()
+    cell_lab = connected_components(nodes, ce, ["e"])
+    comp = node_of.join(cell_lab.withColumnRenamed("id", "cid"), ["e", "cid"]).select("e", "id", "label")
     roots = comp.select("e", "label").distinct()
     numbered = group_index(roots, ["e"], [F.col("label")], "cluster")
     core_lab = comp.join(numbered, ["e", "label"]).select("e", "id", "cluster")

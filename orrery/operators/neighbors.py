@@ -10,7 +10,8 @@ as pair rows:
   hot label or duplicate point cannot skew a block);
 * each query row is sent to every reference block and each reference row to
   every query block, so group ``(qb, rb)`` holds at most ``block_rows``
-  queries and ``block_rows`` references - bounded memory per task;
+  queries and ``ref_block_rows`` references - bounded memory per task
+  (reference blocks are the larger ones: fewer candidate lists to merge);
 * inside the group a NumPy kernel computes a distance tile and keeps only
   the ``k`` best per query (stable order: distance, then id);
 * the ``k * RB`` candidates per query are merged by a second, tiny step.
@@ -90,7 +91,8 @@ def _local_topk(k: int, metric: str, exclude_self: bool):
 
 def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
         q_vec: str, r_vec: str, metric: str = "euclidean",
-        exclude_self: bool = False, block_rows: int = 4096) -> DataFrame:
+        exclude_self: bool = False, block_rows: int = 1024,
+        ref_block_rows: int = 16384) -> DataFrame:
     """Exact k nearest reference rows for every query row.
 
     Returns ``(q_id, r_id, dist, rank)`` with rank 1..k ordered by distance
@@ -100,8 +102,10 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
     q = query.select(F.col(q_id).cast("long").alias("q_id"), V.as_double(q_vec).alias("q_vec"))
     r = ref.select(F.col(r_id).cast("long").alias("r_id"), V.as_double(r_vec).alias("r_vec"))
     nq, nr = q.count(), r.count()
+    # small query blocks for parallelism, large reference blocks so each
+    # query point gets few local top-k lists to merge
     qb = max(1, math.ceil(nq / block_rows))
-    rb = max(1, math.ceil(nr / block_rows))
+    rb = max(1, math.ceil(nr / ref_block_rows))
     qx = (q.withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(qb)).cast("int"))
            .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
     rx = (r.withColumn("rb", F.pmod(F.xxhash64("r_id"), F.lit(rb)).cast("int"))

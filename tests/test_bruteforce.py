@@ -112,7 +112,7 @@ def test_knn_exact(spark, metric):
         D = 1 - (M @ M.T) / np.outer(nm, nm)
     k = 4
     got = NB.knn(e, e, k, q_id="vec_id", r_id="vec_id", q_vec="v", r_vec="v", metric=metric,
-                 exclude_self=True, block_rows=16).collect()
+                 exclude_self=True, block_rows=16, ref_block_rows=40).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r["q_id"], []).append((r["rank"], r["r_id"], r["dist"]))
@@ -139,5 +139,5 @@ def test_silhouette_exact(spark):
         b = min(D[i, lab == c].mean() for c in set(lab) if c != lab[i])
         s.append((b - a) / max(a, b))
     got = CL.silhouette(e.withColumn("labs", F.array(F.col("label").cast("long"))), "vec_id", "v", "labs",
-                        block_rows=16).first()["silhouette"]
+                        block_rows=16, ref_block_rows=40).first()["silhouette"]
     assert got == pytest.approx(float(np.mean(s)), abs=1e-9)
