@@ -36,15 +36,24 @@ def paragraphs(df: DataFrame, doc_id: str, text: str, tag: Column | None = None,
 
 def drop_stopwords(tokens, words: list[str] | None = None) -> Column:
     """JN-8: in-row stop-word removal against a fixed, small list (no join,
-    duplicates kept, unlike ``array_except``)."""
-    stop = F.array(*[F.lit(w) for w in (words if words is not None else stopwords())])
+    duplicates kept, unlike ``array_except``).  ``isin`` over more than ten
+    literals is planned as a hashed ``InSet``, one lookup per token."""
+    stop = list(words if words is not None else stopwords())
     col = F.col(tokens) if isinstance(tokens, str) else tokens
-    return F.filter(col, lambda t: ~F.array_contains(stop, t))
+    return F.filter(col, lambda t: ~t.isin(stop))
+
+
+def explode_terms(df: DataFrame, tokens, *keep: str) -> DataFrame:
+    """One row per token.  ``explode`` would make Catalyst add a
+    ``size(tokens) > 0`` filter that re-evaluates the whole tokenizer
+    expression; ``explode_outer`` plus a NULL filter yields the same rows
+    with one evaluation (tokens themselves are never NULL)."""
+    col = F.col(tokens) if isinstance(tokens, str) else tokens
+    return df.select(*keep, F.explode_outer(col).alias("term")).filter(F.col("term").isNotNull())
 
 
 def term_counts(df: DataFrame, tokens: str) -> DataFrame:
-    return (df.select(F.explode(tokens).alias("term"))
-              .groupBy("term").agg(F.count(F.lit(1)).alias("cnt")))
+    return explode_terms(df, tokens).groupBy("term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def global_index(df: DataFrame, order: list[Column], out: str = "idx",
@@ -90,7 +99,7 @@ def bag_of_words(df: DataFrame, doc_id: str, tokens: str, vocab: DataFrame,
     """TXT-2: (doc_id, idx, tf) for the vocabulary terms of every document
     (counts, or 1 when ``binary``).  The vocabulary is a bounded top-V
     table and is broadcast."""
-    ex = df.select(doc_id, F.explode(tokens).alias("term"))
+    ex = explode_terms(df, tokens, doc_id)
     j = ex.join(F.broadcast(vocab.select("term", "idx")), "term")
     agg = F.lit(1).cast("long") if binary else F.count(F.lit(1))
     return j.groupBy(doc_id, "idx").agg(agg.alias("tf"))

@@ -242,7 +242,7 @@ def jn8(spark, sf):
     d = _docs(spark, sf).select("doc_id", TX.tokenize("text").alias("t"))
     d = d.select("doc_id", "t", TO.drop_stopwords("t").alias("k"))
     vocab = TO.vocabulary(d.select("k"), "k", size=1000)
-    inv = (d.select("doc_id", F.explode("k").alias("term"))
+    inv = (TO.explode_terms(d, "k", "doc_id")
             .join(F.broadcast(vocab.select("term")), "term", "left_semi")
             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_in_vocab")))
     out = d.join(inv, "doc_id", "left")
