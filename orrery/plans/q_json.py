@@ -34,7 +34,8 @@ def jsn1(spark, sf):
 SELECT o.o_custkey AS customer, CAST(o.season AS INTEGER) AS season,
        list(o.o_orderkey ORDER BY o.o_orderkey) AS order_ids,
        list(CAST(coalesce(l.n, 0) AS INTEGER) ORDER BY o.o_orderkey) AS line_counts
-FROM {_ORD} o LEFT JOIN {_LINES} l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_custkey, o.season
+FROM {_ORD} o LEFT JOIN {_LINES} l ON o.o_orderkey = l.l_orderkey
+GROUP BY o.o_custkey, o.season, o.o_orderkey // 65536
 """)
 def jsn1b(spark, sf):
     d = _order_docs(spark, sf)
@@ -92,14 +93,15 @@ _WIDE = {
 
 
 @query("jsn5_wide_flatten", f"""
-WITH d AS (SELECT o_custkey, season, count(*) AS results FROM {_ORD} x GROUP BY 1, 2)
+WITH d AS (SELECT o_custkey, season, o_orderkey // 65536 AS blk, count(*) AS results FROM {_ORD} x
+           GROUP BY 1, 2, 3)
 SELECT 'orders' AS get, o.o_custkey AS param_customer, CAST(o.season AS INTEGER) AS param_season,
        CAST(d.results AS INTEGER) AS results, 1 AS paging_current,
        CAST(greatest(1, ceil(d.results / 2)) AS INTEGER) AS paging_total,
        o.o_orderkey AS order_id, o.o_orderstatus AS order_status, o.o_orderpriority AS order_priority,
        o.o_totalprice AS order_total, c.c_custkey AS customer_id, c.c_name AS customer_name,
        c.c_mktsegment AS customer_segment, n.n_name AS country_name
-FROM {_ORD} o JOIN d ON o.o_custkey = d.o_custkey AND o.season = d.season
+FROM {_ORD} o JOIN d ON o.o_custkey = d.o_custkey AND o.season = d.season AND o.o_orderkey // 65536 = d.blk
 JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 """)
 def jsn5(spark, sf):
@@ -112,7 +114,7 @@ def jsn5(spark, sf):
 SELECT o_custkey AS customer, CAST(season AS INTEGER) AS season, 'orders' AS get,
        CAST(count(*) AS INTEGER) AS results,
        CAST(greatest(1, ceil(count(*) / 2)) - 1 AS INTEGER) AS pages_remaining
-FROM {_ORD} x GROUP BY 1, 2
+FROM {_ORD} x GROUP BY 1, 2, o_orderkey // 65536
 """)
 def jsn6(spark, sf):
     d = _order_docs(spark, sf)
@@ -148,7 +150,7 @@ def jsn7(spark, sf):
 @query("src8_json_documents", f"""
 SELECT o_custkey AS customer, CAST(season AS INTEGER) AS season, CAST(count(*) AS INTEGER) AS results,
        round(sum(o_totalprice), 2) AS total
-FROM {_ORD} x GROUP BY 1, 2
+FROM {_ORD} x GROUP BY 1, 2, o_orderkey // 65536
 """)
 def src8(spark, sf):
     """Documents parsed with an explicit schema; per-document totals."""

@@ -63,9 +63,16 @@ def parse_double_encoded(c, schema: str) -> Column:
     return F.from_json(inner, schema)
 
 
+# Fixed value: a document lists the orders of one customer and year whose
+# keys fall into one block of this many consecutive order keys, so no
+# document (one row, one task) grows with a hot customer.
+PAGE_KEYS = 65536
+
+
 def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                     nation: DataFrame) -> DataFrame:
-    """(doc_key, json) API-style documents, one per (customer, year)."""
+    """(customer, season, block, json) API-style documents, one per
+    (customer, year, order-key block of ``PAGE_KEYS``)."""
     lines = lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
         F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"),
         F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag")))).alias("lines"))
@@ -83,7 +90,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
         F.coalesce(F.col("lines"), F.array().cast(
             "array<struct<line:int,qty:double,price:double,flag:string>>")).alias("lines"),
         F.array(F.struct(F.col("season").alias("year"))).alias("seasons"))
-    docs = o.groupBy("o_custkey", "season").agg(
+    docs = o.groupBy("o_custkey", "season", F.expr(f"o_orderkey div {PAGE_KEYS}").alias("block")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("_k"), entry.alias("_e")))).alias("_r"))
     resp = F.transform("_r", lambda s: s["_e"])
     doc = F.struct(
@@ -94,7 +101,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
         F.struct(F.lit(1).alias("current"),
                  F.greatest(F.lit(1), F.ceil(F.size(resp) / 2).cast("int")).alias("total")).alias("paging"),
         resp.alias("response"))
-    return docs.select(F.col("o_custkey").alias("customer"), "season", F.to_json(doc).alias("json"))
+    return docs.select(F.col("o_custkey").alias("customer"), "season", "block", F.to_json(doc).alias("json"))
 
 
 def _cents(x):
