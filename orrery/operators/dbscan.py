@@ -4,13 +4,12 @@ Radius join: points are hashed to grid cells of side eps; one side is
 expanded to its 3^d neighbour cells, the sides are equi-joined on the cell
 and the exact distance is filtered.  Suited to low dimension (d <= 3).
 
-DBSCAN runs for a whole list of eps values at once: the pair table is
-built once at the largest eps with its distances, and every later step is
-keyed by (eps index, point), so one set of jobs serves the full sweep.
-Connected components use min-label propagation with pointer jumping; the
-label table is checkpointed (reliably, into the session's checkpoint
-folder) every round, so lineage stays short and lost executors only cost
-the current round.
+DBSCAN runs for a whole list of eps values at once: every step is keyed
+by (eps index, ...), so one set of jobs serves the full sweep.  Dense grid
+cells need no pairs (see ``dbscan``).  Connected components hook roots and
+jump pointers; every intermediate table is written to the session's
+checkpoint folder, so lineage stays short and lost executors only cost the
+current step.
 """
 
 from __future__ import annotations
@@ -101,52 +100,184 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
     raise RuntimeError("connected components did not converge")
 
 
+def _any_within(eps: float):
+    """Tile kernel: does any pair (left row, right row) lie within eps?
+    Emits the pair id once when it does (bounded tile, no pair rows)."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"pair": pd.Series([], dtype="int64")})
+        if len(lpdf) == 0 or len(rpdf) == 0:
+            return empty
+        e2 = float(lpdf["eps"].iloc[0]) ** 2
+        lm = np.vstack(lpdf["v"].to_numpy()).astype(np.float64)
+        rm = np.vstack(rpdf["v"].to_numpy()).astype(np.float64)
+        step = max(1, 2_000_000 // max(1, len(rm) * rm.shape[1]))
+        for s0 in range(0, len(lm), step):
+            d2 = ((lm[s0:s0 + step, None, :] - rm[None, :, :]) ** 2).sum(2)
+            if (d2 <= e2).any():
+                return pd.DataFrame({"pair": pd.Series([int(lpdf["pair"].iloc[0])], dtype="int64")})
+        return empty
+    return fn
+
+
 def dbscan(df: DataFrame, key: str, xcols: Sequence[str], eps_list: Sequence[float],
-           min_samples: int = 4) -> DataFrame:
+           min_samples: int = 4, block_rows: int = 2048) -> DataFrame:
     """ML-15 / ML-16: DBSCAN labels for every eps in ``eps_list``.
 
     A point is core with at least ``min_samples`` points (itself included)
     within eps; clusters are connected core points, numbered 0, 1, ... in
     order of their smallest point id; a non-core point within eps of a core
     point joins the smallest such cluster; the rest is noise (-1).
-    Returns (e, eps, id, cluster)."""
+    Returns (e, eps, id, cluster).
+
+    Hot spots never turn quadratic in rows: on a grid of side eps / sqrt(d)
+    any two points of one cell are within eps, so a cell holding at least
+    ``min_samples`` points (dense) makes all its points core and one graph
+    node without any pair.  Only points of sparse cells (fewer than
+    ``min_samples`` each) are joined with their neighbourhood, which bounds
+    that join by (min_samples - 1) x cells x neighbour sizes.  Two
+    neighbouring dense cells are linked when their bounding boxes are
+    within eps everywhere, kept apart when the boxes are farther than eps,
+    and otherwise decided by salted tiles of at most ``block_rows`` points
+    per side that only report whether some pair is within eps."""
     from orrery.operators.splits import group_index
+    d = len(xcols)
+    m = int(min_samples)
     eps_arr = F.array(*[F.lit(float(e)) for e in eps_list])
-    pairs = radius_pairs(df, key, xcols, max(eps_list))
-    pe = pairs.select("id_a", "id_b", F.posexplode(eps_arr).alias("e", "eps"), "dist")
-    pe = pe.filter(F.col("dist") <= F.col("eps")).select("e", "id_a", "id_b")
-    pe = cut_lineage(pe)
-    core = (pe.groupBy("e", "id_a").agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") >= min_samples).select("e", F.col("id_a").alias("id")))
+    shrink = (1 - 1e-12) / math.sqrt(d)   # rounding never stretches a cell past eps
+    reach = int(math.floor(math.sqrt(d) / (1 - 1e-12))) + 1
+    X = [f"x{i}" for i in range(d)]
+    S = [f"s{i}" for i in range(d)]
+    G = [f"g{i}" for i in range(d)]
+    base = df.select(F.col(key).cast("long").alias("id"),
+                     *[F.col(x).cast("double").alias(X[i]) for i, x in enumerate(xcols)])
+    pts = base.select("*", F.posexplode(eps_arr).alias("e", "eps"))
+    pts = pts.select("e", "eps", "id", *X,
+                     *[F.floor(F.col(X[i]) / (F.col("eps") * F.lit(shrink))).alias(S[i]) for i in range(d)],
+                     *[F.floor(F.col(X[i]) / F.col("eps")).alias(G[i]) for i in range(d)])
+    cells = pts.groupBy("e", *S).agg(
+        F.count(F.lit(1)).alias("n_c"), F.min("id").alias("cid"),
+        *[F.min(X[i]).alias(f"lo{i}") for i in range(d)], *[F.max(X[i]).alias(f"hi{i}") for i in range(d)])
+    cells = cut_lineage(cells)
+    pts = cut_lineage(pts.join(cells.select("e", *S, "n_c", "cid"), ["e", *S]))
+
+    # sparse points against their neighbourhood (cells of side eps, 3^d)
+    offsets = list(itertools.product((-1, 0, 1), repeat=d))
+    off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o")
+    q = pts.filter(F.col("n_c") < m).select(
+        "e", "eps", F.col("id").alias("id_a"), *[F.col(X[i]).alias(f"a{i}") for i in range(d)], *G)
+    r = pts.select("e", F.col("id").alias("id_b"), *[F.col(X[i]).alias(f"b{i}") for i in range(d)], *G, off)
+    r = r.select("e", "id_b", *[f"b{i}" for i in range(d)],
+                 *[(F.col(G[i]) + F.col("_o")[i]).alias(G[i]) for i in range(d)])
+    pairs = (q.join(r, ["e", *G])
+              .filter(_dist([f"a{i}" for i in range(d)], [f"b{i}" for i in range(d)]) <= F.col("eps"))
+              .select("e", "id_a", "id_b"))
+    pairs = cut_lineage(pairs)
+    sparse_core = (pairs.groupBy("e", "id_a").agg(F.count(F.lit(1)).alias("n"))
+                        .filter(F.col("n") >= m).select("e", F.col("id_a").alias("id")))
+    core = (pts.filter(F.col("n_c") >= m).select("e", "id")
+               .unionByName(sparse_core))
     core = cut_lineage(core)
-    # Core points sharing a cell of side eps / sqrt(d) are within eps of
-    # each other, so each such cell is one node (named by its smallest
-    # core id) and only pairs across cells become edges.
-    # (shrunk by 1e-12 so rounding can never stretch a cell beyond eps)
-    side = F.element_at(eps_arr, F.col("e") + 1) * F.lit((1 - 1e-12) / math.sqrt(len(xcols)))
-    pts = df.select(F.col(key).alias("id"), *[F.col(x).alias(f"_x{i}") for i, x in enumerate(xcols)])
-    cell = F.array(*[F.floor(F.col(f"_x{i}") / side) for i in range(len(xcols))])
-    core_cell = core.join(pts, "id").select("e", "id", cell.alias("cell"))
-    node_of = (core_cell.groupBy("e", "cell").agg(F.min("id").alias("cid"))
-                        .join(core_cell, ["e", "cell"]).select("e", "id", "cid"))
+
+    # graph nodes: each cell's core points, named by the smallest core id
+    core_pts = pts.join(core, ["e", "id"], "left_semi").select("e", "id", *S)
+    node_of = (core_pts.groupBy("e", *S).agg(F.min("id").alias("node"))
+                       .join(core_pts, ["e", *S]).select("e", "id", "node"))
     node_of = cut_lineage(node_of)
-    ce = (pe.filter(F.col("id_a") != F.col("id_b"))
-            .join(node_of.select("e", F.col("id").alias("id_a"), F.col("cid").alias("src")), ["e", "id_a"])
-            .join(node_of.select("e", F.col("id").alias("id_b"), F.col("cid").alias("dst")), ["e", "id_b"])
-            .filter(F.col("src") != F.col("dst"))
-            .select("e", "src", "dst").distinct())
-    nodes = node_of.select("e", F.col("cid").alias("id")).distinct()
-    cell_lab = connected_components(nodes, ce, ["e"])
-    comp = node_of.join(cell_lab.withColumnRenamed("id", "cid"), ["e", "cid"]).select("e", "id", "label")
+    na = node_of.select("e", F.col("id").alias("id_a"), F.col("node").alias("src"))
+    nb = node_of.select("e", F.col("id").alias("id_b"), F.col("node").alias("dst"))
+    e_pairs = (pairs.join(na, ["e", "id_a"]).join(nb, ["e", "id_b"])
+                    .filter(F.col("src") != F.col("dst")).select("e", "src", "dst"))
+
+    # neighbouring dense cells
+    dense = cells.filter(F.col("n_c") >= m).select(
+        "e", *S, "cid", "n_c", *[f"lo{i}" for i in range(d)], *[f"hi{i}" for i in range(d)])
+    near = [t for t in itertools.product(range(-reach, reach + 1), repeat=d)
+            if any(t) and sum(max(abs(o) - 1, 0) ** 2 for o in t) <= d]
+    noff = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in near])).alias("_o")
+    A = dense.select(*[F.col(c).alias(f"A_{c}") for c in dense.columns], noff)
+    A = A.select("*", *[(F.col(f"A_{S[i]}") + F.col("_o")[i]).alias(S[i]) for i in range(d)],
+                 F.col("A_e").alias("e"))
+    B = dense.select("e", *S, *[F.col(c).alias(f"B_{c}") for c in dense.columns if c not in ("e", *S)])
+    cand = A.join(B, ["e", *S]).filter(F.col("A_cid") < F.col("B_cid"))
+    eps_e = F.element_at(eps_arr, F.col("e") + 1)
+    gap = [F.greatest(F.lit(0.0), F.col(f"B_lo{i}") - F.col(f"A_hi{i}"), F.col(f"A_lo{i}") - F.col(f"B_hi{i}"))
+           for i in range(d)]
+    span = [F.greatest(F.col(f"A_hi{i}") - F.col(f"B_lo{i}"), F.col(f"B_hi{i}") - F.col(f"A_lo{i}"))
+            for i in range(d)]
+    cand = cand.select("e", F.col("A_cid").alias("ca"), F.col("B_cid").alias("cb"),
+                       F.col("A_n_c").alias("na"), F.col("B_n_c").alias("nb"),
+                       *[F.col(f"A_{S[i]}").alias(f"as{i}") for i in range(d)],
+                       *[F.col(S[i]).alias(f"bs{i}") for i in range(d)],
+                       F.sqrt(sum(g * g for g in gap)).alias("dmin"),
+                       F.sqrt(sum(t * t for t in span)).alias("dmax"), eps_e.alias("eps"))
+    cand = cut_lineage(cand.filter(F.col("dmin") <= F.col("eps")))
+    sure = cand.filter(F.col("dmax") <= F.col("eps")).select("e", F.col("ca").alias("src"), F.col("cb").alias("dst"))
+    unsure = cand.filter(F.col("dmax") > F.col("eps")).withColumn("pair", F.monotonically_increasing_id())
+    unsure = cut_lineage(unsure)
+    found = _tile_links(pts, unsure, d, block_rows, eps_list)
+    dd = sure.unionByName(found)
+    one_way = e_pairs.unionByName(dd)   # sparse-side pairs are found from one side only
+    edges = one_way.unionByName(one_way.select("e", F.col("dst").alias("src"), F.col("src").alias("dst")))
+    edges = cut_lineage(edges.distinct())
+    nodes = node_of.select("e", F.col("node").alias("id")).distinct()
+    lab = connected_components(nodes, edges, ["e"])
+    comp = node_of.join(lab.withColumnRenamed("id", "node"), ["e", "node"]).select("e", "id", "label")
     roots = comp.select("e", "label").distinct()
     numbered = group_index(roots, ["e"], [F.col("label")], "cluster")
-    core_lab = comp.join(numbered, ["e", "label"]).select("e", "id", "cluster")
-    border = (pe.join(core_lab.select("e", F.col("id").alias("id_b"), "cluster"), ["e", "id_b"])
-                .join(core.withColumnRenamed("id", "id_a"), ["e", "id_a"], "left_anti")
-                .groupBy("e", F.col("id_a").alias("id")).agg(F.min("cluster").alias("cluster")))
+    core_lab = cut_lineage(comp.join(numbered, ["e", "label"]).select("e", "id", "cluster"))
+    border = (pairs.join(core, [pairs.e == core.e, pairs.id_a == core.id], "left_anti")
+                   .join(core_lab.select("e", F.col("id").alias("id_b"), "cluster"), ["e", "id_b"])
+                   .groupBy("e", F.col("id_a").alias("id")).agg(F.min("cluster").alias("cluster")))
     labelled = core_lab.unionByName(border)
-    everyone = df.select(F.col(key).alias("id")).withColumn(
-        "e", F.explode(F.sequence(F.lit(0), F.lit(len(eps_list) - 1))))
-    out = everyone.join(labelled, ["e", "id"], "left").withColumn(
+    out = pts.select("e", "id").join(labelled, ["e", "id"], "left").withColumn(
         "cluster", F.coalesce(F.col("cluster"), F.lit(-1)).cast("long"))
     return out.withColumn("eps", F.element_at(eps_arr, F.col("e") + 1)).select("e", "eps", "id", "cluster")
+
+
+def _tile_links(pts: DataFrame, unsure: DataFrame, d: int, block_rows: int,
+                eps_list: Sequence[float]) -> DataFrame:
+    """Dense cell pairs whose bounding boxes straddle eps.  Pairs with at
+    most ``8 * block_rows`` point combinations (the usual case) are checked
+    by a plain equi-join on the pair; larger ones meet in salted tiles of at
+    most ``block_rows`` points per side that only report whether some
+    distance is within eps.  Returns (e, src, dst)."""
+    S = [f"s{i}" for i in range(d)]
+    X = [f"x{i}" for i in range(d)]
+    small_max = 8 * block_rows
+    small = unsure.filter(F.col("na") * F.col("nb") <= small_max)
+    big = unsure.filter(F.col("na") * F.col("nb") > small_max)
+
+    la = pts.join(small.select("e", "pair", *[F.col(f"as{i}").alias(S[i]) for i in range(d)]), ["e", *S]) \
+        .select("pair", "eps", *[F.col(X[i]).alias(f"a{i}") for i in range(d)])
+    lb = pts.join(small.select("e", "pair", *[F.col(f"bs{i}").alias(S[i]) for i in range(d)]), ["e", *S]) \
+        .select("pair", *[F.col(X[i]).alias(f"b{i}") for i in range(d)])
+    la, lb = cut_lineage(la), cut_lineage(lb)
+    near = (la.join(lb, "pair")
+              .filter(_dist([f"a{i}" for i in range(d)], [f"b{i}" for i in range(d)]) <= F.col("eps"))
+              .select("pair").distinct())
+
+    if big.limit(1).count() == 0:   # no large cell pair: skip the tile stage
+        return unsure.join(near, "pair").select("e", F.col("ca").alias("src"), F.col("cb").alias("dst"))
+    v = F.array(*[F.col(X[i]) for i in range(d)])
+    side_a = big.select("e", "pair", "nb", *[F.col(f"as{i}").alias(S[i]) for i in range(d)],
+                        F.col("na").alias("n_own"))
+    side_b = big.select("e", "pair", "na", *[F.col(f"bs{i}").alias(S[i]) for i in range(d)],
+                        F.col("nb").alias("n_own"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(block_rows)).cast("int"))
+    left = (pts.join(side_a, ["e", *S])
+               .select("pair", "eps", v.alias("v"),
+                       F.pmod(F.xxhash64("id"), blocks(F.col("n_own"))).cast("int").alias("ia"),
+                       F.explode(F.sequence(F.lit(0), blocks(F.col("nb")) - 1)).alias("ib")))
+    right = (pts.join(side_b, ["e", *S])
+                .select("pair", "eps", v.alias("v"),
+                        F.pmod(F.xxhash64("id"), blocks(F.col("n_own"))).cast("int").alias("ib"),
+                        F.explode(F.sequence(F.lit(0), blocks(F.col("na")) - 1)).alias("ia")))
+    # written out: both sides share lineage, which a cogroup cannot resolve
+    left, right = cut_lineage(left), cut_lineage(right)
+    hit = (left.groupBy("pair", "ia", "ib").cogroup(right.groupBy("pair", "ia", "ib"))
+               .applyInPandas(_any_within(max(eps_list)), "pair long").distinct())
+    linked = near.unionByName(hit)
+    return unsure.join(linked, "pair").select("e", F.col("ca").alias("src"), F.col("cb").alias("dst"))

@@ -141,3 +141,22 @@ def test_silhouette_exact(spark):
     got = CL.silhouette(e.withColumn("labs", F.array(F.col("label").cast("long"))), "vec_id", "v", "labs",
                         block_rows=16, ref_block_rows=40).first()["silhouette"]
     assert got == pytest.approx(float(np.mean(s)), abs=1e-9)
+
+
+def test_dbscan_hot_spot_and_dense_cells(spark):
+    """A pile of 300 identical points, a dense patch beside it, a sparse
+    chain and scattered noise; tiny tile blocks force salting."""
+    rng = np.random.default_rng(11)
+    pile = np.zeros((300, 2))
+    patch = rng.uniform([0.05, 0.0], [0.6, 0.3], size=(400, 2))
+    chain = np.column_stack([np.linspace(0.7, 1.6, 12), np.full(12, 0.1)])
+    noise = rng.uniform([-2, -2], [3, 3], size=(150, 2))
+    X = np.vstack([pile, patch, chain, noise])
+    ids = np.arange(len(X)) * 7 + 3
+    df = spark.createDataFrame([(int(i), float(a), float(b)) for i, (a, b) in zip(ids, X)],
+                               "k long, x double, y double")
+    for eps, ms in [(0.1, 5), (0.05, 4)]:
+        want = _brute_dbscan(ids, X, eps, ms)
+        got = {r["id"]: r["cluster"] for r in DB.dbscan(df, "k", ["x", "y"], [eps], ms, block_rows=16).collect()}
+        assert got == want
+        assert len(set(want.values())) >= 3
