@@ -275,6 +275,25 @@ def ml21(spark, sf):
     return _predict(model, test)
 
 
+@query("ml21_score_new_rows_stream")
+def ml21s(spark, sf):
+    """ML-21 as a stream: the held-out rows arrive as Parquet files, the
+    pipeline fitted on the training rows scores each micro-batch, and the
+    file sink's output is read back."""
+    from orrery.sources.files import scratch_path
+    from orrery.streaming import scoring as ST
+    train, _ = _emb(spark, sf)
+    model = _score_pipeline().fit(train)
+    e = table(spark, sf, "embeddings")
+    incoming = e.filter(rel.hash_order("vec_id", 11) % 5 == 0).select("vec_id", "label", "embedding")
+    src = scratch_path(spark, "ml21s-in")
+    incoming.write.mode("overwrite").parquet(src)
+    rows = ST.read_new_rows(spark, src, incoming.schema)
+    scored = ST.score_stream(model, ML.array_features(rows, "embedding"), ["vec_id", "label"])
+    out = ST.write_available(scored, scratch_path(spark, "ml21s-out"), scratch_path(spark, "ml21s-ckpt"))
+    return spark.read.parquet(out).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
 @query("snk3_fit_or_load")
 def snk3(spark, sf):
     """Fit once and persist under the shared checkpoint folder; the second

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming entry points (scoring new rows as they arrive)."""

@@ -98,3 +98,12 @@ def test_whole_files(spark):
     got = {(r["a"], r["b"]): r["text"] for r in
            FS.read_whole_files(spark, p, r"name=(\d+)_(\d+)/", {"a": 1, "b": 2}).collect()}
     assert got == {("7", "1"): "line one\nline two\n", ("8", "0"): ""}
+
+
+def test_stream_scoring_equals_batch(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    from conftest import SF_SMALL
+    batch = {r["vec_id"]: r["prediction"] for r in q["ml21_score_new_rows"](spark, SF_SMALL).collect()}
+    stream = {r["vec_id"]: r["prediction"] for r in q["ml21_score_new_rows_stream"](spark, SF_SMALL).collect()}
+    assert stream == batch and len(batch) > 0
