@@ -97,6 +97,22 @@ def array_features(df: DataFrame, arr: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(arr).cast("array<double>")))
 
 
+def fit_threads(wanted: int) -> int:
+    """How many models may be fitted at once from driver threads.
+
+    Parallel fits (``OneVsRest``, ``CrossValidator``) run on Python threads
+    that inherit the session's local properties.  Unless
+    ``spark.localProperties.clone`` is on, a child thread sees the parent's
+    properties live, and a query id removed in between makes a job fail
+    ("Cannot parse null string").  Without the setting, fits run one by one."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return 1
+    clone = spark.sparkContext.getConf().get("spark.localProperties.clone", "false")
+    return wanted if str(clone).lower() == "true" else 1
+
+
 def classifier(kind: str, n_train: int | None = None, seed: int = 7, **kw):
     """Classifier stage by name, with the library-like defaults spelled out:
     logistic regression has an L2 penalty equal to C = 1 (lambda = 1 / n),
@@ -115,13 +131,14 @@ def classifier(kind: str, n_train: int | None = None, seed: int = 7, **kw):
     if kind == "gbt":
         base = C.GBTClassifier(seed=seed, maxIter=kw.pop("maxIter", 10), maxDepth=kw.pop("maxDepth", 3),
                                stepSize=kw.pop("stepSize", 0.1), subsamplingRate=kw.pop("subsamplingRate", 1.0), **kw)
-        return C.OneVsRest(classifier=base, parallelism=8)
+        return C.OneVsRest(classifier=base, parallelism=fit_threads(8))
     if kind == "mlp":
         return C.MultilayerPerceptronClassifier(seed=seed, layers=kw.pop("layers"), maxIter=kw.pop("maxIter", 200),
                                                 blockSize=kw.pop("blockSize", 128), **kw)
     if kind == "svm":
         return C.OneVsRest(classifier=C.LinearSVC(regParam=kw.pop("regParam", 0.01),
-                                                  maxIter=kw.pop("maxIter", 100), **kw), parallelism=8)
+                                                  maxIter=kw.pop("maxIter", 100), **kw),
+                           parallelism=fit_threads(8))
     raise ValueError(kind)
 
 
@@ -156,7 +173,7 @@ def cross_validate(estimator, grid, evaluator, df: DataFrame, fold_col: str | No
     (stratified) assignment instead of random ones."""
     from pyspark.ml.tuning import CrossValidator
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
-                        parallelism=parallelism, seed=seed)
+                        parallelism=fit_threads(parallelism), seed=seed)
     cv = cv.setNumFolds(folds)
     if fold_col:
         cv = cv.setFoldCol(fold_col)

@@ -21,6 +21,9 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # threads that fit models in parallel get their own copy of the local
+    # properties (see models.fit_threads)
+    "spark.localProperties.clone": "true",
 }
 
 
