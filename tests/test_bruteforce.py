@@ -160,3 +160,17 @@ def test_dbscan_hot_spot_and_dense_cells(spark):
         got = {r["id"]: r["cluster"] for r in DB.dbscan(df, "k", ["x", "y"], [eps], ms, block_rows=16).collect()}
         assert got == want
         assert len(set(want.values())) >= 3
+
+
+def test_connected_components_long_path(spark):
+    """A 3,000-node path with shuffled ids (the old label propagation needed
+    a round per few hops) plus a second, separate path."""
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(4000) + 10
+    path_a, path_b = ids[:3000], ids[3000:]
+    e = [(int(a), int(b)) for p in (path_a, path_b) for a, b in zip(p[:-1], p[1:])]
+    nodes = spark.createDataFrame([(int(i),) for i in ids], "id long")
+    edges = spark.createDataFrame(e + [(b, a) for a, b in e], "src long, dst long")
+    got = {r["id"]: r["label"] for r in DB.connected_components(nodes, edges).collect()}
+    want = {int(i): int(path_a.min()) for i in path_a} | {int(i): int(path_b.min()) for i in path_b}
+    assert got == want
