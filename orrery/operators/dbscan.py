@@ -21,7 +21,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.session import cut_lineage
+from orrery.session import Rounds, cut_lineage
 
 
 def _dist(a_cols, b_cols):
@@ -54,7 +54,7 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
     return j.select("id_a", "id_b", "dist")
 
 
-def _shortcut(par: DataFrame, k: list) -> DataFrame:
+def _shortcut(par: DataFrame, k: list, rounds: Rounds) -> DataFrame:
     """Pointer jumping until every node points at a root (each pass halves
     the tree depth)."""
     while True:
@@ -62,14 +62,14 @@ def _shortcut(par: DataFrame, k: list) -> DataFrame:
         nxt = (par.join(up, [*k, "p"], "left")
                   .select(*k, "id", F.coalesce("pp", "p").alias("p"),
                           (F.coalesce("pp", "p") != F.col("p")).alias("_moved")))
-        nxt = cut_lineage(nxt)
+        nxt = rounds.keep(nxt)
+        rounds.drop_old(1)
         if nxt.filter("_moved").limit(1).count() == 0:
             return nxt.drop("_moved")
         par = nxt.drop("_moved")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
-                         max_rounds: int = 200) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Smallest node id of each node's component.
 
     ``nodes``: (keys..., id); ``edges``: (keys..., src, dst), both
@@ -77,27 +77,29 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
     flattens every tree by pointer jumping, then hooks every root onto the
     smallest root adjacent to its tree; a root that is not a local minimum
     always hooks, so the number of trees per component at least halves and
-    the rounds grow with log(n), not with the graph's diameter.  Every
-    intermediate table is written to the shared checkpoint folder."""
+    the rounds grow with log(n), not with the graph's diameter; the loop ends
+    when nothing hooks.  Every intermediate table is written to the shared
+    checkpoint folder and deleted once the next one is there."""
     k = list(keys)
+    rounds = Rounds(nodes.sparkSession)
     first = edges.groupBy(*k, "src").agg(F.min("dst").alias("_m"))
     par = (nodes.select(*k, "id").join(first.withColumnRenamed("src", "id"), [*k, "id"], "left")
                 .select(*k, "id", F.least("id", F.coalesce("_m", "id")).alias("p")))
-    par = cut_lineage(par)
-    for _ in range(max_rounds):
-        par = _shortcut(par, k)
+    par = rounds.keep(par)
+    while True:
+        par = _shortcut(par, k, rounds)
         ru = par.select(*k, F.col("id").alias("src"), F.col("p").alias("ru"))
         rv = par.select(*k, F.col("id").alias("dst"), F.col("p").alias("rv"))
         hooks = (edges.join(ru, [*k, "src"]).join(rv, [*k, "dst"])
                       .filter(F.col("rv") < F.col("ru"))
                       .groupBy(*k, "ru").agg(F.min("rv").alias("_h")))
-        hooks = cut_lineage(hooks)
+        hooks = rounds.keep(hooks)
         if hooks.limit(1).count() == 0:
             return par.select(*k, "id", F.col("p").alias("label"))
         par = (par.join(hooks.withColumnRenamed("ru", "id"), [*k, "id"], "left")
                   .select(*k, "id", F.least("p", F.coalesce("_h", "p")).alias("p")))
-        par = cut_lineage(par)
-    raise RuntimeError("connected components did not converge")
+        par = rounds.keep(par)
+        rounds.drop_old(1)
 
 
 def _any_within(eps: float):

@@ -6,6 +6,7 @@ location and broadcast thresholds are read from the session when present.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -46,12 +47,18 @@ def get_session(master: str | None = None, app: str = "orrery",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One process holds driver and executors, so a local folder is shared."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, honouring the cluster's setting.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder
-    and is used as is.  Only when nothing is configured (local tests) do we
-    fall back to a fresh scratch folder.
+    and is used as is.  Without it only a ``local[...]`` session (tests)
+    gets a scratch folder; on any other master a machine-local folder would
+    lose rows, so this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,12 +67,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="orrery-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def scratch_path(spark: SparkSession, label: str = "t") -> str:
+    """A new path under the shared checkpoint folder.  The paths of one
+    application lie in one folder, which is removed when Python ends."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    top = f"{base}/orrery-tables/{spark.sparkContext.applicationId}"
+    if top not in _TOPS:
+        _TOPS.add(top)
+        atexit.register(_remove_at_exit, spark, top)
+    return f"{top}/{label}-{uuid.uuid4().hex}"
+
+
+_TOPS: set[str] = set()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _remove_at_exit(spark: SparkSession, top: str) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            remove_path(spark, top)
+    except Exception:  # noqa: BLE001  the session is gone: the folder's owner cleans it
+        pass
+
+
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back.
 
@@ -76,10 +114,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     round until planning itself runs out of memory.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/orrery-tables/{uuid.uuid4().hex}"
+    path = path or scratch_path(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Rounds:
+    """Tables of an iteration: ``keep(df)`` writes the next one, and
+    ``drop_old(n)`` deletes all but the newest ``n``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.paths.append(scratch_path(self.spark))
+        return cut_lineage(df, self.paths[-1])
+
+    def drop_old(self, n: int) -> None:
+        old = self.paths[:-n] if n else self.paths
+        self.paths = self.paths[-n:] if n else []
+        for p in old:
+            remove_path(self.spark, p)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
