@@ -44,7 +44,9 @@ FROM c GROUP BY conv_id
 """)
 def op1_chat_format(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    hostile = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], rows.schema)
+    hostile = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HOSTILE).alias("text"))
     final = chat_format.fold(conversation_events(rows.unionAll(hostile)))
     out = chat_format.read_back(chat_format.render(final))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
