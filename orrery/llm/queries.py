@@ -1,4 +1,4 @@
 """All queries of this package: importing the modules registers them."""
 
-from orrery.llm import q_dedup, q_native, q_packing, q_search  # noqa: F401
+from orrery.llm import q_classify, q_dedup, q_native, q_packing, q_search  # noqa: F401
 from orrery.llm.base import ORACLES, QUERIES  # noqa: F401
