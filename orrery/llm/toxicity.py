@@ -63,15 +63,18 @@ def reader():
     return sentences, features
 
 
-def fit(bags: list[tuple[str, int]], weight: dict[int, float], enriched: float = 2.0, evidence: float = 2.0,
-        steps: int = 300, rate: float = 0.3) -> dict:
+def fit(bags: list[tuple[str, int]], weight: dict[int, float], enriched: float = 2.0, evidence: float = 1.5,
+        steps: int = 800, rate: float = 1.0, relaxed: float = 0.1,
+        lowest: float = -11.0) -> dict:
     """{feature: weight} with the bias under ``""``, from (text, label).
 
     Weights are not negative: clean words take nothing from an offending
     one.  Only features that are ``enriched`` times as common in toxic as in
     clean documents are learnt, and each pays an L1 price of ``evidence``
     standard deviations of what it would gain by chance from the toxic
-    documents that have it, so that mislabelled documents teach no words."""
+    documents that have it, so that mislabelled documents teach no words.
+    Halfway the chosen features go on at ``relaxed`` times that price.  The
+    bias stays above ``lowest``, so that one offending word is enough."""
     import numpy as np
     sentences, features = reader()
     words, own, known = {}, [], {}
@@ -109,24 +112,30 @@ def fit(bags: list[tuple[str, int]], weight: dict[int, float], enriched: float =
     at = has[word_of]  # other words weigh nothing
     word_of, sentence_of = word_of[at], sentence_of[at]
     per_bag = np.bincount(bag_of, minlength=len(y))
+    told, sentence_of = np.unique(sentence_of, return_inverse=True)
+    n, bag_of = len(told), bag_of[told] if len(told) else bag_of[:0]
+    plain = per_bag - np.bincount(bag_of, minlength=len(y))  # sentences that score by the bias alone
     one = imp[y == 1].mean() * (1 / np.maximum(per_bag[y == 1], 1)).mean()  # a toxic document's share for a sentence
     price = evidence * np.sqrt(toxic_docs[use]) * one
-    stiff = (toxic_docs[use] * imp[y == 1].mean() + clean_docs[use] * imp[y == 0].mean())
+    stiff = toxic_docs[use] * imp[y == 1].mean() + clean_docs[use] * imp[y == 0].mean()
     w, speed, bias = np.zeros(len(names)), np.zeros(len(names)), -5.0
-    for _ in range(steps):
+    for t in range(steps):
+        if t == steps // 2:  # words are chosen: their weights are no longer held down
+            speed[w == 0], price = 0, np.where(w > 0, price * relaxed, 1e9)
         value = np.bincount(pairs[:, 0], w[pairs[:, 1]], len(words))
         z = np.clip(bias + np.bincount(sentence_of, value[word_of], n), -30, 30)
-        p = 1 / (1 + np.exp(-z))
-        clean = np.bincount(bag_of, np.log1p(-p * (1 - 1e-9)), len(y))  # log of prod(1 - p)
+        p, base = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
+        clean = np.bincount(bag_of, np.log1p(-p * (1 - 1e-9)), len(y)) + plain * np.log1p(-base)  # log of prod(1 - p)
         toxic = np.maximum(-np.expm1(clean), 1e-9)
         # d(-log likelihood)/dz: p for a clean bag, -p * prod / (1 - prod) for a toxic one
-        g = (np.where(y == 1, -np.exp(clean) / toxic, 1.0) * imp)[bag_of] * p
+        slope = np.where(y == 1, -np.exp(clean) / toxic, 1.0) * imp
+        g = slope[bag_of] * p
         gw = np.bincount(pairs[:, 1], np.bincount(word_of, g[sentence_of], len(words))[pairs[:, 0]], len(w))
         speed = 0.9 * speed - rate * (gw + price) / stiff
         w = w + speed
         speed[w < 0] = 0
         w = np.maximum(w, 0)
-        bias -= np.clip(4 * g.sum(), -0.1, 0.1)
+        bias = max(bias - np.clip(4 * (g.sum() + (slope * plain).sum() * base), -0.1, 0.1), lowest)
     model = {f: float(x) for f, x in zip(names, w) if x > 1e-3}
     model[""] = float(bias)
     return model
