@@ -112,10 +112,12 @@ def mix(docs: DataFrame, seed: int = 7, weights=WEIGHTS, cap: float = CAP, cells
     document's relative weight within its source (positive, kept in steps of
     1/16; default 1).  ``size_col``: a column that has the sizes already."""
     g = F.lit(1.0) if weight_col is None else F.greatest(F.round(F.col(weight_col).cast("double") * 16) / 16, F.lit(1 / 16))
-    d = (docs.withColumn("size", F.col(size_col).cast("long") if size_col else size_of(text_or_empty()))
-         .withColumn("_g", F.coalesce(g, F.lit(1.0)))
-         .withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)))
-         .withColumn("_h", F.xxhash64(text_or_empty()) if "text" in docs.columns else F.lit(0).cast("long")))
+    # the row itself goes along in one column, so no name of its own can clash
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source",
+                    (F.col(size_col).cast("long") if size_col else size_of(text_or_empty())).alias("size"),
+                    F.coalesce(g, F.lit(1.0)).alias("_g"),
+                    F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("_id"),
+                    (F.xxhash64(text_or_empty()) if "text" in docs.columns else F.lit(0).cast("long")).alias("_h"))
     # what the cut is found from: a few numbers of each document, read once
     narrow = cut_lineage(d.select("doc_id", "source", "size", "_g", "_id", "_h"))
     per_source = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
@@ -152,4 +154,13 @@ def mix(docs: DataFrame, seed: int = 7, weights=WEIGHTS, cap: float = CAP, cells
                                             F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     extra = F.coalesce((F.col("_cell") < F.col("_at")) | (F.col("_rank") <= F.col("_last")), F.lit(False))
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    return out.select(*keep, "size", "source_size", "target", (F.col("_whole") + extra.cast("long")).alias("copies"))
+    return out.select(*[F.col("_row")[c].alias(c) for c in keep], "size", "source_size", "target",
+                      (F.col("_whole") + extra.cast("long")).alias("copies"))
+
+
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "source")
+    mixed = mix(whole, **options).filter("copies > 0")
+    return (mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))

@@ -220,6 +220,12 @@ def score(docs: DataFrame, model) -> DataFrame:
     return d.mapInArrow(_score_kernel(model[0], schema.names), schema)
 
 
+def accepted(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that reach the threshold, unchanged."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return score(row, model).filter(F.col("score") >= threshold).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def trusted(labels: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:
     """Training rows that mark good documents."""
     return labels.filter((fold(F.col("doc_id"), parts) != held_out) & (F.col("quality") == 1))

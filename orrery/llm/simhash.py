@@ -36,7 +36,7 @@ component's smallest id unless it has no other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.llm.base import cut_lineage, shuffle_partitions, text_or_empty
@@ -78,14 +78,17 @@ def _hash_kernel(n: int):
 
         for b in batches:
             f = np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(f, pa.int64())], names=["doc_id", "f"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t"), pa.array(f, pa.int64())],
+                                             names=["doc_id", "t", "f"])
     return run
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """(doc_id, f): 64-bit fingerprint of every row's whole text, as a long."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(_hash_kernel(n), "doc_id long, f long")
+    """(doc_id, t, f): ``f`` is the 64-bit fingerprint of a row's whole text,
+    as a long; ``t`` (XXH64 of the text) tells rows of one id apart."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
+                       F.xxhash64(text_or_empty()).alias("t"))
+    return rows.mapInArrow(_hash_kernel(n), "doc_id long, t long, f long")
 
 
 def hex_digits(f: Column) -> Column:
@@ -268,18 +271,39 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) ->
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS, group: int = GROUP) -> DataFrame:
-    """(doc_id, f, component_id) of every row: its fingerprint and the
-    smallest doc_id that links lead to."""
+    """(doc_id, t, f, class, component_id) of every row: its text's hash, its
+    fingerprint, the smallest fingerprint (as a long) that links lead to, and
+    the smallest doc_id of that class."""
     prints = cut_lineage(fingerprints(docs, n))
-    nodes = prints.groupBy("f").agg(F.min("doc_id").alias("smallest"))
-    nodes = cut_lineage(nodes)
+    nodes = cut_lineage(prints.groupBy("f").agg(F.min("doc_id").alias("smallest")))
     edges = links(nodes.select("f"), max_bits, group)
     both = cut_lineage(edges.union(edges.select("dst", "src")).distinct())
     linked = both.select(F.col("src").alias("id")).distinct()
-    label = connected_components(linked, both)
-    member = label.join(nodes, F.col("id") == F.col("f")).select("id", "label", "smallest")
-    least = member.groupBy("label").agg(F.min("smallest").alias("m"))
-    found = member.join(least, "label").select(F.col("id").alias("f"), "m")
-    # fingerprints without links carry their own smallest id
-    whole = cut_lineage(nodes.join(found, "f", "left").select("f", F.coalesce("m", "smallest").alias("component_id")))
-    return prints.join(whole, "f").select("doc_id", "f", "component_id")
+    member = (connected_components(linked, both).join(nodes, F.col("id") == F.col("f"))
+              .select("f", F.col("label").alias("class"), "smallest"))
+    least = member.groupBy("class").agg(F.min("smallest").alias("component_id"))
+    found = member.join(least, "class").select(F.col("f").alias("_f"), "class", "component_id")
+    # fingerprints without links are classes of their own
+    whole = cut_lineage(nodes.join(found, F.col("f") == F.col("_f"), "left")
+                        .select("f", F.coalesce("class", "f").alias("class"),
+                                F.when(F.col("_f").isNull(), F.col("smallest")).otherwise(F.col("component_id"))
+                                .alias("component_id")))
+    return prints.join(whole, "f").select("doc_id", "t", "f", "class", "component_id")
+
+
+def first_of_each(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each class does:
+    the one with the smallest doc_id (null last), then text hash; of
+    repeated rows one."""
+    found = near_duplicates(docs, n, max_bits)
+    rows = found.groupBy("class", "doc_id", "t").agg(F.count("*").alias("n"))
+    stay = cut_lineage(rows.groupBy("class").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t", "n")).alias("s")).select("s.*"))
+    kept = docs.join(stay.select(F.col("doc_id").alias("_stay_id"), F.col("t").alias("_stay_t")),
+                     F.col("doc_id").cast("long").eqNullSafe(F.col("_stay_id"))
+                     & (F.xxhash64(text_or_empty()) == F.col("_stay_t")), "left_semi")
+    if stay.filter("n > 1").limit(1).count() == 0:
+        return kept
+    row = F.row_number().over(Window.partitionBy("_row.doc_id", "_t").orderBy(F.lit(0)))
+    return (kept.select(F.struct(*kept.columns).alias("_row"), F.xxhash64(text_or_empty()).alias("_t"))
+            .withColumn("_n", row).filter("_n = 1").select("_row.*"))

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from orrery.llm.sampling import fold, in_hash_order, texts_of
 
@@ -210,10 +211,19 @@ def score(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) ->
     d = docs.drop("score", "offending")
     if model is None:
         return d.withColumn("score", F.lit(0.0)).withColumn("offending", F.array().cast(LOCATED))
-    schema = d.limit(0).withColumn("score", F.lit(0.0)).withColumn("offending", F.array().cast(LOCATED)).schema
+    spot = StructType([StructField("start", IntegerType()), StructField("length", IntegerType()),
+                       StructField("score", DoubleType())])
+    schema = StructType([*d.schema.fields, StructField("score", DoubleType()), StructField("offending", ArrayType(spot))])
     return d.mapInArrow(_score_kernel(model, math.log(threshold / (1 - threshold)), schema), schema)
 
 
+def clean(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that stay below the threshold, unchanged."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return (score(row, model, threshold).filter(F.col("score") < threshold)
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))
+
+
 def marked(labels: DataFrame, parts: int = 5, held_out: int = 0) -> DataFrame:
     """Training rows: (doc_id, label)."""
     return labels.filter(fold(F.col("doc_id"), parts) != held_out).select("doc_id", F.col("toxic").alias("label"))
