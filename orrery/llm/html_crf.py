@@ -76,14 +76,18 @@ def tokens():
     def read(html):
         blocks, path, text, at = [], [], [], 0
         skip = 0  # how many open elements hold no text
+        linked = 0  # characters of ``text`` inside links
 
         def flush():
-            nonlocal text
+            nonlocal text, linked
             if text:
-                s = " ".join(unescape("".join(text)).split())
-                if s:
-                    blocks.append((s, tuple(path)))
-                text = []
+                s = "".join(text)
+                link = 2 * linked > len(s)
+                s = " ".join(unescape(s).split())
+                if s:  # a block counts as a link if most of it is one
+                    above = [x for x in path if x[0] != "a"]
+                    blocks.append((s, tuple(above + [("a", frozenset(), -1)] if link else above)))
+                text, linked = [], 0
 
         def pop(i):
             nonlocal skip
@@ -98,7 +102,9 @@ def tokens():
             stop = m.start() if m else n
             if stop > at and not skip:
                 text.append(html[at:stop])
-            if not m:
+                if any(x == "a" for x, _, _ in path):
+                    linked += stop - at
+            if not m or m.end() == n and html[-1] != ">":  # a tag that the page breaks off in
                 break
             at = m.end() if m.end() > m.start() else m.start() + 1
             name = (m.group(2) or "").lower()
@@ -220,6 +226,7 @@ def rewritten(blocks, labels, rng) -> list[tuple]:
     """The page in other clothes: its main blocks in containers of other
     names, passages of it as menus, notices, sidebars, forms, comments.
     Gives (parts as (html, label), opening tags, closing tags)."""
+    import re
     from html import escape
     main = [t for (t, _), y in zip(blocks, labels) if y]
     rest = [t for (t, _), y in zip(blocks, labels) if not y] or ["Home", "About us"]
@@ -253,18 +260,28 @@ def rewritten(blocks, labels, rng) -> list[tuple]:
     shells = [("<article>", "</article>"), ("<main>", "</main>"), ("<div class='content'>", "</div>"), ("<div id='post'>", "</div>"),
               ("<div>", "</div>"), ("<main><article>", "</article></main>"), ("<section class='story-text'>", "</section>"),
               ("<div class='entry'><article>", "</article></div>")]
+    names = re.compile(r" (?:class|id)='?[\w -]+'?")
+
+    def other(some_kinds):
+        """One of the kinds; lists of links also without telling names."""
+        html = pick(some_kinds)()
+        return names.sub("", html) if "<a " in html and rng.random() < 0.4 else html
+
     out = []
     for _ in range(2):
-        parts = [("<html><body>" + "".join(pick(kinds[:7])() for _ in range(int(rng.integers(0, 4)))), 0)]
+        parts = [("<html><body>" + "".join(other(kinds[:7]) for _ in range(int(rng.integers(0, 4)))), 0)]
         opened, closed = pick(shells)
         kept = main[:int(rng.integers(1, 4))] if rng.random() < 0.3 else main  # short articles too
-        for i, t in enumerate(map(escape, kept)):
+        short = 0.08 if len(kept) > 1 else 0.6  # and short blocks
+        for i, t in enumerate(kept):
             form = pick(["<p>%s</p>"] * 6 + ["<h2>%s</h2>", "<blockquote><p>%s</p></blockquote>", "<ul><li>%s</li></ul>",
                                              "<div>%s</div>"]) if i else "<h1>%s</h1>"
-            parts.append((form.replace("%s", t), 1))
+            if rng.random() < (0.5 if form[1] in "hu" else short):
+                t = " ".join(t.split()[:int(rng.integers(1, 5))])
+            parts.append((form.replace("%s", escape(t)), 1))
             if rng.random() < 0.08:
-                parts.append((pick(kinds[3:9])(), 0))
-        parts.append(("".join(pick(kinds[3:])() for _ in range(int(rng.integers(0, 4)))) + "</body></html>", 0))
+                parts.append((other(kinds[3:9]), 0))
+        parts.append(("".join(other(kinds[3:]) for _ in range(int(rng.integers(0, 4)))) + "</body></html>", 0))
         out.append((parts, opened, closed))
     return out
 
@@ -333,7 +350,7 @@ def fit(pages: list[str], steps: int = 200, rate: float = 0.2, ridge: float = 3e
 
 
 #: used when no page marks its article: the elements' usual roles
-FIXED = ({"bias": 0.5, "in-boilerplate": -6.0, "named-not-main": -6.0, "in-link": -1.0, "notice": -1.0, "in=article": 4.0,
+FIXED = ({"bias": 0.5, "in-boilerplate": -9.0, "named-not-main": -9.0, "in-link": -1.0, "notice": -1.0, "in=article": 4.0,
           "in=main": 3.0, "leaf=p": 1.0, "leaf=li": -0.5, "chars=0": -1.0, "chars=3": 1.0, "chars=4": 1.0},
          [[0.5, 0.0], [0.0, 0.5]], [0.0, 0.0])
 

@@ -264,6 +264,8 @@ def pack(tokens: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                                                             F.sum(F.size("fulls")).alias("fulls")))
     histogram = {r["rest"]: r["n"] for r in counts.groupBy("rest").agg(F.sum("n").alias("n")).collect() if r["rest"]}
     fulls = counts.agg(F.coalesce(F.sum("fulls"), F.lit(0)).alias("n")).first()["n"]
+    if max(histogram, default=0) >= capacity:
+        raise ValueError("the tokens were cut for longer windows")
     slots, _ = plan(histogram, capacity)
     # running totals: of each length over the tasks, and of full windows over the tasks (a row per task)
     offsets = counts.select("part", "rest", F.coalesce(F.sum("n").over(

@@ -5,7 +5,9 @@ sentence scores p = sigmoid(bias + sum of its distinct words' weights), and
 the bag is toxic if any sentence is: 1 - prod(1 - p), the noisy-or.  The
 bag's likelihood is maximised over the labelled documents; its gradient
 flows to the sentences that explain the label, so the fitted sentence scores
-locate the offending sentences.
+locate the offending sentences.  The bias takes up labels that no word
+explains; it is left out again when documents are scored, so that a text
+does not become toxic by its length.
 
 A word's weight is the sum of the weights of its features: the word itself
 (lower case, without punctuation at its ends) and its beginnings of three to
@@ -177,7 +179,7 @@ def _score_kernel(model, at_least: float, schema):
         import pyarrow as pa
         sentences, features = reader()
         bias = model[""]
-        held = {}
+        leak, held = math.log1p(math.exp(bias)), {}
 
         def value(w):
             if len(held) > 400_000:
@@ -188,15 +190,15 @@ def _score_kernel(model, at_least: float, schema):
         for b in batches:
             scores, found = [], []
             for text in b.column("text").to_pylist():
-                clean, spots = 0.0, []
+                clean, spots = 0.0, []  # log of the product
                 for start, stop, w in sentences(text or ""):
                     z = bias + sum([held[x] if x in held else value(x) for x in set(w)])
-                    if z > -25:
+                    if z > bias:  # the bias alone is left out: length is no offence
                         z = min(z, 30.0)
-                        clean -= math.log1p(math.exp(z))
+                        clean -= math.log1p(math.exp(z)) - leak
                         if z >= at_least:
                             spots.append({"start": start, "length": stop - start, "score": 1 / (1 + math.exp(-z))})
-                scores.append(-math.expm1(clean))
+                scores.append(0.0 - math.expm1(clean))
                 found.append(spots)
             kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(found, kind)],
