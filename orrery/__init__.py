@@ -11,3 +11,11 @@ the heavy lifting stays inside Spark's optimizer and executors.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Kernels travel to the executors inside the task: workers need no installed
+# package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

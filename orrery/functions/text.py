@@ -35,8 +35,8 @@ def clean_text(c, as_coded: bool = False) -> Column:
 
 
 def whitespace_tokens(c) -> Column:
-    """STR-2: split on whitespace runs, empty tokens dropped."""
-    return F.filter(F.split(_c(c), "\\s+"), lambda t: t != "")
+    """STR-2: split on runs of (Unicode) whitespace, empty tokens dropped."""
+    return F.filter(F.split(_c(c), "(?U)\\s+"), lambda t: t != "")
 
 
 def tokenize(c, as_coded: bool = False) -> Column:
@@ -64,9 +64,9 @@ def find_all(c, pattern: str, group: int = 1, distinct: bool = True) -> Column:
 
 
 def normalise_phone(c) -> Column:
-    """STR-5: ``a-b-c`` -> ``(a) b-c``; anything without exactly three
-    dash-separated parts becomes the empty string."""
-    parts = F.split(_c(c), "-")
+    """STR-5: ``a-b-c`` -> ``(a) b-c``, each part trimmed; anything without
+    exactly three dash-separated parts becomes the empty string."""
+    parts = F.transform(F.split(_c(c), "-"), lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", ""))
     return F.when(F.size(parts) == 3,
                   F.format_string("(%s) %s-%s", parts[0], parts[1], parts[2])).otherwise(F.lit(""))
 

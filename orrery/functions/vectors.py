@@ -116,7 +116,9 @@ def chebyshev(a, b) -> Column:
 
 def cosine_similarity(a, b) -> Column:
     """Per-pair norms (the outer product of norms, not element-wise)."""
-    return dot(a, b) / (norm(a) * norm(b))
+    n = norm(a) * norm(b)
+    # a zero vector is similar to none
+    return F.when(n == 0, F.lit(0.0)).otherwise(dot(a, b) / F.when(n != 0, n))
 
 
 def cosine_distance(a, b) -> Column:

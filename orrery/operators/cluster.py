@@ -176,11 +176,12 @@ def silhouette(df: DataFrame, key: str, vec: str, labels: str, block_rows: int =
     own = p.select(F.col("id").alias("q_id"), F.posexplode("lab").alias("s", "own"))
     j = tot.join(own, ["q_id", "s"])
     per = j.groupBy("q_id", "s").agg(
-        F.max(F.when(F.col("r_cluster") == F.col("own"), F.col("dsum") / (F.col("cnt") - 1))).alias("a"),
+        F.max(F.when(F.col("r_cluster") == F.col("own"), F.try_divide(F.col("dsum"), F.col("cnt") - 1))).alias("a"),
         F.max(F.when(F.col("r_cluster") == F.col("own"), F.col("cnt"))).alias("n_own"),
         F.min(F.when(F.col("r_cluster") != F.col("own"), F.col("dsum") / F.col("cnt"))).alias("b"))
+    # a point alone in its cluster, or on top of all others, scores 0
     sil = F.when(F.col("n_own") <= 1, F.lit(0.0)).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return per.groupBy("s").agg(F.avg(sil).alias("silhouette"))
 
 
@@ -217,7 +218,7 @@ def calinski_harabasz(df: DataFrame, vec: str, cluster: str, groups: Sequence[st
                        F.count(F.lit(1)).alias("k")))
     j = within.join(between, g)
     ch = F.when(F.col("W") == 0, F.lit(1.0)).otherwise(
-        (F.col("B") * (F.col("n") - F.col("k"))) / (F.col("W") * (F.col("k") - 1)))
+        F.try_divide(F.col("B") * (F.col("n") - F.col("k")), F.col("W") * (F.col("k") - 1)))
     out = j.select(*g, ch.alias("calinski_harabasz"))
     return out if groups else out.drop("_grp")
 
@@ -234,7 +235,8 @@ def davies_bouldin(df: DataFrame, vec: str, cluster: str, groups: Sequence[str]
     a = cs.select(*g, F.col("_c").alias("ci"), F.col("_cv").alias("vi"), F.col("_s").alias("si"))
     b = cs.select(*g, F.col("_c").alias("cj"), F.col("_cv").alias("vj"), F.col("_s").alias("sj"))
     pairs = a.join(b, g).filter(F.col("ci") != F.col("cj"))
-    r = pairs.withColumn("_r", (F.col("si") + F.col("sj")) / V.euclidean("vi", "vj"))
+    # clusters whose centres coincide take no part in each other's maximum
+    r = pairs.withColumn("_r", F.coalesce(F.try_divide(F.col("si") + F.col("sj"), V.euclidean("vi", "vj")), F.lit(0.0)))
     worst = r.groupBy(*g, "ci").agg(F.max("_r").alias("_m"))
     out = worst.groupBy(*g).agg(F.avg("_m").alias("davies_bouldin"))
     return out if groups else out.drop("_grp")

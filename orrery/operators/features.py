@@ -18,7 +18,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MAX_LEVELS = 10_000
+from orrery.session import small_side
+
+NAMED_LEVELS = 1000
 
 
 # ---------------------------------------------------------------- FE-1/2 --
@@ -73,13 +75,14 @@ def standard_fit(df: DataFrame, cols: Sequence[str]) -> StandardModel:
 
 # ------------------------------------------------------------------ FE-3 --
 
-def fit_levels(df: DataFrame, col: str, max_levels: int = _MAX_LEVELS) -> list:
-    """Sorted distinct non-NULL levels of a categorical (size-checked)."""
-    rows = (df.select(col).filter(F.col(col).isNotNull()).distinct()
-              .orderBy(col).limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; use an indexer + sparse vectors")
-    return [r[0] for r in rows]
+def fit_levels(df: DataFrame, col: str, n: int = NAMED_LEVELS) -> list:
+    """Sorted non-NULL levels that get a column of their own: the ``n``
+    commonest (ties: the smaller level).  Columns are part of the schema, so
+    their number is a parameter; the others encode as all zeros, like unseen
+    ones.  ``one_hot_pipeline`` encodes any number of levels."""
+    rows = (df.filter(F.col(col).isNotNull()).groupBy(col).count()
+              .orderBy(F.desc("count"), F.asc(col)).limit(n).collect())
+    return sorted(r[0] for r in rows)
 
 
 def one_hot(col: str, levels: Sequence, prefix: str | None = None) -> list[Column]:
@@ -135,7 +138,7 @@ def target_encoding_fit(df: DataFrame, col: str, target: str, m: float = 1.0) ->
 def target_encoding_apply(df: DataFrame, col: str, enc: DataFrame, prior: float,
                           out: str) -> DataFrame:
     """Test rows take the train encoding; unseen levels take the prior."""
-    return (df.join(enc, col, "left")
+    return (df.join(small_side(enc), col, "left")
               .withColumn(out, F.coalesce(F.col("_enc"), F.lit(prior))).drop("_enc"))
 
 

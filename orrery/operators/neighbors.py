@@ -36,16 +36,10 @@ _MAX_INLINE_VALUES = 200_000  # centres x dims that may be inlined in a plan
 
 
 def _pair_distances(qm: np.ndarray, rm: np.ndarray, metric: str) -> np.ndarray:
-    if metric == "euclidean":
-        d2 = ((qm * qm).sum(1)[:, None] + (rm * rm).sum(1)[None, :] - 2.0 * qm @ rm.T)
-        return np.sqrt(np.maximum(d2, 0.0))
-    if metric == "sqeuclidean":
-        d2 = ((qm * qm).sum(1)[:, None] + (rm * rm).sum(1)[None, :] - 2.0 * qm @ rm.T)
-        return np.maximum(d2, 0.0)
-    if metric == "cosine":
+    if metric == "cosine":  # a zero vector is at distance 1 from all
         qn = np.linalg.norm(qm, axis=1)[:, None]
         rn = np.linalg.norm(rm, axis=1)[None, :]
-        return 1.0 - (qm @ rm.T) / (qn * rn)
+        return 1.0 - (qm / np.where(qn == 0, 1, qn)) @ (rm / np.where(rn == 0, 1, rn).T).T
     if metric == "manhattan":
         return np.abs(qm[:, None, :] - rm[None, :, :]).sum(2)
     if metric == "chebyshev":
@@ -53,6 +47,27 @@ def _pair_distances(qm: np.ndarray, rm: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(f"unknown metric {metric}")
 
 
+def _nearest_squared(qm: np.ndarray, rm: np.ndarray, kk: int, own: np.ndarray):
+    """(query row, reference row, squared distance) of the ``kk`` nearest.
+
+    The product form |q|^2 + |r|^2 - 2qr is fast but cancels; its error is
+    bounded by the lengths involved.  Every reference that may be among the
+    nearest within that bound is measured again by its differences."""
+    centre = rm.mean(0)
+    qc, rc = qm - centre, rm - centre
+    q2, r2 = (qc * qc).sum(1), (rc * rc).sum(1)
+    d2 = q2[:, None] + r2[None, :] - 2.0 * qc @ rc.T
+    d2[own] = np.inf
+    error = 8 * (qm.shape[1] + 4) * np.finfo(float).eps * (q2 + r2.max())
+    cut = np.partition(d2, kk - 1, axis=1)[:, kk - 1] + 2 * error
+    row, col = np.nonzero((d2 <= cut[:, None]) & ~own)
+    exact = ((qm[row] - rm[col]) ** 2).sum(1)
+    by = np.lexsort((col, exact, row))
+    row, col, exact = row[by], col[by], exact[by]
+    keep = np.arange(len(row)) - np.searchsorted(row, row, "left") < kk
+    return row[keep], col[keep], exact[keep]
+
+
 def _local_topk(k: int, metric: str, exclude_self: bool):
     def fn(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         cols = {"q_id": [], "r_id": [], "dist": []}
@@ -72,19 +87,20 @@ def _local_topk(k: int, metric: str, exclude_self: bool):
         for s in range(0, len(qids), step):
             qm = qm_all[s:s + step]
             qi = qids[s:s + step]
-            d = _pair_distances(qm, rm, metric)
-            if exclude_self:
-                d = np.where(qi[:, None] == rids[None, :], np.inf, d)
-            order = np.argsort(d, axis=1, kind="stable")[:, :kk]
-            dd = np.take_along_axis(d, order, axis=1)
-            if metric == "euclidean":
-                # the Gram form ranks; the kept k are re-measured exactly
-                dd = np.sqrt(((qm[:, None, :] - rm[order]) ** 2).sum(2))
-                dd = np.where(np.isinf(np.take_along_axis(d, order, axis=1)), np.inf, dd)
-            keep = np.isfinite(dd)
-            cols["q_id"].append(np.repeat(qi, kk)[keep.ravel()])
-            cols["r_id"].append(rids[order].ravel()[keep.ravel()])
-            cols["dist"].append(dd.ravel()[keep.ravel()])
+            own = (qi[:, None] == rids[None, :]) & exclude_self
+            if metric in ("euclidean", "sqeuclidean"):
+                row, col, dist = _nearest_squared(qm, rm, kk, own)
+                dist = np.sqrt(dist) if metric == "euclidean" else dist
+            else:
+                d = _pair_distances(qm, rm, metric)
+                order = np.argsort(np.where(own, np.inf, d), axis=1, kind="stable")[:, :kk]
+                keep = ~np.take_along_axis(own, order, axis=1).ravel()
+                row = np.repeat(np.arange(len(qi)), kk)[keep]
+                col = order.ravel()[keep]
+                dist = d[row, col]
+            cols["q_id"].append(qi[row])
+            cols["r_id"].append(rids[col])
+            cols["dist"].append(dist)
         return pd.DataFrame({c: np.concatenate(v) for c, v in cols.items()})
     return fn
 
@@ -148,14 +164,35 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
 
 
 def inline_matrix(centres: DataFrame, key: str, vec: str):
-    """Collect a small, size-checked centre table for use as a literal."""
-    rows = centres.orderBy(key).limit(_MAX_INLINE_VALUES + 1).collect()
-    total = sum(len(r[vec]) for r in rows)
-    if len(rows) > _MAX_INLINE_VALUES or total > _MAX_INLINE_VALUES:
-        raise ValueError("centre set too large to inline; use knn() instead")
+    """Collect a centre table for use as a literal.  For tables that a
+    parameter bounds (k centres, labels); ``distances_to_centres`` takes any."""
+    rows = centres.orderBy(key).collect()
     return [r[key] for r in rows], [[float(x) for x in r[vec]] for r in rows]
 
 
+def distances_to_centres(df: DataFrame, id_col: str, vec: str, centres: DataFrame, key: str, cvec: str,
+                         metric: str = "euclidean", out: str = "distances", inline_values: int = _MAX_INLINE_VALUES,
+                         block_rows: int = 4096) -> DataFrame:
+    """JN-1: distances from every row to every centre, ordered by ``key``.
+
+    Centres of up to ``inline_values`` numbers are part of the plan.  Larger
+    sets are dealt into blocks, each row meets each block once, and the
+    blocks' distance arrays are put together in key order: the same answer."""
+    size = centres.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(cvec)), F.lit(0)).alias("v")).first()
+    if size["v"] <= inline_values:
+        keys, m = inline_matrix(centres, key, cvec)
+        return distances_to_set(df, vec, keys, m, metric, out)
+    blocks = math.ceil(size["n"] / block_rows)
+    packed = (centres.select(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"), F.struct(F.col(key).alias("k"), V.as_double(cvec).alias("c")).alias("s"))
+              .groupBy("_b").agg(F.collect_list("s").alias("_set")))
+    fn = V.METRICS[metric]
+    row = (df.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), V.as_double(vec).alias("_v"))
+           .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long")))
+    part = row.join(packed, "_b").select("_id", "_row", F.transform("_set", lambda s: F.struct(s["k"].alias("k"), fn(F.col("_v"), s["c"]).alias("d"))).alias("_d"))
+    whole = part.groupBy("_id").agg(F.first("_row").alias("_row"), F.sort_array(F.flatten(F.collect_list("_d"))).alias("_d"))
+    return whole.select("_row.*", F.transform("_d", lambda s: s["d"]).alias(out))
+
+
 def distances_to_set(df: DataFrame, vec: str, keys, matrix, metric: str = "euclidean",
                      out: str = "distances") -> DataFrame:
     """JN-1 / VEC-5 set-to-set: distance from every row to every centre of a

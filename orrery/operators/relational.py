@@ -15,6 +15,8 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.session import small_side
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -78,13 +80,13 @@ def lump_by_count(df: DataFrame, col: str, min_count: int,
                   other: str = "other", out: str | None = None) -> DataFrame:
     """PRJ-8 variant: keep levels seen at least ``min_count`` times.
 
-    The level table has at most ``rows / min_count`` entries; it is joined
-    back without a hint so AQE broadcasts it when its runtime size allows.
+    The level table has at most ``rows / min_count`` entries; while it is
+    small it is broadcast, so the rows are not shuffled by a few levels.
     """
     out = out or col
     common = (df.groupBy(col).count().filter(F.col("count") >= min_count)
               .select(F.col(col).alias("_lvl"), F.lit(True).alias("_keep")))
-    j = df.join(common, df[col].eqNullSafe(common["_lvl"]), "left")
+    j = df.join(small_side(common), F.col(col).eqNullSafe(F.col("_lvl")), "left")
     return (j.withColumn(out, F.when(F.col("_keep") & F.col(col).isNotNull(), F.col(col))
                          .otherwise(F.lit(other)))
              .drop("_lvl", "_keep"))
@@ -160,10 +162,11 @@ def group_stat(df: DataFrame, keys: Sequence[str], value: str,
     """WIN-5: a group aggregate attached to every row of the group.
 
     Computed as partial+final aggregate and an equi-join back instead of a
-    window, so a hot group never has to sit in one task.
+    window, so a hot group never has to sit in one task; while the groups
+    are few they are broadcast and the rows stay where they are.
     """
     stats = df.groupBy(*keys).agg(fn(value).alias(name))
-    return df.join(stats, on=list(keys), how="left")
+    return df.join(small_side(stats), on=list(keys), how="left")
 
 
 def fill_group_mean(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -248,11 +251,21 @@ def sort_nulls_last(df: DataFrame, col: str, ascending: bool = True,
 
 
 def hash_order(key, seed: int) -> Column:
-    """A repeatable pseudo-random number in [0, 1000003) derived from an
-    integer key with plain arithmetic (no overflow for any bigint key), so
-    the same order can be computed by any SQL engine."""
-    k = F.pmod(_c(key), F.lit(1000003))
-    return F.pmod(k * F.lit(7919) + F.lit(seed * 104729 % 1000003), F.lit(1000003))
+    """A repeatable pseudo-random number in [0, 1000003): the first 32 bits
+    of the MD5 digest of ``seed:key``, which any SQL engine can compute.
+    The digest mixes, so seeds give independent orders and no two keys are
+    tied to each other."""
+    return hash_number(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
+
+
+def hash_order_sql(key: str, seed: int) -> str:
+    """The same number in the SQL of engines that cast hexadecimal text."""
+    return f"(CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 1000003)"
+
+
+def hash_number(text: Column) -> Column:
+    """First 32 bits of the MD5 digest of a text, modulo 1000003."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 1000003
 
 
 def random_order(df: DataFrame, seed: int = 0, key: str | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Train / test splitting (SPL-1..5), repeatable and partition-independent.
 
-Randomness comes from an arithmetic hash of the row key and a seed, so the
+Randomness comes from a mixing hash of the row key and a seed, so the
 same rows are chosen whatever the partitioning.  Exact-size splits rank rows
 with a distributed index (range partitioning + per-partition offsets), and
 stratified splits rank inside each class the same way, so no class - even
@@ -14,7 +14,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.operators.relational import hash_order
+from orrery.operators.relational import hash_number, hash_order
+from orrery.session import cut_lineage, small_side
 
 
 def group_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -24,7 +25,8 @@ def group_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     Rows are range-partitioned on (keys, order) and sorted locally; each row
     gets its in-partition position, and per (partition, key) counts give the
     offsets contributed by earlier partitions.  The count table has at most
-    partitions x keys rows."""
+    partitions x keys rows.  The sorted rows are written once: range bounds
+    are sampled, so the two readers must not sort for themselves."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kcols = [F.col(k) for k in keys]
@@ -32,10 +34,13 @@ def group_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_loc", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    s = cut_lineage(s)
     cnt = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    j = s.join(cnt.select("_pid", *keys, "_off", "_first"), ["_pid", *keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    cnt = cnt.select(F.col("_pid").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_off", "_first")
+    j = s.join(small_side(cnt), [F.col("_pid") == F.col("_p"), *same]).drop("_p", *[f"_k{i}" for i in range(len(keys))])
     return (j.withColumn(out, F.col("_off") + F.col("_loc") - F.col("_first"))
              .drop("_pid", "_mid", "_loc", "_off", "_first"))
 
@@ -83,6 +88,5 @@ def shuffle_splits(df: DataFrame, key: str, n_splits: int, test_size: float,
     """SPL-5: n independent seeded splits, long form (split, row, is_test);
     each row is expanded in place, no join."""
     ex = df.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-    k = F.pmod(F.col(key), F.lit(1000003))
-    h = F.pmod(k * F.lit(7919) + (F.col("split") + seed) * F.lit(104729), F.lit(1000003))
+    h = hash_number(F.concat_ws(":", F.lit(str(seed)), F.col("split"), F.col(key)))
     return ex.withColumn("is_test", h < F.lit(int(test_size * 1000003)))

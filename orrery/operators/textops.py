@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from orrery.functions import text as TX
 from orrery.functions.constants import stopwords
+from orrery.session import bounded_broadcast, cut_lineage
+
+VOCAB_ROWS = 200_000
 
 
 def paragraphs(df: DataFrame, doc_id: str, text: str, tag: Column | None = None,
@@ -28,7 +31,7 @@ def paragraphs(df: DataFrame, doc_id: str, text: str, tag: Column | None = None,
     and close with an end marker.  Returns (doc_id, para_no, paragraph)."""
     ex = df.select(doc_id, *( [tag.alias("_tag")] if tag is not None else []),
                    F.posexplode(F.split(F.col(text), "\n\n")).alias("para_no", "_p"))
-    ex = ex.withColumn("_p", F.trim(F.col("_p"), F.lit(" \n\t\r"))).filter(F.col("_p") != "")
+    ex = ex.withColumn("_p", F.regexp_replace(F.col("_p"), r"(?U)^\s+|\s+$", "")).filter(F.col("_p") != "")
     parts = ([F.col("_tag"), F.lit(" ")] if tag is not None else []) + [F.col("_p"), F.lit(" " + end_marker)]
     return ex.select(doc_id, F.col("para_no").cast("long").alias("para_no"),
                      F.concat(*parts).alias("paragraph"))
@@ -70,10 +73,12 @@ def global_index(df: DataFrame, order: list[Column], out: str = "idx",
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    s = cut_lineage(s)  # range bounds are sampled: both readers below need the same sort
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))
+    # one row for each of the ``n`` partitions
     return (s.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
              .withColumn(out, F.col("_off") + F.col("_local"))
              .drop("_pid", "_mid", "_local", "_off"))
@@ -97,10 +102,10 @@ def vocabulary(df: DataFrame, tokens: str, size: int | None = None) -> DataFrame
 def bag_of_words(df: DataFrame, doc_id: str, tokens: str, vocab: DataFrame,
                  binary: bool = False) -> DataFrame:
     """TXT-2: (doc_id, idx, tf) for the vocabulary terms of every document
-    (counts, or 1 when ``binary``).  The vocabulary is a bounded top-V
-    table and is broadcast."""
+    (counts, or 1 when ``binary``).  A vocabulary of up to ``VOCAB_ROWS``
+    terms is broadcast, a larger one joined by a shuffle."""
     ex = explode_terms(df, tokens, doc_id)
-    j = ex.join(F.broadcast(vocab.select("term", "idx")), "term")
+    j = ex.join(bounded_broadcast(vocab.select("term", "idx"), VOCAB_ROWS), "term")
     agg = F.lit(1).cast("long") if binary else F.count(F.lit(1))
     return j.groupBy(doc_id, "idx").agg(agg.alias("tf"))
 

@@ -24,7 +24,7 @@ def _emb(spark, sf):
 
 
 _E = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
-_H = "(((vec_id % 1000003) * 7919 + (5 * 104729) % 1000003) % 1000003)"
+_H = rel.hash_order_sql("vec_id", 5)
 _ASSIGN_SQL = f"""
 WITH e AS {_E},
 c AS (SELECT row_number() OVER (ORDER BY h, vec_id) - 1 AS cid, v AS cv FROM (

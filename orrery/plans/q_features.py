@@ -18,7 +18,7 @@ def R(c, d: int = 6):
 
 def H(key: str, seed: int) -> str:
     """SQL twin of ``relational.hash_order``."""
-    return f"((({key} % 1000003) * 7919 + ({seed} * 104729) % 1000003) % 1000003)"
+    return rel.hash_order_sql(key, seed)
 
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -274,12 +274,13 @@ def fe8(spark, sf):
 # ------------------------------------------------------------------ SPL --
 
 @query("spl1_split_exact", f"""
-SELECT o_orderkey, (row_number() OVER (ORDER BY {H('o_orderkey', 1)}, o_orderkey) - 1)
+SELECT o_orderkey, o_orderpriority, o_totalprice, (row_number() OVER (ORDER BY {H('o_orderkey', 1)}, o_orderkey) - 1)
         < round(count(*) OVER () * 0.2) AS is_test FROM orders
 """)
 def spl1(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey")
-    return SP.split_exact(o, "o_orderkey", 0.2, seed=1).select("o_orderkey", "is_test")
+    """With columns that are carried along."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return SP.split_exact(o, "o_orderkey", 0.2, seed=1)
 
 
 @query("spl1_split_approx", f"""
@@ -291,14 +292,13 @@ def spl1b(spark, sf):
 
 
 @query("spl2_split_stratified", f"""
-SELECT o_orderkey, o_orderstatus,
+SELECT o_orderkey, o_orderstatus, o_custkey, o_totalprice,
        (row_number() OVER (PARTITION BY o_orderstatus ORDER BY {H('o_orderkey', 4)}, o_orderkey) - 1)
         < round(count(*) OVER (PARTITION BY o_orderstatus) * 0.3) AS is_test FROM orders
 """)
 def spl2(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return SP.split_stratified(o, "o_orderkey", "o_orderstatus", 0.3, seed=4).select(
-        "o_orderkey", "o_orderstatus", "is_test")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", "o_totalprice")
+    return SP.split_stratified(o, "o_orderkey", "o_orderstatus", 0.3, seed=4)
 
 
 @query("spl3_split_positional", """
@@ -310,21 +310,42 @@ def spl3(spark, sf):
 
 
 @query("spl4_stratified_folds", f"""
-SELECT o_orderkey, o_orderpriority,
+SELECT o_orderkey, o_orderpriority, o_custkey, o_totalprice,
        CAST((row_number() OVER (PARTITION BY o_orderpriority ORDER BY {H('o_orderkey', 6)}, o_orderkey) - 1) % 5 AS INTEGER) AS fold
 FROM orders
 """)
 def spl4(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return SP.stratified_folds(o, "o_orderkey", "o_orderpriority", 5, seed=6).select(
-        "o_orderkey", "o_orderpriority", "fold")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey", "o_totalprice")
+    return SP.stratified_folds(o, "o_orderkey", "o_orderpriority", 5, seed=6)
 
 
 @query("spl5_shuffle_split", f"""
 SELECT CAST(s AS INTEGER) AS split, o_orderkey,
-       (((o_orderkey % 1000003) * 7919 + (s + 8) * 104729) % 1000003) < {int(0.2 * 1000003)} AS is_test
+       CAST('0x' || substr(md5('8:' || CAST(s AS VARCHAR) || ':' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 1000003
+         < {int(0.2 * 1000003)} AS is_test
 FROM orders, range(0, 10) t(s)
 """)
 def spl5(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey")
     return SP.shuffle_splits(o, "o_orderkey", 10, 0.2, seed=8).select("split", "o_orderkey", "is_test")
+
+
+@query("spl5_overlap", """
+SELECT CAST(a.s AS INTEGER) AS split_a, CAST(b.s AS INTEGER) AS split_b, true AS near_fifth
+FROM range(0, 10) a(s), range(0, 10) b(s) WHERE a.s < b.s
+""")
+def spl5_overlap(spark, sf):
+    """Independence of SPL-5's splits: of the test rows of one split a fifth
+    (within five standard deviations) are test rows of any other."""
+    o = table(spark, sf, "orders").select("o_orderkey")
+    t = SP.shuffle_splits(o, "o_orderkey", 10, 0.2, seed=8).filter("is_test")
+    sets = t.groupBy("o_orderkey").agg(F.collect_list("split").alias("s"))
+    n = t.groupBy("split").agg(F.count("*").alias("n"))
+    pair = (sets.select(F.explode("s").alias("split_a"), "s").select("split_a", F.explode("s").alias("split_b"))
+            .filter("split_a < split_b").groupBy("split_a", "split_b").agg(F.count("*").alias("both")))
+    # a pair without a common row counts as zero
+    every = spark.range(100).select((F.col("id") % 10).cast("int").alias("split_a"),
+                                    F.floor(F.col("id") / 10).cast("int").alias("split_b")).filter("split_a < split_b")
+    p = every.join(pair, ["split_a", "split_b"], "left").join(n.withColumnRenamed("split", "split_a"), "split_a")
+    share = F.coalesce("both", F.lit(0)) / F.col("n")
+    return p.select("split_a", "split_b", (F.abs(share - 0.2) < 5 * F.sqrt(0.16 / F.col("n"))).alias("near_fifth"))

@@ -110,17 +110,20 @@ _DIR_SQL = """(SELECT c_custkey // 64 AS page_id,
 
 
 @query("htm3_table_cells", f"""
-SELECT page_id, row_no, c_name AS name, c_mktsegment AS segment,
+SELECT page_id, row_no, CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE c_name END AS name,
+       CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE c_mktsegment END AS segment,
        CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE printf('%.2f', c_acctbal) END AS balance
 FROM {_DIR_SQL} d
 """)
 def htm3(spark, sf):
-    """Rows of the table chosen by its aria label: first (header) cell,
-    second cell, third cell or ``unknown`` when the row is too short."""
+    """Rows of the table chosen by its aria label: header cell, second and
+    third cell, trimmed; a row that is too short has ``unknown`` in all."""
     c = _directory_cells(spark, sf)
-    third = F.when(F.size("cells") >= 3, F.element_at("cells", 3)).otherwise(F.lit("unknown"))
-    return c.select("page_id", "row_no", F.element_at("cells", 1).alias("name"),
-                    F.element_at("cells", 2).alias("segment"), third.alias("balance"))
+
+    def cell(i):
+        return F.when(F.size("cells") >= 3, F.trim(F.get("cells", F.lit(i)))).otherwise(F.lit("unknown"))
+
+    return c.select("page_id", "row_no", cell(0).alias("name"), cell(1).alias("segment"), cell(2).alias("balance"))
 
 
 @query("htm4_numeric_cells", f"""

@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from orrery.operators import jsonflat as JF
 from orrery.plans.registry import query
 from orrery.sources import jsondocs as JD
+from orrery.session import scratch_path
 from orrery.sources.tables import table
 
 
 def _order_docs(spark, sf):
     docs = JD.order_documents(table(spark, sf, "orders"), table(spark, sf, "lineitem"),
                               table(spark, sf, "customer"), table(spark, sf, "nation"))
-    return docs.select("customer", "season", JD.parse_json("json", JD.ORDER_DOC_SCHEMA).alias("doc"))
+    return docs.select("customer", "season", F.col("page").cast("long").alias("page"),
+                       JD.parse_json("json", JD.ORDER_DOC_SCHEMA).alias("doc"))
 
 
-_ORD = """(SELECT o.*, year(o.o_orderdate) AS season FROM orders o
-           JOIN customer c ON o.o_custkey = c.c_custkey)"""
+_ORD = """(SELECT *, (row_number() OVER w - 1) // 2 AS page, CAST(count(*) OVER (PARTITION BY o_custkey, season) AS INTEGER) AS results
+           FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders) q
+           WINDOW w AS (PARTITION BY o_custkey, season ORDER BY o_orderkey))"""
 _LINES = "(SELECT l_orderkey, count(*) AS n, min(l_quantity) AS mn, max(l_quantity) AS mx FROM lineitem GROUP BY 1)"
 
 
@@ -31,15 +34,15 @@ def jsn1(spark, sf):
 
 
 @query("jsn1_array_field_lists", f"""
-SELECT o.o_custkey AS customer, CAST(o.season AS INTEGER) AS season,
+SELECT o.o_custkey AS customer, o.season, o.page,
        list(o.o_orderkey ORDER BY o.o_orderkey) AS order_ids,
        list(CAST(coalesce(l.n, 0) AS INTEGER) ORDER BY o.o_orderkey) AS line_counts
 FROM {_ORD} o LEFT JOIN {_LINES} l ON o.o_orderkey = l.l_orderkey
-GROUP BY o.o_custkey, o.season, o.o_orderkey // 65536
+GROUP BY o.o_custkey, o.season, o.page
 """)
 def jsn1b(spark, sf):
     d = _order_docs(spark, sf)
-    return d.select("customer", "season",
+    return d.select("customer", "season", "page",
                     F.transform(JF.pluck("doc.response", "order"), lambda o: o["id"]).alias("order_ids"),
                     F.transform("doc.response", lambda r: F.size(r["lines"])).alias("line_counts"))
 
@@ -47,7 +50,7 @@ def jsn1b(spark, sf):
 @query("jsn2_entry_min_max", f"""
 SELECT o.o_custkey AS customer, o.o_orderkey AS order_id, n.n_name AS country,
        l.mn AS min_qty, l.mx AS max_qty
-FROM {_ORD} o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+FROM {_ORD} o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN {_LINES} l ON o.o_orderkey = l.l_orderkey
 """)
 def jsn2(spark, sf):
@@ -93,16 +96,12 @@ _WIDE = {
 
 
 @query("jsn5_wide_flatten", f"""
-WITH d AS (SELECT o_custkey, season, o_orderkey // 65536 AS blk, count(*) AS results FROM {_ORD} x
-           GROUP BY 1, 2, 3)
-SELECT 'orders' AS get, o.o_custkey AS param_customer, CAST(o.season AS INTEGER) AS param_season,
-       CAST(d.results AS INTEGER) AS results, 1 AS paging_current,
-       CAST(greatest(1, ceil(d.results / 2)) AS INTEGER) AS paging_total,
+SELECT 'orders' AS get, o.o_custkey AS param_customer, o.season AS param_season,
+       o.results, CAST(o.page + 1 AS INTEGER) AS paging_current, CAST(ceil(o.results / 2) AS INTEGER) AS paging_total,
        o.o_orderkey AS order_id, o.o_orderstatus AS order_status, o.o_orderpriority AS order_priority,
        o.o_totalprice AS order_total, c.c_custkey AS customer_id, c.c_name AS customer_name,
        c.c_mktsegment AS customer_segment, n.n_name AS country_name
-FROM {_ORD} o JOIN d ON o.o_custkey = d.o_custkey AND o.season = d.season AND o.o_orderkey // 65536 = d.blk
-JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+FROM {_ORD} o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """)
 def jsn5(spark, sf):
     d = _order_docs(spark, sf)
@@ -111,14 +110,13 @@ def jsn5(spark, sf):
 
 
 @query("jsn6_paging_remaining", f"""
-SELECT o_custkey AS customer, CAST(season AS INTEGER) AS season, 'orders' AS get,
-       CAST(count(*) AS INTEGER) AS results,
-       CAST(greatest(1, ceil(count(*) / 2)) - 1 AS INTEGER) AS pages_remaining
-FROM {_ORD} x GROUP BY 1, 2, o_orderkey // 65536
+SELECT DISTINCT o_custkey AS customer, season, page, 'orders' AS get, results,
+       CAST(ceil(results / 2) - page - 1 AS INTEGER) AS pages_remaining
+FROM {_ORD} x
 """)
 def jsn6(spark, sf):
     d = _order_docs(spark, sf)
-    return d.select("customer", "season", F.col("doc.get").alias("get"), F.col("doc.results").alias("results"),
+    return d.select("customer", "season", "page", F.col("doc.get").alias("get"), F.col("doc.results").alias("results"),
                     (F.col("doc.paging.total") - F.col("doc.paging.current")).alias("pages_remaining"))
 
 
@@ -148,13 +146,18 @@ def jsn7(spark, sf):
 
 
 @query("src8_json_documents", f"""
-SELECT o_custkey AS customer, CAST(season AS INTEGER) AS season, CAST(count(*) AS INTEGER) AS results,
-       round(sum(o_totalprice), 2) AS total
-FROM {_ORD} x GROUP BY 1, 2, o_orderkey // 65536
+SELECT o_custkey AS customer, season, page, min(results) AS results, round(sum(o_totalprice), 2) AS total
+FROM {_ORD} x GROUP BY 1, 2, 3
 """)
 def src8(spark, sf):
-    """Documents parsed with an explicit schema; per-document totals."""
-    d = _order_docs(spark, sf)
-    return d.select("customer", "season", F.col("doc.results").alias("results"),
-                    F.round(F.aggregate(F.transform("doc.response", lambda r: r["order"]["total"]),
+    """Documents written as JSON files and read with an explicit schema;
+    per-document totals."""
+    docs = JD.order_documents(table(spark, sf, "orders"), table(spark, sf, "lineitem"),
+                              table(spark, sf, "customer"), table(spark, sf, "nation"))
+    path = scratch_path(spark, "src8")
+    docs.select("json").write.text(path)
+    d = JD.read_json_documents(spark, path, JD.ORDER_DOC_SCHEMA, multi_line=False)
+    return d.select(F.col("parameters.customer").alias("customer"), F.col("parameters.season").alias("season"),
+                    (F.col("paging.current") - 1).cast("long").alias("page"), "results",
+                    F.round(F.aggregate(F.transform("response", lambda r: r["order"]["total"]),
                                         F.lit(0.0), lambda a, x: a + x), 2).alias("total"))

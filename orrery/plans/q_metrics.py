@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orrery.operators import metrics as M
 from orrery.plans.registry import query
+from orrery.session import small_side
 from orrery.sources.tables import table
 
 
@@ -109,7 +110,7 @@ def ag13(spark, sf):
     li = table(spark, sf, "lineitem")
     y, x = F.col("l_extendedprice"), F.col("l_quantity")
     fit = li.groupBy("l_returnflag").agg(F.regr_slope(y, x).alias("m"), F.regr_intercept(y, x).alias("b"))
-    p = li.join(fit, "l_returnflag").withColumn("pred", F.col("m") * x + F.col("b"))
+    p = li.join(small_side(fit), "l_returnflag").withColumn("pred", F.col("m") * x + F.col("b"))
     return p.agg(R(M.mse("l_extendedprice", "pred"), 2).alias("mse"))
 
 

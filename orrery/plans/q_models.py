@@ -5,6 +5,8 @@ properties (row counts, label domain, accuracy bounds) in the tests."""
 
 from __future__ import annotations
 
+import hashlib
+
 import os
 
 from pyspark.sql import functions as F
@@ -294,13 +296,20 @@ def ml21s(spark, sf):
     return spark.read.parquet(out).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
+def model_folder(spark) -> str:
+    """``spark.orrery.model.dir``, else a folder below the configured
+    checkpoint folder, which outlives a session."""
+    given = spark.conf.get("spark.orrery.model.dir", None)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return (given or root.rstrip("/") + "/models").rstrip("/")
+
+
 @query("snk3_fit_or_load")
 def snk3(spark, sf):
-    """Fit once and persist under the shared checkpoint folder; the second
-    call loads the saved model.  Both must predict the same."""
+    """Fit once and persist in the shared model folder; later calls, in this
+    session or another, load the saved model.  Both must predict the same."""
     train, test = _emb(spark, sf)
-    base = ensure_checkpoint_dir(spark)
-    path = base.rstrip("/") + "/models/snk3_" + str(abs(hash(sf)) % 10**8)
+    path = model_folder(spark) + "/snk3_" + hashlib.md5(sf.encode()).hexdigest()
     m1, _ = ML.fit_or_load(_score_pipeline(), train, path)
     m2, loaded = ML.fit_or_load(_score_pipeline(), train, path)
     a = _predict(m1, test).withColumnRenamed("prediction", "fitted")

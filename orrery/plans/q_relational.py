@@ -392,7 +392,7 @@ def ord2(spark, sf):
 
 
 @query("ord4_random_order", """
-SELECT o_orderkey, ((o_orderkey % 1000003) * 7919 + (7 * 104729) % 1000003) % 1000003 AS shuffle_key
+SELECT o_orderkey, CAST('0x' || substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 1000003 AS shuffle_key
 FROM orders ORDER BY shuffle_key, o_orderkey
 """)
 def ord4(spark, sf):

@@ -126,14 +126,14 @@ SELECT d.doc_id, l.quality AS label, length(d.text) AS n_chars, md5(d.text) AS t
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """)
 def src6(spark, sf):
-    """One file per labelled document, named ``<doc_id>_<quality>``; the
-    files are read whole and id and label parsed from the path."""
+    """Labelled documents stored under paths named ``<doc_id>_<quality>``,
+    packed; id and label are parsed from the path."""
     d = table(spark, sf, "documents").select("doc_id", "text")
     lab = table(spark, sf, "labels").select("doc_id", "quality")
     named = d.join(lab, "doc_id").select(
         F.concat_ws("_", F.col("doc_id").cast("string"), F.col("quality").cast("string")).alias("fname"), "text")
-    path = FS.write_file_per_key(named, FS.scratch_path(spark, "src6"), "fname", "text")
-    got = FS.read_whole_files(spark, path, r"name=(\d+)_(\d+)/", {"doc_id": 1, "label": 2})
+    path = FS.write_packed(named, FS.scratch_path(spark, "src6"), "fname", "text")
+    got = FS.read_packed(spark, path, r"name=(\d+)_(\d+)/", {"doc_id": 1, "label": 2})
     return got.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"),
                       F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
@@ -144,10 +144,10 @@ def src6(spark, sf):
 SELECT page_id, length(html) AS n_chars, md5(html) AS html_md5 FROM pages
 """)
 def src9(spark, sf):
-    """Stored HTML pages, one file per page, read whole."""
+    """Stored HTML pages, packed, id parsed from the path."""
     p = table(spark, sf, "pages").select("page_id", "html")
-    path = FS.write_file_per_key(p, FS.scratch_path(spark, "src9"), "page_id", "html")
-    got = FS.read_whole_files(spark, path, r"name=(\d+)/", {"page_id": 1})
+    path = FS.write_packed(p, FS.scratch_path(spark, "src9"), "page_id", "html")
+    got = FS.read_packed(spark, path, r"name=(\d+)/", {"page_id": 1})
     return got.select(F.col("page_id").cast("long").alias("page_id"),
                       F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("html_md5"))
 

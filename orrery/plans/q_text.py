@@ -120,18 +120,23 @@ SELECT doc_id,
       ELSE '' END) AS normalised,
   list_transform(short, lambda x: CASE WHEN len(string_split(x, '-')) = 3
       THEN '(' || string_split(x, '-')[1] || ') ' || string_split(x, '-')[2] || '-' || string_split(x, '-')[3]
-      ELSE '' END) AS short_normalised
+      ELSE '' END) AS short_normalised,
+  list_transform(dashed, lambda x: '(' || trim(string_split(x, '-')[1]) || ') ' || trim(string_split(x, '-')[2]) || '-'
+      || trim(string_split(x, '-')[3])) AS spaced_normalised
 FROM d
 """)
 def str5(spark, sf):
     """Phone numbers found in the texts, rewritten as a-b-c and normalised
-    back; the 7-digit tail (two parts) exercises the empty-string rule."""
+    back; the 7-digit tail (two parts) exercises the empty-string rule, the
+    form with blanks around the dashes the trimming of the parts."""
     d = _docs(spark, sf).select("doc_id", F.regexp_extract_all("text", F.lit(_PHONE), 0).alias("ph"))
     d = d.filter(F.size("ph") > 0)
     dashed = F.transform("ph", lambda x: F.regexp_replace(x, _PHONE_PARTS, "$1-$2-$3"))
     short = F.transform("ph", lambda x: F.substring(x, -8, 8))
+    spaced = F.transform("ph", lambda x: F.regexp_replace(x, _PHONE_PARTS, " $1- $2 - $3 "))
     return d.select("doc_id", F.transform(dashed, TX.normalise_phone).alias("normalised"),
-                    F.transform(short, TX.normalise_phone).alias("short_normalised"))
+                    F.transform(short, TX.normalise_phone).alias("short_normalised"),
+                    F.transform(spaced, TX.normalise_phone).alias("spaced_normalised"))
 
 
 @query("str6_xor_decode", """
@@ -237,18 +242,15 @@ SELECT d.doc_id, CAST(len(d.t) AS BIGINT) AS n_tokens,
 FROM {_DOC_TOKENS_SQL} d
 """)
 def jn8(spark, sf):
-    """Stop-word exclusion (in-row against the fixed list) and the
-    in-vocabulary test (semi join against the broadcast top-V table)."""
+    """Stop-word exclusion and the in-vocabulary test, both in the row:
+    against the fixed list, and against the top V terms (V is a parameter,
+    so the list in the plan is bounded)."""
     d = _docs(spark, sf).select("doc_id", TX.tokenize("text").alias("t"))
     d = d.select("doc_id", "t", TO.drop_stopwords("t").alias("k"))
-    vocab = TO.vocabulary(d.select("k"), "k", size=1000)
-    inv = (TO.explode_terms(d, "k", "doc_id")
-            .join(F.broadcast(vocab.select("term")), "term", "left_semi")
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_in_vocab")))
-    out = d.join(inv, "doc_id", "left")
-    return out.select("doc_id", F.size("t").cast("long").alias("n_tokens"),
-                      F.size("k").cast("long").alias("n_non_stop"),
-                      F.coalesce("n_in_vocab", F.lit(0)).cast("long").alias("n_in_vocab"))
+    terms = [r["term"] for r in TO.vocabulary(d.select("k"), "k", size=1000).collect()]
+    return d.select("doc_id", F.size("t").cast("long").alias("n_tokens"),
+                    F.size("k").cast("long").alias("n_non_stop"),
+                    F.size(F.filter("k", lambda w: w.isin(terms))).cast("long").alias("n_in_vocab"))
 
 
 _CONV_TOK_SQL = f"(SELECT conv_id, turn, {SEQ_TOKENS_SQL} AS t FROM conversations)"

@@ -9,6 +9,7 @@ from orrery.functions import vectors as V
 from orrery.operators import neighbors as NB
 from orrery.operators import relational as rel
 from orrery.plans.registry import query
+from orrery.session import small_side
 from orrery.sources.tables import table
 
 _E = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
@@ -90,7 +91,7 @@ def vec5(spark, sf):
     (centroids by a partial aggregate, then an equi-join on the label)."""
     e = _emb(spark, sf)
     c = NB.centroids(e, "label", "v", "c")
-    j = e.join(c, "label")
+    j = e.join(small_side(c), "label")
     return j.select("vec_id", "label",
                     R(V.euclidean("v", "c")).alias("euclidean"),
                     R(V.manhattan("v", "c")).alias("manhattan"),
@@ -108,8 +109,7 @@ def jn1(spark, sf):
     """All pairs between the vectors and the (small, size-checked) set of
     label centroids; the centre matrix is inlined, one array per row."""
     e = _emb(spark, sf)
-    keys, m = NB.inline_matrix(NB.centroids(e, "label", "v", "c"), "label", "c")
-    out = NB.distances_to_set(e, "v", keys, m, "euclidean", "d")
+    out = NB.distances_to_centres(e, "vec_id", "v", NB.centroids(e, "label", "v", "c"), "label", "c", "euclidean", "d")
     return out.select("vec_id", V.round_array("d").alias("distances"))
 
 
@@ -123,7 +123,7 @@ def vec6(spark, sf):
     li = table(spark, sf, "lineitem")
     y, x = F.col("l_extendedprice"), F.col("l_quantity")
     fit = li.groupBy("l_returnflag").agg(F.regr_slope(y, x).alias("m"), F.regr_intercept(y, x).alias("b"))
-    j = li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity").join(fit, "l_returnflag")
+    j = li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity").join(small_side(fit), "l_returnflag")
     return j.select("l_orderkey", "l_linenumber",
                     R(V.line("l_quantity", F.col("m"), F.col("b")), 4).alias("fitted_price"))
 
@@ -203,7 +203,7 @@ def _split_flag(col):
     return rel.hash_order(col, 11) % 5 == 0
 
 
-_SPLIT_SQL = "(((vec_id % 1000003) * 7919 + (11 * 104729) % 1000003) % 1000003) % 5 = 0"
+_SPLIT_SQL = rel.hash_order_sql("vec_id", 11) + " % 5 = 0"
 
 
 @query("ml12_knn_classifier", f"""

@@ -149,6 +149,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A table of group values made once (written to the checkpoint folder)
+    and broadcast while it has at most ``max_rows`` rows; a larger one is
+    joined by a shuffle."""
+    return bounded_broadcast(cut_lineage(df), max_rows)
+
+
 def dbl(c, digits: int = 6):
     """Round a numeric column for stable comparison output."""
     return F.round(F.col(c) if isinstance(c, str) else c, digits)

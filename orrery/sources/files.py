@@ -8,19 +8,17 @@ cluster), one fresh sub-folder per call, never a machine-local folder.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orrery.session import ensure_checkpoint_dir
+from orrery import session
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/orrery-files/{name}-{uuid.uuid4().hex}"
+    return session.scratch_path(spark, name)
 
 
 # ------------------------------------------------------------------ CSV --
@@ -84,6 +82,22 @@ def write_file_per_key(df: DataFrame, path: str, name_col: str, text_col: str) -
     return path
 
 
+def write_packed(df: DataFrame, path: str, name_col: str, text_col: str) -> str:
+    """Write rows as (path, content) records: what a folder with a file for
+    each row holds, in as many files as there are tasks."""
+    (df.select(F.concat(F.lit("name="), F.col(name_col).cast("string"), F.lit("/part")).alias("path"),
+               F.col(text_col).alias("content")).write.mode("overwrite").parquet(path))
+    return path
+
+
+def read_packed(spark: SparkSession, path: str, name_pattern: str, groups: dict[str, int]) -> DataFrame:
+    """SRC-6 / SRC-9 over packed files: the fields of ``read_whole_files``,
+    parsed from the ``path`` column."""
+    raw = spark.read.schema("path string, content string").parquet(path)
+    cols = [F.regexp_extract("path", name_pattern, g).alias(c) for c, g in groups.items()]
+    return raw.select(*cols, F.col("content").alias("text"))
+
+
 def read_whole_files(spark: SparkSession, path: str, name_pattern: str,
                      groups: dict[str, int]) -> DataFrame:
     """SRC-6 / SRC-9: one row per file, with fields parsed from its path.

@@ -5,7 +5,7 @@ Reading: ``read_json_documents`` reads multi-line JSON files;
 explicit schema (no inference pass over the data).
 
 Deriving: API-style response documents are built from ``orders`` and
-``lineitem`` with ``to_json`` - one document per (customer, year), each
+``lineitem`` with ``to_json`` - one document per page of a (customer, year), each
 order holding its line items (at most a handful per order) - and per-user
 statistics documents from ``events``, double-encoded like a cached API
 reply that stored JSON text inside a JSON string.
@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.operators.splits import group_index
+
 ORDER_DOC_SCHEMA = """
 get string, parameters struct<customer: bigint, season: int>, errors array<string>,
 results int, paging struct<current: int, total: int>,
@@ -35,9 +37,11 @@ statistics struct<splits: struct<categories: array<struct<
 """
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """SRC-8: one JSON document per file (multi-line), explicit schema."""
-    r = spark.read.option("multiLine", True)
+def read_json_documents(spark: SparkSession, path: str, schema: str | None = None,
+                        multi_line: bool = True) -> DataFrame:
+    """SRC-8: JSON files with an explicit schema; one document per file
+    (``multi_line``) or per line."""
+    r = spark.read.option("multiLine", multi_line)
     if schema:
         r = r.schema(schema)
     return r.json(path)
@@ -63,24 +67,33 @@ def parse_double_encoded(c, schema: str) -> Column:
     return F.from_json(inner, schema)
 
 
-# Fixed value: a document lists the orders of one customer and year whose
-# keys fall into one block of this many consecutive order keys, so no
-# document (one row, one task) grows with a hot customer.
-PAGE_KEYS = 65536
+#: orders on one page of a response, as the API pages them: a document (one
+#: row, one task) does not grow with a hot customer
+PAGE_ORDERS = 2
 
 
 def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                     nation: DataFrame) -> DataFrame:
-    """(customer, season, block, json) API-style documents, one per
-    (customer, year, order-key block of ``PAGE_KEYS``)."""
+    """(customer, season, page, json) API-style documents, one per page of
+    ``PAGE_ORDERS`` orders of a customer and year, in order-key order.
+    ``results`` and ``paging.total`` count all pages.  Orders are numbered
+    by a distributed rank, so a customer with a third of all orders is no
+    single group; an order without a customer or nation row keeps NULLs."""
     lines = lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
         F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"),
         F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag")))).alias("lines"))
-    cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+    cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "c_name", "c_mktsegment", "n_name")
-    o = (orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-               .join(cust, orders.o_custkey == cust.c_custkey)
-               .withColumn("season", F.year("o_orderdate")))
+    listed = orders.withColumn("season", F.year("o_orderdate"))
+    keys = listed.select("o_custkey", "season", "o_orderkey")
+    place = group_index(keys, ["o_custkey", "season"], [F.col("o_orderkey")], "_rank").select(
+        F.col("o_orderkey").alias("_ok"), F.expr(f"_rank div {PAGE_ORDERS}").cast("int").alias("_page"))
+    many = keys.groupBy(F.col("o_custkey").alias("_c"), F.col("season").alias("_s")).agg(
+        F.count("*").cast("int").alias("_results"))
+    o = (listed.join(place, F.col("o_orderkey") == F.col("_ok"))
+               .join(many, F.col("o_custkey").eqNullSafe(F.col("_c")) & F.col("season").eqNullSafe(F.col("_s")))
+               .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+               .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left"))
     entry = F.struct(
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
                  F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("total")).alias("order"),
@@ -90,18 +103,18 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
         F.coalesce(F.col("lines"), F.array().cast(
             "array<struct<line:int,qty:double,price:double,flag:string>>")).alias("lines"),
         F.array(F.struct(F.col("season").alias("year"))).alias("seasons"))
-    docs = o.groupBy("o_custkey", "season", F.expr(f"o_orderkey div {PAGE_KEYS}").alias("block")).agg(
+    docs = o.groupBy("o_custkey", "season", F.col("_page").alias("page"), F.col("_results").alias("results")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("_k"), entry.alias("_e")))).alias("_r"))
     resp = F.transform("_r", lambda s: s["_e"])
     doc = F.struct(
         F.lit("orders").alias("get"),
         F.struct(F.col("o_custkey").alias("customer"), F.col("season").alias("season")).alias("parameters"),
         F.array().cast("array<string>").alias("errors"),
-        F.size(resp).alias("results"),
-        F.struct(F.lit(1).alias("current"),
-                 F.greatest(F.lit(1), F.ceil(F.size(resp) / 2).cast("int")).alias("total")).alias("paging"),
+        F.col("results").alias("results"),
+        F.struct((F.col("page") + 1).alias("current"),
+                 F.ceil(F.col("results") / PAGE_ORDERS).cast("int").alias("total")).alias("paging"),
         resp.alias("response"))
-    return docs.select(F.col("o_custkey").alias("customer"), "season", "block", F.to_json(doc).alias("json"))
+    return docs.select(F.col("o_custkey").alias("customer"), "season", "page", F.to_json(doc).alias("json"))
 
 
 def _cents(x):
