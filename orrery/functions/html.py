@@ -64,6 +64,31 @@ def attribute_values(html, tag: str, attr: str) -> Column:
     return F.regexp_extract_all(strip_noise(html), F.lit(pat), 1)
 
 
+def elements_with(html, tag: str, attr: str, value_regex: str) -> Column:
+    """HTM-2: inner HTML of every closed, non-nested ``tag`` whose ``attr``
+    (double quotes) matches the whole of ``value_regex``, in order."""
+    pat = f"(?s)<{tag}\\s[^>]*?\\b{attr}=\"(?:{value_regex})\"[^>]*>(.*?)</{tag}>"
+    return F.regexp_extract_all(strip_noise(html), F.lit(pat), 1)
+
+
+def elements_of_class(html, tag: str, name: str) -> Column:
+    """HTM-2: ``tag.name`` - the class attribute has ``name`` as a token."""
+    return elements_with(html, tag, "class", f"(?:[^\"]*\\s)?{name}(?:\\s[^\"]*)?")
+
+
+def attribute_where(html, tag: str, attr: str, where: str, value: str) -> Column:
+    """HTM-2: ``tag[where=value]``'s ``attr`` (either order of the two), or
+    the empty string, e.g. the content of ``meta[name=description]``."""
+    t = strip_noise(html)
+    a = f"<{tag}\\s(?=[^>]*\\b{where}=\"{value}\")[^>]*?\\b{attr}=\"([^\"]*)\""
+    return F.regexp_extract(t, a, 1)
+
+
+def class_tokens(value) -> Column:
+    """HTM-2: the tokens of a class attribute."""
+    return F.filter(F.split(_c(value), "\\s+"), lambda t: t != "")
+
+
 def first_attribute(html, tag: str, attr: str) -> Column:
     pat = f"<{tag}\\s[^>]*?\\b{attr}=\"([^\"]*)\""
     return F.regexp_extract(strip_noise(html), pat, 1)

@@ -149,3 +149,24 @@ def line(x, slope, intercept) -> Column:
 def array_sum(a) -> Column:
     """In-row sum (axis 1 of a row-per-sample matrix)."""
     return _sum(_c(a))
+
+
+def axis_sum_3d(df, m: str, axis: int, key: str | None = None):
+    """AG-4: sums of an n x a x b tensor (one a x b matrix per row) over one
+    axis: 0 gives (i, j, total) over all rows, 1 (key, j, total) and 2
+    (key, i, total) per row.  Any other axis raises ``ValueError``."""
+    if axis not in (0, 1, 2):
+        raise ValueError(f"axis {axis} is out of bounds for an array of dimension 3")
+    cells = df.select(*([key] if axis else []), F.posexplode(m).alias("i", "_row"))
+    if axis == 2:
+        return cells.select(key, F.col("i").cast("long").alias("i"), array_sum("_row").alias("total"))
+    if axis == 0:
+        cells = cells.select("i", F.posexplode("_row").alias("j", "_x"))
+        return cells.groupBy(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j")).agg(F.sum("_x").alias("total"))
+    cols = df.select(key, F.posexplode(transpose(m)).alias("j", "_col"))
+    return cols.select(key, F.col("j").cast("long").alias("j"), array_sum("_col").alias("total"))
+
+
+def with_value(a, index: int, value) -> Column:
+    """VEC-4: a copy of the array with the element at a 0-based index set."""
+    return F.transform(_c(a), lambda x, i: F.when(i == index, F.lit(value)).otherwise(x))

@@ -15,7 +15,7 @@ import math
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.session import small_side
@@ -142,6 +142,22 @@ def target_encoding_apply(df: DataFrame, col: str, enc: DataFrame, prior: float,
               .withColumn(out, F.coalesce(F.col("_enc"), F.lit(prior))).drop("_enc"))
 
 
+def target_encoding_out_of_fold(df: DataFrame, col: str, target: str, fold: str, out: str, m: float = 1.0) -> DataFrame:
+    """FE-5 for training rows: each row takes the m-estimate of its level
+    over the other folds.  One small table of (level, fold) sums gives all:
+    a fold's own sums are taken off the totals."""
+    per = df.groupBy(col, fold).agg(F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    per = small_side(per)
+    level = Window.partitionBy(col)
+    rest = per.select(col, fold, (F.sum("_s").over(level) - F.col("_s")).alias("_os"), (F.sum("_n").over(level) - F.col("_n")).alias("_on"))
+    by_fold = per.groupBy(fold).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
+    every = Window.partitionBy()  # one row for each fold
+    prior = by_fold.select(fold, F.try_divide(F.sum("_fs").over(every) - F.col("_fs"), F.sum("_fn").over(every) - F.col("_fn")).alias("_p"))
+    enc = (rest.join(prior, fold).select(F.col(col).alias("_c"), F.col(fold).alias("_f"),
+           F.when(F.col("_on") > 0, (m * F.col("_p") + F.col("_os")) / (m + F.col("_on"))).otherwise(F.col("_p")).alias(out)))
+    return (df.join(small_side(enc), df[col].eqNullSafe(F.col("_c")) & df[fold].eqNullSafe(F.col("_f")), "left").drop("_c", "_f"))
+
+
 # ------------------------------------------------------------------ FE-6 --
 
 def polynomial(col: str, degree: int, include_bias: bool = False, prefix: str | None = None) -> list[Column]:

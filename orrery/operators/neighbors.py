@@ -187,7 +187,7 @@ def distances_to_centres(df: DataFrame, id_col: str, vec: str, centres: DataFram
               .groupBy("_b").agg(F.collect_list("s").alias("_set")))
     fn = V.METRICS[metric]
     row = (df.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), V.as_double(vec).alias("_v"))
-           .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long")))
+           .withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
     part = row.join(packed, "_b").select("_id", "_row", F.transform("_set", lambda s: F.struct(s["k"].alias("k"), fn(F.col("_v"), s["c"]).alias("d"))).alias("_d"))
     whole = part.groupBy("_id").agg(F.first("_row").alias("_row"), F.sort_array(F.flatten(F.collect_list("_d"))).alias("_d"))
     return whole.select("_row.*", F.transform("_d", lambda s: s["d"]).alias(out))

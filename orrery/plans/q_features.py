@@ -134,6 +134,22 @@ def fe5(spark, sf):
     return out.select("c_custkey", R("segment_enc").alias("segment_enc"))
 
 
+@query("fe5_out_of_fold", f"""
+WITH c AS (SELECT *, CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS y, {H('c_custkey', 15)} % 4 AS fold FROM customer),
+f AS (SELECT DISTINCT fold FROM c),
+p AS (SELECT f.fold, avg(c.y) AS prior FROM f JOIN c ON c.fold <> f.fold GROUP BY f.fold),
+e AS (SELECT f.fold, c.c_mktsegment, sum(c.y) AS s, count(*) AS n FROM f JOIN c ON c.fold <> f.fold GROUP BY 1, 2)
+SELECT c.c_custkey, round(coalesce((p.prior + e.s) / (1.0 + e.n), p.prior), 6) AS segment_enc
+FROM c JOIN p ON c.fold = p.fold LEFT JOIN e ON c.fold = e.fold AND c.c_mktsegment = e.c_mktsegment
+""")
+def fe5b(spark, sf):
+    """Target encoding of training rows from the other folds only."""
+    c = table(spark, sf, "customer").withColumn("y", (F.col("c_acctbal") > 5000).cast("int"))
+    c = c.withColumn("fold", rel.hash_order("c_custkey", 15) % 4)
+    return FE.target_encoding_out_of_fold(c, "c_mktsegment", "y", "fold", "segment_enc").select(
+        "c_custkey", R("segment_enc").alias("segment_enc"))
+
+
 @query("fe6_polynomial_features", """
 SELECT l_orderkey, l_linenumber, 1.0 AS q_0, l_quantity AS q_1, round(pow(l_quantity, 2), 6) AS q_2,
        round(pow(l_quantity, 3), 6) AS q_3

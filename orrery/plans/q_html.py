@@ -161,3 +161,31 @@ def htm5(spark, sf):
         "page_id", "n_rows", F.posexplode("vals").alias("i", "value"))
     return ex.select("page_id", "n_rows", (F.col("i") % F.col("n_rows")).cast("long").alias("row_idx"),
                      (F.col("i") / F.col("n_rows")).cast("long").alias("col_idx"), "value")
+
+
+@query("htm2_by_class_and_attribute", """
+SELECT p_partkey // 16 AS page_id, CAST(row_number() OVER (PARTITION BY p_partkey // 16 ORDER BY p_partkey) - 1 AS BIGINT) AS pos,
+       p_name AS title, printf('%.2f', floor(p_retailprice * 100 + 0.5) / 100) AS price, p_brand AS rating,
+       'parts ' || CAST(p_partkey // 16 AS VARCHAR) AS description
+FROM part
+""")
+def htm2c(spark, sf):
+    """Shop pages made from the parts: product blocks picked by class token,
+    price by class, rating as the second class token, title by attribute,
+    page description by ``meta[name=description]``."""
+    p = table(spark, sf, "part").withColumn("page_id", F.floor(F.col("p_partkey") / 16))
+    price = F.format_string("%.2f", F.floor(F.col("p_retailprice") * 100 + 0.5) / 100)
+    block = F.format_string('<article class="product_pod hot"><h3><a href="/p" title="%s">x</a></h3><p class="instock">y</p>'
+                            '<p class="price_color big">%s</p><p class="star-rating %s">s</p></article>',
+                            "p_name", price, "p_brand")
+    pages = p.groupBy("page_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", block.alias("b")))),
+                                                              lambda s: s["b"]), "").alias("body"))
+    pages = pages.select("page_id", F.concat(F.lit('<html><head><meta name="author" content="a"><meta content="parts '), F.col("page_id"),
+                                             F.lit('" name="description"></head><body><p class="price">no</p>'), F.col("body"),
+                                             F.lit("</body></html>")).alias("html"))
+    pods = pages.select("page_id", H.attribute_where("html", "meta", "content", "name", "description").alias("description"),
+                        F.posexplode(H.elements_of_class("html", "article", "product_pod")).alias("pos", "pod"))
+    rating = H.class_tokens(F.regexp_extract("pod", 'class="(star-rating [^"]*)"', 1))
+    return pods.select("page_id", F.col("pos").cast("long").alias("pos"), H.first_attribute("pod", "a", "title").alias("title"),
+                       F.get(H.elements_of_class("pod", "p", "price_color"), F.lit(0)).alias("price"),
+                       F.get(rating, F.lit(1)).alias("rating"), "description")

@@ -233,6 +233,16 @@ def txt2(spark, sf):
     return TO.bag_of_words(toks, "doc_id", "t", vocab)
 
 
+@query("txt2_binary_bag", f"""
+WITH {_VOCAB_SQL}
+SELECT DISTINCT d.doc_id, v.idx, CAST(1 AS BIGINT) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM {_DOC_TOKENS_SQL} x) d
+JOIN vocab v ON d.term = v.term
+""")
+def txt2b(spark, sf):
+    toks = _doc_tokens_nostop(spark, sf)
+    return TO.bag_of_words(toks, "doc_id", "t", TO.vocabulary(toks, "t", size=1000), binary=True)
+
+
 @query("jn8_stopword_vocab_filter", f"""
 WITH {_VOCAB_SQL},
 u AS (SELECT doc_id, unnest(t) AS term FROM {_DOC_TOKENS_SQL} x)

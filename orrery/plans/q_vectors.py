@@ -259,3 +259,70 @@ def nul3(spark, sf):
              .groupBy("q_id").agg(F.avg("y").alias("imp")))
     j = e.join(imp, e.vec_id == imp.q_id, "left")
     return j.select("vec_id", R(F.coalesce("y", "imp")).alias("value_imputed"))
+
+
+def _knn_vote_sql(dist: str, weight: str) -> str:
+    return f"""
+WITH e AS {_E},
+te AS (SELECT * FROM e WHERE {_SPLIT_SQL}), tr AS (SELECT * FROM e WHERE NOT ({_SPLIT_SQL})),
+p AS (SELECT te.vec_id AS q_id, tr.label AS lab, {dist} AS d, tr.vec_id AS r_id FROM te, tr),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d, r_id) AS rk FROM p),
+v AS (SELECT q_id, lab, sum({weight}) AS n FROM r WHERE rk <= 5 GROUP BY q_id, lab)
+SELECT q_id AS vec_id, prediction FROM (
+  SELECT q_id, lab AS prediction, row_number() OVER (PARTITION BY q_id ORDER BY n DESC, lab) AS o FROM v) t
+WHERE o = 1
+"""
+
+
+def _knn_vote(spark, sf, metric: str, weights: str):
+    e = _emb(spark, sf)
+    test, train = e.filter(_split_flag("vec_id")), e.filter(~_split_flag("vec_id"))
+    nn = NB.knn(test, train, 5, q_id="vec_id", r_id="vec_id", q_vec="v", r_vec="v", metric=metric)
+    return NB.knn_vote(nn, train, "vec_id", "label", weights).select(F.col("q_id").alias("vec_id"), "prediction")
+
+
+@query("ml12_knn_manhattan", _knn_vote_sql(
+    "list_sum(list_transform(range(1, len(te.v) + 1), lambda i: abs(te.v[i] - tr.v[i])))", "1"))
+def ml12m(spark, sf):
+    return _knn_vote(spark, sf, "manhattan", "uniform")
+
+
+@query("ml12_knn_cosine", _knn_vote_sql("1 - list_cosine_similarity(te.v, tr.v)", "1"))
+def ml12c(spark, sf):
+    return _knn_vote(spark, sf, "cosine", "uniform")
+
+
+@query("ml12_knn_distance_weights", _knn_vote_sql("list_distance(te.v, tr.v)", "1 / d"))
+def ml12w(spark, sf):
+    """Votes weigh 1 / distance (no test row lies on a training row here)."""
+    return _knn_vote(spark, sf, "euclidean", "distance")
+
+
+@query("ag4_axis0_axis1_3d", f"""
+WITH x AS (SELECT pos // 8 AS i, pos % 8 AS j, vec_id, x FROM
+  (SELECT vec_id, unnest(range(0, len(v))) AS pos, unnest(v) AS x FROM {_E} e) t)
+SELECT 0 AS axis, CAST(NULL AS BIGINT) AS vec_id, CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(sum(x), 6) AS total
+FROM x GROUP BY i, j
+UNION ALL
+SELECT 1, vec_id, CAST(NULL AS BIGINT), CAST(j AS BIGINT), round(sum(x), 6) FROM x GROUP BY vec_id, j
+""")
+def ag4e(spark, sf):
+    """The n x 8 x 8 tensor summed over axis 0 (per cell, partial
+    aggregates) and over axis 1 (in the row)."""
+    e = _emb(spark, sf).select("vec_id", V.reshape("v", 8).alias("m"))
+    zero = V.axis_sum_3d(e, "m", 0).select(F.lit(0).alias("axis"), F.lit(None).cast("long").alias("vec_id"), "i", "j", R("total").alias("total"))
+    one = V.axis_sum_3d(e, "m", 1, "vec_id").select(F.lit(1).alias("axis"), "vec_id", F.lit(None).cast("long").alias("i"), "j",
+                                                    R("total").alias("total"))
+    return zero.unionByName(one)
+
+
+@query("vec4_copy_then_set", f"""
+SELECT vec_id, round(v[3], 6) AS original, -1.5 AS changed, round(list_sum(v), 6) AS sum_before,
+       round(list_sum(v) - v[3] - 1.5, 6) AS sum_after
+FROM {_E} e
+""")
+def vec4b(spark, sf):
+    """Setting an element of a copy leaves the array itself as it was."""
+    e = _emb(spark, sf).withColumn("w", V.with_value("v", 2, -1.5))
+    return e.select("vec_id", R(F.get("v", F.lit(2))).alias("original"), F.get("w", F.lit(2)).alias("changed"),
+                    R(V.array_sum("v")).alias("sum_before"), R(V.array_sum("w")).alias("sum_after"))
