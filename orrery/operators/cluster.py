@@ -68,6 +68,30 @@ def lloyd_step(df: DataFrame, vec: str, matrix):
     return a, new
 
 
+def lloyd(df: DataFrame, vec: str, starts: dict[int, list], rounds: int) -> dict[int, list]:
+    """ML-13 / ML-14: k-means from given rows, for several k at once.
+
+    ``starts``: k -> its k initial centres.  Every round is one pass that
+    serves all k: each row is assigned to its nearest centre of every k, and
+    the member means (a partial aggregate) become the new centres.  A centre
+    without members stays.  Ends after ``rounds`` or when no centre moves.
+    Only the centres, sum(k) rows bounded by the parameters, reach the
+    driver."""
+    current = {k: [list(c) for c in m] for k, m in starts.items()}
+    for _ in range(rounds):
+        codes = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), nearest_centre(vec, m).alias("c"))
+                                    for k, m in current.items()])).alias("_kc")
+        cells = df.select(codes, V.as_double(vec).alias("_v")).select("_kc.k", "_kc.c", F.posexplode("_v").alias("pos", "x"))
+        means = cells.groupBy("k", "c", "pos").agg(F.avg("x").alias("x"))
+        new = {k: list(m) for k, m in current.items()}
+        for r in means.groupBy("k", "c").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("m")).collect():
+            new[r["k"]][r["c"]] = [t["x"] for t in r["m"]]
+        if new == current:
+            break
+        current = new
+    return current
+
+
 def inertia(df: DataFrame, vec: str, matrix) -> Column:
     """AG-14: sum of squared distances to the nearest centre, all rows."""
     return F.sum(F.array_min(squared_distances(vec, matrix)))

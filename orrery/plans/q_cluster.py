@@ -3,6 +3,8 @@ JN-3)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -64,24 +66,69 @@ def ag14(spark, sf):
     return a.agg(R(F.sum("sq_dist"), 4).alias("inertia"), F.count(F.lit(1)).alias("n"))
 
 
-@query("ml13_kmeans_fit")
+_ROUNDS = 4
+_KS = range(2, 10)
+
+
+def _lloyd_sql(k: int, rounds: int, digits: int | None = None) -> str:
+    """CTEs of ``rounds`` unrolled steps from the first k rows in hash
+    order; ``a`` holds (vec_id, v, cluster, d2) for the last centres."""
+    def nearest(c):
+        return f"""SELECT vec_id, v, cid AS cluster, cv, d2 FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cid) AS rn FROM (
+    SELECT e.vec_id, e.v, c.cid, c.cv, list_reduce(list_transform(range(1, len(e.v) + 1),
+      lambda i: (e.v[i] - c.cv[i]) * (e.v[i] - c.cv[i])), lambda a, b: a + b) AS d2 FROM e, {c} c) d) t WHERE rn = 1"""
+    out = [f"""e AS {_E}""", f"""c0 AS (SELECT row_number() OVER (ORDER BY h, vec_id) - 1 AS cid, v AS cv FROM (
+  SELECT {_H} AS h, vec_id, v FROM e) t ORDER BY h, vec_id LIMIT {k})"""]
+    for r in range(rounds):
+        out.append(f"""a{r} AS ({nearest(f'c{r}')})""")
+        out.append(f"""m{r} AS (SELECT cluster AS cid, list(m ORDER BY pos) AS cv FROM (SELECT cluster, pos, avg(x) AS m FROM (
+  SELECT cluster, unnest(range(0, len(v))) AS pos, unnest(v) AS x FROM a{r}) u GROUP BY 1, 2) g GROUP BY cluster)""")
+        out.append(f"c{r + 1} AS (SELECT c{r}.cid, coalesce(m{r}.cv, c{r}.cv) AS cv FROM c{r} LEFT JOIN m{r} ON c{r}.cid = m{r}.cid)")
+    last = f"c{rounds}"
+    if digits is not None:
+        out.append(f"p AS (SELECT cid, list_transform(cv, lambda x: round(x, {digits})) AS cv FROM {last})")
+        last = "p"
+    return "WITH " + ",\n".join(out) + f",\na AS ({nearest(last)})"
+
+
+_SWEEP_SQL = " UNION ALL ".join(
+    f"SELECT {k} AS k, (SELECT sum(d2) FROM ({_lloyd_sql(k, _ROUNDS)} SELECT d2 FROM a) s) AS wsse" for k in _KS)
+
+
+def _k_sweep(spark, sf):
+    e = _emb(spark, sf)
+    last = CL.lloyd(e, "v", {k: CL.initial_centres(e, "vec_id", "v", k, seed=5) for k in _KS}, _ROUNDS)
+    cost = F.array(*[F.struct(F.lit(k).alias("k"), F.array_min(CL.squared_distances("v", m)).alias("d")) for k, m in last.items()])
+    return e.select(F.explode(cost).alias("c")).groupBy("c.k").agg(F.sum("c.d").alias("wsse"))
+
+
+@query("ml13_kmeans_fit", _lloyd_sql(10, _ROUNDS) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM a
+""")
 def ml13b(spark, sf):
-    """k-means (k = 10) fitted with Spark ML; cluster per row."""
-    model, d = CL.kmeans(_emb(spark, sf), "v", 10, max_iter=50, seed=1)
-    return model.transform(d).select("vec_id", "cluster")
+    """k-means (k = 10) from given distinct rows, four rounds; the cluster
+    of every row by the fitted centres."""
+    e = _emb(spark, sf)
+    centres = CL.lloyd(e, "v", {10: CL.initial_centres(e, "vec_id", "v", 10, seed=5)}, _ROUNDS)[10]
+    return CL.assign(e, "v", centres).select("vec_id", "cluster")
 
 
-@query("ml14_k_sweep")
+@query("ml14_k_sweep", f"SELECT k, round(wsse, 4) AS wsse FROM ({_SWEEP_SQL}) w")
 def ml14(spark, sf):
-    """Inertia for k = 2..9 (one fit per k over a cached frame)."""
-    return CL.k_sweep(_emb(spark, sf), "v", range(2, 10), max_iter=20, seed=1)
+    """Inertia for k = 2..9, all k in the same passes."""
+    return _k_sweep(spark, sf).select("k", R("wsse", 4).alias("wsse"))
 
 
-@query("win1_elbow_kmeans")
+@query("win1_elbow_kmeans", f"""
+WITH s AS (SELECT k, wsse, row_number() OVER (ORDER BY k) - 1 AS i, lead(wsse) OVER (ORDER BY k) - wsse AS sl FROM ({_SWEEP_SQL}) w),
+p AS (SELECT *, lag(sl) OVER (ORDER BY k) AS prev FROM s)
+SELECT k, round(wsse, 4) AS wsse FROM p
+WHERE i = coalesce((SELECT min(i) FROM p WHERE i >= 1 AND sl IS NOT NULL AND abs(prev) - abs(sl) > 100), 1)
+""")
 def win1a(spark, sf):
     """Elbow of the k sweep (threshold 100; second row if none)."""
-    sweep = CL.k_sweep(_emb(spark, sf), "v", range(2, 10), max_iter=20, seed=1)
-    return CL.elbow(sweep, "k", "wsse", 100.0)
+    return CL.elbow(_k_sweep(spark, sf), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
 
 
 def _binned_curve(spark, sf):
@@ -114,21 +161,24 @@ def win1b(spark, sf):
     return e.select("k", R("wsse", 4).alias("wsse"))
 
 
-@query("ml17_vector_quantisation")
+@query("ml17_vector_quantisation", _lloyd_sql(16, 2, digits=2) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS code, round(d2, 6) AS sq_error, 64 * 32 AS bits_before,
+       CAST(ceil(log2(16)) AS INTEGER) AS bits_after FROM a
+""")
 def ml17(spark, sf):
     """Palette of 16 k-means centres (rounded to 2 decimals), one code per
     vector, reconstruction by a broadcast lookup of the (k-row) palette;
     reports the squared error and the bits per vector before / after."""
-    from pyspark.ml.functions import vector_to_array
     e = _emb(spark, sf)
-    model, d = CL.kmeans(e, "v", 16, max_iter=30, seed=2)
-    palette = [[round(float(x), 2) for x in c] for c in model.clusterCenters()]
+    centres = CL.lloyd(e, "v", {16: CL.initial_centres(e, "vec_id", "v", 16, seed=5)}, 2)[16]
+    palette = [[round(x, 2) for x in c] for c in centres]
     coded = e.select("vec_id", "v", CL.nearest_centre("v", palette).alias("code"))
     pal = spark.createDataFrame([(i, c) for i, c in enumerate(palette)], "code int, centre array<double>")
     rec = coded.join(F.broadcast(pal), "code")
     dim = len(palette[0])
     return rec.select("vec_id", "code", R(V.sq_euclidean("v", "centre")).alias("sq_error"),
-                      F.lit(dim * 32).alias("bits_before"), F.lit(4).alias("bits_after"))
+                      F.lit(dim * 32).alias("bits_before"),
+                      F.lit(math.ceil(math.log2(len(palette)))).alias("bits_after"))
 
 
 # ---------------------------------------------------------- AG-15..17 --
@@ -207,7 +257,20 @@ def jn3(spark, sf):
     return p.filter(F.col("id_a") < F.col("id_b")).select("id_a", "id_b", R("dist").alias("dist"))
 
 
-@query("ml15_dbscan")
+@query("ml15_dbscan", f"""
+WITH RECURSIVE p AS {_PTS_SQL},
+n AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM p a JOIN p b
+      ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.3),
+core AS (SELECT a AS id FROM n GROUP BY a HAVING count(*) >= 4),
+e AS (SELECT n.a, n.b FROM n JOIN core x ON n.a = x.id JOIN core y ON n.b = y.id),
+reach(a, b) AS (SELECT id, id FROM core UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+comp AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+num AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM comp) d),
+lab AS (SELECT comp.id, num.cluster FROM comp JOIN num ON comp.root = num.root),
+border AS (SELECT n.a AS id, min(lab.cluster) AS cluster FROM n JOIN lab ON n.b = lab.id GROUP BY n.a)
+SELECT p.c_custkey, coalesce(lab.cluster, border.cluster, -1) AS cluster
+FROM p LEFT JOIN lab ON p.c_custkey = lab.id LEFT JOIN border ON p.c_custkey = border.id
+""")
 def ml15(spark, sf):
     """DBSCAN, eps 0.3, min_samples 4 on the customer points."""
     out = DB.dbscan(_points(spark, sf), "c_custkey", ["x", "y"], [0.3], 4)

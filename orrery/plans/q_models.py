@@ -6,7 +6,7 @@ properties (row counts, label domain, accuracy bounds) in the tests."""
 from __future__ import annotations
 
 import hashlib
-
+import math
 import os
 
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from orrery.operators import models as ML
 from orrery.operators import relational as rel
 from orrery.operators import splits as SP
 from orrery.plans.registry import query
-from orrery.session import ensure_checkpoint_dir
+from orrery.session import cut_lineage, ensure_checkpoint_dir
 from orrery.sources.tables import table
 
 
@@ -201,12 +201,19 @@ def _folded(spark, sf, k=5):
     return SP.stratified_folds(e, "vec_id", "label", k, seed=2)
 
 
+def _few_parts(df, rows_per_part: int = 20_000):
+    """The fold frame written once, in as many partitions as its rows need:
+    every iteration of a fit is a job over all of them."""
+    t = cut_lineage(df)
+    return t.coalesce(max(1, math.ceil(t.count() / rows_per_part)))
+
+
 @query("ml18_grid_search_cv")
 def ml18(spark, sf):
     """Grid search, 5 stratified folds, accuracy; settings ranked (WIN-4)."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import ParamGridBuilder
-    df = _folded(spark, sf).cache()
+    df = _few_parts(_folded(spark, sf))
     lr = ML.classifier("logistic", maxIter=50, regParam=0.01)
     grid = (ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1])
             .addGrid(lr.elasticNetParam, [0.0, 0.5]).build())
@@ -223,7 +230,7 @@ def ml19(spark, sf):
     """Randomised search: 3 seeded settings of a 3 x 3 forest grid, 2 folds."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import ParamGridBuilder
-    df = _folded(spark, sf, 2).cache()
+    df = _few_parts(_folded(spark, sf, 2))
     rf = ML.classifier("forest")
     full = ParamGridBuilder().addGrid(rf.numTrees, [5, 10, 20]).addGrid(rf.maxDepth, [3, 5, 8]).build()
     grid = ML.sample_grid(full, 3, seed=0)
@@ -238,7 +245,7 @@ def ml20(spark, sf):
     """Several models on one split; per model accuracy, macro recall and
     precision from the classification report; best by accuracy flagged."""
     train, test = _emb(spark, sf)
-    train = train.cache()
+    train = _few_parts(train)
     n = train.count()
     models = {"logistic": ML.classifier("logistic", n_train=n, maxIter=200),
               "tree": ML.classifier("tree", maxDepth=6),
