@@ -25,7 +25,18 @@ def op5_topk(spark, sf):
     return topk.top_k(v.filter(F.col("id") % 50 == 0), v, k=5).withColumnRenamed("id", "vec_id")
 
 
-@query("op6_warc")
+@query("op6_warc", """
+WITH d AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha1(coalesce(html, '')) AS x FROM pages),
+b AS (SELECT page_id, n, x, array_to_string(list_transform(list_transform(range(8), lambda g:
+             CAST('0x' || substr(x, g * 5 + 1, 5) AS BIGINT)), lambda v:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 15) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 10) % 32 + 1, 1)
+             || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 5) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v % 32 + 1, 1)), '') AS digest,
+             max(page_id) OVER (PARTITION BY x) AS top FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM b
+""")
 def op6_warc(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     root = warc.archive_folder(spark)

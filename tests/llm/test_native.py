@@ -202,7 +202,7 @@ def test_repeated_rows_are_taken_together(spark):
     assert all(len(v) == 1 for v in by.values())
 
 
-@pytest.mark.parametrize("name", ["op1_chat_format", "op7_mixing", "op5_topk"])
+@pytest.mark.parametrize("name", ["op1_chat_format", "op7_mixing", "op5_topk", "op6_warc"])
 def test_query_equals_its_sql(spark, name):
     import os
     import sys
