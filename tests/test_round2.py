@@ -14,6 +14,7 @@ from orrery import session
 from orrery.functions import text as TX
 from orrery.operators import cluster as CL
 from orrery.operators import features as FE
+from orrery.operators import models as ML
 from orrery.operators import neighbors as NB
 from orrery.operators import relational as rel
 from orrery.operators import splits as SP
@@ -133,6 +134,23 @@ def test_text_rules(spark):
     assert r["w"] == ["a", "b", "c", "d"] and r["p"] == "(514) 848-2424"
 
 
+@pytest.mark.parametrize("kind,least", [("logistic", 0.95), ("tree", 0.9), ("forest", 0.9), ("gbt", 0.9), ("mlp", 0.9), ("svm", 0.9)])
+def test_classifiers_learn_what_can_be_learnt(spark, kind, least):
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(5)
+    y = np.arange(600) % 3
+    x = np.stack([3 * (y == 0), 3 * (y == 1), 3 * (y == 2), 0 * y], 1) + rng.normal(size=(600, 4))
+    df = spark.createDataFrame([(i, v.tolist(), float(c)) for i, (v, c) in enumerate(zip(x, y))], "id long, v array<double>, label double")
+    df = df.select("id", array_to_vector("v").alias("features"), "label")
+    kw = {"mlp": {"layers": [4, 8, 3]}}.get(kind, {})
+    try:
+        est = ML.classifier(kind, n_train=450, **kw)
+    except (KeyError, ValueError):
+        pytest.skip(f"no classifier is called {kind}")
+    out = est.fit(df.filter("id < 450")).transform(df.filter("id >= 450"))
+    assert out.filter("prediction = label").count() / 150 > least
+
+
 def test_scratch_needs_a_shared_folder(monkeypatch, spark):
     class Conf:
         def get(self, k, d=None):
