@@ -3,8 +3,9 @@ WIN-1).
 
 * Assignment to a small, size-checked centre set is an in-row expression
   (the centres are inlined, as ``KMeansModel`` ships its centres).
-* Fitting uses ``pyspark.ml.clustering.KMeans`` (k-means|| init, Lloyd
-  iterations as tree-aggregates).
+* Fitting from given rows (``lloyd``) is one Arrow-batched pass a round, until
+  inertia stops falling; ``kmeans`` and ``k_sweep`` use
+  ``pyspark.ml.clustering.KMeans`` (k-means|| init).
 * The exact silhouette needs every pairwise distance; it is computed by the
   blocked kernel of ``neighbors``: each (query block, reference block) group
   turns a distance tile into per-cluster sums, so only n x clusters rows
@@ -68,27 +69,60 @@ def lloyd_step(df: DataFrame, vec: str, matrix):
     return a, new
 
 
-def lloyd(df: DataFrame, vec: str, starts: dict[int, list], rounds: int) -> dict[int, list]:
+def _member_sums():
+    def kernel(current):
+        def run(batches):
+            import numpy as np
+            import pyarrow as pa
+            sums = {k: np.zeros((k, len(m[0]) + 2)) for k, m in current.items()}  # sum of the members, their number, their cost
+            for b in batches:
+                x = b.column("_v").drop_null()
+                x = np.asarray(x.flatten(), np.float64).reshape(len(x), -1)
+                for k, m in current.items():
+                    if not len(x):
+                        break
+                    d = np.stack([((x - c) ** 2).sum(1) for c in np.array(m)], 1)
+                    near = d.argmin(1)
+                    cost = d[np.arange(len(x)), near]
+                    for c in np.unique(near):
+                        at = near == c
+                        sums[k][c] += [*x[at].sum(0), at.sum(), cost[at].sum()]
+            rows = [(k, c, s) for k, m in sums.items() for c, s in enumerate(m.tolist()) if s[-2]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+                                              pa.array([r[2] for r in rows], pa.list_(pa.float64()))], names=["k", "c", "sums"])
+        return run
+    return kernel
+
+
+def lloyd(df: DataFrame, vec: str, starts: dict[int, list], max_iter: int = 100) -> dict[int, list]:
     """ML-13 / ML-14: k-means from given rows, for several k at once.
 
     ``starts``: k -> its k initial centres.  Every round is one pass that
     serves all k: each row is assigned to its nearest centre of every k, and
-    the member means (a partial aggregate) become the new centres.  A centre
-    without members stays.  Ends after ``rounds`` or when no centre moves.
-    Only the centres, sum(k) rows bounded by the parameters, reach the
-    driver."""
+    the member means become the new centres.  A centre without members
+    stays.  A k ends when its inertia no longer falls, or after ``max_iter``
+    rounds; the others go on without it.  A task adds its rows up to one row
+    for each k and centre; only the centres' sums, bounded by the
+    parameters, reach the driver."""
     current = {k: [list(c) for c in m] for k, m in starts.items()}
-    for _ in range(rounds):
-        codes = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), nearest_centre(vec, m).alias("c"))
-                                    for k, m in current.items()])).alias("_kc")
-        cells = df.select(codes, V.as_double(vec).alias("_v")).select("_kc.k", "_kc.c", F.posexplode("_v").alias("pos", "x"))
-        means = cells.groupBy("k", "c", "pos").agg(F.avg("x").alias("x"))
-        new = {k: list(m) for k, m in current.items()}
-        for r in means.groupBy("k", "c").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("m")).collect():
-            new[r["k"]][r["c"]] = [t["x"] for t in r["m"]]
-        if new == current:
+    least, running, kernel = {k: math.inf for k in current}, set(current), _member_sums()
+    rows = df.select(V.as_double(vec).alias("_v"))
+    for _ in range(max_iter):
+        part = rows.mapInArrow(kernel({k: current[k] for k in sorted(running)}), "k int, c int, sums array<double>")
+        cells = part.select("k", "c", F.posexplode("sums").alias("pos", "x")).groupBy("k", "c", "pos").agg(F.sum("x").alias("x"))
+        sums = {(r["k"], r["c"], r["pos"]): r["x"] for r in cells.collect()}
+        for k in sorted(running):
+            dim = len(current[k][0])
+            member = [c for c in range(k) if (k, c, dim) in sums]
+            cost = math.fsum(sums[k, c, dim + 1] for c in member)
+            if not cost < least[k]:
+                running.discard(k)
+                continue
+            least[k] = cost
+            for c in member:
+                current[k][c] = [sums[k, c, i] / sums[k, c, dim] for i in range(dim)]
+        if not running:
             break
-        current = new
     return current
 
 

@@ -66,7 +66,8 @@ def ag14(spark, sf):
     return a.agg(R(F.sum("sq_dist"), 4).alias("inertia"), F.count(F.lit(1)).alias("n"))
 
 
-_ROUNDS = 4
+_ROUNDS = 4  # of the step checks: their SQL unrolls so many
+_MAX_ITER = 100
 _KS = range(2, 10)
 
 
@@ -96,28 +97,80 @@ _SWEEP_SQL = " UNION ALL ".join(
     f"SELECT {k} AS k, (SELECT sum(d2) FROM ({_lloyd_sql(k, _ROUNDS)} SELECT d2 FROM a) s) AS wsse" for k in _KS)
 
 
-def _k_sweep(spark, sf):
+def _lloyd_full_sql(k: int, digits: int | None = None) -> str:
+    """The same as ``_lloyd_sql`` from k distinct rows until inertia stops
+    falling: one recursion step a round, at most ``_MAX_ITER``."""
+    centre = "cs[i]" if digits is None else f"list_transform(cs[i], lambda x: round(x, {digits}))"
+    return f"""WITH RECURSIVE e AS {_E},
+f AS (SELECT list(v ORDER BY h, vec_id) AS cs FROM (SELECT h, vec_id, v FROM (
+  SELECT *, row_number() OVER (PARTITION BY v ORDER BY h, vec_id) AS dup FROM (SELECT {_H} AS h, vec_id, v FROM e) t) u
+  WHERE dup = 1 ORDER BY h, vec_id LIMIT {k}) r),
+it AS (SELECT 0 AS r, cs, CAST('inf' AS DOUBLE) AS last FROM f
+  UNION ALL
+  SELECT r + 1, list_transform(range(1, {k} + 1), lambda i: coalesce(map_extract(m, i)[1], cs[i])), cost FROM (
+    SELECT max(r) AS r, max(last) AS last, any_value(cs) AS cs, sum(cost) AS cost, map_from_entries(list((cl, cv))) AS m FROM (
+      SELECT cl, max(r) AS r, max(last) AS last, any_value(cs) AS cs, sum(cost) AS cost, list(x ORDER BY pos) AS cv FROM (
+        SELECT cl, pos, max(r) AS r, max(last) AS last, any_value(cs) AS cs, avg(x) AS x,
+               sum(CASE WHEN pos = 0 THEN d2 ELSE 0 END) AS cost FROM (
+          SELECT r, last, cs, list_position(d, list_min(d)) AS cl, list_min(d) AS d2, unnest(range(0, len(v))) AS pos, unnest(v) AS x FROM (
+            SELECT it.r, it.last, it.cs, e.v, list_transform(it.cs, lambda c: list_sum(list_transform(range(1, len(e.v) + 1),
+              lambda i: (e.v[i] - c[i]) * (e.v[i] - c[i])))) AS d FROM it, e) b) u GROUP BY cl, pos) g GROUP BY cl) w) z
+  WHERE r < {_MAX_ITER} AND cost < last),
+c AS (SELECT i - 1 AS cid, {centre} AS cv FROM (SELECT cs, unnest(range(1, {k} + 1)) AS i FROM (SELECT cs FROM it ORDER BY r DESC LIMIT 1) x) y),
+a AS (SELECT vec_id, v, cid AS cluster, cv, d2 FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cid) AS rn FROM (
+    SELECT e.vec_id, e.v, c.cid, c.cv, list_reduce(list_transform(range(1, len(e.v) + 1),
+      lambda i: (e.v[i] - c.cv[i]) * (e.v[i] - c.cv[i])), lambda a, b: a + b) AS d2 FROM e, c) d) t WHERE rn = 1)"""
+
+
+_SWEEP_FULL_SQL = " UNION ALL ".join(
+    f"SELECT {k} AS k, (SELECT sum(d2) FROM ({_lloyd_full_sql(k)} SELECT d2 FROM a) s) AS wsse" for k in _KS)
+
+
+def _k_sweep(spark, sf, max_iter: int):
     e = _emb(spark, sf)
-    last = CL.lloyd(e, "v", {k: CL.initial_centres(e, "vec_id", "v", k, seed=5) for k in _KS}, _ROUNDS)
+    first = CL.initial_centres(e, "vec_id", "v", max(_KS), seed=5)
+    last = CL.lloyd(e, "v", {k: first[:k] for k in _KS}, max_iter)
     cost = F.array(*[F.struct(F.lit(k).alias("k"), F.array_min(CL.squared_distances("v", m)).alias("d")) for k, m in last.items()])
     return e.select(F.explode(cost).alias("c")).groupBy("c.k").agg(F.sum("c.d").alias("wsse"))
 
 
+def _fitted(spark, sf, max_iter: int):
+    e = _emb(spark, sf)
+    centres = CL.lloyd(e, "v", {10: CL.initial_centres(e, "vec_id", "v", 10, seed=5)}, max_iter)[10]
+    return CL.assign(e, "v", centres).select("vec_id", "cluster")
+
+
 @query("ml13_kmeans_fit", _lloyd_sql(10, _ROUNDS) + """
 SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM a
 """)
 def ml13b(spark, sf):
-    """k-means (k = 10) from given distinct rows, four rounds; the cluster
-    of every row by the fitted centres."""
-    e = _emb(spark, sf)
-    centres = CL.lloyd(e, "v", {10: CL.initial_centres(e, "vec_id", "v", 10, seed=5)}, _ROUNDS)[10]
-    return CL.assign(e, "v", centres).select("vec_id", "cluster")
+    """Step check, not the fit: k-means (k = 10) from given distinct rows,
+    at most the four rounds its SQL unrolls; the cluster of every row.
+    ``ml13_kmeans_fit_full`` is the fit."""
+    return _fitted(spark, sf, _ROUNDS)
+
+
+@query("ml13_kmeans_fit_full", _lloyd_full_sql(10) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM a
+""")
+def ml13c(spark, sf):
+    """k-means (k = 10) from given distinct rows until inertia stops
+    falling; the cluster of every row by the fitted centres."""
+    return _fitted(spark, sf, _MAX_ITER)
 
 
 @query("ml14_k_sweep", f"SELECT k, round(wsse, 4) AS wsse FROM ({_SWEEP_SQL}) w")
 def ml14(spark, sf):
-    """Inertia for k = 2..9, all k in the same passes."""
-    return _k_sweep(spark, sf).select("k", R("wsse", 4).alias("wsse"))
+    """Step check: inertia for k = 2..9 after at most four rounds, all k in
+    the same passes.  ``ml14_k_sweep_full`` fits to the end."""
+    return _k_sweep(spark, sf, _ROUNDS).select("k", R("wsse", 4).alias("wsse"))
+
+
+@query("ml14_k_sweep_full", f"SELECT k, round(wsse, 4) AS wsse FROM ({_SWEEP_FULL_SQL}) w")
+def ml14b(spark, sf):
+    """Inertia for k = 2..9, every k until its inertia stops falling."""
+    return _k_sweep(spark, sf, _MAX_ITER).select("k", R("wsse", 4).alias("wsse"))
 
 
 @query("win1_elbow_kmeans", f"""
@@ -127,8 +180,21 @@ SELECT k, round(wsse, 4) AS wsse FROM p
 WHERE i = coalesce((SELECT min(i) FROM p WHERE i >= 1 AND sl IS NOT NULL AND abs(prev) - abs(sl) > 100), 1)
 """)
 def win1a(spark, sf):
-    """Elbow of the k sweep (threshold 100; second row if none)."""
-    return CL.elbow(_k_sweep(spark, sf), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
+    """Step check: elbow of the four-round k sweep (threshold 100; second
+    row if none).  ``win1_elbow_kmeans_full`` takes the finished fits."""
+    return CL.elbow(_k_sweep(spark, sf, _ROUNDS), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
+
+
+@query("win1_elbow_kmeans_full", f"""
+WITH s AS (SELECT k, wsse, row_number() OVER (ORDER BY k) - 1 AS i, lead(wsse) OVER (ORDER BY k) - wsse AS sl FROM ({_SWEEP_FULL_SQL}) w),
+p AS (SELECT *, lag(sl) OVER (ORDER BY k) AS prev FROM s)
+SELECT k, round(wsse, 4) AS wsse FROM p
+WHERE i = coalesce((SELECT min(i) FROM p WHERE i >= 1 AND sl IS NOT NULL AND abs(prev) - abs(sl) > 100), 1)
+""")
+def win1c(spark, sf):
+    """Elbow of the k sweep fitted to the end (threshold 100; second row if
+    none)."""
+    return CL.elbow(_k_sweep(spark, sf, _MAX_ITER), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
 
 
 def _binned_curve(spark, sf):
@@ -166,11 +232,28 @@ SELECT vec_id, CAST(cluster AS INTEGER) AS code, round(d2, 6) AS sq_error, 64 *
        CAST(ceil(log2(16)) AS INTEGER) AS bits_after FROM a
 """)
 def ml17(spark, sf):
+    """Step check: the codes by a palette of at most two k-means rounds.
+    ``ml17_vector_quantisation_full`` takes the finished fit."""
+    return _quantised(spark, sf, 2)
+
+
+@query("ml17_vector_quantisation_full", _lloyd_full_sql(16, digits=2) + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS code, round(d2, 6) AS sq_error, 64 * 32 AS bits_before,
+       CAST(ceil(log2(16)) AS INTEGER) AS bits_after FROM a
+""")
+def ml17b(spark, sf):
+    """Palette of 16 k-means centres fitted to the end (rounded to 2
+    decimals), one code per vector, the squared error of its reconstruction
+    and the bits per vector before / after."""
+    return _quantised(spark, sf, _MAX_ITER)
+
+
+def _quantised(spark, sf, max_iter: int):
     """Palette of 16 k-means centres (rounded to 2 decimals), one code per
     vector, reconstruction by a broadcast lookup of the (k-row) palette;
     reports the squared error and the bits per vector before / after."""
     e = _emb(spark, sf)
-    centres = CL.lloyd(e, "v", {16: CL.initial_centres(e, "vec_id", "v", 16, seed=5)}, 2)[16]
+    centres = CL.lloyd(e, "v", {16: CL.initial_centres(e, "vec_id", "v", 16, seed=5)}, max_iter)[16]
     palette = [[round(x, 2) for x in c] for c in centres]
     coded = e.select("vec_id", "v", CL.nearest_centre("v", palette).alias("code"))
     pal = spark.createDataFrame([(i, c) for i, c in enumerate(palette)], "code int, centre array<double>")
