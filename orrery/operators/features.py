@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 
 from orrery.session import small_side
 
-NAMED_LEVELS = 1000
-
-
 # ---------------------------------------------------------------- FE-1/2 --
 
 @dataclass
@@ -75,25 +72,26 @@ def standard_fit(df: DataFrame, cols: Sequence[str]) -> StandardModel:
 
 # ------------------------------------------------------------------ FE-3 --
 
-def fit_levels(df: DataFrame, col: str, n: int = NAMED_LEVELS) -> list:
-    """Sorted non-NULL levels that get a column of their own: the ``n``
-    commonest (ties: the smaller level).  Columns are part of the schema, so
-    their number is a parameter; the others encode as all zeros, like unseen
-    ones.  ``one_hot_pipeline`` encodes any number of levels."""
-    rows = (df.filter(F.col(col).isNotNull()).groupBy(col).count()
-              .orderBy(F.desc("count"), F.asc(col)).limit(n).collect())
+def fit_levels(df: DataFrame, col: str, n: int | None = None) -> list:
+    """Sorted non-NULL levels that occur: all of them, or the ``n`` commonest
+    (ties: the smaller level) for a caller that names a number.  For lists
+    short enough to be columns; ``one_hot_pipeline`` encodes any column."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).count()
+    rows = (counts if n is None else counts.orderBy(F.desc("count"), F.asc(col)).limit(n)).collect()
     return sorted(r[0] for r in rows)
 
 
 def one_hot(col: str, levels: Sequence, prefix: str | None = None) -> list[Column]:
-    """FE-3: one named 0/1 column per fitted level; an unseen level or NULL
-    gives all zeros (``handle_unknown='ignore'``)."""
+    """FE-3: one named 0/1 column for each of the levels that the caller
+    lists; any other level or NULL gives all zeros
+    (``handle_unknown='ignore'``)."""
     p = prefix if prefix is not None else col
     return [F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{p}_{v}") for v in levels]
 
 
 def one_hot_pipeline(col: str, out: str):
-    """FE-3 as ML stages producing a sparse vector: alphabetical indexer that
+    """FE-3, the general path for any number of levels: ML stages producing
+    a sparse vector: alphabetical indexer that
     keeps unknowns in an extra last slot, encoder that drops that slot, so
     unseen levels and NULL encode as all zeros (T3)."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer

@@ -78,3 +78,17 @@ def test_kmeans_keeps_a_centre_without_members_and_heeds_max_iter(spark):
                 c = np.array([np.array(x)[near == j].mean(0) if (near == j).any() else c[j] for j in range(k)])
             assert np.allclose(got[k], c)
     assert CL.lloyd(df, "v", start)[3][2] == [500.0]
+
+
+def test_one_hot_keeps_every_level(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    n = 1203
+    df = spark.range(2 * n).select(F.format_string("l%04d", F.col("id") % n).alias("s"))
+    levels = FE.fit_levels(df, "s")
+    assert levels == [f"l{i:04d}" for i in range(n)]
+    model = Pipeline(stages=FE.one_hot_pipeline("s", "hot")).fit(df)
+    some = spark.createDataFrame([("l0000",), ("l1202",), ("new",), (None,)], "s string")
+    hot = [list(np.flatnonzero(r[0])) for r in model.transform(some).select(vector_to_array("hot")).collect()]
+    assert hot == [[0], [1202], [], []]
+    assert [sum(r) for r in some.select(*FE.one_hot("s", levels[-2:])).collect()] == [0, 1, 0, 0]
