@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
+from orrery.llm.base import cut_lineage
 from orrery.llm.sampling import fold, in_hash_order, texts_of
 
 DOCS_PER_LABEL = 3000
@@ -146,8 +147,11 @@ def fit(bags: list[tuple[str, int]], weight: dict[int, float], enriched: float =
 
 def train(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_LABEL, max_chars: int = MAX_CHARS,
           seed: int = 5) -> dict | None:
-    """Model from ``labels`` (doc_id, label 0/1) and ``docs`` (doc_id, text)."""
-    marks = labels.filter("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("int"))
+    """Model from ``labels`` (doc_id, label 0/1) and ``docs`` (doc_id, text);
+    labels of documents that are not in ``docs`` count for nothing."""
+    here = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    marks = cut_lineage(labels.filter("doc_id is not null and label in (0, 1)")
+                        .select("doc_id", F.col("label").cast("int")).join(here, "doc_id", "left_semi"))
     total = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
         return None

@@ -1,0 +1,17 @@
+"""Whole jobs that the review of round 2 found cut short: training-data operators."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from orrery.llm import html_crf, quality, toxicity
+
+
+def test_toxicity_samples_only_labels_of_its_documents(spark, monkeypatch):
+    docs = spark.range(0, 400, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 8 == 0).cast("int").alias("label"))
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda bags, weight: seen.append((bags, weight)) or {"": 0.0})
+    toxicity.train(docs, labels, docs_per_label=20)
+    bags, weight = seen[0]
+    assert [sum(y == k for _, y in bags) for k in (0, 1)] == [20, 20]
+    assert weight == {0: 50 / 20, 1: 50 / 20}
