@@ -240,10 +240,15 @@ def ml19(spark, sf):
     return M.rank_desc(spark.createDataFrame(rows, "num_trees int, max_depth int, mean_score double"), "mean_score")
 
 
+_CLASS = "1"  # of ml20's best recall and precision, as classification_report names it
+
+
 @query("ml20_model_comparison")
 def ml20(spark, sf):
     """Several models on one split; per model accuracy, macro recall and
-    precision from the classification report; best by accuracy flagged."""
+    precision and those of one class from the classification report; best
+    by accuracy, by recall and by precision of the class flagged (ties: the
+    first model; none if the class never occurs)."""
     train, test = _emb(spark, sf)
     train = _few_parts(train)
     n = train.count()
@@ -254,18 +259,32 @@ def ml20(spark, sf):
     for i, (name, est) in enumerate(models.items()):
         pred = _predict(est.fit(train), test)
         rep = M.classification_report(pred, "label", "prediction", zero_division=0.0)
-        frames.append(rep.filter(F.col("class").isin("accuracy", "macro avg"))
+        frames.append(rep.filter(F.col("class").isin("accuracy", "macro avg", _CLASS))
                       .select(F.lit(name).alias("model"), F.lit(i).alias("ordinal"), "class", "precision", "recall"))
     allr = rel.stack(frames)
     wide = allr.groupBy("model", "ordinal").agg(
         F.max(F.when(F.col("class") == "accuracy", F.col("precision"))).alias("accuracy"),
         F.max(F.when(F.col("class") == "macro avg", F.col("recall"))).alias("macro_recall"),
-        F.max(F.when(F.col("class") == "macro avg", F.col("precision"))).alias("macro_precision"))
-    best = M.arg_best(wide.withColumn("_g", F.lit(1)), ["_g"], "model", "accuracy", "ordinal", out="best_model")
-    return wide.withColumn("_g", F.lit(1)).join(F.broadcast(best), "_g") \
-            .select("model", R("accuracy").alias("accuracy"), R("macro_recall").alias("macro_recall"),
-                    R("macro_precision").alias("macro_precision"),
-                    (F.col("model") == F.col("best_model")).alias("is_best"))
+        F.max(F.when(F.col("class") == "macro avg", F.col("precision"))).alias("macro_precision"),
+        F.max(F.when(F.col("class") == _CLASS, F.col("recall"))).alias("class_recall"),
+        F.max(F.when(F.col("class") == _CLASS, F.col("precision"))).alias("class_precision"))
+    return flag_best(wide)
+
+
+def flag_best(wide):
+    """ML-20: rounded scores of every model, and which is the first best by
+    accuracy, by recall and by precision of the class."""
+    wide = wide.withColumn("_g", F.lit(1))
+    scores = {"accuracy": "is_best", "class_recall": "is_best_recall", "class_precision": "is_best_precision"}
+    out = wide
+    for score, flag in scores.items():
+        best = M.arg_best(wide, ["_g"], "model", score, "ordinal", out="_best")
+        out = (out.join(F.broadcast(best), "_g")
+                  .withColumn(flag, (F.col("model") == F.col("_best")) & F.col(score).isNotNull()).drop("_best"))
+    return out.select("model", R("accuracy").alias("accuracy"), R("macro_recall").alias("macro_recall"),
+                      R("macro_precision").alias("macro_precision"), "is_best",
+                      F.lit(_CLASS).alias("class"), R("class_recall").alias("class_recall"),
+                      R("class_precision").alias("class_precision"), "is_best_recall", "is_best_precision")
 
 
 def _score_pipeline():

@@ -8,6 +8,7 @@ from conftest import SF_SMALL
 from orrery.operators import cluster as CL
 from orrery.operators import features as FE
 from orrery.plans import q_cluster as QC
+from orrery.plans import q_models as QM
 from orrery.plans import registry
 from orrery.sources.tables import table
 
@@ -92,3 +93,19 @@ def test_one_hot_keeps_every_level(spark):
     hot = [list(np.flatnonzero(r[0])) for r in model.transform(some).select(vector_to_array("hot")).collect()]
     assert hot == [[0], [1202], [], []]
     assert [sum(r) for r in some.select(*FE.one_hot("s", levels[-2:])).collect()] == [0, 1, 0, 0]
+
+
+def test_best_model_by_accuracy_and_by_scores_of_a_class(spark):
+    cols = "model string, ordinal int, accuracy double, macro_recall double, macro_precision double, class_recall double, class_precision double"
+    rows = [("a", 0, 0.9, 0.5, 0.5, 0.2, 0.7), ("b", 1, 0.8, 0.5, 0.5, 0.6, 0.7), ("c", 2, 0.7, 0.5, 0.5, 0.6, 0.1)]
+    got = QM.flag_best(spark.createDataFrame(rows, cols)).collect()
+    best = lambda flag, rows: [r["model"] for r in rows if r[flag]]
+    assert best("is_best", got) == ["a"] and best("is_best_recall", got) == ["b"] and best("is_best_precision", got) == ["a"]
+    none = QM.flag_best(spark.createDataFrame([(*r[:5], None, None) for r in rows], cols)).collect()
+    assert best("is_best", none) == ["a"] and not best("is_best_recall", none) and not best("is_best_precision", none)
+
+
+def test_model_comparison_reports_the_class(spark):
+    got = registry.QUERIES["ml20_model_comparison"](spark, SF_SMALL).collect()
+    for score, flag in (("class_recall", "is_best_recall"), ("class_precision", "is_best_precision")):
+        assert [r[score] for r in got if r[flag]] == [max(r[score] for r in got)]
