@@ -23,8 +23,8 @@ bound); extraction covers every page and its whole html.
 Defined results: null html is empty; a page without main text gives the
 empty text; character references are decoded, white space within a block
 becomes one space, blocks are joined by one space; script, style, template,
-head and the like never are text; repeated rows get equal texts; without
-labelled pages a fixed model of the same features (the tag names' usual
+head, the annotations of formulas and the like never are text; repeated rows
+get equal texts; without labelled pages a fixed model of the same features (the tag names' usual
 roles) is used; other columns are carried along.
 """
 
@@ -42,7 +42,11 @@ BLOCK = set("""address article aside blockquote body button caption center col c
  nav noscript ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr
  ul br""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("script style template head title noscript svg math object iframe audio video canvas select textarea button".split())
+SKIPPED = set("script style template head title noscript svg object iframe audio video canvas select textarea button".split())
+ANNOTATION = set("annotation annotation-xml".split())  # of formulas; never shown
+SKIPPED |= ANNOTATION
+#: elements that may stand in a head; any other start tag, or text, ends one that is open
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 #: elements that a new start tag closes, up to the nearest container
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -63,7 +67,7 @@ def tokens():
     from the outermost on, each (name, set of attribute words, number)."""
     import re
     from html import unescape
-    part = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
+    part = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+)?)*)>?", re.S)
     named = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
     word = re.compile(r"[a-z]+")
 
@@ -90,8 +94,11 @@ def tokens():
                 text, linked = [], 0
 
         def pop(i):
-            nonlocal skip
             flush()
+            close(i)
+
+        def close(i):
+            nonlocal skip
             for name, _, _ in path[i:]:
                 skip -= name in SKIPPED
             del path[i:]
@@ -100,6 +107,8 @@ def tokens():
         while at < n:
             m = part.search(html, at)
             stop = m.start() if m else n
+            if path and path[-1][0] == "head" and not html[at:stop].isspace() and stop > at:
+                pop(len(path) - 1)
             if stop > at and not skip:
                 text.append(html[at:stop])
                 if any(x == "a" for x, _, _ in path):
@@ -115,8 +124,12 @@ def tokens():
                     flush()
                 for i in range(len(path) - 1, -1, -1):
                     if path[i][0] == name:
-                        if name in BLOCK or name in SKIPPED:
+                        if name in ANNOTATION:
+                            close(i)
+                        elif name in BLOCK or name in SKIPPED:
                             pop(i)
+                        elif name == "math":  # ends what is open in it; the line goes on
+                            close(i)
                         else:
                             del path[i]
                         break
@@ -133,7 +146,9 @@ def tokens():
                     break
                 if x in BLOCK and x != "p" and x not in CLOSES.get(name, ()):
                     break
-            if name == "body" or name == "article":  # a head that was never closed ends here
+            if path and path[-1][0] == "head" and name not in IN_HEAD:
+                pop(len(path) - 1)
+            elif name == "body" or name == "article":  # a head that was never closed ends here
                 for i, (x, _, _) in enumerate(path):
                     if x == "head":
                         pop(i)

@@ -15,3 +15,17 @@ def test_toxicity_samples_only_labels_of_its_documents(spark, monkeypatch):
     bags, weight = seen[0]
     assert [sum(y == k for _, y in bags) for k in (0, 1)] == [20, 20]
     assert weight == {0: 50 / 20, 1: 50 / 20}
+
+
+def test_html_reader_keeps_text_of_valid_and_sloppy_pages():
+    read = html_crf.tokens()
+    text = lambda html: [t for t, _ in read(html)]
+    assert text("<head><title>T</title><meta name=x><script>var a</script><main><p>One.</p><p>Two.</p></main>") == ["One.", "Two."]
+    assert text("<html><head>\n<title>T</title>\n<noscript><img src=x></noscript><style>p{}</style>\n<p>One.") == ["One."]
+    assert text("<head><title>T</title>Bare text<p>Two.") == ["Bare text", "Two."]
+    assert text("<head><title>T</title></head><body><p>One.</p></body>") == ["One."]
+    assert text("<p title=Bob's>One.</p><p>It's two.</p>") == ["One.", "It's two."]
+    assert text("<p class=a\">One.</p><p id=x\">Two.</p>") == ["One.", "Two."]
+    assert text("<p title=\"a>b\" class = 'c>d' data-x=q='>One.</p>") == ["One."]
+    assert text("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds.</p>") == ["So x=1 holds."]
+    assert text("<p>So <math><mi>x</mi><annotation>x</math>, it holds.</p>") == ["So x, it holds."]
