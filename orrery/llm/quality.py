@@ -162,7 +162,6 @@ def fit(pos, unl, hidden: int = 24, steps: int = 500, batch: int = 1024, rate: f
             net.step(x, slope, rate * 0.5 * (1 + np.cos(np.pi * i / steps)) + 1e-4)
         return net
 
-    prior = estimate_prior(risk(prior).logit(pos), risk(prior).logit(unl)) if len(pos) < 50 else prior
     net = risk(prior)
     prior = min(prior, estimate_prior(net.logit(pos), net.logit(unl)))
     return risk(prior), prior

@@ -29,3 +29,12 @@ def test_html_reader_keeps_text_of_valid_and_sloppy_pages():
     assert text("<p title=\"a>b\" class = 'c>d' data-x=q='>One.</p>") == ["One."]
     assert text("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds.</p>") == ["So x=1 holds."]
     assert text("<p>So <math><mi>x</mi><annotation>x</math>, it holds.</p>") == ["So x, it holds."]
+
+
+def test_quality_prior_is_estimated_in_one_way_at_every_size(monkeypatch):
+    rng, real = np.random.default_rng(4), quality.estimate_prior
+    for n in (8, 49, 50):
+        sizes = []
+        monkeypatch.setattr(quality, "estimate_prior", lambda p, u: sizes.append(len(p)) or real(p, u))
+        quality.fit(rng.normal(1, 1, (n, 3)), rng.normal(0, 1, (200, 3)), steps=20)
+        assert sizes == [n // 2, n]  # the held-out half, then the final fit
