@@ -8,6 +8,7 @@ from orrery.llm import (  # noqa: F401
     q_packing,
     q_prefix,
     q_search,
+    q_spelling,
     q_tokens,
 )
 from orrery.llm.base import ORACLES, QUERIES  # noqa: F401
