@@ -23,28 +23,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.base import cut_lineage, shuffle_partitions, text_or_empty, words
+from orrery.llm.base import cut_lineage, shuffle_partitions, text_or_empty
 
 K = 128
 SHINGLE = 5
 
 
+#: the six ASCII white-space characters (fixed value)
+WHITE = " \t\n\x0b\f\r"
+
+
 def _bottom(hashes: Column, k: int) -> Column:
     return F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)
 
 
+def _word_hashes(text: Column) -> Column:
+    trimmed = F.trim(F.lower(text), F.lit(WHITE))
+    found = F.when(F.length(trimmed) > 0, F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
+    return F.transform(found, lambda w: F.xxhash64(w))
+
+
+def _shingles(h: Column, n: int) -> Column:
+    """Hashes of the runs of ``n`` words (fewer words: of the whole; none: none)."""
+    whole = F.filter(F.array(F.aggregate(h, F.lit(42).cast("long"), lambda a, w: F.xxhash64(a, w))),
+                     lambda _: F.size(h) > 0)
+    return F.when(F.size(h) < n, whole).otherwise(_full_shingles(h, n))
+
+
+def _full_shingles(h: Column, n: int) -> Column:
+    return F.transform(F.slice(h, 1, F.greatest(F.size(h) - (n - 1), F.lit(0))),
+                       lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, n)]))
+
+
+def _bottom_of_words(h: Column, k: int, n: int) -> Column:
+    # a one-element array binds the word hashes, so that they are made once
+    return _bottom(F.flatten(F.transform(F.array(h), lambda x: _shingles(x, n))), k)
+
+
 def sketch(text: Column, k: int = K, n: int = SHINGLE) -> Column:
     """Bottom-k sketch (array<bigint>) of a text column."""
-    def shingles(h: Column) -> Column:
-        whole = F.filter(F.array(F.aggregate(h, F.lit(42).cast("long"), lambda a, w: F.xxhash64(a, w))),
-                         lambda _: F.size(h) > 0)
-        many = F.transform(F.slice(h, 1, F.greatest(F.size(h) - (n - 1), F.lit(0))),
-                           lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, n)]))
-        return F.when(F.size(h) < n, whole).otherwise(many)
+    return _bottom_of_words(_word_hashes(text), k, n)
 
-    # a one-element array binds the word hashes, so that they are made once
-    hashed = F.array(F.transform(words(F.lower(text)), lambda w: F.xxhash64(w)))
-    return _bottom(F.flatten(F.transform(hashed, shingles)), k)
+
+def _last_word(head: Column) -> Column:
+    """The last word of a beginning, with a space if the beginning goes on
+    behind it: what the words of any continuation start with."""
+    piece = F.substring_index(F.rtrim(head, F.lit(WHITE)), " ", -1)
+    return F.concat(F.element_at(F.split(piece, r"[\x20\x09-\x0D]+"), -1),
+                    F.when(F.substring(head, -1, 1).isin(list(WHITE)), " ").otherwise(""))
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
@@ -70,10 +96,10 @@ def merge_parts(parts: DataFrame, key: str, col: str, k: int = K) -> DataFrame:
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard resemblance: the share of the union's bottom k that
     is in both sketches."""
-    both = F.array_intersect(a, b)
-    u = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
-    shared = F.size(F.filter(both, lambda x: x <= F.element_at(u, -1)))
-    return F.when(F.size(u) == 0, F.lit(1.0)).otherwise(shared / F.greatest(F.size(u), F.lit(1)))
+    both, total = F.array_intersect(a, b), F.size(a) + F.size(b)
+    size = F.least(F.lit(k), total - F.size(both))
+    shared = F.size(F.array_intersect(both, merge(a, b, k)))
+    return (shared + (total == 0).cast("int")) / F.greatest(size, F.lit(1))
 
 
 def distinct_count(a: Column, k: int = K) -> Column:
@@ -83,10 +109,11 @@ def distinct_count(a: Column, k: int = K) -> Column:
     return F.when(F.size(a) < k, F.size(a).cast("double")).otherwise(F.lit(k - 1.0) / place)
 
 
-def containment(a: Column, b: Column, k: int = K) -> Column:
-    """Estimated share of a's shingles that b has too."""
-    j = resemblance(a, b, k)
-    union = distinct_count(merge(a, b, k), k)
+def containment(a: Column, b: Column, k: int = K, near: Column | None = None) -> Column:
+    """Estimated share of a's shingles that b has too.  ``near``: their
+    resemblance, where it is known."""
+    j = resemblance(a, b, k) if near is None else near
+    union = F.element_at(F.transform(F.array(merge(a, b, k)), lambda u: distinct_count(u, k)), 1)
     own = distinct_count(a, k)
     return (F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(F.size(a) == 0, F.lit(0.0))
             .otherwise(F.least(F.lit(1.0), j * union / own)))
@@ -145,18 +172,32 @@ def dealt_in_order(docs: DataFrame, order_cols: list[str], id_col: str = "doc_id
 def edited_pairs(docs: DataFrame, k: int = K, n: int = SHINGLE) -> DataFrame:
     """For (doc_id, text): sketches of every text, of its edited text (the
     last quarter replaced by the beginning of the next document), and the
-    estimated resemblance to both the edited text and the next document."""
+    estimated resemblance to both the edited text and the next document.
+
+    Text and edited text share three quarters: their words are split and
+    hashed once, and both sketches are merged from that part's."""
     base = docs.select("doc_id", text_or_empty().alias("text"))
     rows, in_order = dealt_in_order(base, ["text"])
-    nxt = (rows.withColumn("sketch", sketch(F.col("text"), k, n))
+    rows = (rows.withColumn("n_chars", F.length("text").cast("long"))
+            .withColumn("_cut", F.floor(F.col("n_chars") / 4).cast("int"))
+            .withColumn("_keep", (F.col("n_chars") - F.col("_cut")).cast("int")))
+    head, tail = F.substring("text", F.lit(1), F.col("_keep")), F.substring("text", F.col("_keep") + 1, F.col("_cut"))
+    h, before = F.col("_h"), F.col("_before")
+    # the sketch of the words that both texts begin with (the last word may go on behind the cut), and the last of them
+    rows = (rows.withColumn("_h", _word_hashes(head)).withColumn("_h", F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))))
+            .withColumn("_begin", _bottom(F.flatten(F.transform(F.array(h), lambda x: _full_shingles(x, n))), k))
+            .withColumn("_before", F.slice(h, F.greatest(F.size(h) - (n - 2), F.lit(1)), n - 1))
+            .withColumn("_last", _last_word(head)))
+
+    def continued(rest: Column) -> Column:
+        return merge(F.col("_begin"), _bottom_of_words(F.concat(before, _word_hashes(F.concat("_last", rest))), k, n), k)
+
+    nxt = (rows.withColumn("sketch", continued(tail))
            .withColumn("next", F.lead(F.struct("text", "sketch")).over(in_order))
-           .filter("_end = 0")
-           .withColumn("n_chars", F.length("text").cast("long"))
-           .withColumn("_cut", F.floor(F.col("n_chars") / 4)))
-    edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("_cut")).cast("int")),
-                      F.substring("next.text", F.lit(1), F.col("_cut").cast("int")))
-    return (nxt.withColumn("edited", edited)
-            .withColumn("edited_sketch", sketch(F.col("edited"), k, n))
-            .select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "edited_sketch",
+           .filter("_end = 0"))
+    new = F.substring("next.text", F.lit(1), F.col("_cut"))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("_keep")), new)
+    return (nxt.withColumn("edited_sketch", continued(new))
+            .select("doc_id", "n_chars", F.sha2(edited, 256).alias("edited_sha256"), "sketch", "edited_sketch",
                     resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
                     resemblance(F.col("sketch"), F.col("next.sketch"), k).alias("near_next")))

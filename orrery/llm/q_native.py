@@ -96,4 +96,4 @@ def op2_fingerprints(spark, sf):
     return f.select("doc_id", "n_chars", "edited_sha256", fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
                     fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next",
                     fingerprints.distinct_count(F.col("sketch")).alias("distinct_shingles"),
-                    fingerprints.containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_in_edited"))
+                    fingerprints.containment(F.col("sketch"), F.col("edited_sketch"), near=F.col("near_edited")).alias("contained_in_edited"))
