@@ -36,5 +36,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: F.length(w) > 0)
 
 
+def quoted(name: str) -> str:
+    """A column's name, whatever it holds, as ``F.col`` takes it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(df: DataFrame, text_col: str, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """(row, text): the other columns in one struct, so that no name of
+    theirs can clash with a kernel's, and the names that are kept."""
+    names = [c for c in df.columns if c not in (text_col, *drop)]
+    row = F.struct(*[F.col(quoted(c)).alias(c) for c in names]) if names else F.struct(F.lit(True).alias("none"))
+    return df.select(row.alias("row"), F.col(quoted(text_col)).cast("string").alias("text")), names
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -34,6 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from orrery.llm.base import carried
+from orrery.llm.sampling import keyed, rows_in_hash_order, texts_of
+
 PAGES = 240
 
 #: fixed values: HTML elements by their role in a page
@@ -62,23 +65,47 @@ NOT_MAIN = set("""ad ads advert advertisement banner sponsor sponsored promo pro
  contentinfo complementary banner""".split())
 
 
+#: containers that a stray end of an inline element does not reach across
+CONTAINERS = set("article main body table section div nav aside header footer".split())
+ARTICLE = set("article main".split())
+OUTER = set("nav footer aside form".split())  # an article in one of these is none
+
+
 def tokens():
-    """The reader: html -> list of (text, path), path being the open tags
-    from the outermost on, each (name, set of attribute words, number)."""
+    """The reader: html -> list of (text, place, is a link).  A place is what
+    the open tags amount to: block names, attribute words, the innermost
+    block and container, and whether they are in a marked article or in a part
+    that is tagged or named as something else.  It is kept by counting tags as
+    they open and end, so a block costs the same at any depth; blocks share
+    their place until a tag changes it.  ``known`` limits the attribute words
+    that are kept to those."""
     import re
     from html import unescape
     part = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+)?)*)>?", re.S)
     named = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
     word = re.compile(r"[a-z]+")
+    none = frozenset()
 
     def attribute_words(attrs):
         if "=" not in attrs:
-            return frozenset()
+            return none
         found = " ".join(a or b or c for a, b, c in named.findall(attrs))
         return frozenset(word.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", found).lower()))
 
-    def read(html):
-        blocks, path, text, at = [], [], [], 0
+    class Place:
+        __slots__ = ("names", "words", "leaf", "box", "not_main", "article", "marked", "aside", "before", "features")
+
+    class Open:
+        """An open tag and what it adds."""
+        __slots__ = ("name", "open", "containers", "at", "words", "not_main", "article", "marked", "level", "before")
+
+    def read(html, known=None):
+        blocks, path, blocks_open, text, at = [], [], [], [], 0
+        count, inline = {}, {}  # open elements by name; the inline ones themselves
+        words = {}  # open elements by attribute word
+        bad, befores = [0], [False]  # by open article: parts of another kind below it; whether it lies in one
+        not_main = article = marked = outer = 0  # open elements of these kinds
+        boxes, place = [], None
         skip = 0  # how many open elements hold no text
         linked = 0  # characters of ``text`` inside links
 
@@ -89,29 +116,93 @@ def tokens():
                 link = 2 * linked > len(s)
                 s = " ".join(unescape(s).split())
                 if s:  # a block counts as a link if most of it is one
-                    above = [x for x in path if x[0] != "a"]
-                    blocks.append((s, tuple(above + [("a", frozenset(), -1)] if link else above)))
+                    blocks.append((s, here(), link))
                 text, linked = [], 0
 
+        def here():
+            nonlocal place
+            if place is None:
+                place = Place()
+                place.names = frozenset(x for x, c in count.items() if c and x in BLOCK)
+                place.words, place.features = frozenset(words), None
+                place.leaf, place.box = path[blocks_open[-1]].name if blocks_open else "none", boxes[-1].at if boxes else -1
+                place.not_main, place.article, place.marked = not_main > 0, article > 0, marked > 0
+                place.aside, place.before = bad[-1] > 0, befores[-1]
+            return place
+
+        def tally(x, d):
+            """Counts what a tag adds (d = 1) or takes away (-1)."""
+            nonlocal skip, not_main, article, marked, outer, place
+            count[x.name] = count.get(x.name, 0) + d
+            skip += d * (x.name in SKIPPED)
+            if x.name == "a":  # links count by the block, not by the path
+                return
+            place = None
+            not_main += d * x.not_main
+            article += d * x.article
+            marked += d * x.marked
+            outer += d * (x.name in OUTER)
+            if x.level is not None:
+                bad[x.level] += d
+            for w in x.words:
+                c = words[w] = words.get(w, 0) + d
+                if not c:
+                    del words[w]
+
+        def start(name, ws):
+            x = Open()
+            x.name, x.open, x.at = name, True, at
+            x.containers = (path[-1].containers if path else 0) + (name in CONTAINERS)
+            x.words, x.not_main, x.article = ws if known is None else ws & known, bool(ws & NOT_MAIN), "articlebody" in ws
+            x.marked = name in ARTICLE or x.article or {"article", "body"} <= ws
+            if name in ARTICLE:
+                bad.append(0)
+                befores.append(outer > 0)
+                x.level = None
+            else:
+                x.level = len(bad) - 1 if path and (name in BOILERPLATE or x.not_main) else None
+            if name in BOXES:
+                boxes.append(x)
+            if name in BLOCK:
+                blocks_open.append(len(path))
+            else:
+                inline.setdefault(name, []).append(x)
+            path.append(x)
+            tally(x, 1)
+
+        def shut(x):
+            if x.open:
+                x.open = False
+                tally(x, -1)
+                if x.name in ARTICLE:
+                    bad.pop()
+                    befores.pop()
+                if boxes and boxes[-1] is x:
+                    boxes.pop()
+
+        def close(i):
+            while len(path) > i:
+                shut(path.pop())
+            while blocks_open and blocks_open[-1] >= i:
+                blocks_open.pop()
+
         def pop(i):
             flush()
             close(i)
 
-        def close(i):
-            nonlocal skip
-            for name, _, _ in path[i:]:
-                skip -= name in SKIPPED
-            del path[i:]
+        def last(name):
+            """Place on the path of the innermost open ``name``."""
+            return next(i for i in range(len(path) - 1, -1, -1) if path[i].name == name and path[i].open)
 
         n = len(html)
         while at < n:
             m = part.search(html, at)
             stop = m.start() if m else n
-            if path and path[-1][0] == "head" and not html[at:stop].isspace() and stop > at:
+            if path and path[-1].name == "head" and not html[at:stop].isspace() and stop > at:
                 pop(len(path) - 1)
             if stop > at and not skip:
                 text.append(html[at:stop])
-                if any(x == "a" for x, _, _ in path):
+                if count.get("a"):
                     linked += stop - at
             if not m or m.end() == n and html[-1] != ">":  # a tag that the page breaks off in
                 break
@@ -120,39 +211,42 @@ def tokens():
             if not name:
                 continue
             if m.group(1):
-                if name == "br" or name == "p" and all(x != "p" for x, _, _ in path):
+                if name == "br" or name == "p" and not count.get("p"):
                     flush()
-                for i in range(len(path) - 1, -1, -1):
-                    if path[i][0] == name:
-                        if name in ANNOTATION:
-                            close(i)
-                        elif name in BLOCK or name in SKIPPED:
-                            pop(i)
-                        elif name == "math":  # ends what is open in it; the line goes on
-                            close(i)
-                        else:
-                            del path[i]
-                        break
-                    if path[i][0] in ("article", "main", "body", "table", "section", "div", "nav", "aside", "header",
-                                      "footer") and name not in BLOCK:
-                        break  # a stray end of an inline element
+                if not count.get(name):
+                    continue
+                if name in ANNOTATION or name == "math":  # ends what is open in it; the line goes on
+                    if name in BLOCK or path[-1].containers == path[last(name)].containers:
+                        close(last(name))
+                elif name in BLOCK:
+                    pop(last(name))
+                else:
+                    held = inline[name]
+                    while not held[-1].open:
+                        held.pop()
+                    x = held[-1]
+                    if path[-1].containers != x.containers:
+                        continue  # a stray end of an inline element
+                    if name in SKIPPED:
+                        pop(last(name))
+                        continue
+                    shut(x)
+                    while path and not path[-1].open:
+                        path.pop()
                 continue
             if name in BLOCK:
                 flush()
-            for i in range(len(path) - 1, -1, -1):
-                x = path[i][0]
+            for i in reversed(blocks_open):
+                x = path[i].name
                 if x in CLOSES.get(name, ()) or x == "p" and name in ENDS_P:
                     pop(i)
                     break
-                if x in BLOCK and x != "p" and x not in CLOSES.get(name, ()):
+                if x != "p" and x not in CLOSES.get(name, ()):
                     break
-            if path and path[-1][0] == "head" and name not in IN_HEAD:
+            if path and path[-1].name == "head" and name not in IN_HEAD:
                 pop(len(path) - 1)
-            elif name == "body" or name == "article":  # a head that was never closed ends here
-                for i, (x, _, _) in enumerate(path):
-                    if x == "head":
-                        pop(i)
-                        break
+            elif (name == "body" or name == "article") and count.get("head"):  # a head that was never closed ends here
+                pop(next(i for i, x in enumerate(path) if x.name == "head"))
             if name in VOID or m.group(3).rstrip().endswith("/") and name not in BLOCK:
                 continue
             if name in ("script", "style"):  # raw text up to its end tag
@@ -161,8 +255,7 @@ def tokens():
                     break
                 at = html.find(">", end.start()) + 1 or n
                 continue
-            path.append((name, attribute_words(m.group(3)), at))
-            skip += name in SKIPPED
+            start(name, attribute_words(m.group(3)))
         flush()
         return blocks
     return read
@@ -175,39 +268,40 @@ def block_features():
     notice = re.compile(r"©|\(c\)|all rights reserved|cookies?\b|privacy|subscribe|sign in|log in|newsletter|advertis|sponsored|"
                         r"accept all|terms of|share this|read more|related|comment|reply", re.I)
 
+    def above(place):
+        """Features of the open tags, made once for each."""
+        f = ["leaf=" + place.leaf, *("in=" + x for x in place.names if x not in ("html", "body", "p")),
+             *("word=" + w for w in place.words)]
+        if place.not_main:
+            f.append("named-not-main")
+        if BOILERPLATE & place.names:
+            f.append("in-boilerplate")
+        return f
+
     def of(blocks):
         out, n = [], len(blocks)
-        boxes, chars, linked = [], {}, {}  # each block's innermost container; text and link text of those
-        for text, path in blocks:
-            box = next((k for x, _, k in reversed(path) if x in BOXES), -1)
-            boxes.append(box)
-            chars[box] = chars.get(box, 0) + len(text)
-            if any(x == "a" for x, _, _ in path):
-                linked[box] = linked.get(box, 0) + len(text)
-        for i, (text, path) in enumerate(blocks):
-            c = chars[boxes[i]]
-            names = [x for x, _, _ in path]
-            last = next((x for x in reversed(names) if x in BLOCK), "none")
-            f = ["bias", "leaf=" + last]
-            f += {"in=" + x for x in names if x in BLOCK and x not in ("html", "body", "p")}
-            words = {w for _, ws, _ in path for w in ws}
-            f += ["word=" + w for w in words]
-            if words & NOT_MAIN:
-                f.append("named-not-main")
-            if BOILERPLATE & set(names):
-                f.append("in-boilerplate")
-            if "a" in names:
+        chars, linked = {}, {}  # text and link text of each innermost container
+        for text, place, link in blocks:
+            chars[place.box] = chars.get(place.box, 0) + len(text)
+            if link:
+                linked[place.box] = linked.get(place.box, 0) + len(text)
+        for i, (text, place, link) in enumerate(blocks):
+            if place.features is None:
+                place.features = above(place)
+            c = chars[place.box]
+            f = ["bias", *place.features]
+            if link:
                 f.append("in-link")
             k = len(text)
             f.append("chars=%d" % (0 if k < 12 else 1 if k < 40 else 2 if k < 120 else 3 if k < 400 else 4))
             f.append("ends=" + (text[-1] if text[-1] in ".!?:|,;" else "letter" if text[-1].isalpha() else "other"))
             box = 0 if c < 60 else 1 if c < 200 else 2 if c < 600 else 3
             f.append("box=%d" % box)
-            if not (words & NOT_MAIN or BOILERPLATE & set(names) or "a" in names):
-                f += ["clean", "clean,box=%d" % box, "clean,leaf=" + last]
-                if "article" in names or "main" in names or "articlebody" in words:
+            if not (place.not_main or BOILERPLATE & place.names or link):
+                f += ["clean", "clean,box=%d" % box, "clean,leaf=" + place.leaf]
+                if "article" in place.names or "main" in place.names or place.article:
                     f.append("clean,article")
-            if linked.get(boxes[i], 0) > c / 2:
+            if linked.get(place.box, 0) > c / 2:
                 f.append("box-of-links")
             if notice.search(text):
                 f.append("notice")
@@ -221,20 +315,9 @@ def block_features():
 
 def silver(blocks):
     """Labels of a page that marks its article, else None."""
-    marked = [any(x in ("article", "main") or "articlebody" in ws or {"article", "body"} <= ws for x, ws, _ in path)
-              for _, path in blocks]
-    if not any(marked):
+    if not any(place.marked for _, place, _ in blocks):
         return None
-    out = []
-    for (_, path), m in zip(blocks, marked):
-        inner = 0
-        for i, (x, _, _) in enumerate(path):
-            if x in ("article", "main"):
-                inner = i
-        aside = any(x in BOILERPLATE or ws & NOT_MAIN for x, ws, _ in path[inner + 1:])
-        before = any(x in ("nav", "footer", "aside", "form") for x, _, _ in path[:inner])
-        out.append(int(m and not aside and not before))
-    return out
+    return [int(place.marked and not place.aside and not place.before) for _, place, _ in blocks]
 
 
 def rewritten(blocks, labels, rng) -> list[tuple]:
@@ -243,8 +326,8 @@ def rewritten(blocks, labels, rng) -> list[tuple]:
     Gives (parts as (html, label), opening tags, closing tags)."""
     import re
     from html import escape
-    main = [t for (t, _), y in zip(blocks, labels) if y]
-    rest = [t for (t, _), y in zip(blocks, labels) if not y] or ["Home", "About us"]
+    main = [t for (t, *_), y in zip(blocks, labels) if y]
+    rest = [t for (t, *_), y in zip(blocks, labels) if not y] or ["Home", "About us"]
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
 
     def some(a, b):
@@ -388,13 +471,14 @@ def extractor(model):
     """Function: html -> main text."""
     weights, trans, start = model
     read, of = tokens(), block_features()
+    known = frozenset(f[5:] for f in weights if f.startswith("word="))
 
     def main_text(html):
-        blocks = read(html or "")
+        blocks = read(html or "", known)
         if not blocks:
             return ""
         labels = viterbi([sum(weights.get(f, 0.0) for f in fs) for fs in of(blocks)], trans, start)
-        return " ".join(t for (t, _), y in zip(blocks, labels) if y)
+        return " ".join(t for (t, *_), y in zip(blocks, labels) if y)
     return main_text
 
 
@@ -402,35 +486,29 @@ def train(pages: DataFrame, n: int = PAGES, seed: int = 9, max_chars: int = 20_0
     """Model from at most ``n`` pages (page_id, html) that mark an article,
     in hash order, and at most ``max_chars`` characters of them."""
     labelled = pages.filter(F.lower("html").rlike(r"<(article|main)\b|articlebody"))
-    ids = (labelled.select("page_id", F.length("html").alias("n"))
-           .orderBy(F.xxhash64(F.lit(seed), "page_id"), "page_id").limit(n).collect())
+    rows = keyed(labelled, "page_id", "html")  # repeated rows teach once
     chosen, used = [], 0
-    for r in ids:
-        if r["page_id"] is not None and used + r["n"] <= max_chars:
+    for r in rows_in_hash_order(rows, n, seed, "page"):
+        if used + r["n"] <= max_chars:
             used += r["n"]
-            chosen.append(r["page_id"])
+            chosen.append((r["id"], r["t"], True))
     if not chosen:
         return FIXED
-    rows = labelled.filter(F.col("page_id").isin(chosen)).select("page_id", "html").collect()
-    first = {}
-    for r in sorted(rows, key=lambda r: (r["page_id"], r["html"])):
-        first.setdefault(r["page_id"], r["html"])  # repeated rows teach once
-    return fit([first[i] for i in sorted(first)], seed=seed) or FIXED
+    return fit([r["text"] for r in texts_of(rows, chosen, "chosen boolean").orderBy("id", "t").collect()], seed=seed) or FIXED
 
 
-def _extract_kernel(model, names):
+def _extract_kernel(model):
     def run(batches):
         import pyarrow as pa
         main_text = extractor(model)
         for b in batches:
-            texts = [main_text(h) for h in b.column("html").to_pylist()]
-            kept = [b.column(x) for x in names[:-1]]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=names)
+            texts = [main_text(h) for h in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
     return run
 
 
 def extract(pages: DataFrame, model) -> DataFrame:
     """``pages`` without html, with ``text``: the main text of every page."""
-    keep = [f for f in pages.schema.fields if f.name not in ("html", "text")]
-    schema = StructType([*keep, StructField("text", StringType())])
-    return pages.drop("text").mapInArrow(_extract_kernel(model, schema.names), schema)
+    rows, names = carried(pages.drop("text"), "html")
+    schema = StructType([rows.schema["row"], StructField("text", StringType())])
+    return rows.mapInArrow(_extract_kernel(model), schema).select(*[F.col("row")[c].alias(c) for c in names], "text")

@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from orrery.llm.sampling import fold, in_hash_order, texts_of
+from orrery.llm.base import carried, quoted
+from orrery.llm.sampling import fold, in_hash_order, keyed, one_row_each, rows_in_hash_order, texts_of
 
 POSITIVES = 6000
 UNLABELLED = 12000
@@ -126,6 +127,17 @@ def estimate_prior(score_pos, score_unl) -> float:
     return float(np.clip(u[best] / p[best], 0.01, 0.99))
 
 
+def risk_slopes(ga, gb, prior: float):
+    """Derivatives of the non-negative risk in the logits of positives and of
+    unlabelled text; those of minus its second term while that is negative."""
+    import numpy as np
+    negative = np.logaddexp(0, gb).mean() - prior * np.logaddexp(0, ga).mean()
+    up_a, up_b = sigmoid(ga) / len(ga), sigmoid(gb) / len(gb)
+    if negative >= 0:
+        return np.concatenate([prior * (up_a - 1 / len(ga)) - prior * up_a, up_b])
+    return np.concatenate([prior * up_a, -up_b])  # step back out of the negative part only
+
+
 def fit(pos, unl, hidden: int = 24, steps: int = 500, batch: int = 1024, rate: float = 0.01, seed: int = 3):
     """(net, prior) from feature matrices of positives and unlabelled text."""
     import numpy as np
@@ -152,13 +164,7 @@ def fit(pos, unl, hidden: int = 24, steps: int = 500, batch: int = 1024, rate: f
             a, b = draw(pos), draw(unl)
             x = np.concatenate([a, b])
             g = net.logit(x)
-            ga, gb = g[:len(a)], g[len(a):]
-            negative = np.logaddexp(0, gb).mean() - prior * np.logaddexp(0, ga).mean()
-            up_a, up_b = sigmoid(ga) / len(a), sigmoid(gb) / len(b)
-            if negative >= 0:
-                slope = np.concatenate([prior * (up_a - 1 / len(a)) - prior * up_a, up_b])
-            else:  # step back out of the negative part only
-                slope = np.concatenate([prior * up_a, -up_b])
+            slope = risk_slopes(g[:len(a)], g[len(a):], prior)
             net.step(x, slope, rate * 0.5 * (1 + np.cos(np.pi * i / steps)) + 1e-4)
         return net
 
@@ -173,13 +179,15 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     positives and from ``docs`` (doc_id, text) as unlabelled text; None
     without positives."""
     import numpy as np
+    rows = keyed(docs)
     good = in_hash_order(labels.select("doc_id").filter("doc_id is not null").distinct(), positives, seed, "positive")
-    web = in_hash_order(docs.select(F.col("doc_id").cast("long").alias("doc_id")), unlabelled, seed, "unlabelled")
-    picked = [(r["doc_id"], True) for r in good.collect()] + [(i, False) for i in {r["doc_id"] for r in web.collect()}]
+    picked = [(r["id"], r["t"], True) for r in one_row_each(rows, good.withColumnRenamed("doc_id", "id"), [])]
+    picked += [(r["id"], r["t"], False) for r in rows_in_hash_order(rows, unlabelled, seed, "unlabelled")]
     if not picked:
         return None
-    rows = texts_of(docs, picked, "doc_id long, positive boolean")
-    rows = rows.mapInArrow(_feature_kernel(), "positive boolean, x array<double>").collect()
+    rows = texts_of(rows, picked, "positive boolean").select("id", "t", "positive", "text")
+    rows = rows.mapInArrow(_feature_kernel(), "id long, t long, positive boolean, x array<double>").collect()
+    rows.sort(key=lambda r: (r["id"] is not None, r["id"], r["t"]))  # reruns see one order
     pos = np.array([r["x"] for r in rows if r["positive"]])
     unl = np.array([r["x"] for r in rows if not r["positive"]])
     if not len(pos) or not len(unl):
@@ -193,12 +201,12 @@ def _feature_kernel():
         of = text_features()
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column("positive"), pa.array([of(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))],
-                names=["positive", "x"])
+                [*b.columns[:3], pa.array([of(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))],
+                names=["id", "t", "positive", "x"])
     return run
 
 
-def _score_kernel(net, names):
+def _score_kernel(net):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -206,22 +214,24 @@ def _score_kernel(net, names):
         for b in batches:
             x = np.array([of(t or "") for t in b.column("text").to_pylist()]).reshape(b.num_rows, -1)
             found = sigmoid(net.logit(x)) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=names)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=["row", "text", "score"])
     return run
 
 
 def score(docs: DataFrame, model) -> DataFrame:
     """``docs`` with ``score`` from their whole texts."""
-    d = docs.drop("score")
+    rows, _ = carried(docs, "text", ("score",))
     if model is None:
-        return d.withColumn("score", F.lit(1.0))
-    schema = StructType([*d.schema.fields, StructField("score", DoubleType())])
-    return d.mapInArrow(_score_kernel(model[0], schema.names), schema)
+        rows = rows.withColumn("score", F.lit(1.0))
+    else:
+        rows = rows.mapInArrow(_score_kernel(model[0]), StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+    names = [c for c in docs.columns if c != "score"]
+    return rows.select(*[(F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in names], "score")
 
 
 def accepted(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that reach the threshold, unchanged."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    row = docs.select(F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row"), "text")
     return score(row, model).filter(F.col("score") >= threshold).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

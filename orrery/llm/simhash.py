@@ -36,10 +36,10 @@ component's smallest id unless it has no other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.base import cut_lineage, shuffle_partitions, text_or_empty
+from orrery.llm.base import cut_lineage, quoted, shuffle_partitions, text_or_empty
 from orrery.operators.dbscan import connected_components
 
 SHINGLE = 4
@@ -294,16 +294,18 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS,
 def first_of_each(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each class does:
     the one with the smallest doc_id (null last), then text hash; of
-    repeated rows one."""
+    repeated rows one.  All columns are kept, whatever their names; an empty
+    table stays empty."""
     found = near_duplicates(docs, n, max_bits)
     rows = found.groupBy("class", "doc_id", "t").agg(F.count("*").alias("n"))
     stay = cut_lineage(rows.groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t", "n")).alias("s")).select("s.*"))
-    kept = docs.join(stay.select(F.col("doc_id").alias("_stay_id"), F.col("t").alias("_stay_t")),
-                     F.col("doc_id").cast("long").eqNullSafe(F.col("_stay_id"))
-                     & (F.xxhash64(text_or_empty()) == F.col("_stay_t")), "left_semi")
-    if stay.filter("n > 1").limit(1).count() == 0:
-        return kept
-    row = F.row_number().over(Window.partitionBy("_row.doc_id", "_t").orderBy(F.lit(0)))
-    return (kept.select(F.struct(*kept.columns).alias("_row"), F.xxhash64(text_or_empty()).alias("_t"))
-            .withColumn("_n", row).filter("_n = 1").select("_row.*"))
+    # the row travels as one struct: no name of its columns can clash
+    row = F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row")
+    kept = docs.select(row, F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_or_empty()).alias("t")).join(
+        stay.select(F.col("doc_id").alias("s"), F.col("t").alias("u"), "n"),
+        F.col("id").eqNullSafe(F.col("s")) & (F.col("t") == F.col("u")))
+    if stay.filter("n > 1").limit(1).count():
+        once = kept.filter("n > 1").groupBy("id", "t").agg(F.first("row").alias("row"))
+        kept = kept.filter("n = 1").select("row").unionByName(once.select("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

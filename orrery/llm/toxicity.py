@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from orrery.llm.base import cut_lineage
-from orrery.llm.sampling import fold, in_hash_order, texts_of
+from orrery.llm.base import carried, cut_lineage, quoted
+from orrery.llm.sampling import fold, in_hash_order, keyed, one_row_each, texts_of
 
 DOCS_PER_LABEL = 3000
 MAX_CHARS = 24_000_000
@@ -67,6 +67,19 @@ def reader():
     return sentences, features
 
 
+def bag_slopes(z, bag_of, y, imp, plain, base: float):
+    """Derivatives of the bags' weighted -log likelihood in the sentences'
+    logits ``z``, and their common factor for each bag.  ``plain``: a bag's
+    further sentences, each offending with probability ``base``."""
+    import numpy as np
+    p = 1 / (1 + np.exp(-z))
+    clean = np.bincount(bag_of, np.log1p(-p * (1 - 1e-9)), len(y)) + plain * np.log1p(-base)  # log of prod(1 - p)
+    toxic = np.maximum(-np.expm1(clean), 1e-9)
+    # p for a clean bag, -p * prod / (1 - prod) for a toxic one
+    slope = np.where(y == 1, -np.exp(clean) / toxic, 1.0) * imp
+    return slope[bag_of] * p, slope
+
+
 def fit(bags: list[tuple[str, int]], weight: dict[int, float], enriched: float = 2.0, evidence: float = 1.5,
         steps: int = 800, rate: float = 1.0, relaxed: float = 0.1,
         lowest: float = -11.0) -> dict:
@@ -128,12 +141,8 @@ def fit(bags: list[tuple[str, int]], weight: dict[int, float], enriched: float =
             speed[w == 0], price = 0, np.where(w > 0, price * relaxed, 1e9)
         value = np.bincount(pairs[:, 0], w[pairs[:, 1]], len(words))
         z = np.clip(bias + np.bincount(sentence_of, value[word_of], n), -30, 30)
-        p, base = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
-        clean = np.bincount(bag_of, np.log1p(-p * (1 - 1e-9)), len(y)) + plain * np.log1p(-base)  # log of prod(1 - p)
-        toxic = np.maximum(-np.expm1(clean), 1e-9)
-        # d(-log likelihood)/dz: p for a clean bag, -p * prod / (1 - prod) for a toxic one
-        slope = np.where(y == 1, -np.exp(clean) / toxic, 1.0) * imp
-        g = slope[bag_of] * p
+        base = 1 / (1 + np.exp(-bias))
+        g, slope = bag_slopes(z, bag_of, y, imp, plain, base)
         gw = np.bincount(pairs[:, 1], np.bincount(word_of, g[sentence_of], len(words))[pairs[:, 0]], len(w))
         speed = 0.9 * speed - rate * (gw + price) / stiff
         w = w + speed
@@ -151,24 +160,25 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_LAB
     labels of documents that are not in ``docs`` count for nothing."""
     here = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
     marks = cut_lineage(labels.filter("doc_id is not null and label in (0, 1)")
-                        .select("doc_id", F.col("label").cast("int")).join(here, "doc_id", "left_semi"))
+                        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int")).distinct()
+                        .join(here, "doc_id", "left_semi"))
     total = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
         return None
+    rows = keyed(docs)
     picked = [(r["doc_id"], r["label"]) for k in (0, 1)
               for r in in_hash_order(marks.filter(F.col("label") == k), docs_per_label, seed, str(k)).collect()]
-    # lengths first: whole texts are taken in hash order while they fit
-    size = {(r["doc_id"], r["label"]): r["n"] for r in texts_of(docs, picked, "doc_id long, label int")
-            .select("doc_id", "label", F.length("text").alias("n")).collect()}
+    # one text of each document, and lengths first: whole texts are taken in hash order while they fit
+    ids = docs.sparkSession.createDataFrame(picked, "id long, label int")
+    size = {(r["id"], r["label"]): (r["t"], r["n"]) for r in one_row_each(rows, ids, ["label"])}
     kept, used = [], {0: 0, 1: 0}
     for p in picked:
-        if p in size and used[p[1]] + size[p] <= max_chars / 2:
-            used[p[1]] += size[p]
-            kept.append(p)
-    if len({k for _, k in kept}) < 2:
+        if p in size and used[p[1]] + size[p][1] <= max_chars / 2:
+            used[p[1]] += size[p][1]
+            kept.append((p[0], size[p][0], p[1]))
+    if len({k for *_, k in kept}) < 2:
         return None
-    bags = [(r["text"], r["label"]) for r in texts_of(docs, sorted(kept), "doc_id long, label int")
-            .orderBy("doc_id", "label", "text").toLocalIterator()]
+    bags = [(r["text"], r["label"]) for r in texts_of(rows, sorted(kept), "label int").orderBy("id", "label").toLocalIterator()]
     got = {k: sum(label == k for _, label in bags) for k in (0, 1)}
     return fit(bags, {k: total[k] / max(1, got[k]) for k in (0, 1)})
 
@@ -176,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_LAB
 LOCATED = "array<struct<start:int,length:int,score:double>>"
 
 
-def _score_kernel(model, at_least: float, schema):
+def _score_kernel(model, at_least: float):
     def run(batches):
         import math
 
@@ -206,7 +216,7 @@ def _score_kernel(model, at_least: float, schema):
                 found.append(spots)
             kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(found, kind)],
-                                             names=[*b.schema.names, "score", "offending"])
+                                             names=["row", "text", "score", "offending"])
     return run
 
 
@@ -214,18 +224,21 @@ def score(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) ->
     """``docs`` with ``score`` and ``offending``: spans (code points) and
     scores of the sentences that reach ``threshold`` on their own."""
     import math
-    d = docs.drop("score", "offending")
+    rows, _ = carried(docs, "text", ("score", "offending"))
     if model is None:
-        return d.withColumn("score", F.lit(0.0)).withColumn("offending", F.array().cast(LOCATED))
-    spot = StructType([StructField("start", IntegerType()), StructField("length", IntegerType()),
-                       StructField("score", DoubleType())])
-    schema = StructType([*d.schema.fields, StructField("score", DoubleType()), StructField("offending", ArrayType(spot))])
-    return d.mapInArrow(_score_kernel(model, math.log(threshold / (1 - threshold)), schema), schema)
+        rows = rows.withColumn("score", F.lit(0.0)).withColumn("offending", F.array().cast(LOCATED))
+    else:
+        spot = StructType([StructField("start", IntegerType()), StructField("length", IntegerType()),
+                           StructField("score", DoubleType())])
+        schema = StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("offending", ArrayType(spot))])
+        rows = rows.mapInArrow(_score_kernel(model, math.log(threshold / (1 - threshold))), schema)
+    names = [c for c in docs.columns if c not in ("score", "offending")]
+    return rows.select(*[(F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in names], "score", "offending")
 
 
 def clean(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay below the threshold, unchanged."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    row = docs.select(F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row"), "text")
     return (score(row, model, threshold).filter(F.col("score") < threshold)
             .select(*[F.col("row")[c].alias(c) for c in docs.columns]))
 

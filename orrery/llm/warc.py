@@ -1,11 +1,13 @@
 """WARC archives with a two-level capture index.
 
-Writing: pages are shuffled once by page id; each task appends one gzip
+Writing: pages are shuffled once by page id and payload digest, so an id of
+many rows is spread by its payloads; each task appends one gzip
 member per record to an archive file of its own in the shared folder, and
 returns where each record lies.  That manifest is written as a table, which
 is the commit: files of failed attempts are never named in it.
 
-Index: captures are sorted by key (reversed-host URL, then capture number),
+Index: captures are sorted by key (reversed-host URL, capture number, payload
+digest and copy),
 and each range of keys becomes one index file of compressed blocks of
 ``lines`` captures, with a sparse directory beside it that holds each
 block's first key and place.  The first level above is one (first key,
@@ -24,7 +26,8 @@ Defined results: null html is an empty payload; a null url gets the target
 ``urn:page:<id>``; white space and control characters in urls are
 percent-encoded; a null page id counts as the smallest; of repeated rows
 (page id and payload) one is the response and the others revisit it;
-an empty table gives empty archives and no rows.  Files are reached through
+an empty table gives empty archives and no rows; columns other than page_id,
+url and html are ignored.  Files are reached through
 ``pyarrow.fs`` by the scheme of the shared folder.
 """
 
@@ -100,37 +103,33 @@ MANIFEST = "page_id long, key string, file string, offset long, length long"
 
 
 def _writer(root: str, min_bytes: int):
-    """Rows (page_id, url, html, refs) sorted by page id -> manifest rows."""
+    """Rows (page_id, url, html, sha, of) sorted by page id and digest ->
+    manifest rows.  ``of``: the page that has the response to this payload."""
     def run(batches):
         import gzip
-        import hashlib
         import uuid
 
         import pyarrow as pa
         name = f"{root}/archive-{uuid.uuid4().hex}.warc.gz"
-        out, at, last, copy, seen = None, 0, object(), 0, {}
+        out, at, last, same = None, 0, None, 0
         for b in batches:
             rows = []
-            for page, url, html, refs in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "refs"))):
+            for page, url, html, digest, of in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "sha", "of"))):
                 if out is None:
                     fs, path = shared_file(name)
                     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
                     out = fs.open_output_stream(path, compression=None)
-                if page != last:
-                    last, copy, seen = page, -1, {}
-                copy += 1
+                same = same + 1 if (page, digest) == last else 0
+                last = page, digest
                 payload = (html or "").encode()
-                digest = hashlib.sha1(payload).hexdigest()
-                of = {r["digest"]: r["of"] for r in refs or ()}.get(digest)
-                if of is None and len(payload) >= min_bytes and digest in seen:
+                if of is None and len(payload) >= min_bytes and same:
                     of = NO_ID if page is None else page
-                same = seen[digest] = seen.get(digest, -1) + 1
                 of = "null" if of == NO_ID else of
                 target = clean_url(url, page)
                 data = gzip.compress(record("null" if page is None else page, same, target, payload, of), 6, mtime=0)
                 out.write(data)
                 capture = (NO_ID if page is None else page) - NO_ID
-                rows.append((page, f"{surt(target)} {capture:020d} {copy:010d}", name, at, len(data)))
+                rows.append((page, f"{surt(target)} {capture:020d} {digest}:{same:010d}", name, at, len(data)))
                 at += len(data)
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
@@ -153,12 +152,11 @@ def write_archives(pages: DataFrame, root: str, min_bytes: int = 0) -> DataFrame
               .filter(F.col("n") >= min_bytes).drop("n"))
     largest = (hashes.groupBy("sha").agg(F.max("pid").alias("of"), F.count("*").alias("c")).filter("c > 1")
                .select(F.col("sha").alias("s"), "of"))
-    revisits = (hashes.join(largest, F.col("sha") == F.col("s")).filter("pid < of")
-                .groupBy("pid").agg(F.collect_set(F.struct(F.col("sha").alias("digest"), "of")).alias("refs"))
-                .withColumnRenamed("pid", "p"))
-    dealt = p.withColumn("pid", pid).repartition(F.col("pid"))
-    rows = (dealt.join(revisits, F.col("pid") == F.col("p"), "left")
-            .sortWithinPartitions("pid", "url", "html").select("page_id", "url", "html", "refs"))
+    revisits = (hashes.distinct().join(largest, F.col("sha") == F.col("s")).filter("pid < of")
+                .select(F.col("pid").alias("p"), "s", "of"))
+    dealt = p.withColumn("pid", pid).withColumn("sha", F.sha1(html)).repartition("pid", "sha")
+    rows = (dealt.join(revisits, (F.col("pid") == F.col("p")) & (F.col("sha") == F.col("s")), "left")
+            .sortWithinPartitions("pid", "sha", "url").select("page_id", "url", "html", "sha", "of"))
     return cut_lineage(rows.mapInArrow(_writer(root, min_bytes), MANIFEST))
 
 

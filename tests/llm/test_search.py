@@ -204,3 +204,18 @@ def test_warc_least_size_unknown_keys_and_nothing(spark):
     assert warc.look_up(spark.createDataFrame([("zz 1 1",), ("",)], "key string"), level).count() == 0
     _, level, found = round_trip(spark, [])
     assert level == [] and found.count() == 0
+
+
+def test_warc_of_one_id_with_many_payloads(spark, tmp_path):
+    """50,000 rows under one id, whose payloads another id also holds, and as
+    many null ids."""
+    one = spark.range(50_000).select(F.lit(7).cast("long").alias("page_id"), F.lit("http://h.x/").alias("url"),
+                                     F.concat(F.lit("p"), F.col("id")).alias("html"))
+    pages = (one.unionByName(one.withColumn("page_id", F.lit(9).cast("long")))
+             .unionByName(one.withColumn("page_id", F.lit(None).cast("long"))).withColumn("of", F.lit("x")).withColumn("a.b", F.lit(1)))
+    captures = warc.write_archives(pages, str(tmp_path / "w"))
+    got = warc.look_up(captures, warc.write_index(captures, str(tmp_path / "w")))
+    found = {(r["page_id"], r["record_type"], r["refers_to"]): r["count"]
+             for r in got.groupBy("page_id", "record_type", "refers_to").count().collect()}
+    assert found == {(9, "response", None): 50_000, (7, "revisit", 9): 50_000, (None, "revisit", 9): 50_000}
+    assert got.filter("payload_bytes is null").count() == 0
