@@ -4,12 +4,15 @@ WIN-1).
 * Assignment to a small, size-checked centre set is an in-row expression
   (the centres are inlined, as ``KMeansModel`` ships its centres).
 * Fitting from given rows (``lloyd``) is one Arrow-batched pass a round, until
-  inertia stops falling; ``kmeans`` and ``k_sweep`` use
-  ``pyspark.ml.clustering.KMeans`` (k-means|| init).
-* The exact silhouette needs every pairwise distance; it is computed by the
-  blocked kernel of ``neighbors``: each (query block, reference block) group
-  turns a distance tile into per-cluster sums, so only n x clusters rows
-  ever leave a task - never the n^2 pairs.
+  inertia stops falling.
+* The exact silhouette needs every pairwise distance; a blocked kernel turns
+  each (query block, reference block) tile into per-cluster sums, so only n x
+  clusters rows ever leave a task - never the n^2 pairs.  With squared
+  distances (``silhouette_squared``) a cluster's count, mean and variance give
+  every mean in closed form, and the nearest other cluster comes from the
+  pivot index: no pairs of points, no n x clusters rows.
+* Davies-Bouldin compares only pairs of centres that can be a maximum, found
+  through the pivot index.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions import vectors as V
+from orrery.operators import pivots
 from orrery.operators.neighbors import centroids, inline_matrix
+from orrery.session import cut_lineage, small_side
 
 
 def _lit_matrix(matrix) -> Column:
@@ -131,29 +136,6 @@ def inertia(df: DataFrame, vec: str, matrix) -> Column:
     return F.sum(F.array_min(squared_distances(vec, matrix)))
 
 
-def kmeans(df: DataFrame, vec_arr: str, k: int, max_iter: int = 100, seed: int = 0, tol: float = 1e-4):
-    """ML-13: fit k-means; returns (model, frame with a ``features`` vector)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    d = df.withColumn("features", array_to_vector(V.as_double(vec_arr)))
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, tol=tol, featuresCol="features",
-                   predictionCol="cluster").fit(d)
-    return model, d
-
-
-def k_sweep(df: DataFrame, vec_arr: str, ks: Sequence[int], max_iter: int = 20, seed: int = 0) -> DataFrame:
-    """ML-14: inertia for each k, one fit per k over one cached frame."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    d = df.select(array_to_vector(V.as_double(vec_arr)).alias("features")).cache()
-    rows = []
-    for k in ks:
-        m = KMeans(k=k, maxIter=max_iter, seed=seed).fit(d)
-        rows.append((int(k), float(m.summary.trainingCost)))
-    d.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, wsse double")
-
-
 def elbow(curve: DataFrame, k: str, score: str, threshold: float) -> DataFrame:
     """WIN-1: slopes s_i = score_{i+1} - score_i; the elbow is row i for the
     first i >= 1 with |s_{i-1}| - |s_i| > threshold, else the second row.
@@ -281,20 +263,132 @@ def calinski_harabasz(df: DataFrame, vec: str, cluster: str, groups: Sequence[st
     return out if groups else out.drop("_grp")
 
 
+#: so many centres are compared pair by pair
+PAIRED = 1000
+
+
+def _apart(pts: DataFrame, vec: str) -> float:
+    """A step so wide that a coordinate of (number x step) keeps the points
+    of different numbers farther apart than any two of one number."""
+    ends = (pts.select(F.posexplode(vec).alias("p", "x")).groupBy("p").agg((F.max("x") - F.min("x")).alias("w"))
+            .agg(F.coalesce(F.sum(F.col("w") * F.col("w")), F.lit(0.0)).alias("d2")).first()["d2"])
+    return 4.0 * math.sqrt(ends) + 1.0
+
+
+def _nearest_other(sets: dict):
+    """Rows (e, c, v) -> smallest mean squared distance to a cluster of e
+    other than c (null if there is none).  ``sets``: e -> (numbers, means,
+    variances)."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            e, c = np.asarray(b.column("_e")), np.asarray(b.column("_c"))
+            v, best = pivots._matrix(b.column("_v")), np.full(b.num_rows, np.inf)
+            for x in np.unique(e):
+                names, means, variance = sets[int(x)]
+                at = np.flatnonzero(e == x)
+                step = max(1, 2_000_000 // means.size)
+                for s in range(0, len(at), step):
+                    i = at[s:s + step]
+                    d = ((v[i][:, None, :] - means[None]) ** 2).sum(2) + variance
+                    best[i] = np.where(names[None] == c[i][:, None], np.inf, d).min(1)
+            yield pa.RecordBatch.from_arrays([b.column("_e"), b.column("_n"), b.column("_a"), pa.array(best, mask=np.isinf(best))],
+                                             names=["_e", "_n", "_a", "_b"])
+    return run
+
+
+def silhouette_squared(df: DataFrame, vec: str, cluster: str, group: str | None = None,
+                       inline_values: int = pivots.MAX_VALUES) -> DataFrame:
+    """AG-15 on squared Euclidean distances, for the labelling of each group:
+    mean of (b - a) / max(a, b) with mean squared distances.
+
+    For a cluster of n members with mean m and variance v (mean squared
+    distance to m) the mean squared distance of a point x to its members is
+    |x - m|^2 + v, and n / (n - 1) times that without x itself.  The means of
+    all clusters travel with the tasks while they have at most
+    ``inline_values`` numbers.  Beyond that the smallest value among other
+    clusters is the nearest of the points (m, sqrt(v)) to (x, 0): a search for
+    two neighbours in the pivot index, the own cluster being one of them at
+    most.  Members of single-point clusters score 0."""
+    d, g = _grouped(df, [group] if group else [])
+    e = g[0]
+    numbers = small_side(d.select(e).distinct().withColumn("_e", F.row_number().over(Window.orderBy(e)) - 1))
+    pts = d.join(numbers, e).select("_e", F.col(cluster).cast("long").alias("_c"), V.as_double(vec).alias("_v"))
+    cen = _centres(pts, ["_e"])
+    own = cut_lineage(pts.join(cen, ["_e", "_c"]).withColumn("_d2", V.sq_euclidean("_v", "_cv")))
+    sets = cut_lineage(own.groupBy("_e", "_c").agg(F.avg("_d2").alias("_var"), F.first("_cv").alias("_cv")))
+    size = sets.agg(F.coalesce(F.sum(F.size("_cv")), F.lit(0)).alias("n")).first()["n"]
+    own = own.join(small_side(sets.select("_e", "_c", "_var")), ["_e", "_c"]).withColumn(
+        "_a", F.try_divide(F.col("_n") * (F.col("_d2") + F.col("_var")), F.col("_n") - 1))
+    if size <= inline_values:
+        rows = {}
+        for r in sets.orderBy("_e", "_c").collect():
+            rows.setdefault(r["_e"], []).append((r["_c"], r["_cv"], r["_var"]))
+        held = {x: tuple(np.array(col) for col in zip(*rs)) for x, rs in rows.items()}
+        s = own.select("_e", "_c", "_v", "_n", "_a").mapInArrow(_nearest_other(held), "_e int, _n long, _a double, _b double")
+    else:
+        step = F.lit(2 * _apart(own, "_v"))  # a standard deviation is no wider than the box
+        lifted = lambda v, z: F.concat(F.col(v), F.array(z, F.col("_e") * step))
+        sets = cut_lineage(sets.withColumn("_r", F.monotonically_increasing_id()))
+        own = cut_lineage(own.withColumn("_q", F.monotonically_increasing_id()))
+        index = pivots.build(sets.withColumn("_x", lifted("_cv", F.sqrt("_var"))), "_r", "_x")
+        near = pivots.nearest(own.withColumn("_x", lifted("_v", F.lit(0.0))), index, 2, "_q", "_x").filter("tested is null")
+        other = (near.join(sets.select(F.col("_r").alias("r_id"), F.col("_e").alias("_re"), F.col("_c").alias("_rc")), "r_id")
+                 .join(own.select(F.col("_q").alias("q_id"), "_e", "_c"), "q_id").filter("_e = _re and _c != _rc")
+                 .groupBy(F.col("q_id").alias("_q")).agg(F.min(F.col("dist") * F.col("dist")).alias("_b")))
+        s = own.join(other, "_q", "left")
+    sil = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0)))
+    out = s.groupBy("_e").agg(F.avg(sil).alias("silhouette")).join(numbers, "_e").drop("_e")
+    return out if group else out.drop("_grp")
+
+
 def davies_bouldin(df: DataFrame, vec: str, cluster: str, groups: Sequence[str] = ()) -> DataFrame:
     """AG-17: mean over clusters i of max_{j != i} (s_i + s_j) / d(c_i, c_j),
-    s = mean distance of members to their centre.  The pair step joins the
-    centres of a group with each other (k^2 rows for k clusters)."""
+    s = mean distance of members to their centre; centres that coincide take
+    no part in each other's maximum.
+
+    Not all pairs of centres: the nearest few of each give a first value t_i,
+    and a better j must lie within (s_i + s_j) / t_i.  Clusters are classed
+    by powers of two of s, so that this limit is known for a class, and the
+    pivot index yields the centres of each class within it.  Up to
+    ``PAIRED`` centres are simply paired."""
     d, g = _grouped(df, groups)
     pts = d.select(*g, F.col(cluster).alias("_c"), V.as_double(vec).alias("_v"))
     cen = _centres(pts, g)
     sc = pts.join(cen, [*g, "_c"]).groupBy(*g, "_c").agg(F.avg(V.euclidean("_v", "_cv")).alias("_s"))
-    cs = cen.join(sc, [*g, "_c"])
-    a = cs.select(*g, F.col("_c").alias("ci"), F.col("_cv").alias("vi"), F.col("_s").alias("si"))
-    b = cs.select(*g, F.col("_c").alias("cj"), F.col("_cv").alias("vj"), F.col("_s").alias("sj"))
-    pairs = a.join(b, g).filter(F.col("ci") != F.col("cj"))
-    # clusters whose centres coincide take no part in each other's maximum
-    r = pairs.withColumn("_r", F.coalesce(F.try_divide(F.col("si") + F.col("sj"), V.euclidean("vi", "vj")), F.lit(0.0)))
-    worst = r.groupBy(*g, "ci").agg(F.max("_r").alias("_m"))
-    out = worst.groupBy(*g).agg(F.avg("_m").alias("davies_bouldin"))
+    numbers = small_side(pts.select(*g).distinct().withColumn("_e", F.row_number().over(Window.orderBy(*g)) - 1))
+    cs = cut_lineage(cen.join(sc, [*g, "_c"]).join(numbers, g).withColumn("_i", F.monotonically_increasing_id()).drop("_n"))
+    if cs.count() <= PAIRED:
+        a = cs.select(*g, F.col("_i").alias("_a"), F.col("_cv").alias("_va"), F.col("_s").alias("_sa"))
+        r = cs.join(F.broadcast(a), g).filter("_i != _a").withColumn("_r", F.coalesce(
+            F.try_divide(F.col("_s") + F.col("_sa"), V.euclidean("_cv", "_va")), F.lit(0.0)))
+        out = r.groupBy(*g, "_i").agg(F.max("_r").alias("_m")).groupBy(*g).agg(F.avg("_m").alias("davies_bouldin"))
+        return out if groups else out.drop("_grp")
+    # classes of s: 0, and one for each power of two down to 2^-60 of the largest
+    top = F.lit(cs.agg(F.max("_s")).first()[0])
+    cs = cs.withColumn("_k", F.when(F.col("_s") > 0, F.least(F.floor(F.log2(top / F.col("_s"))), F.lit(60)) + 1)
+                       .otherwise(F.lit(0)).cast("int"))
+    half = _apart(cs, "_cv")
+    step = F.lit(2 * half)
+    ref = small_side(cs.select(F.col("_i").alias("r_id"), F.col("_e").alias("_re"), F.col("_s").alias("_sj"), F.col("_k").alias("_rk")))
+    value = F.try_divide(F.col("_s") + F.col("_sj"), F.col("dist"))
+    at = lambda k: F.concat("_cv", F.array(F.col("_e") * step, k * step))
+    x = cs.withColumn("_x", at(F.lit(0)))
+    near = pivots.nearest(x, pivots.build(x, "_i", "_x"), 4, "_i", "_x", exclude_self=True).filter("tested is null")
+    own = cs.select(F.col("_i").alias("q_id"), "_e", "_s")
+    first = (near.join(own, "q_id").join(ref, "r_id").filter("_e = _re and dist > 0")
+             .groupBy(F.col("q_id").alias("_i")).agg(F.max(value).alias("_t")))
+    tops = cs.groupBy("_k").agg(F.max("_s").alias("_most")).select(F.col("_k").alias("_rk"), "_most")  # at most 62 rows
+    q = (cs.join(first, "_i", "left").crossJoin(F.broadcast(tops))
+         .withColumn("_limit", F.least(F.lit(half), F.coalesce(F.try_divide(F.col("_s") + F.col("_most"), F.col("_t")), F.lit(half))))
+         .withColumn("_x", at(F.col("_rk"))))
+    q = cut_lineage(q.select("_i", "_x", F.col("_limit") * (1 + 1e-9)).toDF("_i", "_x", "_limit"))
+    index = pivots.build(cs.withColumn("_x", at(F.col("_k"))), "_i", "_x")
+    pairs = pivots.within(q, index, "_limit", "_i", "_x").filter("tested is null and dist > 0")
+    worst = (pairs.join(own, "q_id").join(ref, "r_id").groupBy(F.col("q_id").alias("_i")).agg(F.max(value).alias("_m")))
+    out = (cs.join(worst, "_i", "left").groupBy(*g)
+           .agg(F.when(F.count(F.lit(1)) > 1, F.avg(F.coalesce("_m", F.lit(0.0)))).alias("davies_bouldin")))
+    out = out.filter("davies_bouldin is not null")
     return out if groups else out.drop("_grp")

@@ -2,7 +2,8 @@
 
 Radius join: points are hashed to grid cells of side eps; one side is
 expanded to its 3^d neighbour cells, the sides are equi-joined on the cell
-and the exact distance is filtered.  Suited to low dimension (d <= 3).
+and the exact distance is filtered.  Suited to low dimension (d <= 3);
+``ball_pairs`` is the join for any other.
 
 DBSCAN runs for a whole list of eps values at once: every step is keyed
 by (eps index, ...), so one set of jobs serves the full sweep.  Dense grid
@@ -54,6 +55,19 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
     return j.select("id_a", "id_b", "dist")
 
 
+def ball_pairs(df: DataFrame, key: str, vec: str, eps: float, metric: str = "euclidean", include_self: bool = True,
+               shelf_rows: int = 8192, block_rows: int = 512) -> DataFrame:
+    """JN-3 in any number of dimensions: all ordered pairs (id_a, id_b, dist)
+    within ``eps``.  Rows live in the cells of a pivot index and are copied to
+    every shelf of it that their ball reaches, in place of 3^d grid cells."""
+    from orrery.operators import pivots
+    index = pivots.build(df, key, vec, metric, shelf_rows=shelf_rows)
+    found = pivots.within(df, index, eps, key, vec, block_rows).filter("tested is null")
+    if not include_self:
+        found = found.filter("q_id != r_id")
+    return found.select(F.col("q_id").alias("id_a"), F.col("r_id").alias("id_b"), "dist")
+
+
 def _shortcut(par: DataFrame, k: list, rounds: Rounds) -> DataFrame:
     """Pointer jumping until every node points at a root (each pass halves
     the tree depth)."""

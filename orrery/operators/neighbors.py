@@ -1,24 +1,14 @@
 """Exact nearest-neighbour and distance-to-set operators (JN-1, JN-2, ML-12,
 ORD-3, NUL-3).
 
-Exact k-nearest neighbours in many dimensions has no sub-quadratic exact
-algorithm, so the work is a block nested loop, but it is never materialised
-as pair rows:
-
-* query rows are spread over ``QB`` query blocks and reference rows over
-  ``RB`` reference blocks by a hash of their id (even by construction, so a
-  hot label or duplicate point cannot skew a block);
-* each query row is sent to every reference block and each reference row to
-  every query block, so group ``(qb, rb)`` holds at most ``block_rows``
-  queries and ``ref_block_rows`` references - bounded memory per task
-  (reference blocks are the larger ones: fewer candidate lists to merge);
-* inside the group a NumPy kernel computes a distance tile and keeps only
-  the ``k`` best per query (stable order: distance, then id);
-* the ``k * RB`` candidates per query are merged by a second, tiny step.
-
-Shuffle volume is ``|Q| * RB + |R| * QB`` rows and output is ``k`` rows per
-query.  Distance-to-centroid work (JN-1) uses a small, size-checked centre
-matrix that is inlined into the plan, as ``KMeansModel`` does.
+Neighbours under a metric come through the pivot index of ``pivots``.  The
+cosine distance does not obey the triangle inequality; it is a block nested
+loop that is never materialised as pair rows: query and reference rows are
+dealt into blocks by a hash of their id, every pair of blocks is one bounded
+group, a NumPy kernel keeps the ``k`` best per query, and the blocks'
+candidates are merged.  Distance-to-centroid work (JN-1) uses a small,
+size-checked centre matrix that is inlined into the plan, as ``KMeansModel``
+does.
 """
 
 from __future__ import annotations
@@ -31,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions import vectors as V
+from orrery.operators import pivots
 
 _MAX_INLINE_VALUES = 200_000  # centres x dims that may be inlined in a plan
 
@@ -40,10 +31,6 @@ def _pair_distances(qm: np.ndarray, rm: np.ndarray, metric: str) -> np.ndarray:
         qn = np.linalg.norm(qm, axis=1)[:, None]
         rn = np.linalg.norm(rm, axis=1)[None, :]
         return 1.0 - (qm / np.where(qn == 0, 1, qn)) @ (rm / np.where(rn == 0, 1, rn).T).T
-    if metric == "manhattan":
-        return np.abs(qm[:, None, :] - rm[None, :, :]).sum(2)
-    if metric == "chebyshev":
-        return np.abs(qm[:, None, :] - rm[None, :, :]).max(2)
     raise ValueError(f"unknown metric {metric}")
 
 
@@ -79,25 +66,18 @@ def _local_topk(k: int, metric: str, exclude_self: bool):
         rm = np.vstack(rpdf["r_vec"].to_numpy()).astype(np.float64)
         qids = qpdf["q_id"].to_numpy(np.int64)
         qm_all = np.vstack(qpdf["q_vec"].to_numpy()).astype(np.float64)
-        dim = rm.shape[1]
-        # keep a distance tile (and for L1/Linf the difference cube) bounded
-        per = 2_000_000 // max(1, len(rids) * (dim if metric in ("manhattan", "chebyshev") else 1))
-        step = max(1, min(len(qids), per))
+        step = max(1, min(len(qids), 2_000_000 // max(1, len(rids))))  # a bounded distance tile
         kk = min(k, len(rids))
         for s in range(0, len(qids), step):
             qm = qm_all[s:s + step]
             qi = qids[s:s + step]
             own = (qi[:, None] == rids[None, :]) & exclude_self
-            if metric in ("euclidean", "sqeuclidean"):
-                row, col, dist = _nearest_squared(qm, rm, kk, own)
-                dist = np.sqrt(dist) if metric == "euclidean" else dist
-            else:
-                d = _pair_distances(qm, rm, metric)
-                order = np.argsort(np.where(own, np.inf, d), axis=1, kind="stable")[:, :kk]
-                keep = ~np.take_along_axis(own, order, axis=1).ravel()
-                row = np.repeat(np.arange(len(qi)), kk)[keep]
-                col = order.ravel()[keep]
-                dist = d[row, col]
+            d = _pair_distances(qm, rm, metric)
+            order = np.argsort(np.where(own, np.inf, d), axis=1, kind="stable")[:, :kk]
+            keep = ~np.take_along_axis(own, order, axis=1).ravel()
+            row = np.repeat(np.arange(len(qi)), kk)[keep]
+            col = order.ravel()[keep]
+            dist = d[row, col]
             cols["q_id"].append(qi[row])
             cols["r_id"].append(rids[col])
             cols["dist"].append(dist)
@@ -113,8 +93,24 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
 
     Returns ``(q_id, r_id, dist, rank)`` with rank 1..k ordered by distance
     then reference id.  ``exclude_self`` drops pairs with equal ids (use it
-    when query and reference are the same set).
+    when query and reference are the same set).  Metrics that obey the
+    triangle inequality go through the pivot index, the cosine distance
+    through all blocks.
     """
+    if metric in pivots.METRICS:
+        index = pivots.build(ref, r_id, r_vec, metric, keep_ids=k + int(exclude_self), shelf_rows=ref_block_rows)
+        local = pivots.nearest(query, index, k, q_id, q_vec, exclude_self, block_rows).filter("tested is null").drop("tested")
+        if metric == "sqeuclidean":
+            local = local.withColumn("dist", F.col("dist") * F.col("dist"))
+    else:
+        local = _all_blocks(query, ref, k, q_id, r_id, q_vec, r_vec, metric, exclude_self, block_rows, ref_block_rows)
+    w = Window.partitionBy("q_id").orderBy("dist", "r_id")
+    ranked = local.withColumn("rank", F.row_number().over(w).cast("long"))
+    return ranked.filter(F.col("rank") <= k)
+
+
+def _all_blocks(query: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, q_vec: str, r_vec: str, metric: str,
+                exclude_self: bool, block_rows: int, ref_block_rows: int) -> DataFrame:
     q = query.select(F.col(q_id).cast("long").alias("q_id"), V.as_double(q_vec).alias("q_vec"))
     r = ref.select(F.col(r_id).cast("long").alias("r_id"), V.as_double(r_vec).alias("r_vec"))
     nq, nr = q.count(), r.count()
@@ -126,12 +122,8 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
            .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))))
     rx = (r.withColumn("rb", F.pmod(F.xxhash64("r_id"), F.lit(rb)).cast("int"))
            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    local = (qx.groupBy("qb", "rb").cogroup(rx.groupBy("qb", "rb"))
-               .applyInPandas(_local_topk(k, metric, exclude_self),
-                              "q_id long, r_id long, dist double"))
-    w = Window.partitionBy("q_id").orderBy("dist", "r_id")
-    ranked = local.withColumn("rank", F.row_number().over(w).cast("long"))
-    return ranked.filter(F.col("rank") <= k)
+    return (qx.groupBy("qb", "rb").cogroup(rx.groupBy("qb", "rb"))
+            .applyInPandas(_local_topk(k, metric, exclude_self), "q_id long, r_id long, dist double"))
 
 
 def knn_vote(neigh: DataFrame, ref_labels: DataFrame, r_id: str, label: str,

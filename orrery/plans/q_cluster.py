@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from orrery.functions import vectors as V
 from orrery.operators import cluster as CL
 from orrery.operators import dbscan as DB
+from orrery.operators import density as DN
 from orrery.operators import neighbors as NB
 from orrery.operators import relational as rel
 from orrery.plans.registry import query
+from orrery.session import cut_lineage
 from orrery.sources.tables import table
 
 
@@ -66,40 +68,15 @@ def ag14(spark, sf):
     return a.agg(R(F.sum("sq_dist"), 4).alias("inertia"), F.count(F.lit(1)).alias("n"))
 
 
-_ROUNDS = 4  # of the step checks: their SQL unrolls so many
 _MAX_ITER = 100
 _KS = range(2, 10)
 
 
-def _lloyd_sql(k: int, rounds: int, digits: int | None = None) -> str:
-    """CTEs of ``rounds`` unrolled steps from the first k rows in hash
-    order; ``a`` holds (vec_id, v, cluster, d2) for the last centres."""
-    def nearest(c):
-        return f"""SELECT vec_id, v, cid AS cluster, cv, d2 FROM (
-  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cid) AS rn FROM (
-    SELECT e.vec_id, e.v, c.cid, c.cv, list_reduce(list_transform(range(1, len(e.v) + 1),
-      lambda i: (e.v[i] - c.cv[i]) * (e.v[i] - c.cv[i])), lambda a, b: a + b) AS d2 FROM e, {c} c) d) t WHERE rn = 1"""
-    out = [f"""e AS {_E}""", f"""c0 AS (SELECT row_number() OVER (ORDER BY h, vec_id) - 1 AS cid, v AS cv FROM (
-  SELECT {_H} AS h, vec_id, v FROM e) t ORDER BY h, vec_id LIMIT {k})"""]
-    for r in range(rounds):
-        out.append(f"""a{r} AS ({nearest(f'c{r}')})""")
-        out.append(f"""m{r} AS (SELECT cluster AS cid, list(m ORDER BY pos) AS cv FROM (SELECT cluster, pos, avg(x) AS m FROM (
-  SELECT cluster, unnest(range(0, len(v))) AS pos, unnest(v) AS x FROM a{r}) u GROUP BY 1, 2) g GROUP BY cluster)""")
-        out.append(f"c{r + 1} AS (SELECT c{r}.cid, coalesce(m{r}.cv, c{r}.cv) AS cv FROM c{r} LEFT JOIN m{r} ON c{r}.cid = m{r}.cid)")
-    last = f"c{rounds}"
-    if digits is not None:
-        out.append(f"p AS (SELECT cid, list_transform(cv, lambda x: round(x, {digits})) AS cv FROM {last})")
-        last = "p"
-    return "WITH " + ",\n".join(out) + f",\na AS ({nearest(last)})"
-
-
-_SWEEP_SQL = " UNION ALL ".join(
-    f"SELECT {k} AS k, (SELECT sum(d2) FROM ({_lloyd_sql(k, _ROUNDS)} SELECT d2 FROM a) s) AS wsse" for k in _KS)
-
-
-def _lloyd_full_sql(k: int, digits: int | None = None) -> str:
-    """The same as ``_lloyd_sql`` from k distinct rows until inertia stops
-    falling: one recursion step a round, at most ``_MAX_ITER``."""
+def _lloyd_sql(k: int, digits: int | None = None) -> str:
+    """k-means from the first k distinct rows in hash order until inertia
+    stops falling: one recursion step a round, at most ``_MAX_ITER``; ``a``
+    holds (vec_id, v, cluster, d2) for the last centres, rounded to
+    ``digits`` where given."""
     centre = "cs[i]" if digits is None else f"list_transform(cs[i], lambda x: round(x, {digits}))"
     return f"""WITH RECURSIVE e AS {_E},
 f AS (SELECT list(v ORDER BY h, vec_id) AS cs FROM (SELECT h, vec_id, v FROM (
@@ -123,54 +100,33 @@ a AS (SELECT vec_id, v, cid AS cluster, cv, d2 FROM (
       lambda i: (e.v[i] - c.cv[i]) * (e.v[i] - c.cv[i])), lambda a, b: a + b) AS d2 FROM e, c) d) t WHERE rn = 1)"""
 
 
-_SWEEP_FULL_SQL = " UNION ALL ".join(
-    f"SELECT {k} AS k, (SELECT sum(d2) FROM ({_lloyd_full_sql(k)} SELECT d2 FROM a) s) AS wsse" for k in _KS)
+_SWEEP_SQL = " UNION ALL ".join(
+    f"SELECT {k} AS k, (SELECT sum(d2) FROM ({_lloyd_sql(k)} SELECT d2 FROM a) s) AS wsse" for k in _KS)
 
 
-def _k_sweep(spark, sf, max_iter: int):
+def _k_sweep(spark, sf):
     e = _emb(spark, sf)
     first = CL.initial_centres(e, "vec_id", "v", max(_KS), seed=5)
-    last = CL.lloyd(e, "v", {k: first[:k] for k in _KS}, max_iter)
+    last = CL.lloyd(e, "v", {k: first[:k] for k in _KS}, _MAX_ITER)
     cost = F.array(*[F.struct(F.lit(k).alias("k"), F.array_min(CL.squared_distances("v", m)).alias("d")) for k, m in last.items()])
     return e.select(F.explode(cost).alias("c")).groupBy("c.k").agg(F.sum("c.d").alias("wsse"))
 
 
-def _fitted(spark, sf, max_iter: int):
-    e = _emb(spark, sf)
-    centres = CL.lloyd(e, "v", {10: CL.initial_centres(e, "vec_id", "v", 10, seed=5)}, max_iter)[10]
-    return CL.assign(e, "v", centres).select("vec_id", "cluster")
-
-
-@query("ml13_kmeans_fit", _lloyd_sql(10, _ROUNDS) + """
+@query("ml13_kmeans_fit", _lloyd_sql(10) + """
 SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM a
 """)
 def ml13b(spark, sf):
-    """Step check, not the fit: k-means (k = 10) from given distinct rows,
-    at most the four rounds its SQL unrolls; the cluster of every row.
-    ``ml13_kmeans_fit_full`` is the fit."""
-    return _fitted(spark, sf, _ROUNDS)
-
-
-@query("ml13_kmeans_fit_full", _lloyd_full_sql(10) + """
-SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM a
-""")
-def ml13c(spark, sf):
     """k-means (k = 10) from given distinct rows until inertia stops
     falling; the cluster of every row by the fitted centres."""
-    return _fitted(spark, sf, _MAX_ITER)
+    e = _emb(spark, sf)
+    centres = CL.lloyd(e, "v", {10: CL.initial_centres(e, "vec_id", "v", 10, seed=5)}, _MAX_ITER)[10]
+    return CL.assign(e, "v", centres).select("vec_id", "cluster")
 
 
 @query("ml14_k_sweep", f"SELECT k, round(wsse, 4) AS wsse FROM ({_SWEEP_SQL}) w")
 def ml14(spark, sf):
-    """Step check: inertia for k = 2..9 after at most four rounds, all k in
-    the same passes.  ``ml14_k_sweep_full`` fits to the end."""
-    return _k_sweep(spark, sf, _ROUNDS).select("k", R("wsse", 4).alias("wsse"))
-
-
-@query("ml14_k_sweep_full", f"SELECT k, round(wsse, 4) AS wsse FROM ({_SWEEP_FULL_SQL}) w")
-def ml14b(spark, sf):
     """Inertia for k = 2..9, every k until its inertia stops falling."""
-    return _k_sweep(spark, sf, _MAX_ITER).select("k", R("wsse", 4).alias("wsse"))
+    return _k_sweep(spark, sf).select("k", R("wsse", 4).alias("wsse"))
 
 
 @query("win1_elbow_kmeans", f"""
@@ -180,21 +136,9 @@ SELECT k, round(wsse, 4) AS wsse FROM p
 WHERE i = coalesce((SELECT min(i) FROM p WHERE i >= 1 AND sl IS NOT NULL AND abs(prev) - abs(sl) > 100), 1)
 """)
 def win1a(spark, sf):
-    """Step check: elbow of the four-round k sweep (threshold 100; second
-    row if none).  ``win1_elbow_kmeans_full`` takes the finished fits."""
-    return CL.elbow(_k_sweep(spark, sf, _ROUNDS), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
-
-
-@query("win1_elbow_kmeans_full", f"""
-WITH s AS (SELECT k, wsse, row_number() OVER (ORDER BY k) - 1 AS i, lead(wsse) OVER (ORDER BY k) - wsse AS sl FROM ({_SWEEP_FULL_SQL}) w),
-p AS (SELECT *, lag(sl) OVER (ORDER BY k) AS prev FROM s)
-SELECT k, round(wsse, 4) AS wsse FROM p
-WHERE i = coalesce((SELECT min(i) FROM p WHERE i >= 1 AND sl IS NOT NULL AND abs(prev) - abs(sl) > 100), 1)
-""")
-def win1c(spark, sf):
     """Elbow of the k sweep fitted to the end (threshold 100; second row if
     none)."""
-    return CL.elbow(_k_sweep(spark, sf, _MAX_ITER), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
+    return CL.elbow(_k_sweep(spark, sf), "k", "wsse", 100.0).select("k", R("wsse", 4).alias("wsse"))
 
 
 def _binned_curve(spark, sf):
@@ -227,33 +171,17 @@ def win1b(spark, sf):
     return e.select("k", R("wsse", 4).alias("wsse"))
 
 
-@query("ml17_vector_quantisation", _lloyd_sql(16, 2, digits=2) + """
+@query("ml17_vector_quantisation", _lloyd_sql(16, digits=2) + """
 SELECT vec_id, CAST(cluster AS INTEGER) AS code, round(d2, 6) AS sq_error, 64 * 32 AS bits_before,
        CAST(ceil(log2(16)) AS INTEGER) AS bits_after FROM a
 """)
 def ml17(spark, sf):
-    """Step check: the codes by a palette of at most two k-means rounds.
-    ``ml17_vector_quantisation_full`` takes the finished fit."""
-    return _quantised(spark, sf, 2)
-
-
-@query("ml17_vector_quantisation_full", _lloyd_full_sql(16, digits=2) + """
-SELECT vec_id, CAST(cluster AS INTEGER) AS code, round(d2, 6) AS sq_error, 64 * 32 AS bits_before,
-       CAST(ceil(log2(16)) AS INTEGER) AS bits_after FROM a
-""")
-def ml17b(spark, sf):
     """Palette of 16 k-means centres fitted to the end (rounded to 2
     decimals), one code per vector, the squared error of its reconstruction
-    and the bits per vector before / after."""
-    return _quantised(spark, sf, _MAX_ITER)
-
-
-def _quantised(spark, sf, max_iter: int):
-    """Palette of 16 k-means centres (rounded to 2 decimals), one code per
-    vector, reconstruction by a broadcast lookup of the (k-row) palette;
-    reports the squared error and the bits per vector before / after."""
+    and the bits per vector before / after; vectors are rebuilt by a
+    broadcast look-up of the palette."""
     e = _emb(spark, sf)
-    centres = CL.lloyd(e, "v", {16: CL.initial_centres(e, "vec_id", "v", 16, seed=5)}, max_iter)[16]
+    centres = CL.lloyd(e, "v", {16: CL.initial_centres(e, "vec_id", "v", 16, seed=5)}, _MAX_ITER)[16]
     palette = [[round(x, 2) for x in c] for c in centres]
     coded = e.select("vec_id", "v", CL.nearest_centre("v", palette).alias("code"))
     pal = spark.createDataFrame([(i, c) for i, c in enumerate(palette)], "code int, centre array<double>")
@@ -285,6 +213,14 @@ def ag15(spark, sf):
     return s.select(R("silhouette").alias("silhouette"))
 
 
+@query("ag15_silhouette_squared", _SIL_SQL.replace("avg(d) AS md", "avg(d * d) AS md"))
+def ag15b(spark, sf):
+    """The silhouette on squared distances, from counts, means and variances
+    of the clusters: no pairs of points."""
+    s = CL.silhouette_squared(_emb(spark, sf), "v", "label")
+    return s.select(R("silhouette").alias("silhouette"))
+
+
 _CENT_SQL = f"""
 WITH e AS {_E},
 u AS (SELECT vec_id, label, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS x FROM e),
@@ -366,63 +302,148 @@ def ml15(spark, sf):
     return out.select(F.col("id").alias("c_custkey"), "cluster")
 
 
+def _density_sql(points: str, dist: str, eps: list[float], m: int) -> str:
+    """CTEs up to ``lab`` (e, eps, id, cluster): DBSCAN of ``points`` (id,
+    ...) for every eps, components by spreading the smallest label until
+    nothing moves.  ``dist``: the distance of the rows a and b."""
+    return f"""p AS ({points}),
+eps AS (SELECT unnest(range(0, {len(eps)})) AS e, unnest({eps}::DOUBLE[]) AS eps),
+d AS (SELECT a.id AS a, b.id AS b, {dist} AS dist FROM p a JOIN p b ON {dist} <= {max(eps)}),
+n AS (SELECT e, eps, a, b FROM d JOIN eps ON dist <= eps),
+core AS (SELECT e, a AS id FROM n GROUP BY e, a HAVING count(*) >= {m}),
+g AS (SELECT n.e, n.a, n.b FROM n JOIN core x ON n.e = x.e AND n.a = x.id JOIN core y ON n.e = y.e AND n.b = y.id),
+it AS (
+  SELECT e, id, id AS lab, CAST(1 AS HUGEINT) AS moved, 0 AS r FROM core
+  UNION ALL
+  SELECT e, id, nl, sum(CASE WHEN nl < lab THEN 1 ELSE 0 END) OVER (), r + 1 FROM (
+    SELECT i.e, i.id, min(i.lab) AS lab, min(k.lab) AS nl, min(i.r) AS r
+    FROM it i JOIN g ON g.e = i.e AND g.a = i.id JOIN it k ON k.e = g.e AND k.id = g.b WHERE i.moved > 0 GROUP BY i.e, i.id) t),
+cl AS (SELECT e, id, dense_rank() OVER (PARTITION BY e ORDER BY lab) - 1 AS cluster FROM it WHERE r = (SELECT max(r) FROM it)),
+border AS (SELECT n.e, n.a AS id, min(cl.cluster) AS cluster FROM n JOIN cl ON n.e = cl.e AND n.b = cl.id GROUP BY n.e, n.a),
+lab AS (SELECT eps.e, eps.eps, p.*, coalesce(cl.cluster, border.cluster, -1) AS cluster FROM p CROSS JOIN eps
+        LEFT JOIN cl ON cl.e = eps.e AND cl.id = p.id LEFT JOIN border ON border.e = eps.e AND border.id = p.id)"""
+
+
+_VEC = "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
+_VEC_DIST = "list_distance(a.v, b.v)"
+
+
+@query("jn3_radius_join_vectors", f"""
+WITH p AS ({_VEC})
+SELECT a.id AS id_a, b.id AS id_b, round({_VEC_DIST}, 6) AS dist FROM p a JOIN p b ON a.id < b.id AND {_VEC_DIST} <= 1.1
+""")
+def jn3_vectors(spark, sf):
+    """Pairs of 64-dimensional vectors within eps = 1.1 (each unordered pair
+    once), through the pivot index."""
+    p = DB.ball_pairs(_emb(spark, sf), "vec_id", "v", 1.1, include_self=False)
+    return p.filter("id_a < id_b").select("id_a", "id_b", R("dist").alias("dist"))
+
+
+@query("ml15_dbscan_vectors", f"""
+WITH RECURSIVE {_density_sql(_VEC, _VEC_DIST, [1.1, 1.15, 1.2], 3)}
+SELECT eps, id AS vec_id, cluster FROM lab
+""")
+def ml15_vectors(spark, sf):
+    """DBSCAN of 64-dimensional vectors, min_samples 3, for eps 1.1, 1.15 and
+    1.2: three cuts of one reachability tree."""
+    out = DN.dbscan_any(_emb(spark, sf), "vec_id", "v", [1.1, 1.15, 1.2], 3)
+    return out.select("eps", F.col("id").alias("vec_id"), "cluster")
+
+
 _SWEEP = [e / 100 for e in range(10, 60, 5)]
+_XY = "SELECT c_custkey AS id, c_acctbal / 1000 AS x, c_nationkey / 3.0 AS y FROM customer"
+_XY_DIST = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))"
+
+
+def _scores_sql(eps: list[float]) -> str:
+    """CTEs up to ``sc``: the scores of every eps with two clusters or more."""
+    return f"""WITH RECURSIVE {_density_sql(_XY, _XY_DIST, eps, 4)},
+st AS (SELECT e, eps, count(DISTINCT cluster) FILTER (WHERE cluster >= 0) AS n_clusters,
+              count(*) FILTER (WHERE cluster < 0) AS n_noise FROM lab GROUP BY e, eps),
+v AS (SELECT lab.* FROM lab JOIN st ON lab.e = st.e WHERE n_clusters > 1),
+m AS (SELECT a.e, a.id, a.cluster AS own, b.cluster AS other, sum((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS s, count(*) AS c
+      FROM v a JOIN v b ON a.e = b.e GROUP BY a.e, a.id, a.cluster, b.cluster),
+ab AS (SELECT e, id, max(CASE WHEN own = other AND c > 1 THEN s / (c - 1) END) AS a, min(CASE WHEN own <> other THEN s / c END) AS b
+       FROM m GROUP BY e, id),
+sil AS (SELECT e, avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM ab GROUP BY e),
+c AS (SELECT e, cluster, avg(x) AS cx, avg(y) AS cy, count(*) AS n FROM v GROUP BY e, cluster),
+o AS (SELECT e, avg(x) AS ox, avg(y) AS oy, count(*) AS n FROM v GROUP BY e),
+w AS (SELECT v.e, v.cluster, sum((x - cx) * (x - cx) + (y - cy) * (y - cy)) AS w,
+             avg(sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy))) AS s FROM v JOIN c ON v.e = c.e AND v.cluster = c.cluster GROUP BY v.e, v.cluster),
+ch AS (SELECT o.e, (sum(c.n * ((cx - ox) * (cx - ox) + (cy - oy) * (cy - oy))) * (min(o.n) - count(*))) / (sum(w.w) * (count(*) - 1)) AS ch
+       FROM o JOIN c ON c.e = o.e JOIN w ON w.e = c.e AND w.cluster = c.cluster GROUP BY o.e),
+r AS (SELECT a.e, a.cluster, max((wa.s + wb.s) / sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS r
+      FROM c a JOIN c b ON a.e = b.e AND a.cluster <> b.cluster JOIN w wa ON wa.e = a.e AND wa.cluster = a.cluster
+      JOIN w wb ON wb.e = b.e AND wb.cluster = b.cluster GROUP BY a.e, a.cluster),
+db AS (SELECT e, avg(r) AS db FROM r GROUP BY e),
+sc AS (SELECT st.eps, st.n_clusters, st.n_noise, round(silhouette, 6) AS silhouette_squared, round(ch, 4) AS calinski_harabasz,
+              round(db, 6) AS davies_bouldin FROM st JOIN sil ON sil.e = st.e JOIN ch ON ch.e = st.e JOIN db ON db.e = st.e)"""
 
 
 def _sweep_scores(spark, sf, eps_list):
-    pts = _points(spark, sf)
-    lab = DB.dbscan(pts, "c_custkey", ["x", "y"], eps_list, 4).cache()
+    """Every eps is a cut of one reachability tree; those with two clusters
+    or more are scored (noise counted as one more cluster)."""
+    pts = _points(spark, sf).select(F.col("c_custkey").alias("id"), F.array("x", "y").alias("v"))
+    lab = cut_lineage(DN.dbscan_any(pts, "id", "v", eps_list, 4))
     stats = lab.groupBy("e", "eps").agg(
         F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
         F.count_if(F.col("cluster") < 0).alias("n_noise"))
     valid = stats.filter(F.col("n_clusters") > 1)
-    good = [r["e"] for r in valid.select("e").orderBy("e").collect()]
-    if not good:
-        return valid.select("eps", "n_clusters", "n_noise", F.lit(None).cast("double").alias("silhouette"),
-                            F.lit(None).cast("double").alias("calinski_harabasz"),
-                            F.lit(None).cast("double").alias("davies_bouldin"))
-    vl = lab.filter(F.col("e").isin(good))
-    vec = pts.select(F.col("c_custkey").alias("id"), F.array("x", "y").alias("v"))
-    per_pt = vl.join(vec, "id")
+    per_pt = cut_lineage(lab.join(valid.select("e"), "e").join(pts, "id"))
+    if per_pt.isEmpty():
+        none = F.lit(None).cast("double")
+        return valid.select("eps", "n_clusters", "n_noise", none.alias("silhouette_squared"), none.alias("calinski_harabasz"),
+                            none.alias("davies_bouldin"))
     ch = CL.calinski_harabasz(per_pt, "v", "cluster", ["e"])
     db = CL.davies_bouldin(per_pt, "v", "cluster", ["e"])
-    labs = (vl.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("e", "cluster"))).alias("_l"))
-              .select("id", F.transform("_l", lambda t: t["cluster"]).alias("labs")))
-    sil = CL.silhouette(labs.join(vec, "id"), "id", "v", "labs")
-    sil = sil.withColumn("e", F.element_at(F.array(*[F.lit(g) for g in good]), F.col("s") + 1))
-    return (valid.join(sil.select("e", "silhouette"), "e").join(ch, "e").join(db, "e")
-                 .select("eps", "n_clusters", "n_noise", R("silhouette").alias("silhouette"),
+    sil = CL.silhouette_squared(per_pt, "v", "cluster", "e")
+    return (valid.join(sil, "e").join(ch, "e").join(db, "e")
+                 .select("eps", "n_clusters", "n_noise", R("silhouette").alias("silhouette_squared"),
                          R("calinski_harabasz", 4).alias("calinski_harabasz"),
                          R("davies_bouldin").alias("davies_bouldin")))
 
 
-@query("ml16_eps_sweep")
+@query("ml16_eps_sweep", _scores_sql(_SWEEP) + " SELECT * FROM sc")
 def ml16(spark, sf):
-    """DBSCAN for eps 0.10, 0.15, ..., 0.55 in one pass; eps values with at
-    least two clusters scored by silhouette, Calinski-Harabasz and
-    Davies-Bouldin (noise counted as one more cluster)."""
+    """DBSCAN for eps 0.10, 0.15, ..., 0.55 from one tree; eps values with at
+    least two clusters scored by the silhouette of squared distances,
+    Calinski-Harabasz and Davies-Bouldin (noise counted as one more
+    cluster)."""
     return _sweep_scores(spark, sf, _SWEEP)
 
 
-@query("win2_eps_ranges")
+_RANGES = [(lo, lo + 20) for lo in range(10, 50, 10)]  # hundredths
+_GRID = sorted({e for lo, hi in _RANGES for e in range(lo, hi, 5)})
+
+
+@query("win2_eps_ranges", _scores_sql([g / 100 for g in _GRID]) + f""",
+rg AS (SELECT unnest({[lo for lo, _ in _RANGES]}) AS lo, unnest({[hi for _, hi in _RANGES]}) AS hi),
+j AS (SELECT lo, hi, sc.*, CAST(round(eps * 100) AS INT) AS h FROM sc JOIN rg ON round(eps * 100) >= lo AND round(eps * 100) < hi),
+k AS (SELECT *, row_number() OVER (PARTITION BY lo ORDER BY silhouette_squared DESC, h) AS rs,
+             row_number() OVER (PARTITION BY lo ORDER BY calinski_harabasz DESC, h) AS rc,
+             row_number() OVER (PARTITION BY lo ORDER BY davies_bouldin, h) AS rd FROM j),
+b AS (SELECT lo, hi, max(CASE WHEN rs = 1 THEN eps END) AS best_silhouette_squared_eps, max(CASE WHEN rc = 1 THEN eps END) AS best_ch_eps,
+             max(CASE WHEN rd = 1 THEN eps END) AS best_db_eps FROM k GROUP BY lo, hi),
+a AS (SELECT *, (best_silhouette_squared_eps + best_ch_eps + best_db_eps) / 3 AS mean_eps FROM b)
+SELECT lo / 100::DOUBLE AS range_lo, hi / 100::DOUBLE AS range_hi, best_silhouette_squared_eps, best_ch_eps, best_db_eps,
+       round(mean_eps, 6) AS mean_eps, round(avg(mean_eps) OVER (), 6) AS overall_eps FROM a
+""")
 def win2(spark, sf):
     """Overlapping eps ranges [lo, lo + 0.2) for lo = 0.10, 0.20, 0.30,
     0.40, each with grid lo, lo + 0.05, ...; per range the best eps by each
     score (first on ties), their mean, and the mean over ranges."""
-    ranges = [(lo, lo + 20) for lo in range(10, 50, 10)]  # hundredths
-    grid = sorted({e for lo, hi in ranges for e in range(lo, hi, 5)})
-    scores = _sweep_scores(spark, sf, [g / 100 for g in grid])
+    scores = _sweep_scores(spark, sf, [g / 100 for g in _GRID])
     scores = scores.withColumn("h", F.round(F.col("eps") * 100).cast("int"))
-    rdf = spark.createDataFrame(ranges, "lo int, hi int")
+    rdf = spark.createDataFrame(_RANGES, "lo int, hi int")
     members = rdf.select("lo", "hi", F.explode(F.sequence("lo", F.col("hi") - 1, F.lit(5))).alias("h"))
     j = members.join(scores, "h")
     best = j.groupBy("lo", "hi").agg(
-        F.max_by("eps", F.struct(F.col("silhouette"), -F.col("h"))).alias("best_silhouette_eps"),
+        F.max_by("eps", F.struct(F.col("silhouette_squared"), -F.col("h"))).alias("best_silhouette_squared_eps"),
         F.max_by("eps", F.struct(F.col("calinski_harabasz"), -F.col("h"))).alias("best_ch_eps"),
         F.min_by("eps", F.struct(F.col("davies_bouldin"), F.col("h"))).alias("best_db_eps"))
-    best = best.withColumn("mean_eps", (F.col("best_silhouette_eps") + F.col("best_ch_eps") + F.col("best_db_eps")) / 3)
+    best = best.withColumn("mean_eps", (F.col("best_silhouette_squared_eps") + F.col("best_ch_eps") + F.col("best_db_eps")) / 3)
     overall = best.agg(F.avg("mean_eps").alias("overall_eps"))
     return best.join(F.broadcast(overall)).select(
         (F.col("lo") / 100).alias("range_lo"), (F.col("hi") / 100).alias("range_hi"),
-        "best_silhouette_eps", "best_ch_eps", "best_db_eps", R("mean_eps").alias("mean_eps"),
+        "best_silhouette_squared_eps", "best_ch_eps", "best_db_eps", R("mean_eps").alias("mean_eps"),
         R("overall_eps").alias("overall_eps"))

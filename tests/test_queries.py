@@ -17,7 +17,6 @@ from orrery.operators.relational import hash_order_sql  # noqa: E402
 
 QUERIES = {k: f for k, f in E.queries().items() if not k.startswith("op") and k != "pipeline"}  # those: tests/llm
 ORACLES = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
-TESTED_ELSEWHERE = {"win2_eps_ranges"}  # a selection from ml16's scores, which are checked here
 
 
 def held_out(con, seed=11):
@@ -99,42 +98,6 @@ def compared(pdf, con):
     assert pdf.accuracy.between(0, 1).all() and pdf.macro_recall.between(0, 1).all()
 
 
-def sweep(pdf, con):
-    """Cluster and noise counts and the two centre scores of every eps, by
-    brute force over the points."""
-    rows = con.execute("SELECT c_custkey, c_acctbal / 1000, c_nationkey / 3.0 FROM customer ORDER BY 1").fetchall()
-    x = np.array([r[1:] for r in rows], float)
-    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
-    for r in pdf.itertuples():
-        near = dist <= r.eps
-        core = near.sum(1) >= 4
-        lab, n = np.full(len(x), -1), 0
-        for i in np.flatnonzero(core):
-            if lab[i] < 0:
-                todo, n = [i], n + 1
-                while todo:
-                    j = todo.pop()
-                    if lab[j] < 0:
-                        lab[j] = n - 1
-                        todo += list(np.flatnonzero(near[j] & core & (lab < 0)))
-        for i in np.flatnonzero(~core):
-            own = lab[near[i] & core]
-            lab[i] = own.min() if len(own) else -1
-        assert (r.n_clusters, r.n_noise) == (n, (lab < 0).sum())
-        ids = sorted(set(lab))
-        means = {c: dist[:, lab == c].sum(1) for c in ids}
-        s = []
-        for i in range(len(x)):
-            size = (lab == lab[i]).sum()
-            a, b = means[lab[i]][i] / max(1, size - 1), min(means[c][i] / (lab == c).sum() for c in ids if c != lab[i])
-            s.append(0 if size == 1 or max(a, b) == 0 else (b - a) / max(a, b))
-        assert abs(np.mean(s) - r.silhouette) < 1e-5
-        cen = np.array([x[lab == c].mean(0) for c in ids])
-        w = sum(((x[lab == c] - m) ** 2).sum() for c, m in zip(ids, cen))
-        between = sum((lab == c).sum() * ((m - x.mean(0)) ** 2).sum() for c, m in zip(ids, cen))
-        assert abs(between * (len(x) - len(ids)) / (w * (len(ids) - 1)) - r.calinski_harabasz) < 1e-3
-
-
 def points(pdf, con):
     keys = con.execute("SELECT count(*) FROM customer").fetchone()[0]
     assert len(pdf) > keys and pdf.groupby("kind").id.apply(lambda s: s.is_unique).all()
@@ -164,7 +127,7 @@ PROPERTIES = {
     "ml3_polynomial_regression": polynomials, "ml4_multi_feature_regression": regression,
     "ml5_logistic_multinomial": predictions(), "ml5_logistic_binary": binary, "ml6_decision_tree": predictions(),
     "ml7_random_forest": predictions(), "ml8_gbt_one_vs_rest": predictions(own_label=False), "ml9_multilayer_perceptron": predictions(),
-    "ml10_linear_svm": predictions(), "ml11_rbf_svm_random_features": predictions(), "ml16_eps_sweep": sweep,
+    "ml10_linear_svm": predictions(), "ml11_rbf_svm_random_features": predictions(),
     "ml18_grid_search_cv": ranked, "ml19_random_search_cv": ranked, "ml20_model_comparison": compared,
     "ml21_score_new_rows": predictions(), "ml21_score_new_rows_stream": predictions(), "snk3_fit_or_load": same_after_reload,
     "src11_point_sets": points,
@@ -193,10 +156,8 @@ def test_query(spark, con, name):
     assert len(pdf.columns) > 0
     if name not in ORACLES:
         check = PROPERTIES.get(name)
-        if check is None:  # has tests of its own
-            assert name in TESTED_ELSEWHERE, f"nothing checks {name}"
-        else:
-            check(pdf, con)
+        assert check is not None, f"nothing checks {name}"
+        check(pdf, con)
         return
     ddf = con.execute(ORACLES[name]).df()
     sc, sr = rows_of(pdf)
