@@ -10,7 +10,6 @@ for unseen levels.
 
 from __future__ import annotations
 
-import itertools
 import math
 from dataclasses import dataclass
 from typing import Sequence
@@ -18,7 +17,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.session import small_side
+from orrery.session import cut_lineage, small_side
 
 # ---------------------------------------------------------------- FE-1/2 --
 
@@ -166,19 +165,99 @@ def polynomial(col: str, degree: int, include_bias: bool = False, prefix: str |
 
 # ------------------------------------------------------- AG-8/9/20, FE-9.. --
 
-def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+#: columns of a block of the Gram matrix, and block pairs a task sums at a time
+GRAM_BLOCK, GRAM_PAIRS = 256, 64
+#: what is summed over the rows in which both columns are known
+_MOMENTS = ("n", "sa", "sb", "saa", "sbb", "sab")
+
+
+def _partial_grams(p: int, pairs: list[tuple[int, int]], block: int, shift: list[float]):
+    """Rows (v) -> for each block pair its sums, one row a moment."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        at = {i: slice(i * block, min(p, (i + 1) * block)) for i in {k for ab in pairs for k in ab}}
+        total = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            flat = b.column("v").flatten()
+            x = np.asarray(flat.fill_null(np.nan) if flat.null_count else flat, float).reshape(-1, p) - np.array(shift)
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            for i, j in pairs:
+                a, c, ma, mc = x[:, at[i]], x[:, at[j]], m[:, at[i]], m[:, at[j]]
+                new = np.stack([ma.T @ mc, a.T @ mc, ma.T @ c, (a * a).T @ mc, ma.T @ (c * c), a.T @ c])
+                total[i, j] = total[i, j] + new if (i, j) in total else new
+        rows = [(i, j, k, s[k].ravel().tolist()) for (i, j), s in total.items() for k in range(len(_MOMENTS))]
+        cols = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64())))],
+                                         names=["i", "j", "k", "s"])
+    return run
+
+
+def _sum_blocks(t):
+    import numpy as np
+    import pyarrow as pa
+    s = t.column("s").combine_chunks()
+    whole = np.asarray(s.flatten()).reshape(len(s), -1).sum(0)
+    return pa.table({c: t.column(c).slice(0, 1).cast(pa.int32()) for c in "ijk"} | {"s": pa.array([whole.tolist()], pa.list_(pa.float64()))})
+
+
+def _block_correlations(p: int, block: int):
+    def run(t):
+        import numpy as np
+        import pyarrow as pa
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        wide = min(p, (j + 1) * block) - j * block
+        s = {k: np.array(v).reshape(-1, wide) for k, v in zip(t.column("k").to_pylist(), t.column("s").to_pylist())}
+        n, sa, sb, saa, sbb, sab = (s[k] for k in range(len(_MOMENTS)))
+        with np.errstate(all="ignore"):
+            n_ = np.maximum(n, 1)
+            r = (sab - sa * sb / n_) / np.sqrt((saa - sa * sa / n_) * (sbb - sb * sb / n_))
+        r = np.where((n > 0) & np.isfinite(r), np.clip(r, -1, 1), np.nan)
+        a, b = (x.ravel() for x in np.meshgrid(i * block + np.arange(n.shape[0]), j * block + np.arange(wide), indexing="ij"))
+        keep = a < b
+        a, b, r = a[keep], b[keep], r.ravel()[keep]
+        both = [np.concatenate(x) for x in ((a, b), (b, a), (r, r))]
+        return pa.table({"a": pa.array(both[0], pa.int32()), "b": pa.array(both[1], pa.int32()),
+                         "corr": pa.array(both[2], mask=np.isnan(both[2]))})
+    return run
+
+
+def correlation_long(df: DataFrame, cols: Sequence[str], block: int = GRAM_BLOCK) -> DataFrame:
     """AG-8: Pearson correlation of every ordered pair (incl. the diagonal)
-    in ONE aggregate pass; long form (feature_a, feature_b, corr)."""
-    pairs = list(itertools.combinations(range(len(cols)), 2))
-    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in pairs]) if pairs else None
-    rows = []
-    vals = row.first().asDict() if row is not None else {}
-    for i, a in enumerate(cols):
-        rows.append((a, a, 1.0))
-    for i, j in pairs:
-        v = vals[f"c_{i}_{j}"]
-        rows += [(cols[i], cols[j], v), (cols[j], cols[i], v)]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    over the rows in which both are known; long form (feature_a, feature_b,
+    corr).
+
+    The columns are cut into blocks and the moments of a pair of blocks are
+    matrix products: a task adds its rows up, the tasks' sums are added in two
+    steps, and the correlations are made where the sums are.  A task holds
+    ``GRAM_PAIRS`` block pairs; more of them take further passes, so neither
+    the plan nor a task grows with the square of the columns."""
+    spark, p = df.sparkSession, len(cols)
+    v = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
+    # sums about a point near the means do not cancel: those of some rows will do
+    some = v.limit(1000).select(F.posexplode("v").alias("p", "x")).groupBy("p").agg(F.avg("x").alias("x")).collect()
+    shift = [0.0] * p
+    for r in some:
+        shift[r["p"]] = r["x"] if r["x"] is not None and math.isfinite(r["x"]) else 0.0
+    blocks = range(-(-p // block))
+    pairs, found = [(i, j) for i in blocks for j in blocks if i <= j], None
+    for s in range(0, len(pairs), GRAM_PAIRS):
+        kind = "i int, j int, k int, s array<double>"
+        part = v.mapInArrow(_partial_grams(p, pairs[s:s + GRAM_PAIRS], block, shift), kind)
+        part = part.withColumn("salt", F.spark_partition_id() % 16)
+        part = part.groupBy("i", "j", "k", "salt").applyInArrow(_sum_blocks, kind).groupBy("i", "j", "k").applyInArrow(_sum_blocks, kind)
+        corr = part.groupBy("i", "j").applyInArrow(_block_correlations(p, block), "a int, b int, corr double")
+        found = corr if found is None else found.unionByName(corr)
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "n int, name string")
+    diagonal = names.select(F.col("name").alias("feature_a"), F.col("name").alias("feature_b"), F.lit(1.0).alias("corr"))
+    if p < 2:
+        return diagonal
+    found = (cut_lineage(found).join(F.broadcast(names.toDF("a", "feature_a")), "a").join(F.broadcast(names.toDF("b", "feature_b")), "b")
+             .select("feature_a", "feature_b", "corr"))
+    return found.unionByName(diagonal)
 
 
 def top_partners(corr_long: DataFrame, n: int = 2) -> DataFrame:

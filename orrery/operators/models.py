@@ -8,6 +8,7 @@ iterative line fits reduce the data to sufficient statistics in one pass.
 from __future__ import annotations
 
 import itertools
+import math
 import os
 import random
 from typing import Sequence
@@ -52,37 +53,85 @@ def gradient_descent_line(df: DataFrame, x: str, y: str, alpha: float = 0.01,
 
 # ----------------------------------------------------------- ML-3/4 --
 
-def polynomial_fit(df: DataFrame, x: str, y: str, degree: int):
-    """ML-3: polynomial least squares via the normal equations (one pass
-    for X'X and X'y inside Spark's weighted least squares).  Returns
-    (coefficients highest power first, intercept last, R^2)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    cols = [F.pow(F.col(x), float(k)).alias(f"_p{k}") for k in range(1, degree + 1)]
-    d = df.select(*cols, F.col(y).alias("_y"))
-    d = VectorAssembler(inputCols=[f"_p{k}" for k in range(1, degree + 1)], outputCol="_f").transform(d)
-    m = LinearRegression(featuresCol="_f", labelCol="_y", solver="normal", regParam=0.0,
-                         standardization=False).fit(d)
-    coef = [float(c) for c in m.coefficients.toArray()][::-1] + [float(m.intercept)]
-    return coef, float(m.summary.r2)
-
-
-def regression_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str):
-    """ML-4: min-max scaled numeric inputs + one-hot categoricals (unknown
-    level -> zeros) -> linear regression."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    stages = []
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__i", outputCol=f"{c}__v", dropLast=True))
-    stages.append(VectorAssembler(inputCols=list(numeric), outputCol="__num"))
-    stages.append(MinMaxScaler(inputCol="__num", outputCol="__nums"))
-    stages.append(VectorAssembler(inputCols=["__nums"] + [f"{c}__v" for c in categorical], outputCol="features"))
-    stages.append(LinearRegression(featuresCol="features", labelCol=label, solver="normal"))
-    return Pipeline(stages=stages)
+def eliminate(gram: np.ndarray, right: np.ndarray, tolerance: float = 1e-12) -> np.ndarray:
+    """Solution of the normal equations by elimination.  A column that depends
+    on those before it (its pivot has vanished) gets coefficient 0."""
+    g, n = np.column_stack([gram, right]).astype(float), len(right)
+    size, used = np.diag(gram).copy(), []
+    for i in range(n):
+        if g[i, i] <= tolerance * max(size[i], 1e-300):
+            continue
+        g[i] /= g[i, i]
+        for r in range(n):
+            if r != i:
+                g[r] -= g[r, i] * g[i]
+        used.append(i)
+    out = np.zeros(n)
+    out[used] = g[used, n]
+    return out
+
+
+def normal_equations(df: DataFrame, xs: Sequence[Column], y: Column):
+    """X'X, X'y and y'y of the design columns ``xs``, in one aggregate whose
+    partial sums merge on the executors; (p + 1)^2 / 2 numbers come back."""
+    cols = [*xs, y]
+    pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
+    names = [f"d{i}" for i in range(len(cols))]
+    d = df.select(*[c.cast("double").alias(n) for n, c in zip(names, cols)])
+    row = d.agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{i}_{j}") for i, j in pairs]).first()
+    full = np.zeros((len(cols), len(cols)))
+    for i, j in pairs:
+        full[i, j] = full[j, i] = row[f"s{i}_{j}"] or 0.0
+    return full[:-1, :-1], full[:-1, -1], full[-1, -1]
+
+
+def polynomial_fits(df: DataFrame, x: str, y: str, degrees: Sequence[int]) -> list[tuple]:
+    """ML-3: polynomial least squares for several degrees from the same sums:
+    (degree, coefficients highest power first and intercept last, R^2).
+
+    The sums are those of powers of (x - mean) / deviation, which keeps the
+    equations well conditioned; the coefficients are expanded afterwards."""
+    d = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter("x is not null and y is not null")
+    m = d.agg(F.avg("x").alias("x"), F.stddev_pop("x").alias("s"), F.avg("y").alias("y")).first()
+    if m["x"] is None:
+        return []
+    s, top = m["s"] or 1.0, max(degrees)
+    z, c = (F.col("x") - m["x"]) / s, F.col("y") - m["y"]
+    sums = d.select(z.alias("z"), c.alias("c")).agg(
+        *[F.sum(F.pow("z", F.lit(float(k)))).alias(f"z{k}") for k in range(2 * top + 1)],
+        *[F.sum(F.pow("z", F.lit(float(k))) * F.col("c")).alias(f"c{k}") for k in range(top + 1)], F.sum(F.col("c") * F.col("c")).alias("cc")).first()
+    out = []
+    for n in degrees:
+        gram = np.array([[sums[f"z{i + j}"] for j in range(n + 1)] for i in range(n + 1)])
+        right = np.array([sums[f"c{k}"] for k in range(n + 1)])
+        b = eliminate(gram, right)
+        coef = np.zeros(n + 1)
+        for k in range(n + 1):
+            for j in range(k + 1):
+                coef[j] += b[k] * math.comb(k, j) * (-m["x"]) ** (k - j) / s ** k
+        coef[0] += m["y"]
+        r2 = float(b @ right / sums["cc"]) if sums["cc"] else 1.0
+        out.append((n, [float(v) for v in coef[::-1]], r2))
+    return out
+
+
+def linear_fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str):
+    """ML-4: min-max scaled numeric inputs and one-hot levels (the first in
+    order is the reference; an unknown level is taken as it) -> linear least
+    squares by the normal equations.  Returns the prediction as an expression
+    over the same columns.  Rows with a null among them are not fitted."""
+    d = df.dropna(subset=[*numeric, *categorical, label])
+    ends = d.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(numeric) for n, f in (("lo", F.min), ("hi", F.max))],
+                 *[F.sort_array(F.collect_set(c)).alias(f"levels_{i}") for i, c in enumerate(categorical)]).first()
+    xs = [F.lit(1.0)]
+    for i, c in enumerate(numeric):
+        lo, hi = float(ends[f"lo_{i}"] or 0), float(ends[f"hi_{i}"] or 0)
+        xs.append((F.col(c).cast("double") - lo) / (hi - lo) if hi > lo else F.lit(0.0))
+    for i, c in enumerate(categorical):
+        xs += [F.when(F.col(c) == level, 1.0).otherwise(0.0) for level in ends[f"levels_{i}"][1:]]
+    gram, right, _ = normal_equations(d, xs, F.col(label))
+    b = [float(v) for v in eliminate(gram, right)]
+    return sum([x * v for x, v in zip(xs[1:], b[1:])], F.lit(b[0]))
 
 
 # ------------------------------------------------------------ ML-5..11 --

@@ -213,7 +213,18 @@ def fe9(spark, sf):
     return FE.prune_second_largest(c, 0.7)
 
 
-@query("fe10_corr_prune_greedy")
+@query("fe10_corr_prune_greedy", f"""
+WITH RECURSIVE n AS (SELECT unnest(range(0, {len(_CORR_COLS)})) AS i, unnest({_CORR_COLS}) AS f),
+hit AS (SELECT a.i AS i, b.i AS j FROM {_corr_sql()} c JOIN n a ON a.f = feature_a JOIN n b ON b.f = feature_b
+        WHERE a.i < b.i AND abs(corr) > 0.8),
+step AS (
+  SELECT 0 AS i, CAST([] AS BIGINT[]) AS gone
+  UNION ALL
+  SELECT i + 1, CASE WHEN list_contains(gone, i) THEN gone
+    ELSE list_concat(gone, coalesce((SELECT list(j) FROM hit WHERE hit.i = step.i), CAST([] AS BIGINT[]))) END
+  FROM step WHERE i < {len(_CORR_COLS)})
+SELECT n.f AS feature, NOT list_contains(s.gone, n.i) AS kept FROM n, (SELECT gone FROM step ORDER BY i DESC LIMIT 1) s
+""")
 def fe10(spark, sf):
     """Greedy upper-triangle pruning at |corr| > 0.8: (feature, kept)."""
     c = FE.correlation_long(_corr_frame(spark, sf), _CORR_COLS)

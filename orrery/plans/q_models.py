@@ -15,6 +15,7 @@ from orrery.operators import metrics as M
 from orrery.operators import models as ML
 from orrery.operators import relational as rel
 from orrery.operators import splits as SP
+from orrery.operators import trees as TR
 from orrery.plans.registry import query
 from orrery.session import cut_lineage, ensure_checkpoint_dir
 from orrery.sources.tables import table
@@ -65,16 +66,44 @@ def ml2(spark, sf):
     return g.select(R("slope").alias("slope"), R("intercept").alias("intercept"))
 
 
-@query("ml3_polynomial_regression")
+def _eliminate_sql(src: str, p: int, name: str) -> str:
+    """CTEs that solve the p equations in the list of rows ``m`` (p + 1
+    numbers each) of ``src``; the last one, ``name``, keeps all its columns."""
+    out, last = [], src
+    for i in range(1, p + 1):
+        step = f"{name}{i}" if i < p else name
+        out.append(f"""{step} AS (SELECT * REPLACE (list_transform(range(1, {p} + 1), lambda r: CASE WHEN r = {i}
+  THEN list_transform(m[{i}], lambda x: x / m[{i}][{i}])
+  ELSE list_transform(range(1, {p} + 2), lambda c: m[r][c] - m[r][{i}] * m[{i}][c] / m[{i}][{i}]) END) AS m) FROM {last})""")
+        last = step
+    return ", ".join(out)
+
+
+def _polynomial_sql(n: int) -> str:
+    rows = ", ".join("[" + ", ".join([f"z{i + j}" for j in range(n + 1)] + [f"c{i}"]) + "]" for i in range(n + 1))
+    b = lambda k: f"m[{k + 1}][{n + 2}]"
+    coef = [" + ".join(f"{b(k)} * {math.comb(k, j)} * pow(-mx, {k - j}) / pow(sx, {k})" for k in range(j, n + 1)) for j in range(n, -1, -1)]
+    coef[-1] += " + my"
+    r2 = " + ".join(f"{b(k)} * c{k}" for k in range(n + 1))
+    return f"""SELECT {n} AS degree, [{', '.join(f'round({c}, 6)' for c in coef)}] AS coefficients, round(({r2}) / cc, 6) AS r2
+FROM (WITH s0 AS (SELECT *, [{rows}] AS m FROM s), {_eliminate_sql('s0', n + 1, 'g')} SELECT * FROM g) q"""
+
+
+@query("ml3_polynomial_regression", f"""
+WITH d AS (SELECT l_quantity / 10 AS x, l_extendedprice / 1000 AS y FROM lineitem),
+k AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my FROM d),
+z AS (SELECT (x - mx) / sx AS z, y - my AS c FROM d, k),
+s AS (SELECT any_value(mx) AS mx, any_value(sx) AS sx, any_value(my) AS my, sum(c * c) AS cc,
+      {', '.join(f'sum(pow(z, {i})) AS z{i}' for i in range(9))}, {', '.join(f'sum(pow(z, {i}) * c) AS c{i}' for i in range(5))} FROM z, k)
+{' UNION ALL '.join(_polynomial_sql(n) for n in (1, 2, 3, 4))}
+""")
 def ml3(spark, sf):
     """Polynomial least squares of price (thousands) on quantity (tens),
-    degrees 1-4: coefficients (highest power first) and R^2."""
+    degrees 1-4 from one set of sums: coefficients (highest power first) and
+    R^2."""
     li = table(spark, sf, "lineitem").select((F.col("l_quantity") / 10).alias("x"),
                                              (F.col("l_extendedprice") / 1000).alias("y"))
-    rows = []
-    for d in (1, 2, 3, 4):
-        coef, r2 = ML.polynomial_fit(li, "x", "y", d)
-        rows.append((d, [round(c, 6) for c in coef], round(r2, 6)))
+    rows = [(d, [round(c, 6) for c in coef], round(r2, 6)) for d, coef, r2 in ML.polynomial_fits(li, "x", "y", (1, 2, 3, 4))]
     return spark.createDataFrame(rows, "degree int, coefficients array<double>, r2 double")
 
 
@@ -86,16 +115,27 @@ def _li_split(spark, sf):
     return li.filter(~is_test), li.filter(is_test)
 
 
-@query("ml4_multi_feature_regression")
+_DESIGN = ["1.0", *[f"(CAST({c} AS DOUBLE) - lo_{c}) / (hi_{c} - lo_{c})" for c in ("l_quantity", "l_discount", "l_tax")],
+           "CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END", "CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END",
+           "CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END"]
+
+
+@query("ml4_multi_feature_regression", f"""
+WITH tr AS (SELECT * FROM lineitem WHERE NOT ({rel.hash_order_sql('l_orderkey', 3)} % 5 = 0)),
+te AS (SELECT * FROM lineitem WHERE {rel.hash_order_sql('l_orderkey', 3)} % 5 = 0),
+mm AS (SELECT {', '.join(f'CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c}' for c in ('l_quantity', 'l_discount', 'l_tax'))} FROM tr),
+d AS (SELECT {', '.join(f'CAST({x} AS DOUBLE) AS x{i}' for i, x in enumerate(_DESIGN))}, CAST(l_extendedprice AS DOUBLE) AS y FROM tr, mm),
+s AS (SELECT [{', '.join('[' + ', '.join([f'sum(x{i} * x{j})' for j in range(7)] + [f'sum(x{i} * y)']) + ']' for i in range(7))}] AS m FROM d),
+{_eliminate_sql('s', 7, 'g')}
+SELECT l_orderkey, l_linenumber, l_extendedprice, round({' + '.join(f'g.m[{i + 1}][8] * ({x})' for i, x in enumerate(_DESIGN))}, 4) AS prediction
+FROM te, mm, g
+""")
 def ml4(spark, sf):
     """Scaled numeric + one-hot categorical inputs -> linear regression of
     the price; predictions for the held-out rows."""
     train, test = _li_split(spark, sf)
-    p = ML.regression_pipeline(["l_quantity", "l_discount", "l_tax"], ["l_returnflag", "l_linestatus"],
-                               "l_extendedprice")
-    model = p.fit(train)
-    out = model.transform(test)
-    return out.select("l_orderkey", "l_linenumber", "l_extendedprice", R("prediction", 4).alias("prediction"))
+    fitted = ML.linear_fit(train, ["l_quantity", "l_discount", "l_tax"], ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    return test.select("l_orderkey", "l_linenumber", "l_extendedprice", R(fitted, 4).alias("prediction"))
 
 
 # ------------------------------------------------------------ ML-5..11 --
@@ -144,6 +184,53 @@ def ml6(spark, sf):
     return _predict(ML.classifier("tree", maxDepth=6, minInstancesPerNode=2).fit(train), test)
 
 
+_CLASSES = range(10)
+
+
+def _level_sql(k: int) -> str:
+    """CTEs of one level of the exact tree: from r{k} (id, label, v, node) the
+    best split b{k} of every node and the rows r{k+1} with their new nodes."""
+    c = lambda p, s=", ": s.join(f"{p}{i}" for i in _CLASSES)
+    left = " + ".join(f"l{i} * l{i}" for i in _CLASSES)
+    right = " + ".join(f"(t{i} - l{i}) * (t{i} - l{i})" for i in _CLASSES)
+    return f"""
+u{k} AS (SELECT node, label, unnest(range(1, len(v) + 1)) AS f, unnest(v) AS x FROM r{k}),
+c{k} AS (SELECT node, f, x, {', '.join(f'count(*) FILTER (WHERE label = {i}) AS c{i}' for i in _CLASSES)} FROM u{k} GROUP BY node, f, x),
+w{k} AS (SELECT node, f, x, lead(x) OVER o AS nx, {', '.join(f'CAST(sum(c{i}) OVER o AS BIGINT) AS l{i}' for i in _CLASSES)},
+               {', '.join(f'CAST(sum(c{i}) OVER (PARTITION BY node, f) AS BIGINT) AS t{i}' for i in _CLASSES)}
+        FROM c{k} WINDOW o AS (PARTITION BY node, f ORDER BY x)),
+s{k} AS (SELECT node, f, CASE WHEN x / 2 + nx / 2 < nx THEN x / 2 + nx / 2 ELSE x END AS thr,
+               CAST({left} AS DOUBLE) / ({c('l', ' + ')}) + CAST({right} AS DOUBLE) / ({c('t', ' + ')} - ({c('l', ' + ')})) AS g
+        FROM w{k} WHERE nx IS NOT NULL AND greatest({c('t')}) < {c('t', ' + ')}),
+b{k} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY g DESC, f, thr) AS n FROM s{k}) z WHERE n = 1),
+r{k + 1} AS (SELECT r.vec_id, r.label, r.v, CASE WHEN b.f IS NULL THEN r.node WHEN r.v[b.f] <= b.thr THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
+        FROM r{k} r LEFT JOIN b{k} b ON b.node = r.node)"""
+
+
+_E_TEST = rel.hash_order_sql("vec_id", 11) + " % 5 = 0"
+
+
+@query("ml6_exact_tree", f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+r0 AS (SELECT *, 1 AS node FROM e WHERE NOT ({_E_TEST})), {_level_sql(0)}, {_level_sql(1)},
+leaf AS (SELECT node, label FROM (SELECT node, label, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, label) AS n
+         FROM r2 GROUP BY node, label) z WHERE n = 1),
+t AS (SELECT e.*, b0.f AS f0, b0.thr AS h0 FROM e LEFT JOIN b0 ON true WHERE {_E_TEST}),
+t1 AS (SELECT *, CASE WHEN f0 IS NULL THEN 1 WHEN v[f0] <= h0 THEN 2 ELSE 3 END AS node1 FROM t),
+t2 AS (SELECT t1.*, CASE WHEN b1.f IS NULL THEN node1 WHEN v[b1.f] <= b1.thr THEN 2 * node1 ELSE 2 * node1 + 1 END AS node
+       FROM t1 LEFT JOIN b1 ON b1.node = node1)
+SELECT t2.vec_id, t2.label, CAST(t2.node AS BIGINT) AS node, leaf.label AS prediction FROM t2 JOIN leaf ON leaf.node = t2.node
+""")
+def ml6b(spark, sf):
+    """Classification tree of depth 2 that tries every distinct value as a
+    threshold; leaf and prediction of the held-out rows."""
+    e = table(spark, sf, "embeddings")
+    is_test = rel.hash_order("vec_id", 11) % 5 == 0
+    tree = TR.exact_tree(e.filter(~is_test), "embedding", "label", max_depth=2)
+    return e.filter(is_test).select("vec_id", "label", tree.node("embedding").alias("node"),
+                                    tree.predict("embedding").alias("prediction"))
+
+
 @query("ml7_random_forest")
 def ml7(spark, sf):
     train, test = _emb(spark, sf)
@@ -159,6 +246,16 @@ def ml8(spark, sf):
     return _predict(ML.classifier("gbt", maxIter=10, maxDepth=3).fit(tr), te)
 
 
+@query("ml8_multinomial_boosting")
+def ml8b(spark, sf):
+    """Multinomial boosting on all classes of the label: K trees a round on
+    the softmax residuals."""
+    e = table(spark, sf, "embeddings")
+    is_test = rel.hash_order("vec_id", 11) % 5 == 0
+    model = TR.boost(e.filter(~is_test), "embedding", "label", rounds=8, max_depth=2, rate=0.1)
+    return model.predict(e.filter(is_test), "embedding").select("vec_id", "label", "prediction")
+
+
 @query("ml9_multilayer_perceptron")
 def ml9(spark, sf):
     train, test = _emb(spark, sf)
