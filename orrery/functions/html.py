@@ -4,12 +4,13 @@ Pages are parsed with regular expressions inside Spark (JVM side, no Python
 per row).  Scripts, styles and comments are removed first, because stored
 pages hold things such as ``var t="</p>"`` inside scripts.  Paragraphs may
 be left unclosed, so a paragraph ends at ``</p>``, at the next ``<p>`` or at
-the end of its container.  Nested tables are out of scope.
+the end of its container.  Tables inside tables are read by ``table_cells``,
+which counts open tags.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
@@ -128,3 +129,51 @@ def fold_rows(length, candidates) -> Column:
     """HTM-5: the first candidate row count that divides ``length``."""
     arr = F.array(*[F.lit(n) for n in candidates])
     return F.try_element_at(F.filter(arr, lambda n: _c(length) % n == 0), F.lit(1))
+
+
+def table_cells(pages: DataFrame, page_id: str, html: str) -> DataFrame:
+    """HTM-3 with tables inside tables: every cell of every table as
+    (page_id, table_no, parent_no, depth, attributes, row_no, cell_no,
+    is_header, text), numbers from 0 in page order.
+
+    The page becomes a row for each tag and each text between tags.  A running
+    count of open tables (stray end tags do not go below 0) gives a token's
+    depth; the last table opened at that depth is its own, and within that
+    table the rows and cells opened so far number it, so that a cell's text
+    never holds that of a table inside it.  Cells and rows need not be closed.
+    ``page_id`` must tell pages apart; a page is ordered in one task."""
+    pattern = "(?is)</?(?:table|tr|td|th)\\b[^>]*>|<[^>]*>|[^<]+"
+    raw = pages.select(F.col(page_id).alias("page"), F.posexplode(F.regexp_extract_all(strip_noise(html), F.lit(pattern), 0)).alias("pos", "s"))
+    name = F.lower(F.regexp_extract("s", "(?i)^<(/?(?:table|tr|td|th))\\b", 1))
+    t = raw.withColumn("tag", name).filter("tag != '' or not startswith(s, '<')")
+    page = Window.partitionBy("page").orderBy("pos")
+    upto = page.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.when(F.col("tag") == "table", 1).when(F.col("tag") == "/table", -1).otherwise(0)
+    t = t.withColumn("sum", F.sum(step).over(upto))
+    t = t.withColumn("depth", F.col("sum") - F.least(F.lit(0), F.min("sum").over(upto)) + (F.col("tag") == "/table").cast("int"))
+    level = Window.partitionBy("page", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.filter("depth > 0").withColumn("table", F.max(F.when(F.col("tag") == "table", F.col("pos"))).over(level)).filter("table is not null")
+    own = Window.partitionBy("page", "table").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cell = F.col("tag").isin("td", "th")
+    t = (t.withColumn("row", F.count_if(F.col("tag") == "tr").over(own) - 1)
+          .withColumn("start", F.max(F.when(cell, F.col("pos"))).over(own))
+          # the last of these tells whether a text is inside a cell
+          .withColumn("state", F.last(F.when(F.col("tag") != "", F.col("tag")), ignorenulls=True).over(own)))
+    inside = t.filter("start is not null").groupBy("page", "table", "start").agg(
+        F.min_by("row", "pos").alias("row_no"), (F.min_by("tag", "pos") == "th").alias("is_header"),
+        F.sort_array(F.collect_list(F.when((F.col("tag") == "") & F.col("state").isin("td", "th"), F.struct("pos", "s")))).alias("parts"))
+    order = Window.partitionBy("page", "table", "row_no").orderBy("start")
+    cells = inside.select("page", "table", "row_no", (F.row_number().over(order) - 1).alias("cell_no"), "is_header",
+                          F.trim(decode_entities(F.array_join(F.transform("parts", lambda p: p["s"]), ""))).alias("text"))
+    tables = t.filter("tag = 'table'").select("page", "pos", "depth", F.regexp_extract("s", "(?is)^<table\\b([^>]*)>", 1).alias("attributes"))
+    above = F.max("pos").over(Window.partitionBy("page", "depth").orderBy("pos"))  # itself
+    listed = tables.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("pos", "depth"))).alias("all"))
+    numbered = tables.withColumn("own", above).join(listed, "page").select(
+        F.col("page").alias("_p"), F.col("own").alias("_t"), "depth", "attributes",
+        (F.array_position(F.transform("all", lambda x: x["pos"]), F.col("own")) - 1).alias("table_no"),
+        # the table that holds it: the last one before it that is one level up
+        (F.array_position(F.transform("all", lambda x: x["pos"]), F.array_max(F.transform(F.filter(
+            "all", lambda x: (x["depth"] == F.col("depth") - 1) & (x["pos"] < F.col("own"))), lambda x: x["pos"]))) - 1).alias("parent_no"))
+    return (cells.join(numbered, (F.col("page") == F.col("_p")) & (F.col("table") == F.col("_t")))
+            .select(F.col("page").alias("page_id"), "table_no", "parent_no", F.col("depth").cast("long").alias("depth"), F.trim("attributes").alias("attributes"),
+                    F.col("row_no").cast("long").alias("row_no"), F.col("cell_no").cast("long").alias("cell_no"), "is_header", "text"))

@@ -71,13 +71,16 @@ def standard_fit(df: DataFrame, cols: Sequence[str]) -> StandardModel:
 
 # ------------------------------------------------------------------ FE-3 --
 
-def fit_levels(df: DataFrame, col: str, n: int | None = None) -> list:
-    """Sorted non-NULL levels that occur: all of them, or the ``n`` commonest
-    (ties: the smaller level) for a caller that names a number.  For lists
-    short enough to be columns; ``one_hot_pipeline`` encodes any column."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).count()
-    rows = (counts if n is None else counts.orderBy(F.desc("count"), F.asc(col)).limit(n)).collect()
-    return sorted(r[0] for r in rows)
+def level_table(df: DataFrame, col: str) -> DataFrame:
+    """FE-3: (level, n) of every non-NULL level, a table of any length."""
+    return df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("level")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit_levels(df: DataFrame, col: str, n: int) -> list:
+    """The ``n`` commonest levels (ties: the smaller one), sorted: a list
+    that the caller's number bounds, to be named columns.  ``one_hot_pipeline``
+    and ``level_table`` take any number of levels."""
+    return sorted(r["level"] for r in level_table(df, col).orderBy(F.desc("n"), F.asc("level")).limit(n).collect())
 
 
 def one_hot(col: str, levels: Sequence, prefix: str | None = None) -> list[Column]:
@@ -155,6 +158,52 @@ def target_encoding_out_of_fold(df: DataFrame, col: str, target: str, fold: str,
     return (df.join(small_side(enc), df[col].eqNullSafe(F.col("_c")) & df[fold].eqNullSafe(F.col("_f")), "left").drop("_c", "_f"))
 
 
+def _shrunk(n, s, q, prior, spread) -> Column:
+    """Empirical-Bayes estimate of a level from its count, sum and sum of
+    squares: its mean and the prior, weighted by n * spread and the level's own
+    variance (``spread``: the variance of all targets)."""
+    mean = s / n
+    weight = F.try_divide(n * spread, n * spread + F.greatest(q / n - mean * mean, F.lit(0.0)))
+    return F.coalesce(weight * mean + (1 - weight) * prior, prior)
+
+
+def target_encoding_auto(train: DataFrame, test: DataFrame, col: str, target: str, out: str) -> DataFrame:
+    """FE-5 with the smoothing chosen per level: a level that scatters little
+    or has many rows keeps its own mean, others move to the prior.  Unseen
+    levels take the prior; NULL is a level."""
+    base = train.agg(F.avg(target)).first()[0]
+    y = F.col(target).cast("double") - F.lit(base)  # squares of centred targets do not cancel
+    per = small_side(train.groupBy(F.col(col).alias("_c")).agg(
+        F.sum(y).alias("_s"), F.sum(y * y).alias("_q"), F.count(target).cast("double").alias("_n")).filter("_n > 0"))
+    every = per.agg(F.sum("_s").alias("s"), F.sum("_q").alias("q"), F.sum("_n").alias("n")).first()
+    if not every["n"]:
+        return test.withColumn(out, F.lit(None).cast("double"))
+    prior = every["s"] / every["n"]
+    spread = F.lit(max(0.0, every["q"] / every["n"] - prior * prior))
+    enc = per.select("_c", (F.lit(base) + _shrunk(F.col("_n"), F.col("_s"), F.col("_q"), F.lit(prior), spread)).alias("_enc"))
+    return (test.join(small_side(enc), F.col(col).eqNullSafe(F.col("_c")), "left")
+            .withColumn(out, F.coalesce("_enc", F.lit(base + prior))).drop("_c", "_enc"))
+
+
+def target_encoding_auto_out_of_fold(df: DataFrame, col: str, target: str, fold: str, out: str) -> DataFrame:
+    """The same for training rows, from the other folds: a fold's own sums
+    are taken off the totals of its level and of all levels."""
+    base = df.agg(F.avg(target)).first()[0]
+    y = F.col(target).cast("double") - F.lit(base)
+    per = small_side(df.groupBy(F.col(col).alias("_c"), F.col(fold).alias("_f")).agg(
+        F.sum(y).alias("s"), F.sum(y * y).alias("q"), F.count(target).cast("double").alias("n")))
+    level = Window.partitionBy("_c")
+    rest = per.select("_c", "_f", *[(F.sum(x).over(level) - F.col(x)).alias("_" + x) for x in "sqn"])
+    folds = per.groupBy("_f").agg(*[F.sum(x).alias(x) for x in "sqn"])
+    every = Window.partitionBy()  # one row for each fold
+    folds = folds.select("_f", *[(F.sum(x).over(every) - F.col(x)).alias("a" + x) for x in "sqn"])
+    prior = F.try_divide("as", "an")
+    spread = F.greatest(F.try_divide("aq", "an") - prior * prior, F.lit(0.0))
+    known = F.when(F.col("_n") > 0, _shrunk(F.col("_n"), F.col("_s"), F.col("_q"), prior, spread)).otherwise(prior)
+    enc = small_side(rest.join(folds, "_f").select("_c", "_f", (F.lit(base) + known).alias(out)))
+    return (df.join(enc, F.col(col).eqNullSafe(F.col("_c")) & F.col(fold).eqNullSafe(F.col("_f")), "left").drop("_c", "_f"))
+
+
 # ------------------------------------------------------------------ FE-6 --
 
 def polynomial(col: str, degree: int, include_bias: bool = False, prefix: str | None = None) -> list[Column]:

@@ -7,6 +7,7 @@ iterative line fits reduce the data to sufficient statistics in one pass.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import os
@@ -237,10 +238,30 @@ def sample_grid(grid: list, n_iter: int, seed: int = 0) -> list:
     return [grid[i] for i in sorted(rnd.sample(range(len(grid)), n_iter))]
 
 
+def _settings(stage) -> str:
+    """A stage's class and parameters, stages inside it included, without
+    the random names of instances."""
+    def shown(v):
+        return _settings(v) if hasattr(v, "extractParamMap") else [shown(x) for x in v] if isinstance(v, (list, tuple)) else repr(v)
+    params = {p.name: shown(v) for p, v in stage.extractParamMap().items()}
+    own = {k: v for k, v in params.items() if stage.uid not in str(v)}  # columns named after the instance
+    return f"{type(stage).__name__}{sorted(own.items())}"
+
+
+def training_digest(pipeline, df: DataFrame) -> str:
+    """Digest of a pipeline's settings and of the rows it is fitted on, in
+    any order and partitioning: one pass of row hashes."""
+    h = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.pmod(h, F.lit(1_000_003))).alias("s")).first()
+    return hashlib.sha256(f"{_settings(pipeline)} {df.schema.simpleString()} {tuple(row)}".encode()).hexdigest()[:32]
+
+
 def fit_or_load(pipeline, df: DataFrame, path: str):
-    """SNK-3: load a saved ``PipelineModel`` if one exists at ``path``, else
-    fit and save it (overwrite).  ``path`` should be on shared storage."""
+    """SNK-3: the ``PipelineModel`` saved under ``path`` for these settings
+    and these training rows, if there is one; else fit and save it.  ``path``
+    should be on shared storage; each digest has a folder of its own."""
     from pyspark.ml import PipelineModel
+    path = f"{path}/{training_digest(pipeline, df)}"
     jvm_fs = df.sparkSession._jvm.org.apache.hadoop.fs
     hpath = jvm_fs.Path(path)
     fs = hpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())

@@ -90,7 +90,12 @@ def vocabulary(df: DataFrame, tokens: str, size: int | None = None) -> DataFrame
     With ``size`` only the top terms are kept (TakeOrderedAndProject, V
     rows); without it every term gets an id via :func:`global_index`.
     """
-    cnt = term_counts(df, tokens)
+    return ranked_terms(term_counts(df, tokens), size)
+
+
+def ranked_terms(cnt: DataFrame, size: int | None = None) -> DataFrame:
+    """(term, cnt) with ``idx`` by count desc, then term asc: the top ``size``
+    of them, or all."""
     order = [F.desc("cnt"), F.asc("term")]
     if size is not None:
         top = cnt.orderBy(*order).limit(size)
@@ -99,15 +104,24 @@ def vocabulary(df: DataFrame, tokens: str, size: int | None = None) -> DataFrame
     return global_index(cnt, order, "idx")
 
 
-def bag_of_words(df: DataFrame, doc_id: str, tokens: str, vocab: DataFrame,
-                 binary: bool = False) -> DataFrame:
+def document_terms(df: DataFrame, doc_id: str, tokens: str) -> DataFrame:
+    """(doc_id, term, n): how often each document has each term, written
+    once.  Vocabulary and bag both come from this table, so that texts are
+    cleaned and split a single time."""
+    return cut_lineage(explode_terms(df, tokens, doc_id).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("n")))
+
+
+def vocabulary_of(terms: DataFrame, size: int | None = None) -> DataFrame:
+    """TXT-1 from ``document_terms``."""
+    return ranked_terms(terms.groupBy("term").agg(F.sum("n").alias("cnt")), size)
+
+
+def bag_of_words(terms: DataFrame, doc_id: str, vocab: DataFrame, binary: bool = False) -> DataFrame:
     """TXT-2: (doc_id, idx, tf) for the vocabulary terms of every document
-    (counts, or 1 when ``binary``).  A vocabulary of up to ``VOCAB_ROWS``
-    terms is broadcast, a larger one joined by a shuffle."""
-    ex = explode_terms(df, tokens, doc_id)
-    j = ex.join(bounded_broadcast(vocab.select("term", "idx"), VOCAB_ROWS), "term")
-    agg = F.lit(1).cast("long") if binary else F.count(F.lit(1))
-    return j.groupBy(doc_id, "idx").agg(agg.alias("tf"))
+    (counts, or 1 when ``binary``), from ``document_terms``.  A vocabulary of
+    up to ``VOCAB_ROWS`` terms is broadcast, a larger one joined by a shuffle."""
+    j = terms.join(bounded_broadcast(vocab.select("term", "idx"), VOCAB_ROWS), "term")
+    return j.select(doc_id, "idx", (F.lit(1).cast("long") if binary else F.col("n")).alias("tf"))
 
 
 def token_windows(tokens, n: int) -> Column:

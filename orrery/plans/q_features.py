@@ -73,11 +73,12 @@ SELECT c_custkey, {", ".join(f"CAST(c_mktsegment = '{s}' AS INTEGER) AS seg_{s}"
 FROM customer WHERE {H('c_custkey', 5)} % 5 = 0
 """)
 def fe3(spark, sf):
-    """One-hot columns named after the levels learned on the training
-    rows; applied to the test rows (unseen level -> all zeros)."""
+    """One-hot columns named after the (at most 100) commonest levels of the
+    training rows; applied to the test rows (unseen level -> all zeros).
+    ``fe3_one_hot_vector`` takes any number of levels."""
     c = table(spark, sf, "customer")
     is_test = rel.hash_order("c_custkey", 5) % 5 == 0
-    levels = FE.fit_levels(c.filter(~is_test), "c_mktsegment")
+    levels = FE.fit_levels(c.filter(~is_test), "c_mktsegment", 100)
     return c.filter(is_test).select("c_custkey", *FE.one_hot("c_mktsegment", levels, "seg"))
 
 
@@ -150,6 +151,42 @@ def fe5b(spark, sf):
         "c_custkey", R("segment_enc").alias("segment_enc"))
 
 
+_AUTO = """CASE WHEN {n} * {v} + {w} = 0 THEN {p} ELSE ({n} * {v} * {m} + {w} * {p}) / ({n} * {v} + {w}) END"""
+
+
+@query("fe5_auto_smoothing", f"""
+WITH tr AS (SELECT *, CAST(c_acctbal AS DOUBLE) AS y FROM customer WHERE NOT ({H('c_custkey', 5)} % 5 = 0)),
+te AS (SELECT * FROM customer WHERE {H('c_custkey', 5)} % 5 = 0),
+p AS (SELECT avg(y) AS p, var_pop(y) AS v FROM tr),
+l AS (SELECT c_mktsegment, count(*) AS n, avg(y) AS m, var_pop(y) AS w FROM tr GROUP BY 1)
+SELECT te.c_custkey, round(CASE WHEN l.n IS NULL THEN p.p ELSE {_AUTO.format(n='l.n', v='p.v', w='l.w', p='p.p', m='l.m')} END, 6) AS segment_enc
+FROM te CROSS JOIN p LEFT JOIN l ON l.c_mktsegment = te.c_mktsegment
+""")
+def fe5c(spark, sf):
+    """Target encoding of the balance by segment, smoothing by empirical
+    Bayes per level."""
+    c = table(spark, sf, "customer").withColumn("y", F.col("c_acctbal").cast("double"))
+    is_test = rel.hash_order("c_custkey", 5) % 5 == 0
+    out = FE.target_encoding_auto(c.filter(~is_test), c.filter(is_test), "c_mktsegment", "y", "segment_enc")
+    return out.select("c_custkey", R("segment_enc").alias("segment_enc"))
+
+
+@query("fe5_auto_out_of_fold", f"""
+WITH c AS (SELECT *, CAST(c_acctbal AS DOUBLE) AS y, {H('c_custkey', 15)} % 4 AS fold FROM customer),
+f AS (SELECT DISTINCT fold FROM c),
+p AS (SELECT f.fold, avg(c.y) AS p, var_pop(c.y) AS v FROM f JOIN c ON c.fold <> f.fold GROUP BY f.fold),
+l AS (SELECT f.fold, c.c_nationkey, count(*) AS n, avg(c.y) AS m, var_pop(c.y) AS w FROM f JOIN c ON c.fold <> f.fold GROUP BY 1, 2)
+SELECT c.c_custkey, round(CASE WHEN l.n IS NULL THEN p.p ELSE {_AUTO.format(n='l.n', v='p.v', w='l.w', p='p.p', m='l.m')} END, 6) AS nation_enc
+FROM c JOIN p ON c.fold = p.fold LEFT JOIN l ON c.fold = l.fold AND c.c_nationkey = l.c_nationkey
+""")
+def fe5d(spark, sf):
+    """The same for training rows, from the other folds only."""
+    c = table(spark, sf, "customer").withColumn("y", F.col("c_acctbal").cast("double"))
+    c = c.withColumn("fold", rel.hash_order("c_custkey", 15) % 4)
+    return FE.target_encoding_auto_out_of_fold(c, "c_nationkey", "y", "fold", "nation_enc").select(
+        "c_custkey", R("nation_enc").alias("nation_enc"))
+
+
 @query("fe6_polynomial_features", """
 SELECT l_orderkey, l_linenumber, 1.0 AS q_0, l_quantity AS q_1, round(pow(l_quantity, 2), 6) AS q_2,
        round(pow(l_quantity, 3), 6) AS q_3

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orrery.functions import html as H
 from orrery.functions.constants import FOLD_ROW_CANDIDATES
 from orrery.plans.registry import query
-from orrery.sources.pages import directory_pages
+from orrery.sources.pages import directory_pages, nested_order_pages
 from orrery.sources.tables import table
 
 
@@ -126,6 +126,25 @@ def htm3(spark, sf):
     return c.select("page_id", "row_no", cell(0).alias("name"), cell(1).alias("segment"), cell(2).alias("balance"))
 
 
+@query("htm3_nested_tables", """
+WITH o AS (SELECT o_orderkey // 128 AS page_id, o_orderkey, o_orderstatus, o_totalprice,
+                  row_number() OVER (PARTITION BY o_orderkey // 128 ORDER BY o_orderkey) - 1 AS r FROM orders),
+l AS (SELECT o.page_id, o.r, l_linenumber, l_quantity, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, printf('%.2f', l_quantity)) - 1 AS k
+      FROM o JOIN lineitem ON l_orderkey = o_orderkey)
+SELECT page_id, 0 AS table_no, NULL::BIGINT AS parent_no, 1 AS depth, r AS row_no, 0 AS cell_no, true AS is_header, CAST(o_orderkey AS VARCHAR) AS text FROM o
+UNION ALL SELECT page_id, 0, NULL, 1, r, 1, false, o_orderstatus FROM o
+UNION ALL SELECT page_id, 0, NULL, 1, r, 2, false, printf('%.2f', o_totalprice) FROM o
+UNION ALL SELECT page_id, r + 1, 0, 2, k, 0, false, CAST(l_linenumber AS VARCHAR) FROM l
+UNION ALL SELECT page_id, r + 1, 0, 2, k, 1, false, printf('%.2f', l_quantity) FROM l
+""")
+def htm3_nested(spark, sf):
+    """Cells of tables inside tables, each in its own table: orders with a
+    table of lines in a cell of every row."""
+    pages = nested_order_pages(table(spark, sf, "orders"), table(spark, sf, "lineitem"))
+    cells = H.table_cells(pages, "page_id", "html")
+    return cells.filter(F.col("attributes").rlike('^(aria-labelledby="orders"|class="lines")$')).drop("attributes")
+
+
 @query("htm4_numeric_cells", f"""
 SELECT page_id, row_no, round(c_acctbal, 2) AS value FROM {_DIR_SQL} d WHERE c_acctbal >= 0
 """)

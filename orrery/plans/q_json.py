@@ -92,6 +92,11 @@ _WIDE = {
     "order_priority": "entry.order.priority", "order_total": "entry.order.total",
     "customer_id": "entry.customer.id", "customer_name": "entry.customer.name",
     "customer_segment": "entry.customer.segment", "country_name": "entry.country.name",
+    "order_date": "entry.order.date",
+    **{f"lines_{k}": f"entry.stats.lines.{k}" for k in ("total", "returned", "accepted", "open", "shipped")},
+    **{f"{g}_{k}": f"entry.stats.{g}.{k}" for g in ("qty", "price") for k in ("total", "min", "max")},
+    **{f"{g}_{k}": f"entry.stats.{g}.{k}" for g in ("discount", "tax") for k in ("min", "max")},
+    "ship_first": "entry.stats.ship.first", "ship_last": "entry.stats.ship.last",
 }
 
 
@@ -100,10 +105,20 @@ SELECT 'orders' AS get, o.o_custkey AS param_customer, o.season AS param_season,
        o.results, CAST(o.page + 1 AS INTEGER) AS paging_current, CAST(ceil(o.results / 2) AS INTEGER) AS paging_total,
        o.o_orderkey AS order_id, o.o_orderstatus AS order_status, o.o_orderpriority AS order_priority,
        o.o_totalprice AS order_total, c.c_custkey AS customer_id, c.c_name AS customer_name,
-       c.c_mktsegment AS customer_segment, n.n_name AS country_name
+       c.c_mktsegment AS customer_segment, n.n_name AS country_name, strftime(o.o_orderdate, '%Y-%m-%d') AS order_date,
+       lines_total, lines_returned, lines_accepted, lines_open, lines_shipped, qty_total, qty_min, qty_max, price_total, price_min,
+       price_max, discount_min, discount_max, tax_min, tax_max, ship_first, ship_last
 FROM {_ORD} o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN (SELECT l_orderkey, count(*) AS lines_total, count(*) FILTER (WHERE l_returnflag = 'R') AS lines_returned,
+    count(*) FILTER (WHERE l_returnflag = 'A') AS lines_accepted, count(*) FILTER (WHERE l_linestatus = 'O') AS lines_open,
+    count(*) FILTER (WHERE l_linestatus = 'F') AS lines_shipped, round(sum(l_quantity), 2) AS qty_total, min(l_quantity) AS qty_min,
+    max(l_quantity) AS qty_max, round(sum(l_extendedprice), 2) AS price_total, min(l_extendedprice) AS price_min,
+    max(l_extendedprice) AS price_max, min(l_discount) AS discount_min, max(l_discount) AS discount_max, min(l_tax) AS tax_min,
+    max(l_tax) AS tax_max, strftime(min(l_shipdate), '%Y-%m-%d') AS ship_first, strftime(max(l_shipdate), '%Y-%m-%d') AS ship_last
+    FROM lineitem GROUP BY l_orderkey) s ON s.l_orderkey = o.o_orderkey
 """)
 def jsn5(spark, sf):
+    """32 columns out of nested documents and their statistics."""
     d = _order_docs(spark, sf)
     e = d.select("doc", F.explode("doc.response").alias("entry"))
     return JF.flatten_paths(e, _WIDE)

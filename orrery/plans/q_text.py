@@ -10,6 +10,7 @@ from orrery.functions import text as TX
 from orrery.functions.constants import ASCII_PUNCTUATION, stopwords
 from orrery.operators import textops as TO
 from orrery.plans.registry import query
+from orrery.session import cut_lineage
 from orrery.sources.tables import table
 
 
@@ -228,9 +229,8 @@ SELECT d.doc_id, v.idx, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FR
 JOIN vocab v ON d.term = v.term GROUP BY d.doc_id, v.idx
 """)
 def txt2(spark, sf):
-    toks = _doc_tokens_nostop(spark, sf)
-    vocab = TO.vocabulary(toks, "t", size=1000)
-    return TO.bag_of_words(toks, "doc_id", "t", vocab)
+    terms = TO.document_terms(_doc_tokens_nostop(spark, sf), "doc_id", "t")
+    return TO.bag_of_words(terms, "doc_id", cut_lineage(TO.vocabulary_of(terms, 1000)))
 
 
 @query("txt2_binary_bag", f"""
@@ -239,8 +239,8 @@ SELECT DISTINCT d.doc_id, v.idx, CAST(1 AS BIGINT) AS tf FROM (SELECT doc_id, un
 JOIN vocab v ON d.term = v.term
 """)
 def txt2b(spark, sf):
-    toks = _doc_tokens_nostop(spark, sf)
-    return TO.bag_of_words(toks, "doc_id", "t", TO.vocabulary(toks, "t", size=1000), binary=True)
+    terms = TO.document_terms(_doc_tokens_nostop(spark, sf), "doc_id", "t")
+    return TO.bag_of_words(terms, "doc_id", cut_lineage(TO.vocabulary_of(terms, 1000)), binary=True)
 
 
 @query("jn8_stopword_vocab_filter", f"""
@@ -252,15 +252,18 @@ SELECT d.doc_id, CAST(len(d.t) AS BIGINT) AS n_tokens,
 FROM {_DOC_TOKENS_SQL} d
 """)
 def jn8(spark, sf):
-    """Stop-word exclusion and the in-vocabulary test, both in the row:
-    against the fixed list, and against the top V terms (V is a parameter,
-    so the list in the plan is bounded)."""
+    """Stop-word exclusion and the in-vocabulary test, on the counts of each
+    document's terms: against the fixed list, and against the top V terms (V
+    is a parameter, so the broadcast table is bounded)."""
     d = _docs(spark, sf).select("doc_id", TX.tokenize("text").alias("t"))
-    d = d.select("doc_id", "t", TO.drop_stopwords("t").alias("k"))
-    terms = [r["term"] for r in TO.vocabulary(d.select("k"), "k", size=1000).collect()]
-    return d.select("doc_id", F.size("t").cast("long").alias("n_tokens"),
-                    F.size("k").cast("long").alias("n_non_stop"),
-                    F.size(F.filter("k", lambda w: w.isin(terms))).cast("long").alias("n_in_vocab"))
+    terms = TO.document_terms(d, "doc_id", "t").withColumn("kept", ~F.col("term").isin(stopwords()))
+    vocab = cut_lineage(TO.vocabulary_of(terms.filter("kept"), 1000)).select("term", F.lit(True).alias("known"))
+    known = terms.join(F.broadcast(vocab), "term", "left")  # at most V rows
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    per = known.groupBy("doc_id").agg(F.sum("n").alias("n_tokens"), count(F.col("kept")).alias("n_non_stop"),
+                                      count(F.col("known") & F.col("kept")).alias("n_in_vocab"))
+    # a document without tokens has no terms
+    return _docs(spark, sf).select("doc_id").join(per, "doc_id", "left").fillna(0, ["n_tokens", "n_non_stop", "n_in_vocab"])
 
 
 _CONV_TOK_SQL = f"(SELECT conv_id, turn, {SEQ_TOKENS_SQL} AS t FROM conversations)"

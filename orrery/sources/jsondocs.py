@@ -22,10 +22,14 @@ ORDER_DOC_SCHEMA = """
 get string, parameters struct<customer: bigint, season: int>, errors array<string>,
 results int, paging struct<current: int, total: int>,
 response array<struct<
-  order: struct<id: bigint, status: string, priority: string, total: double>,
+  order: struct<id: bigint, status: string, priority: string, total: double, date: string>,
   customer: struct<id: bigint, name: string, segment: string>,
   country: struct<name: string>,
   lines: array<struct<line: int, qty: double, price: double, flag: string>>,
+  stats: struct<lines: struct<total: bigint, returned: bigint, accepted: bigint, open: bigint, shipped: bigint>,
+                qty: struct<total: double, min: double, max: double>, price: struct<total: double, min: double, max: double>,
+                discount: struct<min: double, max: double>, tax: struct<min: double, max: double>,
+                ship: struct<first: string, last: string>>,
   seasons: array<struct<year: int>>>>
 """
 
@@ -72,6 +76,21 @@ def parse_double_encoded(c, schema: str) -> Column:
 PAGE_ORDERS = 2
 
 
+def _line_stats() -> Column:
+    """The nested statistics of an order's lines."""
+    count = lambda c, v: F.count_if(F.col(c) == v)
+    ends = lambda c: [F.min(c).alias("min"), F.max(c).alias("max")]
+    total = lambda c: F.round(F.sum(c), 2).alias("total")
+    day = lambda f: F.date_format(f("l_shipdate"), "yyyy-MM-dd")
+    return F.struct(
+        F.struct(F.count(F.lit(1)).alias("total"), count("l_returnflag", "R").alias("returned"), count("l_returnflag", "A").alias("accepted"),
+                 count("l_linestatus", "O").alias("open"), count("l_linestatus", "F").alias("shipped")).alias("lines"),
+        F.struct(total("l_quantity"), *ends("l_quantity")).alias("qty"),
+        F.struct(total("l_extendedprice"), *ends("l_extendedprice")).alias("price"),
+        F.struct(*ends("l_discount")).alias("discount"), F.struct(*ends("l_tax")).alias("tax"),
+        F.struct(day(F.min).alias("first"), day(F.max).alias("last")).alias("ship"))
+
+
 def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                     nation: DataFrame) -> DataFrame:
     """(customer, season, page, json) API-style documents, one per page of
@@ -81,7 +100,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
     single group; an order without a customer or nation row keeps NULLs."""
     lines = lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
         F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"),
-        F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag")))).alias("lines"))
+        F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag")))).alias("lines"), _line_stats().alias("stats"))
     cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "c_name", "c_mktsegment", "n_name")
     listed = orders.withColumn("season", F.year("o_orderdate"))
@@ -96,12 +115,14 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
                .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left"))
     entry = F.struct(
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
-                 F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("total")).alias("order"),
+                 F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("total"),
+                 F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")).alias("order"),
         F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                  F.col("c_mktsegment").alias("segment")).alias("customer"),
         F.struct(F.col("n_name").alias("name")).alias("country"),
         F.coalesce(F.col("lines"), F.array().cast(
             "array<struct<line:int,qty:double,price:double,flag:string>>")).alias("lines"),
+        F.col("stats"),
         F.array(F.struct(F.col("season").alias("year"))).alias("seasons"))
     docs = o.groupBy("o_custkey", "season", F.col("_page").alias("page"), F.col("_results").alias("results")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("_k"), entry.alias("_e")))).alias("_r"))

@@ -33,3 +33,19 @@ def directory_pages(customer: DataFrame, rows_per_page: int = 64) -> DataFrame:
               "<tr><th>Name</th><th>Segment</th><th>Balance</th></tr>\n"),
         body, F.lit("\n</table></body></html>"))
     return grouped.select("page_id", html.alias("html"))
+
+
+def nested_order_pages(orders: DataFrame, lineitem: DataFrame, keys_per_page: int = 128) -> DataFrame:
+    """Orders as pages with a table inside every row: a table labelled
+    ``orders``, one row per order (key as header cell, status and the table of
+    its lines, price), one page per block of keys."""
+    line = F.format_string("<tr><td>%d</td><td>%.2f</td></tr>", "l_linenumber", "l_quantity")
+    lines = lineitem.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(
+        F.struct("l_linenumber", line.alias("tr")))), lambda x: x["tr"]), "").alias("trs"))
+    row = F.format_string('<tr><th>%d</th><td> %s <table class="lines">%s</table></td><td>%.2f</td></tr>', "o_orderkey", "o_orderstatus",
+                          F.coalesce("trs", F.lit("")), "o_totalprice")
+    o = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    g = o.groupBy(F.expr(f"o_orderkey div {keys_per_page}").alias("page_id")).agg(
+        F.sort_array(F.collect_list(F.struct("o_orderkey", row.alias("tr")))).alias("rows"))
+    return g.select("page_id", F.concat(F.lit('<html><body><table aria-labelledby="orders">'),
+                                        F.array_join(F.transform("rows", lambda x: x["tr"]), ""), F.lit("</table></body></html>")).alias("html"))

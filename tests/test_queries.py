@@ -127,7 +127,7 @@ PROPERTIES = {
     "ml5_logistic_multinomial": predictions(), "ml5_logistic_binary": binary, "ml6_decision_tree": predictions(),
     "ml7_random_forest": predictions(), "ml8_gbt_one_vs_rest": predictions(own_label=False), "ml8_multinomial_boosting": predictions(), "ml9_multilayer_perceptron": predictions(),
     "ml10_linear_svm": predictions(), "ml11_rbf_svm_random_features": predictions(),
-    "ml18_grid_search_cv": ranked, "ml19_random_search_cv": ranked, "ml20_model_comparison": compared,
+    "ml18_grid_search_cv": ranked, "ml18_grid_search_refit": predictions(), "ml19_random_search_cv": ranked, "ml20_model_comparison": compared,
     "ml21_score_new_rows": predictions(), "ml21_score_new_rows_stream": predictions(), "snk3_fit_or_load": same_after_reload,
     "src11_point_sets": points,
 }

@@ -90,7 +90,8 @@ def test_distances_to_many_centres_equal_the_inlined_ones(spark):
 
 def test_named_levels_are_a_parameter(spark):
     df = spark.createDataFrame([(x,) for x in "aabbbcd"] + [(None,)], "s string")
-    assert FE.fit_levels(df, "s", 2) == ["a", "b"] and FE.fit_levels(df, "s") == list("abcd")
+    assert FE.fit_levels(df, "s", 2) == ["a", "b"] and FE.fit_levels(df, "s", 9) == list("abcd")
+    assert {r["level"]: r["n"] for r in FE.level_table(df, "s").collect()} == {"a": 2, "b": 3, "c": 1, "d": 1}
 
 
 def test_pages_of_a_hot_customer(spark):
