@@ -16,7 +16,7 @@ components take no part; vectors of unequal lengths are no candidates of
 each other (an empty vector scores 0 with empty ones); a query's own row is
 the row of the same id (repeated rows of that id included); equal scores go
 to the smaller id, null ids last; a query with fewer than k candidates gets
-all; repeated equal query rows give one list; a score beyond the range of a
+all; an empty table gives no rows; columns other than id and v are ignored; repeated equal query rows give one list; a score beyond the range of a
 long is given as that range's end.
 """
 
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from orrery.llm.base import shuffle_partitions
 
 SHARD_ROWS = (2048, 65536)
-BLOCK_ROWS = 8192
+BLOCK_ROWS = (8192, 65536)
+#: a block's components, as they are sent
+BLOCK_BYTES = 32 << 20
 FAN_IN = 64
 CELLS = 4_000_000
 
@@ -97,22 +99,38 @@ def _tile_kernel(k: int, cells: int):
     return run
 
 
+def _shape(rows: DataFrame):
+    """Rows, components of the longest vector, and the bytes (2, 4 or 8) that
+    every component fits into."""
+    # -(x + 1) of a negative x does not overflow
+    size = F.greatest(F.array_max("v"), -(F.array_min("v") + 1))
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"), F.max(size).alias("m")).first()
+    return r["n"], r["d"] or 0, 2 if (r["m"] or 0) < 1 << 15 else 4 if r["m"] < 1 << 31 else 8
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, shard_rows: int | None = None,
-          block_rows: int = BLOCK_ROWS, fan_in: int = FAN_IN, cells: int = CELLS) -> DataFrame:
+          block_rows: int | None = None, fan_in: int = FAN_IN, cells: int = CELLS) -> DataFrame:
     """``queries`` and ``vectors``: (id long, v array<long>).  Returns
-    (query_id, rank, id, score)."""
+    (query_id, rank, id, score).
+
+    Every vector is sent once for each block of queries, so blocks are as
+    large as memory allows and components as narrow as they are."""
     spark = vectors.sparkSession
     q = queries.filter("id is not null and v is not null").select("id", "v").distinct()
     v = vectors.filter("v is not null").select("id", "v")
-    n, m = v.count(), q.count()
+    (n, _, wide), (m, q_dims, q_wide) = _shape(v), _shape(q)
     if shard_rows is None:
         shard_rows = min(SHARD_ROWS[1], max(SHARD_ROWS[0], n // (2 * shuffle_partitions(spark))))
+    if block_rows is None:
+        block_rows = min(BLOCK_ROWS[1], max(BLOCK_ROWS[0], m // (2 * shuffle_partitions(spark))),
+                         max(1, BLOCK_BYTES // max(1, q_dims * q_wide)))
+    sent = lambda width: "array<%s>" % {2: "smallint", 4: "int", 8: "bigint"}[width]
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block_rows))
-    q = (q.withColumn("qv", F.xxhash64("v")).withColumn("dim", F.size("v"))
+    q = (q.withColumn("qv", F.xxhash64("v")).withColumn("dim", F.size("v")).withColumn("v", F.col("v").cast(sent(q_wide)))
          .withColumn("block", F.pmod(F.xxhash64("id", "qv"), F.lit(blocks)))
          .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))))
     # names of its own for this side: both may come from one table
-    v = (v.select(F.col("id").alias("rid"), F.col("v").alias("rv"), F.size("v").alias("rdim"),
+    v = (v.select(F.col("id").alias("rid"), F.col("v").cast(sent(wide)).alias("rv"), F.size("v").alias("rdim"),
                   F.pmod(F.xxhash64("id", "v"), F.lit(shards)).alias("rshard"))
          .withColumn("rblock", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
     found = (q.groupBy("dim", "block", "shard").cogroup(v.groupBy("rdim", "rblock", "rshard"))

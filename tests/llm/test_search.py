@@ -219,3 +219,12 @@ def test_warc_of_one_id_with_many_payloads(spark, tmp_path):
              for r in got.groupBy("page_id", "record_type", "refers_to").count().collect()}
     assert found == {(9, "response", None): 50_000, (7, "revisit", 9): 50_000, (None, "revisit", 9): 50_000}
     assert got.filter("payload_bytes is null").count() == 0
+
+
+@pytest.mark.parametrize("edge", [2**15, 2**31])
+def test_topk_at_the_ends_of_narrow_components(spark, edge):
+    v = [(i, [x, 1]) for i, x in enumerate([edge - 1, -edge, edge, -edge - 1, 0])]
+    for rows in (v[:2] + v[4:], v):  # all that fit, and one step wider
+        df = spark.createDataFrame(rows, "id long, v array<long>").withColumn("dim", F.lit("x")).withColumn("a.b", F.lit(0))
+        got = topk.top_k(df, df, 5).collect()
+        assert sorted(map(tuple, got), key=str) == brute_topk(rows, rows)
