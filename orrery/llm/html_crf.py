@@ -63,6 +63,9 @@ NOT_MAIN = set("""ad ads advert advertisement banner sponsor sponsored promo pro
  pagination pager sidebar side rail widget related recommended share sharing social footer foot header masthead topbar
  toolbar search form comment comments reply replies respond discussion disqus feedback legal copyright skip hidden
  contentinfo complementary banner""".split())
+#: passages that mark a notice
+NOTICES = ("©", "(c)", "all rights reserved", "privacy", "subscribe", "sign in", "log in", "newsletter", "advertis", "sponsored", "accept all",
+           "terms of", "share this", "read more", "related", "comment", "reply")
 
 
 #: containers that a stray end of an inline element does not reach across
@@ -97,12 +100,12 @@ def tokens():
 
     class Open:
         """An open tag and what it adds."""
-        __slots__ = ("name", "open", "containers", "at", "words", "not_main", "article", "marked", "level", "before")
+        __slots__ = ("name", "open", "containers", "at", "block", "told", "words", "not_main", "article", "marked", "level")
 
     def read(html, known=None):
         blocks, path, blocks_open, text, at = [], [], [], [], 0
         count, inline = {}, {}  # open elements by name; the inline ones themselves
-        words = {}  # open elements by attribute word
+        names, words = {}, {}  # open block elements by name, open elements by attribute word
         bad, befores = [0], [False]  # by open article: parts of another kind below it; whether it lies in one
         not_main = article = marked = outer = 0  # open elements of these kinds
         boxes, place = [], None
@@ -123,8 +126,7 @@ def tokens():
             nonlocal place
             if place is None:
                 place = Place()
-                place.names = frozenset(x for x, c in count.items() if c and x in BLOCK)
-                place.words, place.features = frozenset(words), None
+                place.names, place.words, place.features = frozenset(names), frozenset(words), None
                 place.leaf, place.box = path[blocks_open[-1]].name if blocks_open else "none", boxes[-1].at if boxes else -1
                 place.not_main, place.article, place.marked = not_main > 0, article > 0, marked > 0
                 place.aside, place.before = bad[-1] > 0, befores[-1]
@@ -138,21 +140,27 @@ def tokens():
             if x.name == "a":  # links count by the block, not by the path
                 return
             place = None
-            not_main += d * x.not_main
-            article += d * x.article
-            marked += d * x.marked
-            outer += d * (x.name in OUTER)
+            if x.block:
+                c = names[x.name] = names.get(x.name, 0) + d
+                if not c:
+                    del names[x.name]
+                outer += d * (x.name in OUTER)
+            if x.told:
+                not_main += d * x.not_main
+                article += d * x.article
+                marked += d * x.marked
+                for w in x.words:
+                    c = words[w] = words.get(w, 0) + d
+                    if not c:
+                        del words[w]
             if x.level is not None:
                 bad[x.level] += d
-            for w in x.words:
-                c = words[w] = words.get(w, 0) + d
-                if not c:
-                    del words[w]
 
         def start(name, ws):
             x = Open()
             x.name, x.open, x.at = name, True, at
             x.containers = (path[-1].containers if path else 0) + (name in CONTAINERS)
+            x.block, x.told = name in BLOCK, bool(ws) or name in ARTICLE
             x.words, x.not_main, x.article = ws if known is None else ws & known, bool(ws & NOT_MAIN), "articlebody" in ws
             x.marked = name in ARTICLE or x.article or {"article", "body"} <= ws
             if name in ARTICLE:
@@ -163,7 +171,7 @@ def tokens():
                 x.level = len(bad) - 1 if path and (name in BOILERPLATE or x.not_main) else None
             if name in BOXES:
                 boxes.append(x)
-            if name in BLOCK:
+            if x.block:
                 blocks_open.append(len(path))
             else:
                 inline.setdefault(name, []).append(x)
@@ -262,21 +270,34 @@ def tokens():
 
 
 def block_features():
-    """Function: blocks of a page -> a list of feature names for each."""
+    """Function: blocks of a page -> for each the features of its place, as
+    [names, weight or None] shared by all blocks of such places, and a list of
+    the names of its own features."""
     import re
     link_only = re.compile(r"[^\w]*$")
-    notice = re.compile(r"©|\(c\)|all rights reserved|cookies?\b|privacy|subscribe|sign in|log in|newsletter|advertis|sponsored|"
-                        r"accept all|terms of|share this|read more|related|comment|reply", re.I)
+    cookie = re.compile(r"cookies?\b")
+
+    def notice(text):
+        low = text.lower()
+        return any([x in low for x in NOTICES]) or "cookie" in low and cookie.search(low) is not None
+
+    seen = {}
 
     def above(place):
-        """Features of the open tags, made once for each."""
-        f = ["leaf=" + place.leaf, *("in=" + x for x in place.names if x not in ("html", "body", "p")),
-             *("word=" + w for w in place.words)]
-        if place.not_main:
-            f.append("named-not-main")
-        if BOILERPLATE & place.names:
-            f.append("in-boilerplate")
-        return f
+        """Features of the open tags, made once for all places alike."""
+        key = place.leaf, place.names, place.words, place.not_main
+        held = seen.get(key)
+        if held is None:
+            f = ["bias", "leaf=" + place.leaf, *("in=" + x for x in place.names if x not in ("html", "body", "p")),
+                 *("word=" + w for w in place.words)]
+            if place.not_main:
+                f.append("named-not-main")
+            if BOILERPLATE & place.names:
+                f.append("in-boilerplate")
+            if len(seen) > 20_000:
+                seen.clear()
+            held = seen[key] = [f, None]
+        return held
 
     def of(blocks):
         out, n = [], len(blocks)
@@ -289,9 +310,7 @@ def block_features():
             if place.features is None:
                 place.features = above(place)
             c = chars[place.box]
-            f = ["bias", *place.features]
-            if link:
-                f.append("in-link")
+            f = ["in-link"] if link else []
             k = len(text)
             f.append("chars=%d" % (0 if k < 12 else 1 if k < 40 else 2 if k < 120 else 3 if k < 400 else 4))
             f.append("ends=" + (text[-1] if text[-1] in ".!?:|,;" else "letter" if text[-1].isalpha() else "other"))
@@ -303,12 +322,12 @@ def block_features():
                     f.append("clean,article")
             if linked.get(place.box, 0) > c / 2:
                 f.append("box-of-links")
-            if notice.search(text):
+            if notice(text):
                 f.append("notice")
             if link_only.match(text):
                 f.append("no-words")
             f.append("at=" + ("first" if i == 0 else "last" if i == n - 1 else "middle"))
-            out.append(f)
+            out.append((place.features, f))
         return out
     return of
 
@@ -407,15 +426,15 @@ def fit(pages: list[str], steps: int = 200, rate: float = 0.2, ridge: float = 3e
         return None
     seen = {}
     for fs, _ in chains:
-        for f in {x for f in fs for x in f}:
+        for f in {x for held, own in fs for x in (*held[0], *own)}:
             seen[f] = seen.get(f, 0) + 1
     index = {f: i for i, f in enumerate(sorted(f for f, c in seen.items() if c >= min_pages))}
     longest, n = max(len(y) for _, y in chains), len(chains)
     rows, cols, y, mask = [], [], np.zeros((n, longest), int), np.zeros((n, longest), bool)
     for c, (fs, labels) in enumerate(chains):
         y[c, :len(labels)], mask[c, :len(labels)] = labels, True
-        for i, f in enumerate(fs):
-            k = [index[x] for x in f if x in index]
+        for i, (held, own) in enumerate(fs):
+            k = [index[x] for x in (*held[0], *own) if x in index]
             rows += [c * longest + i] * len(k)
             cols += k
     rows, cols = np.array(rows), np.array(cols)
@@ -473,11 +492,16 @@ def extractor(model):
     read, of = tokens(), block_features()
     known = frozenset(f[5:] for f in weights if f.startswith("word="))
 
+    def emission(held, own):
+        if held[1] is None:
+            held[1] = sum([weights.get(f, 0.0) for f in held[0]])
+        return held[1] + sum([weights[f] for f in own if f in weights])
+
     def main_text(html):
         blocks = read(html or "", known)
         if not blocks:
             return ""
-        labels = viterbi([sum(weights.get(f, 0.0) for f in fs) for fs in of(blocks)], trans, start)
+        labels = viterbi([emission(held, own) for held, own in of(blocks)], trans, start)
         return " ".join(t for (t, *_), y in zip(blocks, labels) if y)
     return main_text
 
