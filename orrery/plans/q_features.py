@@ -307,7 +307,38 @@ def fe12(spark, sf):
     return FE.variance_threshold(li, _VAR_COLS, 0.03).select("feature")
 
 
-@query("fe7_pca_projection")
+def _leading_sql(m: str, v: str, rounds: int = 40) -> str:
+    """CTEs of the leading eigenvector of the symmetric matrix in ``m`` (a
+    list of rows): repeated squaring of the matrix leaves it alone.  ``v``:
+    the vector, its largest component positive, and its eigenvalue."""
+    return f"""
+{v}_pw AS (SELECT 0 AS r, m AS b FROM {m}
+  UNION ALL
+  SELECT r + 1, list_transform(b, lambda x: list_transform(b, lambda y: list_dot_product(x, y) / s)) FROM (
+    SELECT r, b, list_max(list_transform(b, lambda x: list_dot_product(x, x))) AS s FROM {v}_pw) q WHERE r < {rounds}),
+{v}_row AS (SELECT list_transform(x, lambda y: y / sqrt(list_dot_product(x, x)) * CASE WHEN list_max(x) >= -list_min(x) THEN 1 ELSE -1 END) AS v FROM (
+  SELECT unnest(b) AS x FROM {v}_pw WHERE r = {rounds}) q ORDER BY list_dot_product(x, x) DESC LIMIT 1),
+{v} AS MATERIALIZED (SELECT v, list_dot_product(v, list_transform(m, lambda x: list_dot_product(x, v))) AS l FROM {v}_row, {m})"""
+
+
+_COV_SQL = """WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+mu AS (SELECT list(a ORDER BY p) AS mu FROM (SELECT p, avg(x) AS a FROM (SELECT unnest(range(1, len(v) + 1)) AS p, unnest(v) AS x FROM e) u GROUP BY p) g),
+c AS (SELECT vec_id, list_transform(range(1, len(v) + 1), lambda i: v[i] - mu[i]) AS v FROM e, mu),
+col AS (SELECT p, list(x ORDER BY vec_id) AS xs FROM (SELECT vec_id, unnest(range(1, len(v) + 1)) AS p, unnest(v) AS x FROM c) u GROUP BY p),
+m1 AS (SELECT list(w ORDER BY p) AS m FROM (SELECT a.p, list(list_dot_product(a.xs, b.xs) ORDER BY b.p) AS w FROM col a, col b GROUP BY a.p) g),
+tr AS (SELECT sum(m[i][i]) AS t FROM m1, range(1, len(m) + 1) t(i))"""
+
+
+def _deflated_sql(k: int) -> str:
+    """The matrix m{k + 1} without the eigenvector v{k}."""
+    return (f"m{k + 1} AS MATERIALIZED (SELECT list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1), "
+            f"lambda j: m[i][j] - l * v[i] * v[j])) AS m FROM m{k}, v{k})")
+
+
+@query("fe7_pca_projection", f"""{_COV_SQL}, {_leading_sql('m1', 'v1')}, {_deflated_sql(1)}, {_leading_sql('m2', 'v2')}
+SELECT vec_id, round(list_dot_product(c.v, v1.v), 6) AS pc1, round(list_dot_product(c.v, v2.v), 6) AS pc2,
+       round(v1.l / t, 6) AS ratio1, round(v2.l / t, 6) AS ratio2 FROM c, v1, v2, tr
+""")
 def fe7(spark, sf):
     """Centred PCA of the embeddings to 2 components with the explained
     variance ratio of each (sign fixed so the largest loading is > 0)."""
@@ -319,11 +350,20 @@ def fe7(spark, sf):
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(pc.shape[1])]
     ratio = [float(x) for x in model.explainedVariance.toArray()]
     out = model.transform(centred).select("vec_id", vector_to_array("pca").alias("p"))
-    return out.select("vec_id", (F.col("p")[0] * signs[0]).alias("pc1"), (F.col("p")[1] * signs[1]).alias("pc2"),
-                      F.lit(ratio[0]).alias("ratio1"), F.lit(ratio[1]).alias("ratio2"))
+    return out.select("vec_id", R(F.col("p")[0] * signs[0]).alias("pc1"), R(F.col("p")[1] * signs[1]).alias("pc2"),
+                      F.lit(round(ratio[0], 6)).alias("ratio1"), F.lit(round(ratio[1], 6)).alias("ratio2"))
+
 
+_DIM = 64  # of the embeddings
 
-@query("fe8_pca_fraction")
+
+@query("fe8_pca_fraction", f"""{_COV_SQL},
+{', '.join(_leading_sql(f'm{k}', f'v{k}') + (', ' + _deflated_sql(k) if k < _DIM else '') for k in range(1, _DIM + 1))},
+l AS ({' UNION ALL '.join(f'SELECT {k} AS k, l FROM v{k}' for k in range(1, _DIM + 1))}),
+s AS (SELECT k, sum(l) OVER (ORDER BY k) / t AS share FROM l, tr)
+SELECT CAST(f AS DOUBLE) AS fraction, CAST(min(k) AS INT) AS n_components FROM s, (SELECT unnest([0.8, 0.9]) AS f) q
+WHERE share >= f - 1e-12 GROUP BY f
+""")
 def fe8(spark, sf):
     """Fewest components reaching 80 % and 90 % of the variance."""
     from pyspark.ml.functions import array_to_vector

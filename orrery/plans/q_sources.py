@@ -7,6 +7,8 @@ tables."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from orrery.plans.registry import query
@@ -187,7 +189,26 @@ def src10(spark, sf):
 
 # --------------------------------------------------------------- SRC-11 --
 
-@query("src11_point_sets")
+def _points_sql() -> str:
+    u = lambda stream, key="id": SY.uniform_sql(key, 7, str(stream))
+    n = lambda stream: SY.normal_sql("id", 7, str(stream))
+    pi = f"{math.pi!r}::DOUBLE"
+    blob = [f"-10 + 20 * {u(1000 + j, '(-1 - label)')} + {n(10 + j)}" for j in (0, 1)]
+    return f"""
+WITH c AS (SELECT c_custkey AS id, CAST(least(floor({u(1)} * 3), 2) AS INT) AS third, CASE WHEN {u(1)} >= 0.5 THEN 1 ELSE 0 END AS half,
+                  {u(2)} AS t FROM customer),
+p AS (
+  SELECT 'blobs' AS kind, id, label, {blob[0]} AS x0, {blob[1]} AS x1 FROM (SELECT id, third AS label FROM c) b
+  UNION ALL SELECT 'outlier', -1, -1, 25.0, 25.0
+  UNION ALL SELECT 'circles', id, half, (1 - 0.5 * half) * cos(2 * {pi} * t) + 0.05 * {n(3)}, (1 - 0.5 * half) * sin(2 * {pi} * t) + 0.05 * {n(4)} FROM c
+  UNION ALL SELECT 'moons', id, half, CASE WHEN half = 0 THEN cos({pi} * t) ELSE 1 - cos({pi} * t) END + 0.05 * {n(3)},
+                   CASE WHEN half = 0 THEN sin({pi} * t) ELSE 0.5 - sin({pi} * t) END + 0.05 * {n(4)} FROM c
+  UNION ALL SELECT 'separable', id, half, {n(10)} + 4.0 * half, {n(11)} + 4.0 * half FROM c)
+SELECT kind, id, label, round(x0, 6) AS x0, round(x1, 6) AS x1 FROM p
+"""
+
+
+@query("src11_point_sets", _points_sql())
 def src11(spark, sf):
     """Seeded point sets keyed by customer: 3 Gaussian blobs, circles
     (factor 0.5), moons, two separable classes, and one outlier."""

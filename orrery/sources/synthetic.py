@@ -1,9 +1,10 @@
 """Seeded point sets keyed by table rows (SRC-11).
 
 Every point hangs off a row key of a given table, so the set grows with
-the table.  Randomness comes from ``xxhash64(seed, key, stream)``: the
-same key and seed give the same point whatever the partitioning, retries
-or executor losses (``rand(seed)`` depends on the partition layout).
+the table.  Randomness comes from the MD5 of ``seed:key:stream``: the same
+key and seed give the same point whatever the partitioning, retries or
+executor losses (``rand(seed)`` depends on the partition layout), and in any
+engine (``uniform_sql``, ``normal_sql``).
 Normal draws use the Box-Muller transform of two such uniforms.
 """
 
@@ -14,13 +15,23 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TWO53 = float(2 ** 53)
+_TWO52 = float(2 ** 52)
 
 
-def uniform(key: Column, seed: int, stream: int) -> Column:
-    """U[0, 1) from a 53-bit slice of a hash of (seed, key, stream)."""
-    h = F.xxhash64(F.lit(seed), key, F.lit(stream))
-    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(_TWO53)
+def uniform(key: Column, seed: int, stream: int | Column) -> Column:
+    """U[0, 1) from the first 52 bits of the digest of (seed, key, stream)."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), F.lit(stream).cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(_TWO52)
+
+
+def uniform_sql(key: str, seed: int, stream: str) -> str:
+    """The same in DuckDB."""
+    return f"(CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR) || ':' || CAST({stream} AS VARCHAR)), 1, 13) AS BIGINT) / {_TWO52!r}::DOUBLE)"
+
+
+def normal_sql(key: str, seed: int, stream: str) -> str:
+    u1, u2 = (uniform_sql(key, seed, f"(2 * ({stream}) + {i})") for i in (0, 1))
+    return f"(sqrt(-2.0 * ln(1.0 - {u1})) * cos({2 * math.pi!r}::DOUBLE * {u2}))"
 
 
 def normal(key: Column, seed: int, stream: int) -> Column:
