@@ -180,3 +180,21 @@ def test_two_thousand_columns(spark):
     df = spark.range(300).select(*[(F.xxhash64("id", F.lit(i % 1500)) % 1000 / 10.0).alias(c) for i, c in enumerate(cols)])
     top = FE.correlation_long(df, cols)
     assert top.filter("abs(corr) > 0.9999").count() == p + 2 * 500  # the columns that repeat, and the diagonal
+
+
+def test_best_setting_is_refitted_on_all_rows(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import ParamGridBuilder
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 3))
+    y = (x[:, 0] > 0).astype(int)
+    df = ML.array_features(labelled(spark, x, y), "v").withColumnRenamed("y", "label").withColumn("fold", (F.col("id") % 3).cast("int")).cache()
+    lr = ML.classifier("logistic", maxIter=50)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [10.0, 0.01]).addGrid(lr.elasticNetParam, [1.0]).build()
+    cv = ML.cross_validate(lr, grid, MulticlassClassificationEvaluator(metricName="accuracy"), df, fold_col="fold", folds=3)
+    assert cv.avgMetrics[1] > cv.avgMetrics[0]
+    again = lr.copy(grid[1]).fit(df)
+    assert np.allclose(cv.bestModel.coefficients.toArray(), again.coefficients.toArray())
+    got = cv.bestModel.transform(df).select("label", "prediction").collect()
+    assert np.mean([r["label"] == r["prediction"] for r in got]) > 0.95
+    df.unpersist()
