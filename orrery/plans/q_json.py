@@ -12,9 +12,9 @@ from orrery.session import scratch_path
 from orrery.sources.tables import table
 
 
-def _order_docs(spark, sf):
+def _order_docs(spark, sf, stats: bool = False):
     docs = JD.order_documents(table(spark, sf, "orders"), table(spark, sf, "lineitem"),
-                              table(spark, sf, "customer"), table(spark, sf, "nation"))
+                              table(spark, sf, "customer"), table(spark, sf, "nation"), stats)
     return docs.select("customer", "season", F.col("page").cast("long").alias("page"),
                        JD.parse_json("json", JD.ORDER_DOC_SCHEMA).alias("doc"))
 
@@ -119,7 +119,7 @@ LEFT JOIN (SELECT l_orderkey, count(*) AS lines_total, count(*) FILTER (WHERE l_
 """)
 def jsn5(spark, sf):
     """32 columns out of nested documents and their statistics."""
-    d = _order_docs(spark, sf)
+    d = _order_docs(spark, sf, stats=True)
     e = d.select("doc", F.explode("doc.response").alias("entry"))
     return JF.flatten_paths(e, _WIDE)
 

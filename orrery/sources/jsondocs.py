@@ -92,15 +92,17 @@ def _line_stats() -> Column:
 
 
 def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
-                    nation: DataFrame) -> DataFrame:
+                    nation: DataFrame, stats: bool = False) -> DataFrame:
     """(customer, season, page, json) API-style documents, one per page of
     ``PAGE_ORDERS`` orders of a customer and year, in order-key order.
-    ``results`` and ``paging.total`` count all pages.  Orders are numbered
+    ``results`` and ``paging.total`` count all pages; ``stats`` adds the
+    nested statistics of each order's lines.  Orders are numbered
     by a distributed rank, so a customer with a third of all orders is no
     single group; an order without a customer or nation row keeps NULLs."""
     lines = lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
         F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"),
-        F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag")))).alias("lines"), _line_stats().alias("stats"))
+        F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("flag")))).alias("lines"),
+        *([_line_stats().alias("stats")] if stats else []))
     cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "c_name", "c_mktsegment", "n_name")
     listed = orders.withColumn("season", F.year("o_orderdate"))
@@ -122,7 +124,7 @@ def order_documents(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
         F.struct(F.col("n_name").alias("name")).alias("country"),
         F.coalesce(F.col("lines"), F.array().cast(
             "array<struct<line:int,qty:double,price:double,flag:string>>")).alias("lines"),
-        F.col("stats"),
+        *([F.col("stats")] if stats else []),
         F.array(F.struct(F.col("season").alias("year"))).alias("seasons"))
     docs = o.groupBy("o_custkey", "season", F.col("_page").alias("page"), F.col("_results").alias("results")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("_k"), entry.alias("_e")))).alias("_r"))
