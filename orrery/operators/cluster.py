@@ -279,12 +279,14 @@ def _nearest_other(sets: dict):
     """Rows (e, c, v) -> smallest mean squared distance to a cluster of e
     other than c (null if there is none).  ``sets``: e -> (numbers, means,
     variances)."""
+    matrix = pivots._matrix
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
         for b in batches:
             e, c = np.asarray(b.column("_e")), np.asarray(b.column("_c"))
-            v, best = pivots._matrix(b.column("_v")), np.full(b.num_rows, np.inf)
+            v, best = matrix(b.column("_v")), np.full(b.num_rows, np.inf)
             for x in np.unique(e):
                 names, means, variance = sets[int(x)]
                 at = np.flatnonzero(e == x)

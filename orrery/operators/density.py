@@ -80,16 +80,18 @@ def forest(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
 def _tile_forest(metric: str, limit: float):
     """Copies of points (left) in a shelf (right): the forest of the mutual
     reachabilities up to ``limit``.  Points are (id, core, vec)."""
+    matrix, distances = pivots._matrix, pivots.pair_distances
+
     def run(left, right):
         import pyarrow as pa
         out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if left.num_rows and right.num_rows:
-            q, r = (pivots._matrix(t.column(c)) for t, c in ((left, "q_vec"), (right, "vec")))
+            q, r = (matrix(t.column(c)) for t, c in ((left, "q_vec"), (right, "vec")))
             qid, rid = np.asarray(left.column("q_id").combine_chunks()), np.asarray(right.column("ids").combine_chunks().flatten())
             qc, rc = np.asarray(left.column("core").combine_chunks()), np.asarray(right.column("core").combine_chunks())
             step = max(1, 2_000_000 // len(r))
             for s in range(0, len(q), step):
-                d = np.maximum(np.maximum(pivots.pair_distances(metric, q[s:s + step], r), qc[s:s + step, None]), rc[None])
+                d = np.maximum(np.maximum(distances(metric, q[s:s + step], r), qc[s:s + step, None]), rc[None])
                 row, col = np.nonzero((d <= limit) & (qid[s:s + step, None] != rid[None]))
                 new = [qid[s:s + step][row], rid[col], d[row, col]]
                 out = [np.concatenate(x) for x in zip(out, new)]

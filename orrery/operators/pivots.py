@@ -183,12 +183,11 @@ _FOUND = "q_id long, r_id long, dist double, tested long"
 def _tile(light, k: int, exclude_self: bool):
     """One shelf and a block of queries: the k nearest of each (``k`` = 0: all
     within its limit), and a row that tells how many distances were measured."""
+    from orrery.operators.neighbors import _nearest_squared  # travels with the kernel
     metric = light[0]
 
     def run(left, right):
         import pyarrow as pa
-
-        from orrery.operators.neighbors import _nearest_squared
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
 
         def table(q, r, d, tested):
