@@ -75,7 +75,7 @@ OUTER = set("nav footer aside form".split())  # an article in one of these is no
 
 
 def tokens():
-    """The reader: html -> list of (text, place, is a link).  A place is what
+    """The reader: html -> list of (text, (place, is a link)).  A place is what
     the open tags amount to: block names, attribute words, the innermost
     block and container, and whether they are in a marked article or in a part
     that is tagged or named as something else.  It is kept by counting tags as
@@ -119,7 +119,7 @@ def tokens():
                 link = 2 * linked > len(s)
                 s = " ".join(unescape(s).split())
                 if s:  # a block counts as a link if most of it is one
-                    blocks.append((s, here(), link))
+                    blocks.append((s, (here(), link)))
                 text, linked = [], 0
 
         def here():
@@ -302,11 +302,11 @@ def block_features():
     def of(blocks):
         out, n = [], len(blocks)
         chars, linked = {}, {}  # text and link text of each innermost container
-        for text, place, link in blocks:
+        for text, (place, link) in blocks:
             chars[place.box] = chars.get(place.box, 0) + len(text)
             if link:
                 linked[place.box] = linked.get(place.box, 0) + len(text)
-        for i, (text, place, link) in enumerate(blocks):
+        for i, (text, (place, link)) in enumerate(blocks):
             if place.features is None:
                 place.features = above(place)
             c = chars[place.box]
@@ -334,9 +334,9 @@ def block_features():
 
 def silver(blocks):
     """Labels of a page that marks its article, else None."""
-    if not any(place.marked for _, place, _ in blocks):
+    if not any(place.marked for _, (place, _) in blocks):
         return None
-    return [int(place.marked and not place.aside and not place.before) for _, place, _ in blocks]
+    return [int(place.marked and not place.aside and not place.before) for _, (place, _) in blocks]
 
 
 def rewritten(blocks, labels, rng) -> list[tuple]:
@@ -345,8 +345,8 @@ def rewritten(blocks, labels, rng) -> list[tuple]:
     Gives (parts as (html, label), opening tags, closing tags)."""
     import re
     from html import escape
-    main = [t for (t, *_), y in zip(blocks, labels) if y]
-    rest = [t for (t, *_), y in zip(blocks, labels) if not y] or ["Home", "About us"]
+    main = [t for (t, _), y in zip(blocks, labels) if y]
+    rest = [t for (t, _), y in zip(blocks, labels) if not y] or ["Home", "About us"]
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
 
     def some(a, b):
@@ -502,7 +502,7 @@ def extractor(model):
         if not blocks:
             return ""
         labels = viterbi([emission(held, own) for held, own in of(blocks)], trans, start)
-        return " ".join(t for (t, *_), y in zip(blocks, labels) if y)
+        return " ".join(t for (t, _), y in zip(blocks, labels) if y)
     return main_text
 
 

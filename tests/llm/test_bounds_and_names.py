@@ -188,7 +188,7 @@ def test_deep_pages_are_read_in_linear_time():
 
 def test_misnested_inline_elements_take_their_words_along():
     read = html_crf.tokens()
-    (_, place, _), = read("<div><b class=ad><p></b>x y")
+    ((_, (place, _)),) = read("<div><b class=ad><p></b>x y")
     assert not place.not_main and place.leaf == "p" and not place.words
-    (_, inside, _), (_, after, _) = read("<div><span class=ad>x<p>y</p></span><p>z")[1:]
+    (_, (inside, _)), (_, (after, _)) = read("<div><span class=ad>x<p>y</p></span><p>z")[1:]
     assert inside.not_main and not after.not_main
