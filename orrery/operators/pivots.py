@@ -117,6 +117,10 @@ def build(ref: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean",
     if not n:
         return None
     p = max(1, min(max_pivots, MAX_VALUES // max(1, dim), int(math.sqrt(n))))
+    if n <= shelf_rows:  # one shelf: its task makes the cells itself
+        none = np.zeros(0)
+        return Index(metric, np.zeros((0, dim)), none, none, none, none, 1,
+                     rows.select(F.lit(0).cast("long").alias("shelf"), F.lit(0).alias("cell"), "vec", "ids"))
     points = np.array([r["vec"] for r in rows.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(p).collect()], float)
     points = points[_chain(points, metric)]
     placed = cut_lineage(rows.mapInArrow(_assigner(metric, points), "cell int, far double, vec array<double>, ids array<long>"))
@@ -204,15 +208,25 @@ def _tile(light, k: int, exclude_self: bool):
         flat = np.asarray(ids.flatten())
         start = np.cumsum(sizes) - sizes
         cell, r = np.asarray(right.column("cell").combine_chunks()), _matrix(right.column("vec"))
+        bounds, tested = light, 0
+        if not len(light[1]):  # no cells yet: those of every m-th row
+            points = r[np.lexsort((flat[start],))[::max(1, int(math.sqrt(len(r))))]]
+            far = pair_distances(metric, r, points)
+            cell, tested = far.argmin(1), far.size
+            far = far[np.arange(len(r)), cell]
+            radius, inner = np.zeros(len(points)), np.full(len(points), np.inf)
+            np.maximum.at(radius, cell, far)
+            np.minimum.at(inner, cell, far)
+            bounds = (metric, points, radius, np.where(np.isfinite(inner), inner, 0.0), None, None)
         order = np.lexsort((flat[start], cell))
         cell, r, sizes, start = cell[order], r[order], sizes[order], start[order]
         lowest = flat[start]
         names, at = np.unique(cell, return_index=True)
         ends = np.append(at[1:], len(cell))
-        near_pivots = pair_distances(metric, q, light[1])
-        low = _bounds(light, near_pivots)[:, names]
+        near_pivots = pair_distances(metric, q, bounds[1])
+        low = _bounds(bounds, near_pivots)[:, names]
         room = SLACK * near_pivots[:, names]
-        tested = near_pivots.size
+        tested += near_pivots.size
         kk = k + 1 if exclude_self else k
         best_d, best_r = np.full((len(q), kk), np.inf), np.full((len(q), kk), -1)
         pairs = []
