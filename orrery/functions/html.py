@@ -10,7 +10,7 @@ which counts open tags.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
@@ -131,49 +131,81 @@ def fold_rows(length, candidates) -> Column:
     return F.try_element_at(F.filter(arr, lambda n: _c(length) % n == 0), F.lit(1))
 
 
+def _page_cells(tags, bodies):
+    """(table_no, parent_no, depth, attributes, row_no, cell_no, is_header,
+    text) of every cell of one page, from its tokens in order: ``tags`` is
+    empty for a text, whose ``bodies`` is the text; that of a ``table`` are its
+    attributes.  Stray end tags do not take the depth below 0."""
+    total, least, tables, last, cells = 0, 0, 0, {}, []
+    for tag, body in zip(tags, bodies):
+        total += (tag == "table") - (tag == "/table")
+        least = min(least, total)
+        depth = total - least + (tag == "/table")
+        if depth <= 0:
+            continue
+        if tag == "table":
+            above = last.get(depth - 1)
+            last[depth] = {"no": tables, "parent": above and above["no"], "attributes": body, "row": -1, "counts": {}, "cell": None, "open": False}
+            tables += 1
+        own = last.get(depth)  # the last table opened at this depth
+        if own is None:
+            continue
+        if tag == "tr":
+            own["row"] += 1
+        if tag in ("td", "th"):
+            place = own["counts"].get(own["row"], 0)
+            own["counts"][own["row"]] = place + 1
+            own["cell"] = []
+            cells.append((own["no"], own["parent"], depth, own["attributes"], own["row"], place, tag == "th", own["cell"]))
+        if tag:
+            own["open"] = tag in ("td", "th")
+        elif own["open"]:
+            own["cell"].append(body)
+    return cells
+
+
+_CELLS = ("page_id {}, table_no long, parent_no long, depth long, attributes string, row_no long, cell_no long, is_header boolean, text string")
+
+
+def _cells_of_pages(page_cells):
+    def run(batches):
+        import pyarrow as pa
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+        names = ["page_id", "table_no", "parent_no", "depth", "attributes", "row_no", "cell_no", "is_header", "text"]
+        for b in batches:
+            for at in range(0, b.num_rows, 64):  # so many pages are Python strings at a time
+                part = b.slice(at, 64)
+                rows, of = [], []
+                for i, (tags, bodies) in enumerate(zip(part.column("tags"), part.column("bodies"))):
+                    found = page_cells(tags.as_py(), bodies.as_py())
+                    rows += found
+                    of += [i] * len(found)
+                if rows:
+                    cols = list(zip(*rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("page").take(pa.array(of, pa.int64())), *[pa.array(c, t) for c, t in zip(cols, kinds)],
+                         pa.array(["".join(x) for x in cols[7]], pa.string())], names=names)
+    return run
+
+
 def table_cells(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     """HTM-3 with tables inside tables: every cell of every table as
     (page_id, table_no, parent_no, depth, attributes, row_no, cell_no,
     is_header, text), numbers from 0 in page order.
 
-    The page becomes a row for each tag and each text between tags.  A running
-    count of open tables (stray end tags do not go below 0) gives a token's
-    depth; the last table opened at that depth is its own, and within that
-    table the rows and cells opened so far number it, so that a cell's text
-    never holds that of a table inside it.  Cells and rows need not be closed.
-    ``page_id`` must tell pages apart; a page is ordered in one task."""
+    A page becomes its tags and the texts between them, and is read once from
+    start to end in the task that has it: nothing is shuffled.  A running count
+    of open tables gives a token's depth; the last table opened at that depth
+    is its own, and within that table the rows and cells opened so far number
+    it, so that a cell's text never holds that of a table inside it.  Cells and
+    rows need not be closed.  A page without an id is none."""
     pattern = "(?is)</?(?:table|tr|td|th)\\b[^>]*>|<[^>]*>|[^<]+"
-    raw = pages.select(F.col(page_id).alias("page"), F.posexplode(F.regexp_extract_all(strip_noise(html), F.lit(pattern), 0)).alias("pos", "s"))
-    name = F.lower(F.regexp_extract("s", "(?i)^<(/?(?:table|tr|td|th))\\b", 1))
-    t = raw.withColumn("tag", name).filter("tag != '' or not startswith(s, '<')")
-    page = Window.partitionBy("page").orderBy("pos")
-    upto = page.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = F.when(F.col("tag") == "table", 1).when(F.col("tag") == "/table", -1).otherwise(0)
-    t = t.withColumn("sum", F.sum(step).over(upto))
-    t = t.withColumn("depth", F.col("sum") - F.least(F.lit(0), F.min("sum").over(upto)) + (F.col("tag") == "/table").cast("int"))
-    level = Window.partitionBy("page", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.filter("depth > 0").withColumn("table", F.max(F.when(F.col("tag") == "table", F.col("pos"))).over(level)).filter("table is not null")
-    own = Window.partitionBy("page", "table").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cell = F.col("tag").isin("td", "th")
-    t = (t.withColumn("row", F.count_if(F.col("tag") == "tr").over(own) - 1)
-          .withColumn("start", F.max(F.when(cell, F.col("pos"))).over(own))
-          # the last of these tells whether a text is inside a cell
-          .withColumn("state", F.last(F.when(F.col("tag") != "", F.col("tag")), ignorenulls=True).over(own)))
-    inside = t.filter("start is not null").groupBy("page", "table", "start").agg(
-        F.min_by("row", "pos").alias("row_no"), (F.min_by("tag", "pos") == "th").alias("is_header"),
-        F.sort_array(F.collect_list(F.when((F.col("tag") == "") & F.col("state").isin("td", "th"), F.struct("pos", "s")))).alias("parts"))
-    order = Window.partitionBy("page", "table", "row_no").orderBy("start")
-    cells = inside.select("page", "table", "row_no", (F.row_number().over(order) - 1).alias("cell_no"), "is_header",
-                          F.trim(decode_entities(F.array_join(F.transform("parts", lambda p: p["s"]), ""))).alias("text"))
-    tables = t.filter("tag = 'table'").select("page", "pos", "depth", F.regexp_extract("s", "(?is)^<table\\b([^>]*)>", 1).alias("attributes"))
-    above = F.max("pos").over(Window.partitionBy("page", "depth").orderBy("pos"))  # itself
-    listed = tables.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("pos", "depth"))).alias("all"))
-    numbered = tables.withColumn("own", above).join(listed, "page").select(
-        F.col("page").alias("_p"), F.col("own").alias("_t"), "depth", "attributes",
-        (F.array_position(F.transform("all", lambda x: x["pos"]), F.col("own")) - 1).alias("table_no"),
-        # the table that holds it: the last one before it that is one level up
-        (F.array_position(F.transform("all", lambda x: x["pos"]), F.array_max(F.transform(F.filter(
-            "all", lambda x: (x["depth"] == F.col("depth") - 1) & (x["pos"] < F.col("own"))), lambda x: x["pos"]))) - 1).alias("parent_no"))
-    return (cells.join(numbered, (F.col("page") == F.col("_p")) & (F.col("table") == F.col("_t")))
-            .select(F.col("page").alias("page_id"), "table_no", "parent_no", F.col("depth").cast("long").alias("depth"), F.trim("attributes").alias("attributes"),
-                    F.col("row_no").cast("long").alias("row_no"), F.col("cell_no").cast("long").alias("cell_no"), "is_header", "text"))
+    tokens = F.transform(F.regexp_extract_all(strip_noise(html), F.lit(pattern), 0), lambda s: F.struct(
+        F.lower(F.regexp_extract(s, "(?i)^<(/?(?:table|tr|td|th))\\b", 1)).alias("tag"), s.alias("s")))
+    kept = F.filter(tokens, lambda t: (t["tag"] != "") | ~F.startswith(t["s"], F.lit("<")))
+    body = F.transform("kept", lambda t: F.when(t["tag"] == "", t["s"]).when(
+        t["tag"] == "table", F.regexp_extract(t["s"], "(?is)^<table\\b([^>]*)>", 1)).otherwise(""))
+    rows = (pages.select(F.col(page_id).alias("page"), kept.alias("kept")).filter("page is not null and kept is not null")
+            .select("page", F.transform("kept", lambda t: t["tag"]).alias("tags"), body.alias("bodies")))
+    cells = rows.mapInArrow(_cells_of_pages(_page_cells), _CELLS.format(rows.schema["page"].dataType.simpleString()))
+    return cells.withColumn("attributes", F.trim("attributes")).withColumn("text", F.trim(decode_entities("text")))
