@@ -56,7 +56,7 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
 
 
 def ball_pairs(df: DataFrame, key: str, vec: str, eps: float, metric: str = "euclidean", include_self: bool = True,
-               shelf_rows: int = 8192, block_rows: int = 512) -> DataFrame:
+               shelf_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
     """JN-3 in any number of dimensions: all ordered pairs (id_a, id_b, dist)
     within ``eps``.  Rows live in the cells of a pivot index and are copied to
     every shelf of it that their ball reaches, in place of 3^d grid cells."""

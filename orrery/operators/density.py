@@ -13,20 +13,21 @@ together is a cluster.
 * The tree (up to the largest eps asked for) is the spanning forest of the
   union of the forests of parts of its edges.  Every point is copied to the
   shelves of the index that its ball of the largest eps reaches; each (shelf,
-  block of copies) tile measures its distances and keeps only a forest, at
-  most one edge for each of its points.
+  block of copies) tile keeps only a forest, at most one edge for each of its
+  points.  In few dimensions its points lie in boxes, and boxes that already
+  hang together are not measured (``near_forest``).
 * The tiles' forests are merged in rounds of the cheapest edge of every
   component, which at least halve the components, until what is left is
   small enough to finish in one task (``bound`` edges).
 
-Points with equal vectors are one node with that many points.  Within a ball
-of the largest eps distances are still measured pair by pair (never kept):
-hot spots of different vectors are better served by ``dbscan.dbscan``, whose
-grid settles them by counts in up to three dimensions.
+Points with equal vectors are one node with that many points.  From ``BOXED``
+dimensions on distances within a ball of the largest eps are measured pair by
+pair (never kept).
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 import numpy as np
@@ -39,7 +40,8 @@ from orrery.operators.dbscan import connected_components
 from orrery.operators.splits import group_index
 from orrery.session import cut_lineage
 
-BOUND = 500_000
+BOUND = 2_000_000
+BOXED = 8  # dimensions from which on boxes of points rule little out
 _EDGE = "a long, b long, w double"
 
 
@@ -77,10 +79,131 @@ def forest(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
         comp = _roots(len(names), comp[u[at]], comp[v[at]])[comp]
 
 
+def _compact(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Places of the rows in groups of at most ``most``, halved along the
+    widest side."""
+    todo, groups = [np.arange(len(x))] if len(x) else [], []
+    while todo:
+        at = todo.pop()
+        if len(at) <= most:
+            groups.append(at)
+            continue
+        side = int(np.ptp(x[at], axis=0).argmax())
+        at, half = at[np.argsort(x[at, side], kind="stable")], len(at) // 2
+        todo += [at[half:], at[:half]]
+    return groups
+
+
+def _lightest(row, col, w, u, v):
+    """Of the pairs of components u[row], v[col] only the lightest."""
+    (un, u), (vn, v) = (np.unique(c, return_inverse=True) for c in (u, v))
+    least = np.full((len(un), len(vn)), np.inf)
+    np.minimum.at(least, (u[row], v[col]), w)
+    keep = w == least[u[row], v[col]]
+    return row[keep], col[keep], w[keep]
+
+
+def near_forest(metric: str, limit: float, ids: np.ndarray, core: np.ndarray, x: np.ndarray, own: int, group: int = 256):
+    """Forest of the mutual reachabilities up to ``limit`` among the first
+    ``own`` points and between them and the others: (a, b, w).
+
+    The points lie in small boxes.  ``limit`` is approached in steps of two,
+    from about the core distances on: a step measures the pairs of boxes that
+    may hold an edge of its length, except where all points of both already
+    hang together, and keeps the lightest edge of any two components.  So in a
+    dense spot points are measured against their neighbourhood, not against
+    all within ``limit``."""
+    distances = pivots.pair_distances
+    boxes = _compact(x[:own], group)
+    mine = len(boxes)
+    boxes += [own + g for g in _compact(x[own:], group)]
+    out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    if not mine:
+        return out
+    low, high, least = (np.array([f(c[g], axis=0) for g in boxes]) for f, c in ((np.min, x), (np.max, x), (np.min, core)))
+    left, right, bound = [], [], []
+    for i in range(mine):
+        gap = np.maximum(np.maximum(low[i:] - high[i], low[i] - high[i:]), 0)
+        d = np.sqrt((gap * gap).sum(1)) if metric == "euclidean" else gap.sum(1) if metric == "manhattan" else gap.max(1)
+        d = np.maximum(np.maximum(d * (1 - 1e-9), least[i:]), least[i])
+        near = np.flatnonzero(d <= limit)
+        left.append(np.full(len(near), i))
+        right.append(near + i)
+        bound.append(d[near])
+    left, right, bound = (np.concatenate(c) for c in (left, right, bound))
+    steps, t = [], max(2 * float(np.median(core)), limit / 64)
+    while t < limit:
+        steps.append(t)
+        t *= 2
+    comp = np.arange(len(x))
+    for t in [*steps, limit]:
+        lowest, highest = (np.array([f(comp[g]) for g in boxes]) for f in (np.min, np.max))
+        whole = (lowest[left] == highest[right]) & (highest[left] == lowest[right]) & (lowest[left] == highest[left])
+        edges, held = [], 0
+        for n in np.flatnonzero((bound <= t) & ~whole):
+            a, b = boxes[left[n]], boxes[right[n]]
+            w = np.maximum(np.maximum(distances(metric, x[a], x[b]), core[a][:, None]), core[b][None])
+            open_ = (w <= t) & (comp[a][:, None] != comp[b][None])
+            row, col = np.divmod(np.flatnonzero(open_), len(b))
+            if not len(row):
+                continue
+            row, col, w = _lightest(row, col, w[row, col], comp[a], comp[b])
+            edges.append((a[row], b[col], w))
+            held += len(row)
+            if held > 1_000_000:
+                edges, held = [_least(comp, edges)], 0
+        if edges:
+            a, b, w = _least(comp, edges)
+            comp = _roots(len(x), comp[a], comp[b])[comp]
+            out = [np.concatenate(c) for c in zip(out, (ids[a], ids[b], w))]
+    return out
+
+
+def _least(comp, edges):
+    a, b, w = (np.concatenate(c) for c in zip(*edges))
+    keep = forest(comp[a], comp[b], w)
+    return a[keep], b[keep], w[keep]
+
+
+def wide_forest(metric: str, limit: float, qid, qc, q, rid, rc, r):
+    """Forest of the mutual reachabilities up to ``limit`` of queries and
+    entries, each pair with the smaller id among the queries, where boxes rule
+    nothing out (many dimensions): pairs come block by block and meet the
+    forest so far; those it already joins by shorter edges are dropped."""
+    names, place = np.unique(np.concatenate([qid, rid]), return_inverse=True)
+    of_q, of_r = place[:len(qid)], place[len(qid):]
+    kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    parts, held, cuts_ = [], 0, []
+
+    def merged():
+        a, b, w = (np.concatenate(c) for c in zip(kept, *parts))
+        keep = forest(a, b, w)
+        return [a[keep], b[keep], w[keep]]
+    step = max(1, min(1024, 8_000_000 // len(r)))
+    for s in range(0, len(q), step):
+        row, col, d = pivots.close_pairs(metric, q[s:s + step], r, np.full(len(q[s:s + step]), limit))
+        row = row + s
+        w = np.maximum(np.maximum(d, qc[row]), rc[col])
+        good = (w <= limit) & (qid[row] < rid[col])
+        a, b, w = of_q[row[good]], of_r[col[good]], w[good]
+        for t, comp in cuts_:
+            good = (w < t) | (comp[a] != comp[b])
+            a, b, w = a[good], b[good], w[good]
+        parts.append((a, b, w))
+        held += len(a)
+        if held > 1_000_000:
+            kept, parts, held = merged(), [], 0
+            at = np.unique(np.quantile(kept[2], (0.25, 0.5, 0.75, 0.9, 1.0)))
+            cuts_ = [(t, _roots(len(names), kept[0][kept[2] <= t], kept[1][kept[2] <= t])) for t in at]
+    a, b, w = merged()
+    return names[a], names[b], w
+
+
 def _tile_forest(metric: str, limit: float):
-    """Copies of points (left) in a shelf (right): the forest of the mutual
-    reachabilities up to ``limit``.  Points are (id, core, vec)."""
-    matrix, distances = pivots._matrix, pivots.pair_distances
+    """Copies of points (left) and a shelf (right): the forest of the mutual
+    reachabilities up to ``limit``.  Points are (id, core, vec).  Every pair of
+    points comes together in the shelves of both."""
+    matrix = pivots._matrix
 
     def run(left, right):
         import pyarrow as pa
@@ -89,14 +212,13 @@ def _tile_forest(metric: str, limit: float):
             q, r = (matrix(t.column(c)) for t, c in ((left, "q_vec"), (right, "vec")))
             qid, rid = np.asarray(left.column("q_id").combine_chunks()), np.asarray(right.column("ids").combine_chunks().flatten())
             qc, rc = np.asarray(left.column("core").combine_chunks()), np.asarray(right.column("core").combine_chunks())
-            step = max(1, 2_000_000 // len(r))
-            for s in range(0, len(q), step):
-                d = np.maximum(np.maximum(distances(metric, q[s:s + step], r), qc[s:s + step, None]), rc[None])
-                row, col = np.nonzero((d <= limit) & (qid[s:s + step, None] != rid[None]))
-                new = [qid[s:s + step][row], rid[col], d[row, col]]
-                out = [np.concatenate(x) for x in zip(out, new)]
-                keep = forest(*out)
-                out = [x[keep] for x in out]
+            if q.shape[1] < BOXED:
+                other = ~np.isin(qid, rid) & np.isfinite(q).all(1)
+                fit = np.isfinite(r).all(1)
+                out = near_forest(metric, limit, np.concatenate([rid[fit], qid[other]]), np.concatenate([rc[fit], qc[other]]),
+                                  np.concatenate([r[fit], q[other]]), int(fit.sum()))
+            else:
+                out = wide_forest(metric, limit, qid, qc, q, rid, rc, r)
         return pa.table({"a": out[0], "b": out[1], "w": out[2]})
     return run
 
@@ -142,7 +264,7 @@ def spanning_forest(edges: DataFrame, bound: int = BOUND) -> DataFrame:
 
 
 def reachability(df: DataFrame, key: str, vec: str, min_samples: int, limit: float, metric: str = "euclidean",
-                 bound: int = BOUND, shelf_rows: int = 16384, block_rows: int = 512):
+                 bound: int = BOUND, shelf_rows: int | None = None, block_rows: int | None = None):
     """The tree up to ``limit``: (edges (a, b, w); points (id, node, core),
     node being the smallest id with that vector; near (id, nb, dist), the
     ``min_samples`` - 1 nearest other points of each)."""
@@ -169,8 +291,11 @@ def reachability(df: DataFrame, key: str, vec: str, min_samples: int, limit: flo
             "shelf", F.slice("ids", 1, 1).alias("ids"), "vec", "core")
         q = pivots.routed(pivots._queries(nodes, "id", "v", limit), index, "all")
         q = q.join(cores, F.col("q_id") == F.col("_i")).select("shelf", "q_id", "q_vec", "core")
+        dim = index.points.shape[1]
+        # boxes want all copies of a shelf at once
+        block_rows = block_rows or (pivots.TASK_VALUES // (8 * max(1, dim)) if dim < BOXED else None)
         edges = spanning_forest(pivots.met(cut_lineage(q), cut_lineage(placed), index.shelves, _tile_forest(index.metric, limit),
-                                           _EDGE, block_rows), bound)
+                                           _EDGE, block_rows, dim), bound)
     return edges, points.select("id", "node", "core"), near
 
 
@@ -188,11 +313,22 @@ def cuts(edges: DataFrame, points: DataFrame, near: DataFrame, eps_list: Sequenc
         ends = edges.unionByName(nodes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("core").alias("w")))
         comp = ends.coalesce(1).mapInArrow(_cut_kernel(eps), "e int, id long, cluster long")
     else:
-        at = F.posexplode(sizes).alias("e", "eps")
-        alive = nodes.select("id", "core", at).filter("core <= eps").select("e", "id")
-        cut = edges.select("a", "b", "w", at).filter("w <= eps").select("e", F.col("a").alias("src"), F.col("b").alias("dst"))
-        both = cut_lineage(cut.unionByName(cut.select("e", F.col("dst").alias("src"), F.col("src").alias("dst"))))
-        comp = connected_components(cut_lineage(alive), both, ["e"])
+        # every eps starts from the clusters of the one before
+        labels, before, parts = cut_lineage(nodes.select("id", "core", F.col("id").alias("label"))), -math.inf, []
+        for x in sorted(set(eps)):
+            band = edges.filter((F.col("w") > before) & (F.col("w") <= x))
+            to = lambda c, k: labels.select(F.col("id").alias(c), F.col("label").alias(k))
+            cut = band.join(to("a", "src"), "a").join(to("b", "dst"), "b").select("src", "dst")
+            both = cut_lineage(cut.unionByName(cut.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+            if not both.isEmpty():
+                joined = connected_components(both.select(F.col("src").alias("id")).distinct(), both)
+                joined = joined.select(F.col("id").alias("label"), F.col("label").alias("_l"))
+                labels = cut_lineage(labels.join(joined, "label", "left").select("id", "core", F.coalesce("_l", "label").alias("label")))
+            before = x
+            parts += [labels.filter(F.col("core") <= x).select(F.lit(e).alias("e"), "id", "label") for e, y in enumerate(eps) if y == x]
+        comp = parts[0]
+        for part in parts[1:]:
+            comp = comp.unionByName(part)
         numbers = group_index(comp.select("e", "label").distinct(), ["e"], [F.col("label")], "cluster")
         comp = comp.join(numbers, ["e", "label"]).select("e", "id", "cluster")
     core_lab = cut_lineage(cores.join(comp.withColumnRenamed("id", "node"), "node").select("e", "id", "cluster"))

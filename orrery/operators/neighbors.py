@@ -87,8 +87,8 @@ def _local_topk(k: int, metric: str, exclude_self: bool):
 
 def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
         q_vec: str, r_vec: str, metric: str = "euclidean",
-        exclude_self: bool = False, block_rows: int = 1024,
-        ref_block_rows: int = 16384) -> DataFrame:
+        exclude_self: bool = False, block_rows: int | None = None,
+        ref_block_rows: int | None = None) -> DataFrame:
     """Exact k nearest reference rows for every query row.
 
     Returns ``(q_id, r_id, dist, rank)`` with rank 1..k ordered by distance

@@ -17,7 +17,9 @@ bounds cannot rule out; within a shelf cells are ruled out again as the k-th
 distance shrinks.  On data without structure every shelf remains and the work
 is that of a block nested loop, no more.
 
-A task holds one shelf and at most ``block_rows`` queries.  Reference rows
+A task holds one shelf and at most ``block_rows`` queries.  Shelves and blocks
+grow with the table up to a bounded size, so that a row is copied to a number
+of tasks that does not grow before that.  Reference rows
 with equal vectors are one entry with its smallest ids (as many as can be
 asked for), so a pile of copies is one entry.  Rows without a vector, or with
 a null in it, have no neighbours and are none.
@@ -39,18 +41,95 @@ METRICS = ("euclidean", "sqeuclidean", "manhattan", "chebyshev")
 MAX_PIVOTS = 1024
 MAX_VALUES = 200_000  # numbers in all pivots, which travel with the tasks
 SLACK = 1e-9          # relative room for rounding in the bounds
+TASK_VALUES = 4_000_000  # numbers in a shelf or in a block of queries
 
 
 def pair_distances(metric: str, q: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Distances by differences, in blocks of bounded memory."""
     out = np.empty((len(q), len(r)))
-    step = max(1, 2_000_000 // max(1, r.size))
+    step = max(1, 250_000 // max(1, r.size))
     for a in range(0, len(q), step):
+        if q.shape[1] < 8:  # few dimensions: one at a time, added in the same order
+            part = out[a:a + step]
+            part[:] = 0
+            for j in range(q.shape[1]):
+                d = np.abs(q[a:a + step, j, None] - r[None, :, j])
+                if metric == "chebyshev":
+                    np.maximum(part, d, out=part)
+                else:
+                    part += d * d if metric == "euclidean" else d
+            if metric == "euclidean":
+                np.sqrt(part, out=part)
+            continue
         d = np.abs(q[a:a + step, None, :] - r[None, :, :])
         out[a:a + step] = np.sqrt((d * d).sum(2)) if metric == "euclidean" else d.sum(2) if metric == "manhattan" else d.max(2)
     return out
 
 
+def _exact(metric: str, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Distances of rows of equal place, as ``pair_distances`` has them."""
+    out = np.empty(len(q))
+    for a in range(0, len(q), 20_000):
+        d = np.abs(q[a:a + 20_000] - r[a:a + 20_000])
+        out[a:a + 20_000] = np.sqrt((d * d).sum(1)) if metric == "euclidean" else d.sum(1) if metric == "manhattan" else d.max(1)
+    return out
+
+
+def close_pairs(metric: str, q: np.ndarray, r: np.ndarray, limit: np.ndarray):
+    """(query row, reference row, distance) of all pairs within the query's
+    ``limit``, by query row.
+
+    A first look at narrow numbers (euclidean: one matrix product, else a sum
+    of differences) leaves those pairs that may be within it, its own error
+    included; these are measured by their differences."""
+    found, none = [], np.zeros(0, np.int64)
+    low = q.shape[1] < 8 or not (np.isfinite(q).all() and np.isfinite(r).all())
+    if not low and len(q) and len(r):
+        centre = r.mean(0)
+        qc, rc = q - centre, r - centre
+        if metric == "euclidean":
+            size, top, most = (qc * qc).sum(1), (rc * rc).sum(1), limit * limit
+        else:
+            size, top, most = np.abs(qc).sum(1), np.abs(rc).sum(1), limit
+        scale = size + top.max()
+        room = 8 * (q.shape[1] + 4) * np.finfo(np.float32).eps * scale
+        # narrow numbers only where their error is small beside the limit
+        wide = scale.max() > 1e30 or np.median(room) > 0.05 * np.median(most)
+        if wide:
+            room = room * (np.finfo(float).eps / np.finfo(np.float32).eps)
+        kind = float if wide else np.float32
+        cut = (most + 2 * room).astype(kind)
+        if not wide:
+            cut = np.nextafter(cut, np.float32(np.inf))
+            size, top = size.astype(kind), top.astype(kind)
+        qc, rc = qc.astype(kind), np.ascontiguousarray(rc.astype(kind).T)
+    step = max(1, (2_000_000 if low or metric == "euclidean" else 250_000) // max(1, len(r)))
+    for a in range(0, len(q), step):
+        e = slice(a, a + step)
+        if low:
+            d = pair_distances(metric, q[e], r)
+            row, col = np.nonzero(d <= limit[e, None])
+            found.append((row + a, col, d[row, col]))
+            continue
+        if metric == "euclidean":
+            d = qc[e] @ rc
+            d *= -2
+            d += size[e, None]
+            d += top
+        else:
+            d, part = np.zeros((len(qc[e]), len(r)), kind), np.empty((len(qc[e]), len(r)), kind)
+            for j in range(q.shape[1]):
+                np.subtract(qc[e, j, None], rc[j], out=part)
+                np.abs(part, out=part)
+                (np.maximum if metric == "chebyshev" else np.add)(d, part, out=d)
+        row, col = np.divmod(np.flatnonzero(d <= cut[e, None]), len(r))
+        d = _exact(metric, q[e][row], r[col]) if len(row) < 200_000 else np.concatenate(
+            [_exact(metric, q[e][row[x:x + 200_000]], r[col[x:x + 200_000]]) for x in range(0, len(row), 200_000)])
+        within_ = d <= limit[e][row]
+        found.append((row[within_] + a, col[within_], d[within_]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (none, none, np.zeros(0))
+
+
 @dataclass
 class Index:
     """What travels to the tasks (bounded by the number of pivots), and the
@@ -96,10 +175,11 @@ def _chain(points: np.ndarray, metric: str) -> list[int]:
 
 
 def build(ref: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean", keep_ids: int | None = None,
-          shelf_rows: int = 16384, max_pivots: int = MAX_PIVOTS) -> Index | None:
+          shelf_rows: int | None = None, max_pivots: int = MAX_PIVOTS) -> Index | None:
     """Index of ``ref``; None if it has no row with a vector.  ``keep_ids``:
     of rows with equal vectors so many smallest ids are kept (None: every row
-    is an entry of its own)."""
+    is an entry of its own).  ``shelf_rows``: by default a 16th of the rows,
+    no fewer than 16384 and no more than ``TASK_VALUES`` numbers."""
     spark, metric = ref.sparkSession, "euclidean" if metric == "sqeuclidean" else metric
     # + 0.0: the two zeros are one
     vec = F.transform(V.as_double(vec_col), lambda x: x + F.lit(0.0))
@@ -116,6 +196,7 @@ def build(ref: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean",
     n, dim = size["n"], size["d"]
     if not n:
         return None
+    shelf_rows = shelf_rows or max(1, min(max(16384, math.ceil(n / 16)), TASK_VALUES // max(1, dim)))
     p = max(1, min(max_pivots, MAX_VALUES // max(1, dim), int(math.sqrt(n))))
     if n <= shelf_rows:  # one shelf: its task makes the cells itself
         none = np.zeros(0)
@@ -188,7 +269,70 @@ def _tile(light, k: int, exclude_self: bool):
     """One shelf and a block of queries: the k nearest of each (``k`` = 0: all
     within its limit), and a row that tells how many distances were measured."""
     from orrery.operators.neighbors import _nearest_squared  # travels with the kernel
-    metric = light[0]
+    metric, kk = light[0], k + 1 if exclude_self else k
+
+    def pivot_distances(q, points):
+        """Distances to the pivots and their possible error (bounds only)."""
+        if metric != "euclidean" or q.shape[1] < 8 or not (np.isfinite(q).all() and np.isfinite(points).all()):
+            d = pair_distances(metric, q, points)
+            return d, SLACK * d
+        centre = points.mean(0)
+        qc, pc = q - centre, points - centre
+        q2, p2 = (qc * qc).sum(1), (pc * pc).sum(1)
+        d = np.sqrt(np.maximum(q2[:, None] + p2 - 2.0 * qc @ pc.T, 0))
+        return d, SLACK * d + 2 * np.sqrt(16 * (q.shape[1] + 4) * np.finfo(float).eps * (q2 + p2.max()))[:, None]
+
+    def part(q, limit, bounds, names, at, ends, r, lowest):
+        """(query row, entry, distance, measured) for a few queries."""
+        near_pivots, room = pivot_distances(q, bounds[1])
+        low, room = _bounds(bounds, near_pivots)[:, names], room[:, names]
+        tested, pairs = near_pivots.size, []
+        best_d, best_r = np.full((len(q), kk), np.inf), np.full((len(q), kk), -1)
+        for c in np.argsort(low.mean(0), kind="stable"):
+            alive = np.flatnonzero(low[:, c] <= limit * (1 + SLACK) + room[:, c])
+            if not len(alive):
+                continue
+            member = np.arange(at[c], ends[c])
+            tested += len(alive) * len(member)
+            if k == 0:
+                row, col, d = close_pairs(metric, q[alive], r[member], limit[alive])
+                pairs.append((alive[row], member[col], d))
+                continue
+            near = np.isfinite(limit[alive])
+            free, alive = alive[~near], alive[near]
+            if len(free):  # no k-th distance so far
+                m = min(kk, len(member))
+                new_d, new_r = np.full((len(free), m), np.inf), np.full((len(free), m), -1)
+                if metric == "euclidean":
+                    none = np.zeros((len(free), len(member)), bool)
+                    row, col, d = _nearest_squared(q[free], r[member], m, none)
+                    place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+                    new_d[row, place], new_r[row, place] = np.sqrt(d), member[col]
+                else:
+                    d = pair_distances(metric, q[free], r[member])
+                    col = np.argsort(d, axis=1, kind="stable")[:, :m]
+                    new_d, new_r = np.take_along_axis(d, col, 1), member[col]
+                d, x = np.concatenate([best_d[free], new_d], 1), np.concatenate([best_r[free], new_r], 1)
+                tie = np.where(x < 0, np.iinfo(np.int64).max, lowest[x])
+                by = np.lexsort((tie, d), axis=1)[:, :kk]
+                best_d[free], best_r[free] = np.take_along_axis(d, by, 1), np.take_along_axis(x, by, 1)
+                limit[free] = np.minimum(limit[free], best_d[free][:, kk - 1])
+            if len(alive):
+                row, col, d = close_pairs(metric, q[alive], r[member], limit[alive])
+                if not len(row):
+                    continue
+                some, row = np.unique(alive[row], return_inverse=True)
+                row = np.concatenate([np.repeat(np.arange(len(some)), kk), row])
+                d, x = np.concatenate([best_d[some].ravel(), d]), np.concatenate([best_r[some].ravel(), member[col]])
+                by = np.lexsort((np.where(x < 0, np.iinfo(np.int64).max, lowest[x]), d, row))
+                row, d, x = row[by], d[by], x[by]
+                first = np.arange(len(row)) - np.searchsorted(row, row, "left") < kk
+                best_d[some], best_r[some] = d[first].reshape(-1, kk), x[first].reshape(-1, kk)
+                limit[some] = np.minimum(limit[some], best_d[some][:, kk - 1])
+        if k == 0:
+            return (*((np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, int),) * 3), tested)
+        row, place = np.nonzero(best_r >= 0)
+        return row, best_r[row, place], best_d[row, place], tested
 
     def run(left, right):
         import pyarrow as pa
@@ -223,45 +367,12 @@ def _tile(light, k: int, exclude_self: bool):
         lowest = flat[start]
         names, at = np.unique(cell, return_index=True)
         ends = np.append(at[1:], len(cell))
-        near_pivots = pair_distances(metric, q, bounds[1])
-        low = _bounds(bounds, near_pivots)[:, names]
-        room = SLACK * near_pivots[:, names]
-        tested += near_pivots.size
-        kk = k + 1 if exclude_self else k
-        best_d, best_r = np.full((len(q), kk), np.inf), np.full((len(q), kk), -1)
-        pairs = []
-        for c in np.argsort(low.mean(0), kind="stable"):
-            alive = np.flatnonzero(low[:, c] <= limit * (1 + SLACK) + room[:, c])
-            if not len(alive):
-                continue
-            member = np.arange(at[c], ends[c])
-            tested += len(alive) * len(member)
-            if k == 0:
-                d = pair_distances(metric, q[alive], r[member])
-                row, col = np.nonzero(d <= limit[alive][:, None])
-                pairs.append((alive[row], member[col], d[row, col]))
-                continue
-            m = min(kk, len(member))
-            new_d, new_r = np.full((len(alive), m), np.inf), np.full((len(alive), m), -1)
-            if metric == "euclidean":
-                none = np.zeros((len(alive), len(member)), bool)
-                row, col, d = _nearest_squared(q[alive], r[member], m, none)
-                place = np.arange(len(row)) - np.searchsorted(row, row, "left")
-                new_d[row, place], new_r[row, place] = np.sqrt(d), member[col]
-            else:
-                d = pair_distances(metric, q[alive], r[member])
-                col = np.argsort(d, axis=1, kind="stable")[:, :m]
-                new_d, new_r = np.take_along_axis(d, col, 1), member[col]
-            d, x = np.concatenate([best_d[alive], new_d], 1), np.concatenate([best_r[alive], new_r], 1)
-            tie = np.where(x < 0, np.iinfo(np.int64).max, lowest[x])
-            by = np.lexsort((tie, d), axis=1)[:, :kk]
-            best_d[alive], best_r[alive] = np.take_along_axis(d, by, 1), np.take_along_axis(x, by, 1)
-            limit[alive] = np.minimum(limit[alive], best_d[alive][:, kk - 1])
-        if k == 0:
-            row, entry, d = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, int),) * 3
-        else:
-            row, place = np.nonzero(best_r >= 0)
-            entry, d = best_r[row, place], best_d[row, place]
+        found = []
+        for a in range(0, len(q), 2048):  # so many queries have their bounds in memory
+            row, *rest, n = part(q[a:a + 2048], limit[a:a + 2048], bounds, names, at, ends, r, lowest)
+            found.append((row + a, *rest))
+            tested += n
+        row, entry, d = (np.concatenate(x) for x in zip(*found))
         # an entry stands for each of its ids
         n = sizes[entry]
         row, d = np.repeat(row, n), np.repeat(d, n).astype(float)
@@ -278,22 +389,29 @@ def _tile(light, k: int, exclude_self: bool):
     return run
 
 
-def met(queries: DataFrame, placed: DataFrame, shelves: int, kernel, schema: str, block_rows: int) -> DataFrame:
+def met(queries: DataFrame, placed: DataFrame, shelves: int, kernel, schema: str, block_rows: int | None, dim: int = 64) -> DataFrame:
     """``kernel`` over every shelf with its routed queries, blocks of at most
-    about ``block_rows`` of them at a time; the result is written."""
+    about ``block_rows`` of them at a time (by default a 16th of the shelf's
+    queries, within bounds); the result is written."""
+    n = F.count(F.lit(1))
+    if block_rows:
+        most = F.lit(block_rows)
+    else:
+        most = F.least(F.greatest(n / 16, F.lit(1024)), F.lit(max(1024, min(32768, TASK_VALUES // max(1, dim)))))
+    per = queries.groupBy("shelf").agg(F.ceil(n / most).alias("blocks"))
     if shelves == 1:
-        n = F.lit(max(1, math.ceil(queries.count() / block_rows))).cast("long")
+        n = F.lit(max((r["blocks"] for r in per.collect()), default=1)).cast("long")
         blocks = lambda df: df.withColumn("blocks", n)
     else:
-        per = small_side(queries.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("blocks")))
+        per = small_side(per)
         blocks = lambda df: df.join(per, "shelf")
     left = blocks(queries).withColumn("block", F.pmod(F.xxhash64("q_id", "q_vec"), F.col("blocks"))).drop("blocks")
     right = (blocks(placed).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks"))
     return cut_lineage(left.groupBy("shelf", "block").cogroup(right.groupBy("shelf", "block")).applyInArrow(kernel, schema))
 
 
-def _meet(queries: DataFrame, index: Index, kernel, block_rows: int) -> DataFrame:
-    return met(queries, index.placed, index.shelves, kernel, _FOUND, block_rows)
+def _meet(queries: DataFrame, index: Index, kernel, block_rows: int | None) -> DataFrame:
+    return met(queries, index.placed, index.shelves, kernel, _FOUND, block_rows, index.points.shape[1])
 
 
 def _queries(query: DataFrame, q_id: str, q_vec: str, limit: float | str) -> DataFrame:
@@ -314,7 +432,7 @@ def routed(queries: DataFrame, index: Index, mode: str) -> DataFrame:
 
 
 def nearest(query: DataFrame, index: Index | None, k: int, q_id: str, q_vec: str, exclude_self: bool = False,
-            block_rows: int = 1024) -> DataFrame:
+            block_rows: int | None = None) -> DataFrame:
     """(q_id, r_id, dist, tested): candidates among which are the k nearest
     rows of every query; rows with ``tested`` count measured distances.
     Distances are those of the index's metric."""
@@ -333,7 +451,7 @@ def nearest(query: DataFrame, index: Index | None, k: int, q_id: str, q_vec: str
     return found.unionByName(_meet(routed(q, index, "rest"), index, kernel, block_rows))
 
 
-def within(query: DataFrame, index: Index | None, eps: float | str, q_id: str, q_vec: str, block_rows: int = 512) -> DataFrame:
+def within(query: DataFrame, index: Index | None, eps: float | str, q_id: str, q_vec: str, block_rows: int | None = None) -> DataFrame:
     """(q_id, r_id, dist, tested): every pair within ``eps`` (a number, or a
     column of the queries: each its own limit).  Each query is
     copied to the shelves its ball reaches; the index must hold every row as
