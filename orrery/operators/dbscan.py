@@ -33,6 +33,12 @@ def _dist(a_cols, b_cols):
     return F.sqrt(s)
 
 
+def _spread(df: DataFrame, *keys: str, rows: int = 50_000) -> DataFrame:
+    """``df`` dealt into tasks of about ``rows`` rows, before each row becomes
+    several: a task that reads a whole file would hold all of those."""
+    return df.repartition(max(1, math.ceil(df.count() / rows)), *keys)
+
+
 def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
                  include_self: bool = True) -> DataFrame:
     """All ordered pairs (id_a, id_b, dist) with dist <= eps (both
@@ -43,7 +49,7 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
                   *[c.alias(f"k{i}") for i, c in enumerate(cells)])
     offsets = list(itertools.product((-1, 0, 1), repeat=d))
     off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o")
-    b = df.select(F.col(key).alias("id_b"), *[F.col(x).alias(f"b{i}") for i, x in enumerate(xcols)],
+    b = _spread(df, key).select(F.col(key).alias("id_b"), *[F.col(x).alias(f"b{i}") for i, x in enumerate(xcols)],
                   *[c.alias(f"c{i}") for i, c in enumerate(cells)], off)
     b = b.select("id_b", *[f"b{i}" for i in range(d)],
                  *[(F.col(f"c{i}") + F.col("_o")[i]).alias(f"k{i}") for i in range(d)])
@@ -179,14 +185,15 @@ def dbscan(df: DataFrame, key: str, xcols: Sequence[str], eps_list: Sequence[flo
     cells = cut_lineage(cells)
     pts = cut_lineage(pts.join(cells.select("e", *S, "n_c", "cid"), ["e", *S]))
 
-    # sparse points against their neighbourhood (cells of side eps, 3^d)
+    # sparse points against their neighbourhood (cells of side eps, 3^d); only
+    # they are copied to its cells
     offsets = list(itertools.product((-1, 0, 1), repeat=d))
     off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o")
-    q = pts.filter(F.col("n_c") < m).select(
-        "e", "eps", F.col("id").alias("id_a"), *[F.col(X[i]).alias(f"a{i}") for i in range(d)], *G)
-    r = pts.select("e", F.col("id").alias("id_b"), *[F.col(X[i]).alias(f"b{i}") for i in range(d)], *G, off)
-    r = r.select("e", "id_b", *[f"b{i}" for i in range(d)],
+    q = _spread(pts.filter(F.col("n_c") < m), "e", "id").select(
+        "e", "eps", F.col("id").alias("id_a"), *[F.col(X[i]).alias(f"a{i}") for i in range(d)], *G, off)
+    q = q.select("e", "eps", "id_a", *[f"a{i}" for i in range(d)],
                  *[(F.col(G[i]) + F.col("_o")[i]).alias(G[i]) for i in range(d)])
+    r = pts.select("e", F.col("id").alias("id_b"), *[F.col(X[i]).alias(f"b{i}") for i in range(d)], *G)
     pairs = (q.join(r, ["e", *G])
               .filter(_dist([f"a{i}" for i in range(d)], [f"b{i}" for i in range(d)]) <= F.col("eps"))
               .select("e", "id_a", "id_b"))
