@@ -55,6 +55,22 @@ def _nearest_squared(qm: np.ndarray, rm: np.ndarray, kk: int, own: np.ndarray):
     return row[keep], col[keep], exact[keep]
 
 
+def _nearest_cosine(qm: np.ndarray, rm: np.ndarray, kk: int, own):
+    """(query row, reference row, distance) of the ``kk`` nearest by cosine;
+    ``own``: (rows, columns) left out.  A product of narrow numbers leaves those
+    that may be among them, its error included, to be measured again."""
+    qn, rn = (m / np.where((size := np.linalg.norm(m, axis=1)) == 0, 1, size)[:, None] for m in (qm, rm))
+    d = qn.astype(np.float32) @ -np.ascontiguousarray(rn.astype(np.float32).T)
+    d[own] = np.inf
+    cut = np.partition(d, kk - 1, axis=1)[:, kk - 1] + 32 * (qm.shape[1] + 4) * np.finfo(np.float32).eps
+    row, col = np.divmod(np.flatnonzero((d <= cut[:, None].astype(np.float32)) & (d < np.inf)), len(rm))
+    exact = 1.0 - np.concatenate([(qn[row[a:a + 100_000]] * rn[col[a:a + 100_000]]).sum(1) for a in range(0, max(1, len(row)), 100_000)])
+    by = np.lexsort((col, exact, row))
+    row, col, exact = row[by], col[by], exact[by]
+    keep = np.arange(len(row)) - np.searchsorted(row, row, "left") < kk
+    return row[keep], col[keep], exact[keep]
+
+
 def _local_topk(k: int, metric: str, exclude_self: bool):
     def fn(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         cols = {"q_id": [], "r_id": [], "dist": []}
@@ -68,9 +84,19 @@ def _local_topk(k: int, metric: str, exclude_self: bool):
         qm_all = np.vstack(qpdf["q_vec"].to_numpy()).astype(np.float64)
         step = max(1, min(len(qids), 2_000_000 // max(1, len(rids))))  # a bounded distance tile
         kk = min(k, len(rids))
+        finite = metric == "cosine" and np.isfinite(rm).all() and np.isfinite(qm_all).all()
         for s in range(0, len(qids), step):
             qm = qm_all[s:s + step]
             qi = qids[s:s + step]
+            if finite:
+                first, last = np.searchsorted(rids, qi, "left"), np.searchsorted(rids, qi, "right")
+                at = np.repeat(np.arange(len(qi)), (last - first) * exclude_self)
+                place = np.arange(len(at)) - np.searchsorted(at, at, "left") + first[at]
+                row, col, dist = _nearest_cosine(qm, rm, kk, (at, place))
+                cols["q_id"].append(qi[row])
+                cols["r_id"].append(rids[col])
+                cols["dist"].append(dist)
+                continue
             own = (qi[:, None] == rids[None, :]) & exclude_self
             d = _pair_distances(qm, rm, metric)
             order = np.argsort(np.where(own, np.inf, d), axis=1, kind="stable")[:, :kk]
@@ -110,12 +136,15 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
 
 
 def _all_blocks(query: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, q_vec: str, r_vec: str, metric: str,
-                exclude_self: bool, block_rows: int, ref_block_rows: int) -> DataFrame:
+                exclude_self: bool, block_rows: int | None, ref_block_rows: int | None) -> DataFrame:
     q = query.select(F.col(q_id).cast("long").alias("q_id"), V.as_double(q_vec).alias("q_vec"))
     r = ref.select(F.col(r_id).cast("long").alias("r_id"), V.as_double(r_vec).alias("r_vec"))
     nq, nr = q.count(), r.count()
     # small query blocks for parallelism, large reference blocks so each
-    # query point gets few local top-k lists to merge
+    # query point gets few local top-k lists to merge; both grow with the
+    # tables within bounds, so that the copies of a row do not
+    block_rows = block_rows or max(1024, min(16384, math.ceil(nq / 16)))
+    ref_block_rows = ref_block_rows or max(16384, min(65536, math.ceil(nr / 16)))
     qb = max(1, math.ceil(nq / block_rows))
     rb = max(1, math.ceil(nr / ref_block_rows))
     qx = (q.withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(qb)).cast("int"))
