@@ -154,6 +154,28 @@ def elbow(curve: DataFrame, k: str, score: str, threshold: float) -> DataFrame:
 
 # --------------------------------------------------- AG-15 silhouette ----
 
+def _all_distances(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all pairs, by one product; pairs so close that
+    its error would count are measured by their differences."""
+    if q.shape[1] < 8 or not (np.isfinite(q).all() and np.isfinite(r).all()):
+        return pivots.pair_distances("euclidean", q, r)
+    centre = r.mean(0)
+    qc, rc = q - centre, r - centre
+    q2, r2 = (qc * qc).sum(1), (rc * rc).sum(1)
+    d = qc @ (-2.0 * rc).T
+    d += q2[:, None]
+    d += r2
+    close = 8e6 * (q.shape[1] + 4) * np.finfo(float).eps * (q2 + r2.max())
+    at = np.flatnonzero(d <= close[:, None])
+    np.maximum(d, 0, out=d)
+    np.sqrt(d, out=d)
+    row, col = np.divmod(at, len(r))
+    for a in range(0, len(at), 100_000):
+        e = slice(a, a + 100_000)
+        d[row[e], col[e]] = np.sqrt(((q[row[e]] - r[col[e]]) ** 2).sum(1))
+    return d
+
+
 def _cluster_sums(n_sets: int):
     def fn(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "s": pd.Series([], dtype="int32"),
@@ -166,15 +188,17 @@ def _cluster_sums(n_sets: int):
         qids = qpdf["q_id"].to_numpy(np.int64)
         rl = np.vstack(rpdf["r_lab"].to_numpy()).astype(np.int64)  # nr x n_sets
         out = []
-        step = max(1, 4_000_000 // max(1, len(rm) * rm.shape[1]))
+        by_label = np.argsort(rl[:, 0], kind="stable")
+        rm, rl = rm[by_label], rl[by_label]  # the first labelling lies in order
+        step = max(1, 1_000_000 // max(1, len(rm)))
         for s0 in range(0, len(qm), step):
             q = qm[s0:s0 + step]
-            d = np.sqrt(((q[:, None, :] - rm[None, :, :]) ** 2).sum(2))
+            d = _all_distances(q, rm)
             for si in range(n_sets):
                 order = np.argsort(rl[:, si], kind="stable")
                 sorted_lab = rl[order, si]
                 labs, starts, cnts = np.unique(sorted_lab, return_index=True, return_counts=True)
-                sums = np.add.reduceat(d[:, order], starts, axis=1)
+                sums = np.add.reduceat(d if si == 0 else d[:, order], starts, axis=1)
                 nq = len(q)
                 out.append(pd.DataFrame({
                     "q_id": np.repeat(qids[s0:s0 + step], len(labs)),
@@ -186,8 +210,8 @@ def _cluster_sums(n_sets: int):
     return fn
 
 
-def silhouette(df: DataFrame, key: str, vec: str, labels: str, block_rows: int = 1024,
-               ref_block_rows: int = 16384) -> DataFrame:
+def silhouette(df: DataFrame, key: str, vec: str, labels: str, block_rows: int | None = None,
+               ref_block_rows: int | None = None) -> DataFrame:
     """AG-15 exact: per labelling set s (``labels`` is an array column, one
     cluster id per set) the mean over points of (b - a) / max(a, b), a =
     mean distance to the other members of its cluster, b = smallest mean
@@ -196,13 +220,14 @@ def silhouette(df: DataFrame, key: str, vec: str, labels: str, block_rows: int =
 
     Query blocks are small (parallelism), reference blocks large: every
     tile emits one partial row per query point and cluster, so fewer
-    reference blocks means fewer partial rows to shuffle."""
+    reference blocks means fewer partial rows to shuffle.  Both grow with the
+    table within bounds; the distances stay n^2."""
     p = df.select(F.col(key).cast("long").alias("id"), V.as_double(vec).alias("v"),
                   F.col(labels).cast("array<long>").alias("lab"))
     n_sets = len(p.first()["lab"])
     n = p.count()
-    nq = max(1, math.ceil(n / block_rows))
-    nr = max(1, math.ceil(n / ref_block_rows))
+    nq = max(1, math.ceil(n / (block_rows or max(1024, min(16384, math.ceil(n / 16))))))
+    nr = max(1, math.ceil(n / (ref_block_rows or max(16384, min(65536, math.ceil(n / 16))))))
     q = (p.select(F.col("id").alias("q_id"), F.col("v").alias("q_vec"))
           .withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(nq)).cast("int"))
           .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1)))))
