@@ -367,9 +367,13 @@ def _tile(light, k: int, exclude_self: bool):
         lowest = flat[start]
         names, at = np.unique(cell, return_index=True)
         ends = np.append(at[1:], len(cell))
-        found = []
-        for a in range(0, len(q), 2048):  # so many queries have their bounds in memory
-            row, *rest, n = part(q[a:a + 2048], limit[a:a + 2048], bounds, names, at, ends, r, lowest)
+        # queries of one cell go together: their cell comes first and then rules out others
+        own = np.concatenate([pair_distances(metric, q[a:a + 4096], bounds[1][names]).argmin(1) for a in range(0, len(q), 4096)])
+        order = np.argsort(own, kind="stable")
+        qid, q, limit = qid[order], q[order], limit[order]
+        found, few = [], 256 if q.shape[1] < 8 else 1024  # queries at a time
+        for a in range(0, len(q), few):
+            row, *rest, n = part(q[a:a + few], limit[a:a + few], bounds, names, at, ends, r, lowest)
             found.append((row + a, *rest))
             tested += n
         row, entry, d = (np.concatenate(x) for x in zip(*found))
