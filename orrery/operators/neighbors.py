@@ -124,7 +124,7 @@ def knn(query: DataFrame, ref: DataFrame, k: int, *, q_id: str, r_id: str,
     through all blocks.
     """
     if metric in pivots.METRICS:
-        index = pivots.build(ref, r_id, r_vec, metric, keep_ids=k + int(exclude_self), shelf_rows=ref_block_rows)
+        index = pivots.build(ref, r_id, r_vec, metric, keep_ids=k + int(exclude_self), shelf_rows=ref_block_rows, share=8)
         local = pivots.nearest(query, index, k, q_id, q_vec, exclude_self, block_rows).filter("tested is null").drop("tested")
         if metric == "sqeuclidean":
             local = local.withColumn("dist", F.col("dist") * F.col("dist"))

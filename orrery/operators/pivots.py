@@ -75,21 +75,63 @@ def _exact(metric: str, q: np.ndarray, r: np.ndarray) -> np.ndarray:
     return out
 
 
-def close_pairs(metric: str, q: np.ndarray, r: np.ndarray, limit: np.ndarray):
+def narrowed(metric: str, r: np.ndarray):
+    """What ``close_pairs`` needs of the reference rows for one product of
+    narrow numbers: made once for a shelf, and taken for some rows of it by
+    index.  None where it makes no product."""
+    if metric != "euclidean" or r.shape[1] < 8 or not len(r) or not np.isfinite(r).all():
+        return None
+    centre = r.mean(0)
+    rc = r - centre
+    top = (rc * rc).sum(1)
+    with np.errstate(over="ignore"):
+        return centre, top, np.column_stack([rc, top, np.ones(len(r))]).astype(np.float32)
+
+
+def _whole_numbers(q: np.ndarray, r: np.ndarray, limit: np.ndarray):
+    """Rows as 16-bit numbers whose sums of differences cannot overflow, and
+    the largest sum a pair within each query's limit can have; None where they
+    would be too coarse for these limits."""
+    low, high = np.minimum(q.min(0), r.min(0)), np.maximum(q.max(0), r.max(0))
+    span, dim = (high - low).sum(), q.shape[1]
+    if dim > 512 or not 1e-30 < span < 1e30:
+        return None
+    scale, middle = 32_000 / span, (low + high) / 2
+    q, r = (q - middle) * scale, (r - middle) * scale
+    qi, ri = np.rint(q), np.rint(r)
+    room = np.abs(q - qi).sum(1) + np.abs(r - ri).sum(1).max() + 1
+    if np.median(room) > 0.05 * scale * np.median(limit):
+        return None
+    cut = np.minimum(np.floor(limit * scale + room), 32_767).astype(np.int16)
+    return qi.astype(np.int16), np.ascontiguousarray(ri.astype(np.int16).T), cut
+
+
+def _set_places(flags: np.ndarray) -> np.ndarray:
+    """Places of the few set flags, looked for eight at a time."""
+    flat, whole = flags.ravel(), flags.size // 8 * 8
+    some = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([some[flat[some]], np.flatnonzero(flat[whole:]) + whole])
+
+
+def close_pairs(metric: str, q: np.ndarray, r: np.ndarray, limit: np.ndarray, ready=None):
     """(query row, reference row, distance) of all pairs within the query's
     ``limit``, by query row.
 
-    A first look at narrow numbers (euclidean: one matrix product, else a sum
-    of differences) leaves those pairs that may be within it, its own error
-    included; these are measured by their differences."""
+    A first look at narrow numbers (euclidean: one matrix product; manhattan:
+    sums of 16-bit differences, else of floats) leaves those pairs that may be
+    within it, its own error included; these are measured by their differences.
+    ``ready``: the rows of ``narrowed`` that belong to ``r``."""
     found, none = [], np.zeros(0, np.int64)
-    low = q.shape[1] < 8 or not (np.isfinite(q).all() and np.isfinite(r).all())
+    low = q.shape[1] < 8 or not (np.isfinite(q).all() and (ready is not None or np.isfinite(r).all()))
+    whole = None
     if not low and len(q) and len(r):
-        centre = r.mean(0)
-        qc, rc = q - centre, r - centre
         if metric == "euclidean":
-            size, top, most = (qc * qc).sum(1), (rc * rc).sum(1), limit * limit
+            centre, top, narrow = ready or narrowed(metric, r)
+            qc = q - centre
+            size, most = (qc * qc).sum(1), limit * limit
         else:
+            centre = r.mean(0)
+            qc, rc = q - centre, r - centre
             size, top, most = np.abs(qc).sum(1), np.abs(rc).sum(1), limit
         scale = size + top.max()
         room = 8 * (q.shape[1] + 4) * np.finfo(np.float32).eps * scale
@@ -98,12 +140,26 @@ def close_pairs(metric: str, q: np.ndarray, r: np.ndarray, limit: np.ndarray):
         if wide:
             room = room * (np.finfo(float).eps / np.finfo(np.float32).eps)
         kind = float if wide else np.float32
-        cut = (most + 2 * room).astype(kind)
-        if not wide:
-            cut = np.nextafter(cut, np.float32(np.inf))
-            size, top = size.astype(kind), top.astype(kind)
-        qc, rc = qc.astype(kind), np.ascontiguousarray(rc.astype(kind).T)
-    step = max(1, (2_000_000 if low or metric == "euclidean" else 250_000) // max(1, len(r)))
+        if metric == "euclidean":
+            # |q|^2 + |r|^2 - 2qr - cut as one product; no distance exceeds 4 scale
+            cut = size - (np.minimum(most, 4 * scale) + 2 * room)
+            cut = cut if wide else np.nextafter(cut.astype(kind), np.float32(-np.inf))
+            left = np.column_stack([-2 * qc, np.ones(len(q)), cut]).astype(kind)
+            right = np.column_stack([r - centre, top, np.ones(len(r))]) if wide else narrow
+        else:
+            whole = _whole_numbers(q, r, limit) if metric == "manhattan" else None
+            cut = (most + 2 * room).astype(kind)
+            if not wide:
+                cut = np.nextafter(cut, np.float32(np.inf))
+            qc, rc = qc.astype(kind), np.ascontiguousarray(rc.astype(kind).T)
+            if whole:
+                qc, rc, cut = whole
+    # a tile stays in the cache
+    step = max(1, (2_000_000 if low else 1_000_000 if metric == "euclidean" else 131_072) // max(1, len(r)))
+    if not low and len(q) and len(r):
+        shape = (min(step, len(q)), len(r))
+        tile, flags = np.empty(shape, right.dtype if metric == "euclidean" else rc.dtype), np.empty(shape, bool)
+        part = None if metric == "euclidean" else np.empty_like(tile)
     for a in range(0, len(q), step):
         e = slice(a, a + step)
         if low:
@@ -111,18 +167,19 @@ def close_pairs(metric: str, q: np.ndarray, r: np.ndarray, limit: np.ndarray):
             row, col = np.nonzero(d <= limit[e, None])
             found.append((row + a, col, d[row, col]))
             continue
+        few = min(step, len(q) - a)
+        d, near = tile[:few], flags[:few]
         if metric == "euclidean":
-            d = qc[e] @ rc
-            d *= -2
-            d += size[e, None]
-            d += top
+            np.matmul(left[e], right.T, out=d)
+            np.less_equal(d, 0, out=near)
         else:
-            d, part = np.zeros((len(qc[e]), len(r)), kind), np.empty((len(qc[e]), len(r)), kind)
+            d[:] = 0
             for j in range(q.shape[1]):
-                np.subtract(qc[e, j, None], rc[j], out=part)
-                np.abs(part, out=part)
-                (np.maximum if metric == "chebyshev" else np.add)(d, part, out=d)
-        row, col = np.divmod(np.flatnonzero(d <= cut[e, None]), len(r))
+                np.subtract(qc[e, j, None], rc[j], out=part[:few])
+                np.abs(part[:few], out=part[:few])
+                (np.maximum if metric == "chebyshev" else np.add)(d, part[:few], out=d)
+            np.less_equal(d, cut[e, None], out=near)
+        row, col = np.divmod(_set_places(near), len(r))
         d = _exact(metric, q[e][row], r[col]) if len(row) < 200_000 else np.concatenate(
             [_exact(metric, q[e][row[x:x + 200_000]], r[col[x:x + 200_000]]) for x in range(0, len(row), 200_000)])
         within_ = d <= limit[e][row]
@@ -142,6 +199,7 @@ class Index:
     splits: np.ndarray  # and how many it is spread over
     shelves: int
     placed: DataFrame
+    share: int          # of a table's rows one such part is a shelf or a block
 
     def light(self):
         return (self.metric, self.points, self.radius, self.inner, self.first, self.splits)
@@ -174,15 +232,26 @@ def _chain(points: np.ndarray, metric: str) -> list[int]:
     return order
 
 
+def _kind(df: DataFrame, col: str) -> str:
+    """Floats travel as floats; kernels measure doubles."""
+    return "array<float>" if df.select(col).schema[0].dataType.simpleString() == "array<float>" else "array<double>"
+
+
+def _most(share: int) -> int:
+    return TASK_VALUES * 16 // share
+
+
 def build(ref: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean", keep_ids: int | None = None,
-          shelf_rows: int | None = None, max_pivots: int = MAX_PIVOTS) -> Index | None:
+          shelf_rows: int | None = None, max_pivots: int = MAX_PIVOTS, share: int = 16) -> Index | None:
     """Index of ``ref``; None if it has no row with a vector.  ``keep_ids``:
     of rows with equal vectors so many smallest ids are kept (None: every row
-    is an entry of its own).  ``shelf_rows``: by default a 16th of the rows,
-    no fewer than 16384 and no more than ``TASK_VALUES`` numbers."""
+    is an entry of its own).  ``shelf_rows``: by default one of ``share`` parts
+    of the rows, no fewer than 16384 and no more than ``TASK_VALUES`` numbers
+    at 16 parts, twice as many at 8."""
     spark, metric = ref.sparkSession, "euclidean" if metric == "sqeuclidean" else metric
     # + 0.0: the two zeros are one
-    vec = F.transform(V.as_double(vec_col), lambda x: x + F.lit(0.0))
+    kind = _kind(ref, vec_col)
+    vec = F.transform(F.col(vec_col).cast(kind), lambda x: x + F.lit(0.0).cast(kind[6:-1]))
     rows = ref.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).filter(
         F.col("vec").isNotNull() & ~F.exists("vec", lambda x: x.isNull()))
     if keep_ids:
@@ -196,15 +265,15 @@ def build(ref: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean",
     n, dim = size["n"], size["d"]
     if not n:
         return None
-    shelf_rows = shelf_rows or max(1, min(max(16384, math.ceil(n / 16)), TASK_VALUES // max(1, dim)))
+    shelf_rows = shelf_rows or max(1, min(max(16384, math.ceil(n / share)), _most(share) // max(1, dim)))
     p = max(1, min(max_pivots, MAX_VALUES // max(1, dim), int(math.sqrt(n))))
     if n <= shelf_rows:  # one shelf: its task makes the cells itself
         none = np.zeros(0)
         return Index(metric, np.zeros((0, dim)), none, none, none, none, 1,
-                     rows.select(F.lit(0).cast("long").alias("shelf"), F.lit(0).alias("cell"), "vec", "ids"))
+                     rows.select(F.lit(0).cast("long").alias("shelf"), F.lit(0).alias("cell"), "vec", "ids"), share)
     points = np.array([r["vec"] for r in rows.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(p).collect()], float)
     points = points[_chain(points, metric)]
-    placed = cut_lineage(rows.mapInArrow(_assigner(metric, points), "cell int, far double, vec array<double>, ids array<long>"))
+    placed = cut_lineage(rows.mapInArrow(_assigner(metric, points), f"cell int, far double, vec {kind}, ids array<long>"))
     radius, inner, count = np.zeros(len(points)), np.zeros(len(points)), np.zeros(len(points), np.int64)
     for r in placed.groupBy("cell").agg(F.max("far").alias("r"), F.min("far").alias("i"), F.count(F.lit(1)).alias("n")).collect():
         radius[r["cell"]], inner[r["cell"]], count[r["cell"]] = r["r"], r["i"], r["n"]
@@ -217,7 +286,7 @@ def build(ref: DataFrame, id_col: str, vec_col: str, metric: str = "euclidean",
     where = spark.createDataFrame([(c, int(first[c]), int(splits[c])) for c in range(len(points))], "cell int, f long, s long")
     shelf = F.col("f") + F.pmod(F.xxhash64("vec", "ids"), F.col("s"))
     placed = placed.join(F.broadcast(where), "cell").select(shelf.alias("shelf"), "cell", "vec", "ids")
-    return Index(metric, points, radius, inner, first, splits, at + 1, placed)
+    return Index(metric, points, radius, inner, first, splits, at + 1, placed, share)
 
 
 def _bounds(light, d):
@@ -229,9 +298,10 @@ def _bounds(light, d):
 
 
 def _router(light, mode: str):
-    """Queries (q_id, q_vec, limit) -> rows (shelf, q_id, q_vec, limit):
+    """Queries (q_id, q_vec, limit) -> the same with their ``shelves``:
     ``home``: the shelf of the own cell; ``rest``: all others that may hold
-    something within the limit; ``all``: both."""
+    something within the limit; ``all``: both; ``after``: of these the
+    query's ``home`` and those behind it."""
     metric, points, _, _, first, splits = light
 
     def run(batches):
@@ -254,20 +324,24 @@ def _router(light, mode: str):
                     open_ = np.logical_or.reduceat((low <= (limit * (1 + SLACK))[:, None] + SLACK * d)[:, cells], starts, axis=1)
                     if mode == "rest":
                         open_[np.arange(len(d)), home] = False
+                    if mode == "after":
+                        open_ &= np.arange(open_.shape[1]) >= np.asarray(b.column("home"))[:, None]
                     row, shelf = np.nonzero(open_)
-                take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(shelf, pa.int64()), b.column("q_id").take(take),
-                                                  b.column("q_vec").take(take), b.column("limit").take(take)],
-                                                 names=["shelf", "q_id", "q_vec", "limit"])
+                ends = np.searchsorted(row, np.arange(len(d) + 1))
+                shelves = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(shelf, pa.int64()))
+                yield pa.RecordBatch.from_arrays([shelves, *b.columns], names=["shelves", *b.schema.names])
     return run
 
 
 _FOUND = "q_id long, r_id long, dist double, tested long"
 
 
-def _tile(light, k: int, exclude_self: bool):
+def _tile(light, k: int, exclude_self: bool, once: bool = False):
     """One shelf and a block of queries: the k nearest of each (``k`` = 0: all
-    within its limit), and a row that tells how many distances were measured."""
+    within its limit), and a row that tells how many distances were measured.
+    ``once``: of two rows of one shelf, which meet both ways, the pair whose
+    query has the smaller id; of two shelves, which meet one way, every pair,
+    with the smaller id as the query."""
     from orrery.operators.neighbors import _nearest_squared  # travels with the kernel
     metric, kk = light[0], k + 1 if exclude_self else k
 
@@ -282,20 +356,36 @@ def _tile(light, k: int, exclude_self: bool):
         d = np.sqrt(np.maximum(q2[:, None] + p2 - 2.0 * qc @ pc.T, 0))
         return d, SLACK * d + 2 * np.sqrt(16 * (q.shape[1] + 4) * np.finfo(float).eps * (q2 + p2.max()))[:, None]
 
-    def part(q, limit, bounds, names, at, ends, r, lowest):
+    def part(q, limit, bounds, names, at, ends, r, lowest, ready):
         """(query row, entry, distance, measured) for a few queries."""
         near_pivots, room = pivot_distances(q, bounds[1])
         low, room = _bounds(bounds, near_pivots)[:, names], room[:, names]
         tested, pairs = near_pivots.size, []
         best_d, best_r = np.full((len(q), kk), np.inf), np.full((len(q), kk), -1)
-        for c in np.argsort(low.mean(0), kind="stable"):
-            alive = np.flatnonzero(low[:, c] <= limit * (1 + SLACK) + room[:, c])
+        order, size, i, seen = np.argsort(low.mean(0), kind="stable"), ends - at, 0, 0
+
+        def reach(c):
+            return low[:, c] <= limit * (1 + SLACK) + room[:, c]
+
+        while i < len(order):
+            open_, j, held = reach(order[i]), i + 1, size[order[i]]
+            if 4 * open_.sum() >= 3 * len(q) and (k == 0 or np.isfinite(limit).all()):
+                # cells that most queries meet are one product: ever larger ones, as limits shrink
+                most = 16_384 if k == 0 else min(16_384, 4 * max(seen, 256))
+                while j < len(order) and held + size[order[j]] <= most:
+                    more = reach(order[j])
+                    if 4 * more.sum() < 3 * len(q):
+                        break
+                    open_, held, j = open_ | more, held + size[order[j]], j + 1
+            alive = np.flatnonzero(open_)
+            member = np.concatenate([np.arange(at[c], ends[c]) for c in order[i:j]])
+            i, seen = j, seen + held
             if not len(alive):
                 continue
-            member = np.arange(at[c], ends[c])
             tested += len(alive) * len(member)
+            rows = ready and (ready[0], ready[1][member], ready[2][member])
             if k == 0:
-                row, col, d = close_pairs(metric, q[alive], r[member], limit[alive])
+                row, col, d = close_pairs(metric, q[alive], r[member], limit[alive], rows)
                 pairs.append((alive[row], member[col], d))
                 continue
             near = np.isfinite(limit[alive])
@@ -318,7 +408,7 @@ def _tile(light, k: int, exclude_self: bool):
                 best_d[free], best_r[free] = np.take_along_axis(d, by, 1), np.take_along_axis(x, by, 1)
                 limit[free] = np.minimum(limit[free], best_d[free][:, kk - 1])
             if len(alive):
-                row, col, d = close_pairs(metric, q[alive], r[member], limit[alive])
+                row, col, d = close_pairs(metric, q[alive], r[member], limit[alive], rows)
                 if not len(row):
                     continue
                 some, row = np.unique(alive[row], return_inverse=True)
@@ -371,9 +461,9 @@ def _tile(light, k: int, exclude_self: bool):
         own = np.concatenate([pair_distances(metric, q[a:a + 4096], bounds[1][names]).argmin(1) for a in range(0, len(q), 4096)])
         order = np.argsort(own, kind="stable")
         qid, q, limit = qid[order], q[order], limit[order]
-        found, few = [], 256 if q.shape[1] < 8 else 1024  # queries at a time
+        found, few, ready = [], 256 if q.shape[1] < 8 else 1024, narrowed(metric, r)  # queries at a time
         for a in range(0, len(q), few):
-            row, *rest, n = part(q[a:a + few], limit[a:a + few], bounds, names, at, ends, r, lowest)
+            row, *rest, n = part(q[a:a + few], limit[a:a + few], bounds, names, at, ends, r, lowest, ready)
             found.append((row + a, *rest))
             tested += n
         row, entry, d = (np.concatenate(x) for x in zip(*found))
@@ -384,6 +474,11 @@ def _tile(light, k: int, exclude_self: bool):
         if exclude_self:
             other = r_id != qid[row]
             row, r_id, d = row[other], r_id[other], d[other]
+        if once:
+            guest = np.asarray(left.column("home").combine_chunks())[order] < left.column("shelf")[0].as_py()
+            a, keep = qid[row], (qid[row] < r_id) | (guest[row] & (qid[row] != r_id))
+            a, r_id, d = a[keep], r_id[keep], d[keep]
+            return table(np.minimum(a, r_id), np.maximum(a, r_id), d, tested)
         if k:
             by = np.lexsort((r_id, d, row))
             row, r_id, d = row[by], r_id[by], d[by]
@@ -393,15 +488,16 @@ def _tile(light, k: int, exclude_self: bool):
     return run
 
 
-def met(queries: DataFrame, placed: DataFrame, shelves: int, kernel, schema: str, block_rows: int | None, dim: int = 64) -> DataFrame:
+def met(queries: DataFrame, placed: DataFrame, shelves: int, kernel, schema: str, block_rows: int | None, dim: int = 64,
+        share: int = 16, keep: bool = True) -> DataFrame:
     """``kernel`` over every shelf with its routed queries, blocks of at most
-    about ``block_rows`` of them at a time (by default a 16th of the shelf's
-    queries, within bounds); the result is written."""
+    about ``block_rows`` of them at a time (by default one of ``share`` parts of
+    the shelf's queries, within bounds); with ``keep`` the result is written."""
     n = F.count(F.lit(1))
     if block_rows:
         most = F.lit(block_rows)
     else:
-        most = F.least(F.greatest(n / 16, F.lit(1024)), F.lit(max(1024, min(32768, TASK_VALUES // max(1, dim)))))
+        most = F.least(F.greatest(n / share, F.lit(1024)), F.lit(max(1024, min(32768 * 16 // share, _most(share) // max(1, dim)))))
     per = queries.groupBy("shelf").agg(F.ceil(n / most).alias("blocks"))
     if shelves == 1:
         n = F.lit(max((r["blocks"] for r in per.collect()), default=1)).cast("long")
@@ -411,28 +507,28 @@ def met(queries: DataFrame, placed: DataFrame, shelves: int, kernel, schema: str
         blocks = lambda df: df.join(per, "shelf")
     left = blocks(queries).withColumn("block", F.pmod(F.xxhash64("q_id", "q_vec"), F.col("blocks"))).drop("blocks")
     right = (blocks(placed).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks"))
-    return cut_lineage(left.groupBy("shelf", "block").cogroup(right.groupBy("shelf", "block")).applyInArrow(kernel, schema))
+    found = left.groupBy("shelf", "block").cogroup(right.groupBy("shelf", "block")).applyInArrow(kernel, schema)
+    return cut_lineage(found) if keep else found
 
 
-def _meet(queries: DataFrame, index: Index, kernel, block_rows: int | None) -> DataFrame:
-    return met(queries, index.placed, index.shelves, kernel, _FOUND, block_rows, index.points.shape[1])
+def _meet(queries: DataFrame, index: Index, kernel, block_rows: int | None, keep: bool = True) -> DataFrame:
+    return met(queries, index.placed, index.shelves, kernel, _FOUND, block_rows, index.points.shape[1], index.share, keep)
 
 
 def _queries(query: DataFrame, q_id: str, q_vec: str, limit: float | str) -> DataFrame:
     most = F.col(limit).cast("double") if isinstance(limit, str) else F.lit(float(limit))
-    q = query.select(F.col(q_id).cast("long").alias("q_id"), V.as_double(q_vec).alias("q_vec"), most.alias("limit"))
+    q = query.select(F.col(q_id).cast("long").alias("q_id"), F.col(q_vec).cast(_kind(query, q_vec)).alias("q_vec"), most.alias("limit"))
     return q.filter(F.col("q_vec").isNotNull() & ~F.exists("q_vec", lambda x: x.isNull()))
 
 
-_ROUTED = "shelf long, q_id long, q_vec array<double>, limit double"
-
-
 def routed(queries: DataFrame, index: Index, mode: str) -> DataFrame:
     """Queries (q_id, q_vec, limit) with the shelves they go to (see
-    ``_router``)."""
+    ``_router``), which are written as a list beside each query."""
     if index.shelves == 1:
-        return queries.select(F.lit(0).cast("long").alias("shelf"), "q_id", "q_vec", "limit")
-    return cut_lineage(queries.mapInArrow(_router(index.light(), mode), _ROUTED))
+        return queries.select(F.lit(0).cast("long").alias("shelf"), "*")
+    schema = "shelves array<long>, " + ", ".join(f"{c} {t}" for c, t in queries.dtypes)
+    lists = cut_lineage(queries.mapInArrow(_router(index.light(), mode), schema))
+    return lists.select(F.explode("shelves").alias("shelf"), *queries.columns)
 
 
 def nearest(query: DataFrame, index: Index | None, k: int, q_id: str, q_vec: str, exclude_self: bool = False,
@@ -464,3 +560,15 @@ def within(query: DataFrame, index: Index | None, eps: float | str, q_id: str, q
     if index is None:
         return q.sparkSession.createDataFrame([], _FOUND)
     return _meet(routed(q, index, "all"), index, _tile(index.light(), 0, False), block_rows)
+
+
+def pairs_once(index: Index | None, spark, eps: float) -> DataFrame:
+    """(q_id, r_id, dist, tested): every pair of the index's own rows within
+    ``eps`` once, q_id < r_id.  A row is copied to its own shelf and to those
+    behind it that its ball reaches, so that two shelves meet one way.  Rows
+    are entries of their own with an id; the result is not written."""
+    if index is None:
+        return spark.createDataFrame([], _FOUND)
+    q = index.placed.select(F.get("ids", F.lit(0)).alias("q_id"), F.col("vec").alias("q_vec"), F.lit(float(eps)).alias("limit"),
+                            F.col("shelf").alias("home"))
+    return _meet(routed(q, index, "after"), index, _tile(index.light(), 0, False, True), None, keep=False)

@@ -178,11 +178,16 @@ r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d, r_id) AS rk FRO
 """
 
 
+def _stored(spark, sf):
+    """Vectors as they are stored: floats travel as floats."""
+    return table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("v"))
+
+
 @query("jn2_knn_euclidean", _KNN_SQL.format(dist="list_distance(a.v, b.v)", where="WHERE a.vec_id <> b.vec_id") + """
 SELECT q_id, r_id, round(d, 6) AS dist, rk AS rank FROM r WHERE rk <= 5
 """)
 def jn2(spark, sf):
-    e = _emb(spark, sf)
+    e = _stored(spark, sf)
     nn = NB.knn(e, e, 5, q_id="vec_id", r_id="vec_id", q_vec="v", r_vec="v",
                 metric="euclidean", exclude_self=True)
     return nn.select("q_id", "r_id", R("dist").alias("dist"), "rank")
@@ -219,7 +224,7 @@ WHERE o = 1
 def ml12(spark, sf):
     """kNN classifier: test rows against the training rows (k = 5,
     uniform weights, Euclidean); majority vote, ties to smallest label."""
-    e = _emb(spark, sf)
+    e = _stored(spark, sf)
     test, train = e.filter(_split_flag("vec_id")), e.filter(~_split_flag("vec_id"))
     nn = NB.knn(test, train, 5, q_id="vec_id", r_id="vec_id", q_vec="v", r_vec="v")
     pred = NB.knn_vote(nn, train, "vec_id", "label")
@@ -233,7 +238,7 @@ ORDER BY mean_knn_dist
 def ord3(spark, sf):
     """Sorted mean distance to the 4 nearest rows (self included at 0), the
     curve used to choose a DBSCAN epsilon."""
-    e = _emb(spark, sf)
+    e = _stored(spark, sf)
     nn = NB.knn(e, e, 4, q_id="vec_id", r_id="vec_id", q_vec="v", r_vec="v")
     m = nn.groupBy("q_id").agg(F.avg("dist").alias("m"))
     return m.select(F.col("q_id").alias("vec_id"), R("m").alias("mean_knn_dist")).orderBy("mean_knn_dist")
@@ -275,7 +280,7 @@ WHERE o = 1
 
 
 def _knn_vote(spark, sf, metric: str, weights: str):
-    e = _emb(spark, sf)
+    e = _stored(spark, sf)
     test, train = e.filter(_split_flag("vec_id")), e.filter(~_split_flag("vec_id"))
     nn = NB.knn(test, train, 5, q_id="vec_id", r_id="vec_id", q_vec="v", r_vec="v", metric=metric)
     return NB.knn_vote(nn, train, "vec_id", "label", weights).select(F.col("q_id").alias("vec_id"), "prediction")
