@@ -62,12 +62,18 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
 
 
 def ball_pairs(df: DataFrame, key: str, vec: str, eps: float, metric: str = "euclidean", include_self: bool = True,
-               shelf_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
+               shelf_rows: int | None = None, block_rows: int | None = None, once: bool = False) -> DataFrame:
     """JN-3 in any number of dimensions: all ordered pairs (id_a, id_b, dist)
     within ``eps``.  Rows live in the cells of a pivot index and are copied to
-    every shelf of it that their ball reaches, in place of 3^d grid cells."""
+    every shelf of it that their ball reaches, in place of 3^d grid cells.
+    ``once``: every pair once, id_a < id_b, for half the distances."""
     from orrery.operators import pivots
-    index = pivots.build(df, key, vec, metric, shelf_rows=shelf_rows)
+    if once:
+        df = df.filter(F.col(key).isNotNull())
+    index = pivots.build(df, key, vec, metric, shelf_rows=shelf_rows, share=8)
+    if once:
+        found = pivots.pairs_once(index, df.sparkSession, eps).filter("tested is null")
+        return found.select(F.col("q_id").alias("id_a"), F.col("r_id").alias("id_b"), "dist")
     found = pivots.within(df, index, eps, key, vec, block_rows).filter("tested is null")
     if not include_self:
         found = found.filter("q_id != r_id")

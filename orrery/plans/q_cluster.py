@@ -335,8 +335,8 @@ SELECT a.id AS id_a, b.id AS id_b, round({_VEC_DIST}, 6) AS dist FROM p a JOIN p
 def jn3_vectors(spark, sf):
     """Pairs of 64-dimensional vectors within eps = 1.1 (each unordered pair
     once), through the pivot index."""
-    p = DB.ball_pairs(_emb(spark, sf), "vec_id", "v", 1.1, include_self=False)
-    return p.filter("id_a < id_b").select("id_a", "id_b", R("dist").alias("dist"))
+    p = DB.ball_pairs(table(spark, sf, "embeddings"), "vec_id", "embedding", 1.1, once=True)
+    return p.select("id_a", "id_b", R("dist").alias("dist"))
 
 
 @query("ml15_dbscan_vectors", f"""
