@@ -274,7 +274,8 @@ def ml11(spark, sf):
     SVM (one-vs-rest)."""
     e = table(spark, sf, "embeddings")
     e = ML.random_fourier_features(e, "embedding", 64, 128, gamma=1.0, seed=3)
-    e = ML.array_features(e, "rff")
+    # eight classes are fitted at a time: few partitions keep the cores busy, and each step of a fit one stage
+    e = _few_parts(ML.array_features(e, "rff").select("vec_id", "label", "features"), 65_536)
     is_test = rel.hash_order("vec_id", 11) % 5 == 0
     m = ML.classifier("svm", regParam=0.001, maxIter=30).fit(e.filter(~is_test))
     return _predict(m, e.filter(is_test))
