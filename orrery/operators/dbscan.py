@@ -1,8 +1,9 @@
 """Radius join and density clustering (JN-3, ML-15, ML-16, WIN-2).
 
 Radius join: points are hashed to grid cells of side eps; one side is
-expanded to its 3^d neighbour cells, the sides are equi-joined on the cell
-and the exact distance is filtered.  Suited to low dimension (d <= 3);
+expanded to its 3^d neighbour cells (half of them where a pair is wanted
+once), the sides are equi-joined on the cell and the exact distance is
+filtered.  Suited to low dimension (d <= 3);
 ``ball_pairs`` is the join for any other.
 
 DBSCAN runs for a whole list of eps values at once: every step is keyed
@@ -22,7 +23,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.session import Rounds, cut_lineage
+from orrery.session import Rounds, cut_lineage, small_side
 
 
 def _dist(a_cols, b_cols):
@@ -40,22 +41,44 @@ def _spread(df: DataFrame, *keys: str, rows: int = 50_000) -> DataFrame:
 
 
 def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
-                 include_self: bool = True) -> DataFrame:
+                 include_self: bool = True, once: bool = False, block_rows: int = 5_000) -> DataFrame:
     """All ordered pairs (id_a, id_b, dist) with dist <= eps (both
-    directions; self pairs at distance 0 when ``include_self``)."""
+    directions; self pairs at distance 0 when ``include_self``).  ``once``:
+    every pair once, id_a < id_b, from half the neighbour cells.
+
+    The rows of a cell are one task's only up to ``block_rows`` of them; the
+    blocks of a larger cell meet their neighbourhood apart from each other.
+    Tasks follow the number of pairs to measure, and neither side is
+    broadcast, whatever size its files suggest."""
     d = len(xcols)
-    cells = [F.floor(F.col(x) / F.lit(eps)).cast("long") for x in xcols]
+    K = [f"k{i}" for i in range(d)]
+    side = F.lit(float(eps) * (1 + 1e-9))  # rounding never puts two points within eps two cells apart
+    cells = [F.floor(F.col(x) / side).cast("long") for x in xcols]
     a = df.select(F.col(key).alias("id_a"), *[F.col(x).alias(f"a{i}") for i, x in enumerate(xcols)],
-                  *[c.alias(f"k{i}") for i, c in enumerate(cells)])
-    offsets = list(itertools.product((-1, 0, 1), repeat=d))
+                  *[c.alias(K[i]) for i, c in enumerate(cells)])
+    per = a.na.drop(subset=K).groupBy(*K).agg(F.count(F.lit(1)).alias("n"))
+    size = per.agg(F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("n2"), F.max("n").alias("most")).first()
+    parts = max(1, min(20_000, math.ceil(max((size["n"] or 0) / 50_000, (size["n2"] or 0) / 1e7))))
+    none = (0,) * d
+    offsets = [t for t in itertools.product((-1, 0, 1), repeat=d) if not once or t >= none]
     off = F.explode(F.array(*[F.array(*[F.lit(o) for o in t]) for t in offsets])).alias("_o")
     b = _spread(df, key).select(F.col(key).alias("id_b"), *[F.col(x).alias(f"b{i}") for i, x in enumerate(xcols)],
                   *[c.alias(f"c{i}") for i, c in enumerate(cells)], off)
-    b = b.select("id_b", *[f"b{i}" for i in range(d)],
-                 *[(F.col(f"c{i}") + F.col("_o")[i]).alias(f"k{i}") for i in range(d)])
-    j = a.join(b, [f"k{i}" for i in range(d)])
+    b = b.select("id_b", *[f"b{i}" for i in range(d)], (F.col("_o") == F.array(*[F.lit(0)] * d)).alias("_own"),
+                 *[(F.col(f"c{i}") + F.col("_o")[i]).alias(K[i]) for i in range(d)])
+    on = K
+    if (size["most"] or 0) > block_rows:
+        hot = small_side(per.filter(F.col("n") > block_rows).select(*K, F.ceil(F.col("n") / block_rows).alias("_n")))
+        blocks = F.coalesce("_n", F.lit(1)).cast("long")
+        a = a.join(hot, K, "left").withColumn("_s", F.pmod(F.xxhash64("id_a", *[f"a{i}" for i in range(d)]), blocks)).drop("_n")
+        b = b.join(hot, K, "left").withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).drop("_n")
+        on = [*K, "_s"]
+    j = a.repartition(parts, *on).join(b.repartition(parts, *on).hint("merge"), on)
     j = j.withColumn("dist", _dist([f"a{i}" for i in range(d)], [f"b{i}" for i in range(d)]))
     j = j.filter(F.col("dist") <= F.lit(eps))
+    if once:
+        j = j.filter((F.col("id_a") < F.col("id_b")) | ((F.col("id_a") > F.col("id_b")) & ~F.col("_own")))
+        return j.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "dist")
     if not include_self:
         j = j.filter(F.col("id_a") != F.col("id_b"))
     return j.select("id_a", "id_b", "dist")

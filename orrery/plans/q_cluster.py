@@ -263,23 +263,17 @@ def _points(spark, sf):
 _PTS_SQL = "(SELECT c_custkey, c_acctbal / 1000 AS x, c_nationkey / 3.0 AS y FROM customer)"
 
 
-# every 150 customers lie in a band of their own, so that density, and with it
-# the pairs of a point, stays the same however many customers there are
-_BANDS_SQL = "(SELECT c_custkey, c_acctbal / 1000 AS x, c_nationkey / 3.0 + 9 * (c_custkey // 150) AS y FROM customer)"
-
-
 @query("jn3_radius_join", f"""
 SELECT a.c_custkey AS id_a, b.c_custkey AS id_b,
        round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 6) AS dist
-FROM {_BANDS_SQL} a JOIN {_BANDS_SQL} b ON a.c_custkey < b.c_custkey
+FROM {_PTS_SQL} a JOIN {_PTS_SQL} b ON a.c_custkey < b.c_custkey
  AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.3
 """)
 def jn3(spark, sf):
     """Pairs of points within eps = 0.3 (each unordered pair once), via grid
-    cells of side eps and their 3 x 3 neighbourhoods."""
-    pts = _points(spark, sf).withColumn("y", F.col("y") + 9 * F.floor(F.col("c_custkey") / 150))
-    p = DB.radius_pairs(pts, "c_custkey", ["x", "y"], 0.3, include_self=False)
-    return p.filter(F.col("id_a") < F.col("id_b")).select("id_a", "id_b", R("dist").alias("dist"))
+    cells of side eps and half of their 3 x 3 neighbourhoods."""
+    p = DB.radius_pairs(_points(spark, sf), "c_custkey", ["x", "y"], 0.3, once=True)
+    return p.select("id_a", "id_b", R("dist").alias("dist"))
 
 
 @query("ml15_dbscan", f"""
