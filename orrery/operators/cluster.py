@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from orrery.functions import vectors as V
 from orrery.operators import pivots
 from orrery.operators.neighbors import centroids, inline_matrix
-from orrery.session import cut_lineage, small_side
+from orrery.session import cut_lineage, many, small_side
 
 
 def _lit_matrix(matrix) -> Column:
@@ -362,9 +362,9 @@ def silhouette_squared(df: DataFrame, vec: str, cluster: str, group: str | None
         index = pivots.build(sets.withColumn("_x", lifted("_cv", F.sqrt("_var"))), "_r", "_x")
         near = pivots.nearest(own.withColumn("_x", lifted("_v", F.lit(0.0))), index, 2, "_q", "_x").filter("tested is null")
         other = (near.join(sets.select(F.col("_r").alias("r_id"), F.col("_e").alias("_re"), F.col("_c").alias("_rc")), "r_id")
-                 .join(own.select(F.col("_q").alias("q_id"), "_e", "_c"), "q_id").filter("_e = _re and _c != _rc")
+                 .join(many(own.select(F.col("_q").alias("q_id"), "_e", "_c")), "q_id").filter("_e = _re and _c != _rc")
                  .groupBy(F.col("q_id").alias("_q")).agg(F.min(F.col("dist") * F.col("dist")).alias("_b")))
-        s = own.join(other, "_q", "left")
+        s = own.join(many(other), "_q", "left")
     sil = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0)))
     out = s.groupBy("_e").agg(F.avg(sil).alias("silhouette")).join(numbers, "_e").drop("_e")

@@ -23,7 +23,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.session import Rounds, cut_lineage, small_side
+from orrery.session import Rounds, cut_lineage, many, small_side
 
 
 def _dist(a_cols, b_cols):
@@ -73,7 +73,7 @@ def radius_pairs(df: DataFrame, key: str, xcols: Sequence[str], eps: float,
         a = a.join(hot, K, "left").withColumn("_s", F.pmod(F.xxhash64("id_a", *[f"a{i}" for i in range(d)]), blocks)).drop("_n")
         b = b.join(hot, K, "left").withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).drop("_n")
         on = [*K, "_s"]
-    j = a.repartition(parts, *on).join(b.repartition(parts, *on).hint("merge"), on)
+    j = a.repartition(parts, *on).join(b.repartition(parts, *on).transform(many), on)
     j = j.withColumn("dist", _dist([f"a{i}" for i in range(d)], [f"b{i}" for i in range(d)]))
     j = j.filter(F.col("dist") <= F.lit(eps))
     if once:
@@ -108,7 +108,7 @@ def _shortcut(par: DataFrame, k: list, rounds: Rounds) -> DataFrame:
     the tree depth)."""
     while True:
         up = par.select(*k, F.col("id").alias("p"), F.col("p").alias("pp"))
-        nxt = (par.join(up, [*k, "p"], "left")
+        nxt = (par.join(many(up), [*k, "p"], "left")
                   .select(*k, "id", F.coalesce("pp", "p").alias("p"),
                           (F.coalesce("pp", "p") != F.col("p")).alias("_moved")))
         nxt = rounds.keep(nxt)
@@ -132,20 +132,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
     k = list(keys)
     rounds = Rounds(nodes.sparkSession)
     first = edges.groupBy(*k, "src").agg(F.min("dst").alias("_m"))
-    par = (nodes.select(*k, "id").join(first.withColumnRenamed("src", "id"), [*k, "id"], "left")
+    par = (nodes.select(*k, "id").join(many(first.withColumnRenamed("src", "id")), [*k, "id"], "left")
                 .select(*k, "id", F.least("id", F.coalesce("_m", "id")).alias("p")))
     par = rounds.keep(par)
     while True:
         par = _shortcut(par, k, rounds)
         ru = par.select(*k, F.col("id").alias("src"), F.col("p").alias("ru"))
         rv = par.select(*k, F.col("id").alias("dst"), F.col("p").alias("rv"))
-        hooks = (edges.join(ru, [*k, "src"]).join(rv, [*k, "dst"])
+        hooks = (edges.join(many(ru), [*k, "src"]).join(many(rv), [*k, "dst"])
                       .filter(F.col("rv") < F.col("ru"))
                       .groupBy(*k, "ru").agg(F.min("rv").alias("_h")))
         hooks = rounds.keep(hooks)
         if hooks.limit(1).count() == 0:
             return par.select(*k, "id", F.col("p").alias("label"))
-        par = (par.join(hooks.withColumnRenamed("ru", "id"), [*k, "id"], "left")
+        par = (par.join(many(hooks.withColumnRenamed("ru", "id")), [*k, "id"], "left")
                   .select(*k, "id", F.least("p", F.coalesce("_h", "p")).alias("p")))
         par = rounds.keep(par)
         rounds.drop_old(1)

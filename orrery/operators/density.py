@@ -38,7 +38,7 @@ from orrery.functions import vectors as V
 from orrery.operators import pivots
 from orrery.operators.dbscan import connected_components
 from orrery.operators.splits import group_index
-from orrery.session import cut_lineage
+from orrery.session import cut_lineage, many
 
 BOUND = 2_000_000
 BOXED = 8  # dimensions from which on boxes of points rule little out
@@ -243,20 +243,20 @@ def spanning_forest(edges: DataFrame, bound: int = BOUND) -> DataFrame:
         each = rest.select(F.col("u").alias("c"), F.struct("w", "a", "b").alias("e"))
         each = each.unionByName(rest.select(F.col("v").alias("c"), F.struct("w", "a", "b").alias("e")))
         best = each.groupBy("c").agg(F.min("e").alias("e")).select("e.*").distinct()
-        chosen = cut_lineage(best.join(rest.select("a", "b", "u", "v"), ["a", "b"]))
+        chosen = cut_lineage(best.join(many(rest.select("a", "b", "u", "v")), ["a", "b"]))
         done.append(chosen.select("a", "b", "w"))
         both = chosen.select(F.col("u").alias("src"), F.col("v").alias("dst"))
         both = cut_lineage(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
         comp = connected_components(both.select(F.col("src").alias("id")).distinct(), both)
         to = lambda c: comp.select(F.col("id").alias(c), F.col("label").alias(c + "2"))
         # every component has an edge, so every end has a new component
-        rest = (rest.join(to("u"), "u").join(to("v"), "v").filter("u2 != v2")
+        rest = (rest.join(many(to("u")), "u").join(many(to("v")), "v").filter("u2 != v2")
                 .groupBy(F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v"))
                 .agg(F.min(F.struct("w", "a", "b")).alias("e")).select("e.a", "e.b", "e.w", "u", "v"))
         rest = cut_lineage(rest)
     # the ends are now components: the kernel sees those, and hands on the edges
     last = rest.coalesce(1).select(F.col("u").alias("a"), F.col("v").alias("b"), "w").mapInArrow(_whole_forest, _EDGE)
-    last = last.join(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.col("a").alias("x"), F.col("b").alias("y")),
+    last = last.join(many(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.col("a").alias("x"), F.col("b").alias("y"))),
                      (F.col("a") == F.col("u")) & (F.col("b") == F.col("v"))).select(F.col("x").alias("a"), F.col("y").alias("b"), "w")
     for part in done:
         last = last.unionByName(part)
@@ -281,16 +281,16 @@ def reachability(df: DataFrame, key: str, vec: str, min_samples: int, limit: flo
         near = cut_lineage(found.withColumn("_r", rank).filter(F.col("_r") <= others)
                            .select(F.col("q_id").alias("id"), F.col("r_id").alias("nb"), "dist"))
         core = near.groupBy("id").agg(F.max("dist").alias("core"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == others)
-        points = cut_lineage(pts.join(core.drop("n"), "id", "left"))
+        points = cut_lineage(pts.join(many(core.drop("n")), "id", "left"))
     edges = df.sparkSession.createDataFrame([], _EDGE)
     if index:
         # an entry of the index is a vector; its smallest id is the node
         nodes = points.filter((F.col("core") <= limit) & (F.col("id") == F.col("node")))
         cores = nodes.select(F.col("id").alias("_i"), "core")
-        placed = index.placed.join(cores, F.element_at("ids", 1) == F.col("_i")).select(
+        placed = index.placed.join(many(cores), F.element_at("ids", 1) == F.col("_i")).select(
             "shelf", F.slice("ids", 1, 1).alias("ids"), "vec", "core")
         q = pivots.routed(pivots._queries(nodes, "id", "v", limit), index, "all")
-        q = q.join(cores, F.col("q_id") == F.col("_i")).select("shelf", "q_id", "q_vec", "core")
+        q = q.join(many(cores), F.col("q_id") == F.col("_i")).select("shelf", "q_id", "q_vec", "core")
         dim = index.points.shape[1]
         # boxes want all copies of a shelf at once
         block_rows = block_rows or (pivots.TASK_VALUES // (8 * max(1, dim)) if dim < BOXED else None)
@@ -318,27 +318,27 @@ def cuts(edges: DataFrame, points: DataFrame, near: DataFrame, eps_list: Sequenc
         for x in sorted(set(eps)):
             band = edges.filter((F.col("w") > before) & (F.col("w") <= x))
             to = lambda c, k: labels.select(F.col("id").alias(c), F.col("label").alias(k))
-            cut = band.join(to("a", "src"), "a").join(to("b", "dst"), "b").select("src", "dst")
+            cut = band.join(many(to("a", "src")), "a").join(many(to("b", "dst")), "b").select("src", "dst")
             both = cut_lineage(cut.unionByName(cut.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
             if not both.isEmpty():
                 joined = connected_components(both.select(F.col("src").alias("id")).distinct(), both)
                 joined = joined.select(F.col("id").alias("label"), F.col("label").alias("_l"))
-                labels = cut_lineage(labels.join(joined, "label", "left").select("id", "core", F.coalesce("_l", "label").alias("label")))
+                labels = cut_lineage(labels.join(many(joined), "label", "left").select("id", "core", F.coalesce("_l", "label").alias("label")))
             before = x
             parts += [labels.filter(F.col("core") <= x).select(F.lit(e).alias("e"), "id", "label") for e, y in enumerate(eps) if y == x]
         comp = parts[0]
         for part in parts[1:]:
             comp = comp.unionByName(part)
         numbers = group_index(comp.select("e", "label").distinct(), ["e"], [F.col("label")], "cluster")
-        comp = comp.join(numbers, ["e", "label"]).select("e", "id", "cluster")
-    core_lab = cut_lineage(cores.join(comp.withColumnRenamed("id", "node"), "node").select("e", "id", "cluster"))
+        comp = comp.join(many(numbers), ["e", "label"]).select("e", "id", "cluster")
+    core_lab = cut_lineage(cores.join(many(comp.withColumnRenamed("id", "node")), "node").select("e", "id", "cluster"))
     every = points.select("id", "core", F.posexplode(sizes).alias("e", "eps"))
     loose = every.filter("core is null or core > eps")
-    border = (loose.join(near, "id").filter("dist <= eps").select("e", "id", F.col("nb"))
-              .join(core_lab.select("e", F.col("id").alias("nb"), "cluster"), ["e", "nb"])
+    border = (loose.join(many(near), "id").filter("dist <= eps").select("e", "id", F.col("nb"))
+              .join(many(core_lab.select("e", F.col("id").alias("nb"), "cluster")), ["e", "nb"])
               .groupBy("e", "id").agg(F.min("cluster").alias("cluster")))
     found = core_lab.unionByName(border)
-    return (every.select("e", "eps", "id").join(found, ["e", "id"], "left")
+    return (every.select("e", "eps", "id").join(many(found), ["e", "id"], "left")
             .select("e", "eps", "id", F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster")))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions import vectors as V
-from orrery.session import cut_lineage, small_side
+from orrery.session import cut_lineage, many, small_side
 
 METRICS = ("euclidean", "sqeuclidean", "manhattan", "chebyshev")
 MAX_PIVOTS = 1024
@@ -546,7 +546,7 @@ def nearest(query: DataFrame, index: Index | None, k: int, q_id: str, q_vec: str
         return found
     reached = found.filter("tested is null").groupBy(F.col("q_id").alias("_q")).agg(
         F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(math.inf)).alias("_limit"))
-    q = (q.join(reached, F.col("q_id").eqNullSafe(F.col("_q")), "left")
+    q = (q.join(many(reached), F.col("q_id").eqNullSafe(F.col("_q")), "left")
          .select("q_id", "q_vec", F.coalesce("_limit", F.lit(math.inf)).alias("limit")))
     return found.unionByName(_meet(routed(q, index, "rest"), index, kernel, block_rows))
 

@@ -15,7 +15,7 @@ from orrery.operators import density as DN
 from orrery.operators import neighbors as NB
 from orrery.operators import relational as rel
 from orrery.plans.registry import query
-from orrery.session import cut_lineage
+from orrery.session import cut_lineage, many
 from orrery.sources.tables import table
 
 
@@ -383,7 +383,7 @@ def _sweep_scores(spark, sf, eps_list):
         F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
         F.count_if(F.col("cluster") < 0).alias("n_noise"))
     valid = stats.filter(F.col("n_clusters") > 1)
-    per_pt = cut_lineage(lab.join(valid.select("e"), "e").join(pts, "id"))
+    per_pt = cut_lineage(lab.join(valid.select("e"), "e").join(many(pts), "id"))
     if per_pt.isEmpty():
         none = F.lit(None).cast("double")
         return valid.select("eps", "n_clusters", "n_noise", none.alias("silhouette_squared"), none.alias("calinski_harabasz"),

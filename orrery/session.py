@@ -156,6 +156,13 @@ def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     return bounded_broadcast(cut_lineage(df), max_rows)
 
 
+def many(df: DataFrame) -> DataFrame:
+    """A side of a join with a row for each point or edge, never broadcast:
+    files of few bytes may hold very many rows (equal numbers, ids in order),
+    all of which the driver would gather."""
+    return df.hint("merge")
+
+
 def dbl(c, digits: int = 6):
     """Round a numeric column for stable comparison output."""
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
